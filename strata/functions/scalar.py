@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # Marker written in place of NULL before hashing: concat_ws skips NULLs, so
 # without it ("a", NULL) and (NULL, "a") would hash alike.
-NULL_MARK = "\u0000"
+NULL_MARK = "\\N"
 SEP = "\u001f"
 
 

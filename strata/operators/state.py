@@ -81,6 +81,12 @@ def changed(current: DataFrame, desired: DataFrame, key, cols: Sequence[str]) ->
                     change.alias("change"), F.col("_new_hash").alias("row_hash")))
 
 
+def duration_ms(start, end):
+    """Whole milliseconds between two timestamps (microsecond difference, truncated)."""
+    us = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return F.floor(us / 1000).cast("bigint")
+
+
 def run_status(obs: DataFrame, run: str, state: str, ts: str, terminal: Sequence[str]) -> DataFrame:
     """T4: latest state per run, terminal flag, first/last observation, duration.
 
@@ -94,7 +100,7 @@ def run_status(obs: DataFrame, run: str, state: str, ts: str, terminal: Sequence
     )
     last_ts = F.col("_last")[ts]
     term = F.col("_last")[state].isin(*terminal)
-    dur = F.when(term, F.unix_millis(last_ts) - F.unix_millis(F.col("first_seen")))
+    dur = F.when(term, duration_ms(F.col("first_seen"), last_ts))
     return agg.select(F.col(run), F.col("_last")[state].alias("state"), "first_seen",
                       last_ts.alias("last_seen"), "n_obs", term.alias("is_terminal"), dur.alias("duration_ms"))
 

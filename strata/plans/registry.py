@@ -223,3 +223,374 @@ def list_explode(spark, sf):
         F.count(F.lit(1)).alias("total"), F.array_sort(F.collect_list("page_id")).alias("objectIDs"))).alias("body"))
     edge = spark.createDataFrame([(-1, '{"total": 0}'), (-2, '{"total": 0, "objectIDs": null}')], "chunk long, body string")
     return I.ids_from_list(bodies.unionByName(edge), "body", "objectIDs")
+
+
+# ---------------------------------------------------------------- helpers for writing queries
+def fresh_db(spark: SparkSession, prefix: str = "strata") -> str:
+    """A schema of its own under the shared checkpoint root, so two runs never meet."""
+    from strata.operators.tables import ensure_schema
+    from strata.session import fresh_schema, scratch_dir
+
+    name = fresh_schema(prefix)
+    ensure_schema(spark, name, scratch_dir(spark, name))
+    return name
+
+
+# ---------------------------------------------------------------- S2 S3 S11 S8
+def customer_listing(spark, sf) -> tuple[DataFrame, str]:
+    """The list API's remote side: customer keys per market segment, written by Spark."""
+    from strata.session import scratch_dir
+
+    path = scratch_dir(spark, "listing")
+    cust = table(spark, sf, "customer")
+    (cust.select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").alias("id"))
+     .repartition("source").sortWithinPartitions("id")
+     .write.partitionBy("source").parquet(path))
+    return cust, path
+
+
+@register("cursor_pages", """
+SELECT c_mktsegment AS source, c_custkey AS id,
+       CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100 AS INTEGER) AS page
+FROM customer
+""")
+def cursor_pages(spark, sf):
+    """One cursor chain per source (market segment), pages of 100, run in parallel."""
+    cust, path = customer_listing(spark, sf)
+    sources = cust.select(F.col("c_mktsegment").alias("source")).distinct()
+    return I.cursor_pages(sources, RP.ListingTransport(path), page_size=100)
+
+
+@register("offset_pages", """
+SELECT c_mktsegment AS source, c_custkey AS id,
+       CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100 * 100 AS BIGINT) AS "offset"
+FROM customer
+""")
+def offset_pages(spark, sf):
+    """S3: offsets known from the total up front; every page fetched in parallel."""
+    cust, path = customer_listing(spark, sf)
+    totals = cust.groupBy(F.col("c_mktsegment").alias("source")).agg(F.count(F.lit(1)).alias("total"))
+    return I.offset_pages(totals, RP.ListingTransport(path), page_size=100, partitions=8)
+
+
+@register("multi_source", """
+SELECT 'customer' AS source, c_custkey AS object_id, 200 AS http_status,
+       CAST(json_object('id', c_custkey, 'c_name', c_name, 'c_acctbal', c_acctbal) AS VARCHAR) AS raw_json,
+       CAST(NULL AS VARCHAR) AS error_message
+FROM customer
+UNION ALL
+SELECT 'supplier', s_suppkey, 200,
+       CAST(json_object('id', s_suppkey, 's_name', s_name, 's_acctbal', s_acctbal) AS VARCHAR), NULL
+FROM supplier
+""")
+def multi_source(spark, sf):
+    """Two APIs in one job, each with its own parallelism and bucket."""
+    ids = I.union_sources(
+        RP.record_requests(table(spark, sf, "customer"), "c_custkey", "customer", ["c_name", "c_acctbal"]),
+        RP.record_requests(table(spark, sf, "supplier"), "s_suppkey", "supplier", ["s_name", "s_acctbal"]))
+    config = spark.createDataFrame([("customer", None, 10), ("supplier", None, 8)],
+                                   "source string, rate_per_sec double, partitions int")
+    return I.fetch_sources(ids, config, ReplayTransport(), sleep=no_sleep)
+
+
+GOOD_RUNS_BEFORE = "2024-01-20 00:00:00"
+
+
+@register("since_high_water", f"""
+SELECT event_id, user_id, event_type FROM events
+WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{GOOD_RUNS_BEFORE}')
+""")
+def since_high_water(spark, sf):
+    """Rows at or after the high-water mark of the last successful run.
+
+    Runs are one per day of events; days before the cutoff succeeded."""
+    ev = table(spark, sf, "events")
+    runs = ev.groupBy(F.to_date("ts").alias("day")).agg(F.max("ts").alias("high_water")).withColumn(
+        "success", F.col("day") < F.lit(GOOD_RUNS_BEFORE[:10]).cast("date"))
+    return I.since(ev, "ts", runs).select("event_id", "user_id", "event_type")
+
+
+# ---------------------------------------------------------------- S12-S15 J1 A5
+ORDERS_CSV_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                     "o_orderdate timestamp_ntz, o_orderpriority string")
+CSV_FILES = 4
+MAX_FILES = 2
+MD5_BUCKET_SQL = "CAST(('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT) % {n}"
+
+
+def orders_csv_drop(spark, sf) -> str:
+    """``orders`` written as 4 CSV files (one per md5 bucket of the key) into a fresh folder."""
+    from strata.functions.scalar import md5_bucket
+    from strata.session import scratch_dir
+
+    path = scratch_dir(spark, "csvdrop")
+    o = table(spark, sf, "orders").withColumn("bucket", md5_bucket("o_orderkey", CSV_FILES))
+    o.repartition(CSV_FILES, "bucket").write.partitionBy("bucket").option("header", "true").csv(path)
+    return path
+
+
+def ingest_csv(spark, sf, max_files):
+    from strata.sources import files as FL
+
+    path = orders_csv_drop(spark, sf)
+    raw = FL.read_files(spark, path, "bucket=*/*.csv", "csv", schema=ORDERS_CSV_SCHEMA)
+    return FL.cap_files(FL.with_provenance(raw), max_files)
+
+
+@register("files_capped", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+WHERE {MD5_BUCKET_SQL.format(k='o_orderkey', n=CSV_FILES)} < {MAX_FILES}
+""")
+def files_capped(spark, sf):
+    """CSV scan with options and schema, provenance, first N files by path."""
+    return ingest_csv(spark, sf, MAX_FILES).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                   "o_orderpriority")
+
+
+@register("file_counts", f"""
+SELECT CAST({MD5_BUCKET_SQL.format(k='o_orderkey', n=CSV_FILES)} AS INTEGER) AS file_bucket, count(*) AS n_rows
+FROM orders GROUP BY 1
+""")
+def file_counts(spark, sf):
+    """A5: rows per ingested file (file named by its bucket folder)."""
+    from strata.sources import files as FL
+
+    counts = FL.file_counts(ingest_csv(spark, sf, None))
+    return counts.select(F.regexp_extract("source_file", r"bucket=([0-9]+)", 1).cast("int").alias("file_bucket"),
+                         "n_rows")
+
+
+@register("passthrough", "SELECT *, o_orderdate AS silver_ingested_at FROM orders")
+def passthrough(spark, sf):
+    """P5: Silver pass-through with an aliased copy."""
+    return S.passthrough(table(spark, sf, "orders"), {"o_orderdate": "silver_ingested_at"})
+
+
+# ---------------------------------------------------------------- W4 O3
+UPSERT_SPLIT = "2024-01-16 00:00:00"
+
+
+@register("upsert_latest", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1
+""")
+def upsert_latest(spark, sf):
+    """Two batches (before/after a cut) upserted on user_id, newest ts wins."""
+    from strata.operators.tables import read_keyed, upsert
+
+    ev = table(spark, sf, "events")
+    cut = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    tbl = f"{fresh_db(spark)}.events_latest"
+    upsert(spark, ev.where(F.col("ts") < cut), tbl, ["user_id"], ["ts"])
+    upsert(spark, ev.where(F.col("ts") >= cut), tbl, ["user_id"], ["ts"])
+    return read_keyed(spark, tbl)
+
+
+# ---------------------------------------------------------------- T1-T8
+CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+NEW_KEY_OFFSET = 1000000000
+
+
+def altered_customer(spark, sf) -> DataFrame:
+    """Desired state: MACHINERY customers absent, BUILDING balances changed, nation 3 copied under new keys."""
+    c = table(spark, sf, "customer").select(*CUST_COLS)
+    kept = c.where(F.col("c_mktsegment") != "MACHINERY").withColumn(
+        "c_acctbal", F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 100.0)
+        .otherwise(F.col("c_acctbal")))
+    new = c.where(F.col("c_nationkey") == 3).select(
+        (F.col("c_custkey") + NEW_KEY_OFFSET).alias("c_custkey"), F.concat("c_name", F.lit(" (new)")).alias("c_name"),
+        "c_nationkey", "c_acctbal", "c_mktsegment")
+    return kept.unionByName(new)
+
+
+SQL_DESIRED = f"""
+desired AS (
+  SELECT c_custkey, c_name, c_nationkey,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+  FROM customer WHERE c_mktsegment <> 'MACHINERY'
+  UNION ALL
+  SELECT c_custkey + {NEW_KEY_OFFSET}, c_name || ' (new)', c_nationkey, c_acctbal, c_mktsegment
+  FROM customer WHERE c_nationkey = 3)
+"""
+
+
+@register("reconcile_full", f"""
+WITH {SQL_DESIRED}
+SELECT coalesce(d.c_custkey, c.c_custkey) AS c_custkey,
+       CASE WHEN d.c_custkey IS NULL THEN c.c_name ELSE d.c_name END AS c_name,
+       CASE WHEN d.c_custkey IS NULL THEN c.c_nationkey ELSE d.c_nationkey END AS c_nationkey,
+       CASE WHEN d.c_custkey IS NULL THEN c.c_acctbal ELSE d.c_acctbal END AS c_acctbal,
+       CASE WHEN d.c_custkey IS NULL THEN c.c_mktsegment ELSE d.c_mktsegment END AS c_mktsegment,
+       CASE WHEN d.c_custkey IS NULL THEN 'keep' WHEN c.c_custkey IS NOT NULL THEN 'replace' ELSE 'create' END
+         AS action
+FROM desired d FULL JOIN customer c ON d.c_custkey = c.c_custkey
+""")
+def reconcile_full(spark, sf):
+    """Full-replace reconcile of desired vs current records."""
+    from strata.operators.state import reconcile
+
+    cur = table(spark, sf, "customer").select(*CUST_COLS)
+    return reconcile(cur, altered_customer(spark, sf), "c_custkey")
+
+
+@register("reconcile_patch", """
+WITH ch AS (
+  SELECT c_custkey, upper(c_name) AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment
+  FROM customer WHERE c_mktsegment = 'BUILDING'
+  UNION ALL
+  SELECT c_custkey, NULL, NULL, '' FROM customer WHERE c_nationkey = 2 AND c_mktsegment <> 'BUILDING')
+SELECT c.c_custkey, coalesce(ch.c_name, c.c_name) AS c_name, c.c_nationkey,
+       coalesce(ch.c_acctbal, c.c_acctbal) AS c_acctbal, coalesce(ch.c_mktsegment, c.c_mktsegment) AS c_mktsegment,
+       concat_ws(',', CASE WHEN ch.c_name IS NOT NULL THEN 'c_name' END,
+                      CASE WHEN ch.c_acctbal IS NOT NULL THEN 'c_acctbal' END,
+                      CASE WHEN ch.c_mktsegment IS NOT NULL THEN 'c_mktsegment' END) AS update_mask
+FROM customer c LEFT JOIN ch ON c.c_custkey = ch.c_custkey
+""")
+def reconcile_patch(spark, sf):
+    """Patch — only supplied fields overwrite; an empty string counts as supplied."""
+    from strata.operators.state import patch
+
+    c = table(spark, sf, "customer").select(*CUST_COLS)
+    ch = c.where(F.col("c_mktsegment") == "BUILDING").select(
+        "c_custkey", F.upper("c_name").alias("c_name"), F.lit(None).cast("double").alias("c_acctbal"),
+        F.lit(None).cast("string").alias("c_mktsegment")).unionByName(
+        c.where((F.col("c_nationkey") == 2) & (F.col("c_mktsegment") != "BUILDING")).select(
+            "c_custkey", F.lit(None).cast("string").alias("c_name"), F.lit(None).cast("double").alias("c_acctbal"),
+            F.lit("").alias("c_mktsegment")))
+    return patch(c, ch, "c_custkey", ["c_name", "c_acctbal", "c_mktsegment"])
+
+
+def sql_row_hash(cols, alias=""):
+    parts = ", ".join(f"coalesce(CAST({alias}{c} AS VARCHAR), '\\N')" for c in cols)
+    return f"sha256(concat_ws(chr(31), {parts}))"
+
+
+@register("row_hash", f"SELECT *, {sql_row_hash(CUST_COLS)} AS row_hash FROM customer")
+def row_hash(spark, sf):
+    """NULL-safe SHA-256 over ordered columns."""
+    from strata.operators.state import with_row_hash
+
+    return with_row_hash(table(spark, sf, "customer"), CUST_COLS)
+
+
+@register("changed_rows", f"""
+WITH {SQL_DESIRED}
+SELECT d.*, CASE WHEN c.c_custkey IS NULL THEN 'new' ELSE 'changed' END AS change,
+       {sql_row_hash(CUST_COLS, 'd.')} AS row_hash
+FROM desired d LEFT JOIN customer c ON d.c_custkey = c.c_custkey
+WHERE c.c_custkey IS NULL OR {sql_row_hash(CUST_COLS, 'd.')} <> {sql_row_hash(CUST_COLS, 'c.')}
+""")
+def changed_rows(spark, sf):
+    """Desired rows that are new or differ by hash."""
+    from strata.operators.state import changed
+
+    cur = table(spark, sf, "customer").select(*CUST_COLS)
+    return changed(cur, altered_customer(spark, sf), "c_custkey", CUST_COLS)
+
+
+FIXTURE_TERMINAL = ("purchase", "error")  # events stand in for run observations
+
+
+@register("run_status", """
+WITH l AS (SELECT user_id, event_type AS state, ts,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events),
+     a AS (SELECT user_id, min(ts) AS first_seen, count(*) AS n_obs FROM events GROUP BY user_id)
+SELECT l.user_id, state, first_seen, ts AS last_seen, n_obs, state IN ('purchase', 'error') AS is_terminal,
+       CASE WHEN state IN ('purchase', 'error') THEN (epoch_us(ts) - epoch_us(first_seen)) // 1000 END AS duration_ms
+FROM l JOIN a ON l.user_id = a.user_id WHERE rn = 1
+""")
+def run_status(spark, sf):
+    """T4: latest state per run, terminal flag, duration (user_id = run, event_type = state)."""
+    from strata.operators.state import run_status as rs
+
+    return rs(table(spark, sf, "events"), "user_id", "event_type", "ts", FIXTURE_TERMINAL)
+
+
+@register("dedupe_token", """
+SELECT event_id, user_id, event_type, token FROM (
+  SELECT *, CASE WHEN event_type = 'view' THEN NULL ELSE user_id END AS token FROM events) e
+QUALIFY token IS NULL OR row_number() OVER (PARTITION BY token ORDER BY ts) = 1
+""")
+def dedupe_token(spark, sf):
+    """T5: one row per idempotency token (the first); NULL tokens always kept."""
+    from strata.operators.tables import dedupe_token as dt
+
+    ev = table(spark, sf, "events").withColumn(
+        "token", F.when(F.col("event_type") == "view", F.lit(None)).otherwise(F.col("user_id")))
+    return dt(ev, "token", ["ts"]).select("event_id", "user_id", "event_type", "token")
+
+
+def alias_inputs(spark, sf):
+    ev = table(spark, sf, "events")
+    log = ev.select(F.col("event_type").alias("full_name"),
+                    F.when(F.col("value") >= 100, F.lit("champion")).otherwise(F.lit("challenger")).alias("alias"),
+                    F.col("user_id").alias("version"), F.col("ts").alias("assigned_at"))
+    versions = ev.select(F.col("event_type").alias("full_name"), F.col("user_id").alias("version")).distinct() \
+        .withColumn("source", F.concat(F.lit("models/"), "full_name", F.lit("/v"), F.col("version").cast("string")))
+    return log, versions
+
+
+@register("resolve_alias", """
+WITH l AS (SELECT event_type AS full_name, CASE WHEN value >= 100 THEN 'champion' ELSE 'challenger' END AS alias,
+                  user_id AS version, ts FROM events)
+SELECT full_name, alias, version, 'models/' || full_name || '/v' || CAST(version AS VARCHAR) AS source
+FROM l QUALIFY row_number() OVER (PARTITION BY full_name, alias ORDER BY ts DESC) = 1
+""")
+def resolve_alias(spark, sf):
+    """An alias points to the version assigned to it last."""
+    from strata.operators.state import resolve_alias as ra
+
+    log, versions = alias_inputs(spark, sf)
+    return ra(log, versions)
+
+
+@register("apply_tags", """
+WITH l AS (SELECT user_id, event_type, CAST(value AS VARCHAR) AS v FROM events
+           QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
+SELECT user_id AS run_id, CAST(to_json(map_from_entries(list((event_type, v) ORDER BY event_type))) AS VARCHAR)
+       AS tags_json
+FROM l GROUP BY user_id
+""")
+def apply_tags(spark, sf):
+    """Last tag write wins per (run, key)."""
+    from strata.operators.state import apply_tags as at
+
+    log = table(spark, sf, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("key"),
+                                            F.col("value").cast("string").alias("value"), F.col("ts").alias("set_at"))
+    return at(log).select("run_id", F.to_json("tags").alias("tags_json"))
+
+
+SEARCH_MAX_RESULTS = 100
+
+
+@register("search_runs", f"""
+SELECT event_id AS run_id, CAST(user_id AS VARCHAR) AS user_tag, 'active' AS lifecycle_stage FROM events
+WHERE event_type = 'click' ORDER BY ts DESC, event_id LIMIT {SEARCH_MAX_RESULTS}
+""")
+def search_runs(spark, sf):
+    """Run search by tag and view type, newest first, max_results."""
+    from strata.operators.state import search_runs as sr
+
+    ev = table(spark, sf, "events")
+    runs = ev.select(F.col("event_id").alias("run_id"), F.col("ts").alias("start_time"),
+                     F.create_map(F.lit("type"), F.col("event_type"), F.lit("user"),
+                                  F.col("user_id").cast("string")).alias("tags"),
+                     F.when(F.col("event_type") == "error", F.lit("deleted")).otherwise(F.lit("active"))
+                     .alias("lifecycle_stage"))
+    out = sr(runs, {"type": "click"}, "ACTIVE_ONLY", SEARCH_MAX_RESULTS)
+    return out.select("run_id", F.col("tags")["user"].alias("user_tag"), "lifecycle_stage")
+
+
+# ---------------------------------------------------------------- P8
+@register("gate_metrics", """
+SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(avg(l_discount), 6) AS avg_disc,
+       round(avg(l_discount), 6) > 0.05 AS passed
+FROM lineitem GROUP BY 1, 2
+""")
+def gate_metrics(spark, sf):
+    """Comparison gate (GREATER_THAN) over aggregated metrics."""
+    from strata.operators.gate import gate
+
+    m = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum("l_quantity").alias("sum_qty"), F.round(F.avg("l_discount"), 6).alias("avg_disc"))
+    return gate(m, "avg_disc", "GREATER_THAN", "0.05")

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.state import run_status
+from strata.operators.state import duration_ms, run_status
 from strata.operators.tables import latest, upsert, BUCKET_COL, write_full
 from strata.session import scratch_dir
 
@@ -73,7 +73,7 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
             term = F.col("_l.state").isin(*terminal)
             b = merged.select(run, F.col("_l.state").alias("state"), "first_seen",
                               F.col("_l.last_seen").alias("last_seen"), "n_obs", term.alias("is_terminal"),
-                              F.when(term, F.unix_millis(F.col("_l.last_seen")) - F.unix_millis("first_seen"))
+                              F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen")))
                               .alias("duration_ms"))
         upsert(spark, b, table, [run], ["last_seen"])
 
