@@ -594,3 +594,376 @@ def gate_metrics(spark, sf):
     m = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"), F.round(F.avg("l_discount"), 6).alias("avg_disc"))
     return gate(m, "avg_disc", "GREATER_THAN", "0.05")
+
+
+# ---------------------------------------------------------------- Q1 J3 J4 A8 O4 O6 (user SQL)
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def register_views(spark: SparkSession, sf: str, names=TABLES) -> None:
+    """The given tables as temp views, so user SQL runs unchanged."""
+    for t in names:
+        table(spark, sf, t).createOrReplaceTempView(t)
+
+
+def same_sql(name: str, sql: str, doc: str):
+    """A query whose Spark SQL and DuckDB SQL are the same text."""
+    def fn(spark, sf):
+        from strata.plans.sql import run_sql
+
+        register_views(spark, sf)
+        return run_sql(spark, sql)
+    fn.__doc__ = doc
+    register(name, sql)(fn)
+
+
+same_sql("sql_joins", """
+SELECT r.r_name, n.n_name, count(o.o_orderkey) AS n_orders, round(sum(o.o_totalprice), 2) AS revenue
+FROM region r
+JOIN nation n ON n.n_regionkey = r.r_regionkey
+LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey
+LEFT JOIN orders o ON o.o_custkey = c.c_custkey
+GROUP BY r.r_name, n.n_name
+""", "J3: inner + left joins through user SQL")
+
+same_sql("sql_outer_joins", """
+SELECT coalesce(cs.nk, ss.nk) AS nationkey, cs.n_cust, ss.n_supp, p.n_parts
+FROM (SELECT c_nationkey AS nk, count(*) AS n_cust FROM customer GROUP BY c_nationkey) cs
+FULL OUTER JOIN (SELECT s_nationkey AS nk, count(*) AS n_supp FROM supplier GROUP BY s_nationkey) ss
+  ON cs.nk = ss.nk
+RIGHT JOIN (SELECT n_nationkey AS nk, count(*) AS n_parts FROM nation GROUP BY n_nationkey) p
+  ON p.nk = coalesce(cs.nk, ss.nk)
+""", "J3: full and right outer joins")
+
+same_sql("sql_semi_anti", """
+SELECT 'semi' AS kind, count(*) AS n FROM customer c
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+UNION ALL
+SELECT 'anti', count(*) FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+UNION ALL
+SELECT 'in', count(*) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)
+""", "J3: semi / anti / IN-subquery joins")
+
+same_sql("sql_grouping_sets", """
+SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS qty
+FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())
+""", "A8: grouping sets")
+
+same_sql("sql_rollup", """
+SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS qty
+FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
+""", "A8: rollup")
+
+same_sql("sql_cube", """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)
+""", "A8: cube")
+
+same_sql("sql_distinct_aggs", """
+SELECT o_orderpriority, count(DISTINCT o_custkey) AS n_cust, count(DISTINCT o_orderstatus) AS n_status,
+       count(*) AS n
+FROM orders GROUP BY o_orderpriority
+""", "A8: distinct aggregates")
+
+same_sql("sql_windows", """
+SELECT o_orderkey, o_custkey,
+       CAST(rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS price_rank,
+       CAST(dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS BIGINT) AS status_rank,
+       lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_order,
+       lead(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next2_order
+FROM orders
+""", "O4: ranking and offset window functions")
+
+same_sql("sql_frames", """
+SELECT o_orderkey,
+       round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                     ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS moving_total,
+       count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_n,
+       max(o_totalprice) OVER (PARTITION BY o_custkey) AS cust_max
+FROM orders
+""", "O4: row frames")
+
+same_sql("sql_set_ops", """
+SELECT 'intersect' AS op, count(*) AS n FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) a
+UNION ALL
+SELECT 'except', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) b
+UNION ALL
+SELECT 'union', count(*) FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier) c
+UNION ALL
+SELECT 'union_all', count(*) FROM (SELECT c_nationkey FROM customer UNION ALL SELECT s_nationkey FROM supplier) d
+""", "O6: intersect, except, union")
+
+BAND_SECONDS = 300
+
+
+@register("sql_range_join", f"""
+SELECT a.event_id, count(*) AS n_purchases
+FROM events a JOIN events b
+  ON b.ts BETWEEN a.ts AND a.ts + INTERVAL {BAND_SECONDS} SECOND
+WHERE a.event_type = 'signup' AND b.event_type = 'purchase'
+GROUP BY a.event_id
+""")
+def sql_range_join(spark, sf):
+    """Range join with an interval bound, planned as a bin equi-join (no nested loop)."""
+    from strata.operators.joins import band_join
+
+    ev = table(spark, sf, "events")
+    a = ev.where(F.col("event_type") == "signup").select("event_id", F.col("ts").alias("a_ts"))
+    b = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("b_id"), F.col("ts").alias("b_ts"))
+    return band_join(a, b, "a_ts", "b_ts", 0, BAND_SECONDS).groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("n_purchases"))
+
+
+@register("sql_scalars", """
+SELECT event_id,
+       'https://api.example/objects/' || CAST(event_id AS VARCHAR) || '?v=1' AS url,
+       regexp_replace(regexp_replace('/data/' || event_type || '/v1.json', '^/+', ''), '[/.]', ':', 'g') AS safe_name,
+       substring(props, 1, 5) AS preview,
+       sha256(event_type) AS type_sha,
+       md5(CAST(user_id AS VARCHAR)) AS user_md5,
+       make_timestamp(CAST(1700000000000 + event_id AS BIGINT) * 1000) AS from_millis,
+       make_timestamp(CAST(1700000000 + event_id AS BIGINT) * 1000000) AS from_seconds,
+       upper(event_type) AS type_upper,
+       CAST(length(props) AS INTEGER) AS props_len,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+FROM events
+""")
+def sql_scalars(spark, sf):
+    """§2.7 scalar functions: URL template, safe name, preview, SHA-256, md5, epoch ms/s, JSON path."""
+    from strata.functions import scalar as X
+
+    ev = table(spark, sf, "events")
+    return ev.select(
+        "event_id",
+        X.url_for("https://api.example/objects/{id}?v=1", "event_id").alias("url"),
+        X.safe_name(F.concat(F.lit("/data/"), F.col("event_type"), F.lit("/v1.json"))).alias("safe_name"),
+        X.preview("props", 5).alias("preview"),
+        F.sha2("event_type", 256).alias("type_sha"),
+        F.md5(F.col("user_id").cast("string")).alias("user_md5"),
+        X.epoch_millis_to_ts(F.lit(1700000000000) + F.col("event_id")).cast("timestamp_ntz").alias("from_millis"),
+        X.epoch_seconds_to_ts(F.lit(1700000000) + F.col("event_id")).cast("timestamp_ntz").alias("from_seconds"),
+        F.upper("event_type").alias("type_upper"),
+        F.length("props").alias("props_len"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+# ---------------------------------------------------------------- Q4
+@register("for_each_params", """
+SELECT n.n_nationkey, n.n_name, count(o.o_orderkey) AS n_orders, round(sum(o.o_totalprice), 2) AS revenue
+FROM nation n JOIN customer c ON c.c_nationkey = n.n_nationkey JOIN orders o ON o.o_custkey = c.c_custkey
+GROUP BY n.n_nationkey, n.n_name
+""")
+def for_each_params(spark, sf):
+    """Q4: a per-nation task run once over all nations as a join (not N jobs)."""
+    from strata.plans.sql import for_each
+
+    cust, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+
+    def body(params: DataFrame) -> DataFrame:
+        j = params.join(cust, params.n_nationkey == cust.c_nationkey).join(orders, F.col("o_custkey") == F.col("c_custkey"))
+        return j.groupBy("n_nationkey", "n_name").agg(F.count("o_orderkey").alias("n_orders"),
+                                                     F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+
+    return for_each(table(spark, sf, "nation").select("n_nationkey", "n_name"), body)
+
+
+# ---------------------------------------------------------------- Q5
+def order_models():
+    from strata.plans.models import Model
+
+    return [
+        Model("stg_orders", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders", ("staging",)),
+        Model("stg_customers", "SELECT c_custkey, c_name, c_mktsegment FROM customer", ("staging",)),
+        Model("customer_orders", """
+            SELECT c.c_custkey, c.c_mktsegment, count(o.o_orderkey) AS n_orders,
+                   round(sum(o.o_totalprice), 2) AS total
+            FROM {{ ref('stg_customers') }} c LEFT JOIN {{ ref('stg_orders') }} o ON o.o_custkey = c.c_custkey
+            GROUP BY c.c_custkey, c.c_mktsegment""", ("marts",)),
+    ]
+
+
+def order_model_tests(db):
+    from strata.plans.models import Test
+
+    return [
+        Test("not_null", f"{db}.customer_orders", "c_custkey"),
+        Test("unique", f"{db}.customer_orders", "c_custkey"),
+        Test("unique", f"{db}.stg_orders", "o_custkey"),
+        Test("accepted_values", f"{db}.stg_orders", "o_orderstatus", ("F", "O", "P")),
+        Test("accepted_values", f"{db}.stg_customers", "c_mktsegment", ("AUTOMOBILE", "BUILDING", "FURNITURE")),
+        Test("relationships", f"{db}.stg_orders", "o_custkey", to_table=f"{db}.stg_customers", to_column="c_custkey"),
+    ]
+
+
+def built_models(spark, sf):
+    from strata.plans.models import run_models
+
+    register_views(spark, sf, ["orders", "customer"])
+    db = fresh_db(spark)
+    run_models(spark, order_models(), db, select="tag:staging")
+    run_models(spark, order_models(), db, select="stg_orders+")
+    return db
+
+
+@register("model_set", """
+SELECT c.c_custkey, c.c_mktsegment, count(o.o_orderkey) AS n_orders, round(sum(o.o_totalprice), 2) AS total
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_mktsegment
+""")
+def model_set(spark, sf):
+    """Q5: SQL models built in dependency order with tag and downstream selection."""
+    return spark.table(f"{built_models(spark, sf)}.customer_orders")
+
+
+@register("model_tests", """
+SELECT 'not_null_customer_orders_c_custkey' AS test_name, CAST(0 AS BIGINT) AS failures, true AS passed
+UNION ALL
+SELECT 'unique_customer_orders_c_custkey', count(*), count(*) = 0 FROM
+  (SELECT c_custkey FROM customer GROUP BY c_custkey HAVING count(*) > 1) u
+UNION ALL
+SELECT 'unique_stg_orders_o_custkey', count(*), count(*) = 0 FROM
+  (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1) u2
+UNION ALL
+SELECT 'accepted_values_stg_orders_o_orderstatus', count(*), count(*) = 0 FROM orders
+  WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')
+UNION ALL
+SELECT 'accepted_values_stg_customers_c_mktsegment', count(*), count(*) = 0 FROM customer
+  WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
+UNION ALL
+SELECT 'relationships_stg_orders_o_custkey', count(*), count(*) = 0 FROM orders
+  WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+""")
+def model_tests(spark, sf):
+    """Q5: data tests (not_null, unique, accepted_values, relationships) as counting queries."""
+    from strata.plans.models import test_models
+
+    return test_models(spark, order_model_tests(built_models(spark, sf)))
+
+
+# ---------------------------------------------------------------- R1
+def declared_orders(cut: str | None):
+    """Two declared tables over orders: a keyed daily rollup and a status mix."""
+    from strata.plans.refresh import Declared
+
+    def daily(spark, names):
+        o = orders_frame(spark)
+        if cut is not None:
+            o = o.where(F.col("o_orderdate") < F.lit(cut).cast("timestamp_ntz"))
+        return o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+            F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue")) \
+            .withColumn("refreshed_at", F.current_timestamp())
+
+    def status_mix(spark, names):
+        d = spark.table(names["order_daily"])
+        return d.agg(F.count(F.lit(1)).alias("days"), F.sum("n_orders").alias("n_orders"))
+
+    return [Declared("order_daily", daily, keys=("day",), order_by=("refreshed_at",)),
+            Declared("status_mix", status_mix, inputs=("order_daily",))]
+
+
+_ORDERS_VIEW = "orders"
+
+
+def orders_frame(spark):
+    return spark.table(_ORDERS_VIEW)
+
+
+REFRESH_CUT = "1998-01-01 00:00:00"
+
+
+@register("refresh_set", """
+SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
+FROM orders GROUP BY 1
+""")
+def refresh_set(spark, sf):
+    """Full refresh of a partial input, then an incremental refresh selecting one table."""
+    from strata.operators.tables import read_keyed
+    from strata.plans.refresh import refresh
+
+    register_views(spark, sf, ["orders"])
+    db = fresh_db(spark)
+    refresh(spark, declared_orders(REFRESH_CUT), db, full=True)
+    refresh(spark, declared_orders(None), db, only=("order_daily",))
+    return read_keyed(spark, f"{db}.order_daily").drop("refreshed_at")
+
+
+# ---------------------------------------------------------------- Q2 Q3
+SAVED_SQL = ("SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders "
+             "WHERE o_orderstatus = :status GROUP BY o_orderpriority")
+
+
+@register("saved_query", SAVED_SQL.replace(":status", "'F'"))
+def saved_query(spark, sf):
+    """Q2: named SQL text kept in a table, run by name with a parameter."""
+    from strata.plans.sql import SavedQueries
+
+    register_views(spark, sf, ["orders"])
+    sq = SavedQueries(spark, f"{fresh_db(spark)}.saved_queries")
+    sq.register("orders_by_priority", SAVED_SQL, "orders per priority for one status", ["orders"])
+    sq.register("orders_by_priority", SAVED_SQL, "orders per priority for one status (v2)", ["orders", "gold"])
+    return sq.run("orders_by_priority", params={"status": "F"})
+
+
+SQL_FILE_TEXT = """-- orders of one status, then per priority
+CREATE TABLE IDENTIFIER(:tbl) USING parquet AS
+SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = :status;
+SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM IDENTIFIER(:tbl) GROUP BY o_orderpriority;
+"""
+
+
+@register("sql_file", SAVED_SQL.replace(":status", "'O'"))
+def sql_file(spark, sf):
+    """Q3: a SQL file with named parameters and IDENTIFIER() table names."""
+    from strata.plans.sql import run_sql_file
+    from strata.session import scratch_dir
+
+    register_views(spark, sf, ["orders"])
+    path = scratch_dir(spark, "sqlfile")
+    spark.createDataFrame([(SQL_FILE_TEXT,)], "value string").coalesce(1).write.text(path)
+    return run_sql_file(spark, path, {"tbl": f"{fresh_db(spark)}.orders_o", "status": "O"})
+
+
+# ---------------------------------------------------------------- S16 W1-W3 W8
+@register("table_scan", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000")
+def table_scan(spark, sf):
+    """Table by name with an ordered row cap (max_rows)."""
+    from strata.operators.tables import write_full
+    from strata.sources.files import read_table
+
+    name = f"{fresh_db(spark)}.orders"
+    write_full(table(spark, sf, "orders"), name)
+    return read_table(spark, name, max_rows=1000, order_by=["o_orderkey"])
+
+
+REPLACE_SQL = ("SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total "
+               "FROM orders GROUP BY o_orderstatus")
+
+
+@register("replace_from_query", REPLACE_SQL)
+def replace_from_query(spark, sf):
+    """Create-or-replace from a query, twice, then once from itself (stage path)."""
+    from strata.operators.tables import replace_from_query as rq
+
+    register_views(spark, sf, ["orders"])
+    name = f"{fresh_db(spark)}.status_totals"
+    rq(spark, name, REPLACE_SQL)
+    rq(spark, name, REPLACE_SQL)
+    return rq(spark, name, f"SELECT * FROM {name}")
+
+
+@register("table_inventory", """
+SELECT 'orders_copy' AS name, 'MANAGED' AS table_type UNION ALL SELECT 'events_copy', 'MANAGED'
+""")
+def table_inventory(spark, sf):
+    """List the tables of a schema (after a drop) from the catalog."""
+    from strata.operators.tables import drop_table, inventory, write_full
+
+    db = fresh_db(spark)
+    write_full(table(spark, sf, "orders"), f"{db}.orders_copy")
+    write_full(table(spark, sf, "events"), f"{db}.events_copy")
+    write_full(table(spark, sf, "nation"), f"{db}.nation_copy")
+    drop_table(spark, f"{db}.nation_copy")
+    return inventory(spark, db).where(~F.col("is_temporary")).select("name", "table_type")
