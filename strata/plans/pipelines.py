@@ -55,13 +55,14 @@ def run_id_for(*parts) -> str:
 def run_training(spark: SparkSession, source: DataFrame | str, label: str, keys: Sequence[str],
                  features: Sequence[str] | None = None, test_size: float = 0.2, seed: int = 42,
                  max_rows: int | None = None, predictions_table: str | None = None,
-                 runs_table: str | None = None, model_path: str | None = None) -> dict:
+                 runs_table: str | None = None, model_path: str | None = None, name: str | None = None) -> dict:
     """Split -> fit -> score test rows -> metrics -> predictions table and run record."""
     df = read_table(spark, source, max_rows, order_by=list(keys)) if isinstance(source, str) else source
     feats = list(features) if features else ml.split_label(df, label, exclude=keys)
     train_df, test_df = ml.split(df, keys, test_size, seed)
     model = ml.train(train_df, feats, label)
-    run_id = run_id_for(source if isinstance(source, str) else "frame", feats, label, test_size, seed, max_rows)
+    name = name or (source if isinstance(source, str) else "frame")
+    run_id = run_id_for(name, feats, label, test_size, seed, max_rows)
     pred = ml.score(model, test_df, feats, label, keep=keys, run_id=run_id)
     m = ml.regression_metrics(pred).first()
     rec = {"run_id": run_id, "rmse": float(m["rmse"]), "r2": float(m["r2"]), "n_test": int(m["n"]),

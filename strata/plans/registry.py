@@ -967,3 +967,341 @@ def table_inventory(spark, sf):
     write_full(table(spark, sf, "nation"), f"{db}.nation_copy")
     drop_table(spark, f"{db}.nation_copy")
     return inventory(spark, db).where(~F.col("is_temporary")).select("name", "table_type")
+
+
+# ---------------------------------------------------------------- R2-R5 (streaming)
+EVENTS_JSON_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+STREAM_CUT = "2024-01-16 00:00:00"
+TS_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_READ = {"timestampNTZFormat": TS_MICROS}
+SQL_EVENTS_ALL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+def events_json_drop(spark, sf, path, before: bool) -> None:
+    """Events landing as JSON files: one drop for rows before the cut, one for the rest."""
+    ev = table(spark, sf, "events")
+    cut = F.col("ts") < F.lit(STREAM_CUT).cast("timestamp_ntz")
+    ev.where(cut if before else ~cut).repartition(4).write.mode("append") \
+        .option("timestampNTZFormat", TS_MICROS).json(path)
+
+
+def stream_paths(spark):
+    from strata.session import scratch_dir
+
+    root = scratch_dir(spark, "stream")
+    return f"{root}/landing", f"{root}/target", f"{root}/checkpoint"
+
+
+@register("stream_ingest", SQL_EVENTS_ALL)
+def stream_ingest(spark, sf):
+    """R2: triggered incremental file ingest; the second run only takes the new files."""
+    from strata.streaming.ingest import ingest_stream
+
+    landing, target, ckpt = stream_paths(spark)
+    events_json_drop(spark, sf, landing, True)
+    ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ)
+    events_json_drop(spark, sf, landing, False)
+    ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ)
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@register("stream_upsert", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
+""")
+def stream_upsert(spark, sf):
+    """Keyed upsert of every micro-batch (newest ts per user wins)."""
+    from strata.operators.tables import read_keyed
+    from strata.streaming.ingest import read_stream, upsert_stream
+
+    landing, _, ckpt = stream_paths(spark)
+    tbl = f"{fresh_db(spark)}.events_latest"
+    for before in (True, False):
+        events_json_drop(spark, sf, landing, before)
+        s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ).drop("source_file", "ingested_at")
+        upsert_stream(spark, s, tbl, ["user_id"], ["ts"], ckpt)
+    return read_keyed(spark, tbl)
+
+
+@register("stream_run_status", """
+WITH l AS (SELECT user_id, event_type AS state, ts,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events),
+     a AS (SELECT user_id, min(ts) AS first_seen, count(*) AS n_obs FROM events GROUP BY user_id)
+SELECT l.user_id, state, first_seen, ts AS last_seen, n_obs, state IN ('purchase', 'error') AS is_terminal,
+       CASE WHEN state IN ('purchase', 'error') THEN (epoch_us(ts) - epoch_us(first_seen)) // 1000 END AS duration_ms
+FROM l JOIN a ON l.user_id = a.user_id WHERE rn = 1
+""")
+def stream_run_status(spark, sf):
+    """Latest state per run kept current from an observation stream."""
+    from strata.operators.tables import read_keyed
+    from strata.streaming.ingest import read_stream, run_status_stream
+
+    landing, _, ckpt = stream_paths(spark)
+    tbl = f"{fresh_db(spark)}.run_status"
+    for before in (True, False):
+        events_json_drop(spark, sf, landing, before)
+        s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ)
+        run_status_stream(spark, s, tbl, "user_id", "event_type", "ts", FIXTURE_TERMINAL, ckpt)
+    return read_keyed(spark, tbl)
+
+
+@register("stream_full_refresh", SQL_EVENTS_ALL)
+def stream_full_refresh(spark, sf):
+    """Full refresh of a stream = new checkpoint + rebuilt target (no duplicates)."""
+    from strata.streaming.ingest import full_refresh_stream, ingest_stream
+
+    landing, target, ckpt = stream_paths(spark)
+    events_json_drop(spark, sf, landing, True)
+    events_json_drop(spark, sf, landing, False)
+    ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ)
+    full_refresh_stream(spark, landing, EVENTS_JSON_SCHEMA, target, options=JSON_READ)
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+# ---------------------------------------------------------------- M1-M7 A6 W5 P6
+SPLIT_KEYS = ["l_orderkey", "l_linenumber"]
+SEED = 42
+TEST_SIZE = 0.2
+FEATURES = ["l_quantity"]
+LABEL = "l_extendedprice"
+
+
+def sql_split_bucket(seed=SEED):
+    return (f"CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, '{seed}')), 1, 8)) AS BIGINT)"
+            " % 10000")
+
+
+SQL_SPLIT = f"WITH t AS (SELECT *, {sql_split_bucket()} AS b FROM lineitem)"
+SQL_MODEL = ("m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS s, "
+             "regr_intercept(l_extendedprice, l_quantity) AS i FROM t WHERE b >= 2000)")
+
+
+@register("split_test_rows", f"""
+{SQL_SPLIT}
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM t WHERE b < 2000
+""")
+def split_test_rows(spark, sf):
+    """M1: repeatable 20 % test split by md5 bucket of the key and seed."""
+    from strata.operators.ml import split
+
+    _, test = split(table(spark, sf, "lineitem"), SPLIT_KEYS, TEST_SIZE, SEED)
+    return test.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+def fitted(spark, sf, seed=SEED):
+    from strata.operators import ml
+
+    train_df, test_df = ml.split(table(spark, sf, "lineitem"), SPLIT_KEYS, TEST_SIZE, seed)
+    return ml.train(train_df, FEATURES, LABEL), test_df
+
+
+@register("linreg_predict", f"""
+{SQL_SPLIT}, {SQL_MODEL}
+SELECT l_orderkey, l_linenumber, round(m.i + m.s * l_quantity, 3) AS predicted, l_extendedprice AS actual
+FROM t CROSS JOIN m WHERE b < 2000
+""")
+def linreg_predict(spark, sf):
+    """M2/M3: OLS fit on the train split (MLlib normal equations), predictions on test rows."""
+    from strata.operators.ml import score
+
+    model, test_df = fitted(spark, sf)
+    p = score(model, test_df, FEATURES, LABEL, keep=SPLIT_KEYS)
+    return p.select(*SPLIT_KEYS, F.round("predicted", 3).alias("predicted"), "actual")
+
+
+@register("linreg_metrics", f"""
+{SQL_SPLIT}, {SQL_MODEL},
+p AS (SELECT m.i + m.s * l_quantity AS predicted, l_extendedprice AS actual FROM t CROSS JOIN m WHERE b < 2000)
+SELECT count(*) AS n, round(sqrt(avg((predicted - actual) * (predicted - actual))), 4) AS rmse,
+       round(1 - sum((predicted - actual) * (predicted - actual)) / (var_pop(actual) * count(*)), 6) AS r2
+FROM p
+""")
+def linreg_metrics(spark, sf):
+    """RMSE and R^2 (1 - SSE/SST) of the test predictions."""
+    from strata.operators.ml import regression_metrics, score
+
+    model, test_df = fitted(spark, sf)
+    m = regression_metrics(score(model, test_df, FEATURES, LABEL))
+    return m.select("n", F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+def training_run_id():
+    from strata.plans.pipelines import run_id_for
+
+    return run_id_for("lineitem", FEATURES, LABEL, TEST_SIZE, SEED, None)
+
+
+@register("predictions_table", f"""
+{SQL_SPLIT}, {SQL_MODEL}
+SELECT round(m.i + m.s * l_quantity, 3) AS predicted, l_extendedprice AS actual, '{training_run_id()}' AS run_id,
+       l_orderkey, l_linenumber
+FROM t CROSS JOIN m WHERE b < 2000
+""")
+def predictions_table(spark, sf):
+    """Training run writes predictions (kept distributed) and a run record."""
+    from strata.plans.pipelines import run_training
+
+    db = fresh_db(spark)
+    rec = run_training(spark, table(spark, sf, "lineitem"), LABEL, SPLIT_KEYS, FEATURES, TEST_SIZE, SEED,
+                       predictions_table=f"{db}.predictions", runs_table=f"{db}.runs", name="lineitem")
+    assert rec["run_id"] == training_run_id()
+    p = spark.table(f"{db}.predictions")
+    return p.select(F.round("predicted", 3).alias("predicted"), "actual", "run_id", *SPLIT_KEYS)
+
+
+@register("score_alias", f"""
+{SQL_SPLIT}, {SQL_MODEL}
+SELECT l_orderkey, l_linenumber, round(m.i + m.s * l_quantity, 3) AS predicted, 'champion' AS alias,
+       CAST(2 AS BIGINT) AS version
+FROM t CROSS JOIN m WHERE b < 2000
+""")
+def score_alias(spark, sf):
+    """The 'champion' alias moves from version 1 to 2; scoring loads what it points at."""
+    from strata.operators import ml
+    from strata.operators.state import resolve_alias
+    from strata.session import scratch_dir
+
+    root = scratch_dir(spark, "registry")
+    m1, _ = fitted(spark, sf, seed=7)
+    m2, test_df = fitted(spark, sf, seed=SEED)
+    ml.save_model(m1, f"{root}/v1")
+    ml.save_model(m2, f"{root}/v2")
+    versions = spark.createDataFrame([("lineitem_price", 1, f"{root}/v1"), ("lineitem_price", 2, f"{root}/v2")],
+                                     "full_name string, version bigint, source string")
+    log = spark.createDataFrame([("lineitem_price", "champion", 1, 1), ("lineitem_price", "champion", 2, 2),
+                                 ("lineitem_price", "challenger", 1, 3)],
+                                "full_name string, alias string, version bigint, assigned_at bigint")
+    target = resolve_alias(log, versions).where(F.col("alias") == "champion").first()  # one registry row
+    model = ml.load_model(target["source"])
+    p = ml.score(model, test_df, FEATURES, keep=SPLIT_KEYS)
+    return p.select(*SPLIT_KEYS, F.round("predicted", 3).alias("predicted"), F.lit("champion").alias("alias"),
+                    F.lit(target["version"]).cast("bigint").alias("version"))
+
+
+ROUTES = [("model_a", 70), ("model_b", 30), ("model_c", 0)]
+
+
+@register("traffic_split", f"""
+SELECT event_id, user_id,
+       CASE WHEN {MD5_BUCKET_SQL.format(k='user_id', n=100)} < 70 THEN 'model_a' ELSE 'model_b' END AS served_entity
+FROM events
+""")
+def traffic_split(spark, sf):
+    """M6: percentage traffic split by md5 bucket of the key (a 0 % route gets nothing)."""
+    from strata.operators.ml import route
+
+    return route(table(spark, sf, "events"), "user_id", ROUTES).select("event_id", "user_id", "served_entity")
+
+
+def scoring_requests(spark, sf) -> DataFrame:
+    """Events packed into the four request shapes (plus none-set and two-set requests)."""
+    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    rec = F.array(F.struct("value", "k"))
+    row = F.when(F.col("k") > 90, F.array(F.col("value"))).otherwise(
+        F.array(F.col("value"), F.col("k").cast("double")))
+    split_ = F.struct(F.array(F.lit("value"), F.lit("k")).alias("columns"), F.array(row).alias("data"))
+    et = F.col("event_type")
+    body = (F.when((et == "view") & (F.col("k") < 5),
+                   F.to_json(F.struct(rec.alias("dataframe_records"), rec.alias("instances"))))
+            .when(et == "view", F.to_json(F.struct(rec.alias("dataframe_records"))))
+            .when(et == "click", F.to_json(F.struct(split_.alias("dataframe_split"))))
+            .when(et == "purchase", F.to_json(F.struct(rec.alias("instances"))))
+            .when(et == "signup", F.to_json(F.struct(rec.alias("inputs"))))
+            .otherwise(F.lit("{}")))
+    return ev.select(F.col("event_id").alias("request_id"), body.alias("body"))
+
+
+SQL_DECODE = """
+WITH e AS (SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id AS request_id,
+       CASE event_type WHEN 'view' THEN 'dataframe_records' WHEN 'purchase' THEN 'instances' ELSE 'inputs' END AS shape,
+       0 AS row_idx, CAST(json_object('value', value, 'k', k) AS VARCHAR) AS record, false AS ragged,
+       CAST(NULL AS VARCHAR) AS reject_reason
+FROM e WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k >= 5)
+UNION ALL
+SELECT event_id, 'dataframe_split', 0,
+       CASE WHEN k > 90 THEN '{"value":"' || CAST(value AS VARCHAR) || '"}'
+            ELSE '{"value":"' || CAST(value AS VARCHAR) || '","k":"' || CAST(CAST(k AS DOUBLE) AS VARCHAR) || '"}' END,
+       k > 90, NULL
+FROM e WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, NULL, NULL, NULL, false,
+       CASE WHEN event_type = 'error' THEN 'no input shape set' ELSE 'more than one input shape set' END
+FROM e WHERE event_type = 'error' OR (event_type = 'view' AND k < 5)
+"""
+
+
+@register("decode_requests", SQL_DECODE)
+def decode_requests(spark, sf):
+    """M5: scoring request log decoded to one row per record; bad requests kept with a reason."""
+    from strata.operators.ml import decode_requests as dr
+
+    return dr(scoring_requests(spark, sf))
+
+
+@register("score_requests", """
+WITH e AS (SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+m AS (SELECT regr_slope(value, k) AS s, regr_intercept(value, k) AS i FROM e)
+SELECT event_id AS request_id, 0 AS row_idx, round(m.i + m.s * k, 3) AS predicted
+FROM e CROSS JOIN m
+WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k >= 5) OR (event_type = 'click' AND k <= 90)
+""")
+def score_requests(spark, sf):
+    """M5: decoded records scored in bulk by a model over the same features."""
+    from strata.operators import ml
+
+    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    model = ml.train(ev, ["k"], "value")
+    s = ml.score_requests(model, ml.decode_requests(scoring_requests(spark, sf)), ["k"])
+    return s.select("request_id", "row_idx", F.round("predicted", 3).alias("predicted"))
+
+
+# ---------------------------------------------------------------- S10 S18 W6 W7
+@register("staged_resume", SQL_BRONZE)
+def staged_resume(spark, sf):
+    """An interrupted run staged the first half; the resume fetches only the rest."""
+    from strata.session import scratch_dir
+    from strata.sources.staging import load_staged, resume, stage_raw
+
+    stage = scratch_dir(spark, "stage")
+    ev = table(spark, sf, "events")
+    first = ev.where(F.col("ts") < F.lit(STREAM_CUT).cast("timestamp_ntz"))
+    stage_raw(fetch_all(RP.event_requests(first), ReplayTransport(), partitions=8, sleep=no_sleep), stage)
+
+    reqs = RP.event_requests(ev)
+    resume(spark, reqs, stage, lambda todo: fetch_all(todo, ReplayTransport(), partitions=8, sleep=no_sleep))
+    return load_staged(spark, stage).select("object_id", "http_status", "raw_json", "error_message")
+
+
+@register("rest_source", SQL_BRONZE)
+def rest_source(spark, sf):
+    """The fetch as a named data source, spark.read.format('rest')."""
+    from strata.session import scratch_dir
+    from strata.sources.rest_source import register as reg
+
+    reg(spark)
+    path = scratch_dir(spark, "restids")
+    RP.event_requests(table(spark, sf, "events")).write.parquet(path)
+    return spark.read.format("rest").option("ids_path", path).option("transport", "replay") \
+        .option("partitions", "8").option("retry_backoff", "false").load()
+
+
+@register("run_log", """
+SELECT 'events_ingest' AS run_name, count(*) AS rows,
+       count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS success,
+       count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS failure, false AS skipped
+FROM events
+UNION ALL
+SELECT 'empty_ingest', 0, NULL, NULL, true
+""")
+def run_log(spark, sf):
+    """Run records with counts observed during the write; an empty input is skipped."""
+    from strata.plans.pipelines import run_api_ingest
+
+    db = fresh_db(spark)
+    reqs = RP.event_requests(table(spark, sf, "events"))
+    run_api_ingest(spark, reqs, ReplayTransport(), f"{db}.bronze", runs_table=f"{db}.runs",
+                   run_name="events_ingest", sleep=no_sleep)
+    run_api_ingest(spark, reqs.where(F.lit(False)), ReplayTransport(), f"{db}.bronze_empty",
+                   runs_table=f"{db}.runs", run_name="empty_ingest", sleep=no_sleep)
+    return spark.table(f"{db}.runs").select("run_name", "rows", "success", "failure", "skipped")

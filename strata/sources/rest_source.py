@@ -6,6 +6,8 @@ Options:
   key_type      ``bigint`` (default) or ``string``
   rate_per_sec  global cap, split over the partitions
   partitions    number of input partitions (default 8)
+  retry_backoff ``true`` (default) waits 2**attempt s between retries;
+                ``false`` retries at once (replayed APIs)
 
 Each input partition is a set of parquet row groups of the id file, so the
 ids are read in parallel on executors, never on the driver.
@@ -50,24 +52,26 @@ class RestReader(DataSourceReader):
 
         path = self.options["ids_path"]
         n_parts, _ = plan_parallelism(_rate(self.options), int(self.options.get("partitions", 8)))
-        local, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        local, root = _fs(path)
         sel = fs.FileSelector(root, recursive=True) if local.get_file_info(root).type == fs.FileType.Directory else None
         files = [f.path for f in local.get_file_info(sel)] if sel else [root]
         files = sorted(f for f in files if f.endswith(".parquet"))
-        pieces = []
-        for f in files:   # footers only: row-group counts, no data
-            for rg in range(pq.ParquetFile(local.open_input_file(f)).num_row_groups):
-                pieces.append((f, rg))
+        groups_meta = []
+        for f in files:   # footers only: row-group sizes, no data
+            md = pq.ParquetFile(local.open_input_file(f)).metadata
+            groups_meta += [(f, rg, md.row_group(rg).num_rows) for rg in range(md.num_row_groups)]
+        total = sum(n for _, _, n in groups_meta)
+        per = max(1, -(-total // n_parts))            # rows per slice, ceil
+        pieces = [(f, rg, lo, min(n, lo + per)) for f, rg, n in groups_meta for lo in range(0, n, per)]
         groups = [pieces[i::n_parts] for i in range(n_parts)]
         return [_Part(g) for g in groups if g]
 
     def read(self, partition):
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         o = self.options
         path = o["ids_path"]
-        local = fs.FileSystem.from_uri(path)[0] if "://" in path else fs.LocalFileSystem()
+        local = _fs(path)[0]
         n_parts, rate = plan_parallelism(_rate(o), int(o.get("partitions", 8)))
         if o.get("transport", "replay") == "replay":
             t = ReplayTransport()
@@ -75,19 +79,31 @@ class RestReader(DataSourceReader):
             t = HttpTransport(o["detail_url"])
         t = t.open()
         bucket = TokenBucket(rate)
+        pause = time.sleep if o.get("retry_backoff", "true").lower() != "false" else (lambda _s: None)
         key_bigint = o.get("key_type", "bigint") == "bigint"
         try:
-            for f, rg in partition.pieces:
-                tbl = pq.ParquetFile(local.open_input_file(f)).read_row_group(rg)
+            for f, rg, lo, hi in partition.pieces:
+                tbl = pq.ParquetFile(local.open_input_file(f)).read_row_group(rg).slice(lo, hi - lo)
                 cols = {c: tbl.column(c).to_pylist() for c in ["id", *t.carry]}
                 for i, key in enumerate(cols["id"]):
                     row = {c: cols[c][i] for c in t.carry}
-                    s, body, err = fetch_one(t, bucket, key, row, time.sleep)
+                    s, body, err = fetch_one(t, bucket, key, row, pause)
                     yield (int(key) if key_bigint else str(key), s, body, err)
         finally:
             t.close()
 
 
+def _fs(path: str):
+    """(filesystem, path inside it); ``file:/x`` and plain paths are local."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 def _rate(options) -> float | None:
     r = options.get("rate_per_sec")
     return float(r) if r not in (None, "", "none") else None
