@@ -46,7 +46,7 @@ def bucket_of(key, buckets: int) -> Column:
 def strict_int(c) -> Column:
     """INT only for plain integer text (optional sign, digits, blanks around)."""
     s = F.trim(_c(c).cast("string"))
-    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
+    return F.when(s.rlike(r"^[+-]?[0-9]+\z"), s.try_cast("int"))
 
 
 def url_for(template: str, key) -> Column:

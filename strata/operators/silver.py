@@ -42,7 +42,7 @@ def _typed(raw: Column, f: Field, strict: bool) -> Column:
     if f.type in ("int", "integer") and not strict:
         # plain integer text only, so "1.50" or "1e3" never silently truncate
         s = F.trim(raw)
-        return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
+        return F.when(s.rlike(r"^[+-]?[0-9]+\z"), s.try_cast("int"))
     return raw.cast(f.type) if strict else raw.try_cast(f.type)
 
 

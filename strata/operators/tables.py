@@ -43,7 +43,14 @@ def ensure_schema_of(spark: SparkSession, table: str, location: str | None = Non
 
 # ---------------------------------------------------------------- plain writes
 def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full-refresh write (one action)."""
+    """Full-refresh write (one action).
+
+    Partitioned writes go through a REBALANCE on the partition columns: rows
+    of one partition value meet in few tasks (few files per directory) while
+    AQE still splits a skewed value and merges small ones.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -97,8 +104,26 @@ def dedupe_token(df: DataFrame, token: str, order_by: Sequence[str]) -> DataFram
 
 
 # ---------------------------------------------------------------- upsert
+BUCKETS_PROP = "strata.buckets"
+
+
+def bucket_count(spark: SparkSession, table: str, buckets: int | None = None) -> int:
+    """Bucket count of a keyed table: stored with the table once created, so every
+    later upsert hashes keys the same way; new tables default to the session's
+    shuffle parallelism (which a cluster sizes to its data)."""
+    if spark.catalog.tableExists(table):
+        props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        if BUCKETS_PROP in props:
+            return int(props[BUCKETS_PROP])
+    return int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _mark_buckets(spark: SparkSession, table: str, buckets: int) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROP}' = '{buckets}')")
+
+
 def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
-           order_by: Sequence[str], buckets: int = 64) -> DataFrame:
+           order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Append + keep the newest row per key.
 
     The target is partitioned by a hash bucket of the key. Only buckets that
@@ -112,9 +137,11 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
     ensure_schema_of(spark, table)
     if spark.catalog.tableExists(stage):          # finish a swap a crash interrupted
         _swap_in(spark, stage, table)
+    buckets = bucket_count(spark, table, buckets)
     inc = latest(df, keys, order_by).withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
     if not spark.catalog.tableExists(table):
         write_full(inc, table, [BUCKET_COL])
+        _mark_buckets(spark, table, buckets)
         return spark.table(table)
     cur = spark.table(table)
     cols = [c for c in cur.columns]
@@ -128,10 +155,13 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
 
 
 def write_keyed(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str],
-                buckets: int = 64) -> None:
+                buckets: int | None = None) -> None:
     """Full rebuild of a keyed table in the layout ``upsert`` maintains."""
+    spark = df.sparkSession
+    buckets = bucket_count(spark, table, buckets)
     out = latest(df, keys, order_by).withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
     write_full(out, table, [BUCKET_COL])
+    _mark_buckets(spark, table, buckets)
 
 
 def _swap_in(spark: SparkSession, stage: str, table: str) -> None:
@@ -139,7 +169,7 @@ def _swap_in(spark: SparkSession, stage: str, table: str) -> None:
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spark.table(stage).select(*cols).write.mode("overwrite").insertInto(table)
+        spark.table(stage).select(*cols).hint("rebalance", BUCKET_COL).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")

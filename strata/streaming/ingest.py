@@ -41,7 +41,7 @@ def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, chec
 
 
 def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequence[str],
-                  order_by: Sequence[str], checkpoint: str, buckets: int = 64, available_now: bool = True):
+                  order_by: Sequence[str], checkpoint: str, buckets: int | None = None, available_now: bool = True):
     """Every micro-batch is upserted on the key (W4); replays are harmless."""
     def each(batch: DataFrame, batch_id: int) -> None:
         upsert(spark, batch, table, keys, order_by, buckets)
