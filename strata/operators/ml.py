@@ -7,6 +7,7 @@ scoring is ``transform``, and the metrics are one aggregation.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -47,18 +48,74 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
 
 
-def train(df: DataFrame, features: Sequence[str], label: str) -> LinearRegressionModel:
-    """M2: ordinary least squares via the normal equations (no regularisation)."""
-    lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted",
-                          solver="normal", regParam=0.0, elasticNetParam=0.0, fitIntercept=True)
-    return lr.fit(assemble(df.select(*features, label), features))
+@dataclass
+class LinearModel:
+    """Fitted linear model; predictions are a plain column expression (codegen, no vectors)."""
+    features: list
+    coefficients: list
+    intercept: float
+    label: str | None = None
 
+    def prediction(self) -> Column:
+        expr = F.lit(float(self.intercept))
+        for f, c in zip(self.features, self.coefficients):
+            expr = expr + F.lit(float(c)) * F.col(f).cast("double")
+        return expr
 
-def score(model: LinearRegressionModel, df: DataFrame, features: Sequence[str], label: str | None = None,
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("predicted", self.prediction())
+
+    def to_row(self) -> dict:
+        return {"features": list(self.features), "coefficients": [float(c) for c in self.coefficients],
+                "intercept": float(self.intercept), "label": self.label}
+
+
+def train(df: DataFrame, features: Sequence[str], label: str, engine: str = "ols", reg_param: float = 0.0,
+          elastic_net: float = 0.0):
+    """M2: linear regression.
+
+    ``ols`` (default, no regularisation): one aggregation pass computes the
+    means and the population covariances of features and label (Spark's
+    numerically stable central-moment aggregates, partial per task); only
+    the k x k normal equations are solved on the driver. That is exactly the
+    normal-equation solution, without turning rows into vectors.
+    ``mllib`` runs ``pyspark.ml`` LinearRegression (needed for regularised fits).
+    """
+    feats = list(features)
+    clean = df.select(*[F.col(c).cast("double").alias(c) for c in feats + [label]]).dropna()
+    if engine == "mllib" or reg_param:
+        lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted",
+                              solver="auto" if reg_param else "normal", regParam=reg_param,
+                              elasticNetParam=elastic_net, fitIntercept=True)
+        return lr.fit(assemble(clean, feats))
+    import numpy as np
+
+    k = len(feats)
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(label).alias("my")]
+    aggs += [F.avg(f).alias(f"m{i}") for i, f in enumerate(feats)]
+    aggs += [F.covar_pop(feats[i], feats[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs += [F.covar_pop(f, label).alias(f"y{i}") for i, f in enumerate(feats)]
+    r = clean.agg(*aggs).first()          # O(k^2) numbers, independent of the row count
+    if not r["n"]:
+        raise ValueError("no training rows")
+    cov = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
+    cy = np.array([r[f"y{i}"] for i in range(k)])
+    beta = np.linalg.lstsq(cov, cy, rcond=None)[0]
+    means = np.array([r[f"m{i}"] for i in range(k)])
+    return LinearModel(feats, beta.tolist(), float(r["my"] - beta @ means), label)
+
+
+def score(model, df: DataFrame, features: Sequence[str], label: str | None = None,
           keep: Sequence[str] = (), run_id: str | None = None) -> DataFrame:
     """M3: predictions for every row (``predicted``, ``actual`` when a label is given)."""
-    cols = list(keep) + list(features) + ([label] if label and label not in keep else [])
-    out = model.transform(assemble(df.select(*dict.fromkeys(cols)), features))
+    if isinstance(model, LinearModel):
+        out = df.withColumn("predicted", model.prediction())
+    else:
+        cols = list(keep) + list(features) + ([label] if label and label not in keep else [])
+        out = model.transform(assemble(df.select(*dict.fromkeys(cols)), features))
     sel = [*keep, F.col("predicted").cast("double").alias("predicted")]
     if label:
         sel.append(F.col(label).cast("double").alias("actual"))
@@ -107,9 +164,11 @@ REQUEST_SHAPES = ("dataframe_records", "dataframe_split", "instances", "inputs")
 def decode_requests(df: DataFrame, body: str = "body", request_id: str = "request_id") -> DataFrame:
     """M5: one row per input record of a scoring request log.
 
-    Every shape is parsed with ``from_json`` and exploded with its position.
-    Records come out as JSON object text. ``dataframe_split`` rows are zipped
-    with the column names; rows of the wrong length are kept, flagged
+    One ``from_json`` per request finds the shape; the records become one
+    array of (row_idx, record, ragged) built with higher-order functions and
+    exploded once, so the log is read and parsed in a single pass. Records
+    come out as JSON object text; ``dataframe_split`` rows are zipped with
+    the column names and rows of the wrong length are kept, flagged
     ``ragged``. Requests with zero or several shapes yield one row with a
     ``reject_reason`` and no record.
     """
@@ -117,44 +176,68 @@ def decode_requests(df: DataFrame, body: str = "body", request_id: str = "reques
     d = df.select(F.col(request_id), shapes.alias("_s"))
     n_set = sum(F.col("_s")[s].isNotNull().cast("int") for s in REQUEST_SHAPES)
     shape = F.coalesce(*[F.when(F.col("_s")[s].isNotNull(), F.lit(s)) for s in REQUEST_SHAPES])
-    d = d.withColumn("_n", n_set).withColumn("shape", F.when(F.col("_n") == 1, shape))
-
-    ok = d.where(F.col("_n") == 1)
-    as_list = F.from_json(F.coalesce(F.col("_s.dataframe_records"), F.col("_s.instances"),
-                                     F.col("_s.inputs")), "array<string>")
-    split_s = F.from_json(F.col("_s.dataframe_split"), "struct<columns: array<string>, data: array<array<string>>>")
-    listed = (ok.where(F.col("shape") != "dataframe_split")
-              .select(request_id, "shape", F.posexplode(as_list).alias("row_idx", "record"))
-              .withColumn("ragged", F.lit(False)))
-    splits = (ok.where(F.col("shape") == "dataframe_split")
-              .select(request_id, "shape", split_s["columns"].alias("_cols"),
-                      F.posexplode(split_s["data"]).alias("row_idx", "_row")))
-    n = F.least(F.size("_cols"), F.size("_row"))
-    rec = F.to_json(F.map_from_arrays(F.slice("_cols", 1, n), F.slice("_row", 1, n)))
-    splits = splits.select(request_id, "shape", "row_idx", rec.alias("record"),
-                           (F.size("_cols") != F.size("_row")).alias("ragged"))
-    rejects = d.where(F.col("_n") != 1).select(
-        request_id, "shape", F.lit(None).cast("int").alias("row_idx"), F.lit(None).cast("string").alias("record"),
-        F.lit(False).alias("ragged"),
-        F.when(F.col("_n") == 0, F.lit("no input shape set")).otherwise(F.lit("more than one input shape set"))
-        .alias("reject_reason"))
-    good = listed.unionByName(splits).withColumn("reject_reason", F.lit(None).cast("string"))
-    return good.unionByName(rejects)
-
-
-def score_requests(model: LinearRegressionModel, decoded: DataFrame, features: Sequence[str]) -> DataFrame:
+    item = "struct<row_idx: int, record: string, ragged: boolean>"
+
+    as_list = F.from_json(F.coalesce(F.col("_s.dataframe_records"), F.col("_s.instances"), F.col("_s.inputs")),
+                          "array<string>")
+    listed = F.transform(as_list, lambda x, i: F.struct(i.alias("row_idx"), x.alias("record"),
+                                                        F.lit(False).alias("ragged")))
+    sp = F.from_json(F.col("_s.dataframe_split"), "struct<columns: array<string>, data: array<array<string>>>")
+
+    def split_row(row, i):
+        n = F.least(F.size(sp["columns"]), F.size(row))
+        rec = F.to_json(F.map_from_arrays(F.slice(sp["columns"], 1, n), F.slice(row, 1, n)))
+        return F.struct(i.alias("row_idx"), rec.alias("record"), (F.size(sp["columns"]) != F.size(row)).alias("ragged"))
+
+    split_items = F.transform(sp["data"], split_row)
+    reject = F.array(F.lit(None).cast(item))
+    items = (F.when(F.col("_n") != 1, reject)
+             .when(F.col("shape") == "dataframe_split", split_items)
+             .otherwise(listed))
+    reason = (F.when(F.col("_n") == 0, F.lit("no input shape set"))
+              .when(F.col("_n") > 1, F.lit("more than one input shape set")))
+    out = (d.withColumn("_n", n_set)
+           .withColumn("shape", F.when(F.col("_n") == 1, shape))
+           .select(request_id, "shape", reason.alias("reject_reason"), F.explode(items).alias("_it")))
+    return out.select(request_id, "shape", F.col("_it.row_idx").alias("row_idx"), F.col("_it.record").alias("record"),
+                      F.coalesce(F.col("_it.ragged"), F.lit(False)).alias("ragged"), "reject_reason")
+
+
+def score_requests(model, decoded: DataFrame, features: Sequence[str]) -> DataFrame:
     """M5: score decoded records: features are read from the record JSON by name."""
-    ok = decoded.where(F.col("reject_reason").isNull() & ~F.col("ragged"))
+    # filter on generator outputs only: a predicate on the request-level
+    # columns would be pushed below the parse and re-run it per reference
+    ok = decoded.where(F.col("record").isNotNull() & ~F.col("ragged"))
     cols = [F.get_json_object("record", f"$.{f}").try_cast("double").alias(f) for f in features]
     x = ok.select("request_id", "row_idx", *cols)
     return score(model, x, features, keep=["request_id", "row_idx"])
 
 
 # ---------------------------------------------------------------- registry (M7)
-def save_model(model: LinearRegressionModel, path: str) -> str:
-    model.write().overwrite().save(path)
+MODEL_ROW = "features array<string>, coefficients array<double>, intercept double, label string"
+
+
+def save_model(model, path: str, spark=None) -> str:
+    """Store a model under ``path`` (shared storage): one JSON row for OLS, MLlib format otherwise."""
+    if isinstance(model, LinearModel):
+        from pyspark.sql import SparkSession
+
+        spark = spark or SparkSession.getActiveSession()
+        spark.createDataFrame([model.to_row()], MODEL_ROW).coalesce(1).write.mode("overwrite").json(path + "/ols")
+        return path
+    model.write().overwrite().save(path + "/mllib")
     return path
 
 
-def load_model(path: str) -> LinearRegressionModel:
-    return LinearRegressionModel.load(path)
+def load_model(path: str, spark=None):
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import SparkSession
+
+    spark = spark or SparkSession.getActiveSession()
+    try:
+        r = spark.read.schema(MODEL_ROW).json(path + "/ols").first()
+        if r is not None:
+            return LinearModel(list(r["features"]), list(r["coefficients"]), r["intercept"], r["label"])
+    except AnalysisException:  # not an OLS model folder
+        pass
+    return LinearRegressionModel.load(path + "/mllib")

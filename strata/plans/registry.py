@@ -89,7 +89,7 @@ def silver_events(spark, sf):
 def orders_with_lines(spark, sf) -> DataFrame:
     """One JSON document per order with its lines nested (bounded: lines of one order)."""
     li = table(spark, sf, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         "l_linenumber", "l_quantity", "l_extendedprice"))).alias("lines"))
     o = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     doc = F.to_json(F.struct(F.col("o_orderkey").alias("orderkey"), F.col("o_orderstatus").alias("status"),
