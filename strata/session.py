@@ -50,9 +50,40 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every operator relies on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in executor Python workers.
+
+    Functions handed to ``mapInPandas``/``applyInPandas`` and data source
+    readers are pickled by module reference, so workers must import this
+    package. It is zipped once per SparkContext and distributed by Spark
+    (``addPyFile``), which also reaches executors on other machines.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="strata-pyfiles-"), "strata.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
     root = spark.sparkContext.getCheckpointDir()
