@@ -16,6 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """Broadcast hint only after checking the side's size.
+
+    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
+    the check is cheap even when the side turns out to be large; beyond the
+    bound the join is left to Catalyst/AQE (sort-merge or shuffled hash).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def _secs(c):
     return F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1_000_000.0)
 

@@ -131,12 +131,17 @@ def search_runs(runs: DataFrame, tags: dict | None = None, view: str = "ACTIVE_O
 
 
 def apply_tags(tag_log: DataFrame, entity: str = "run_id", key: str = "key", value: str = "value",
-               at: str = "set_at") -> DataFrame:
-    """Last write per (entity, tag key) wins; tags gathered into a key-sorted map.
-
-    The per-entity list is bounded by the entity's distinct tag keys (after the
-    dedupe), not by the number of writes.
+               at: str = "set_at", as_map: bool = False) -> DataFrame:
+    """Last write per (entity, tag key) wins.
+
+    The result is one row per (entity, key) with the winning value, from a
+    partial aggregation (no entity's writes are gathered in one place).
+    ``as_map=True`` additionally folds each entity's tags into a key-sorted
+    map; use it only for bounded tag sets (the map of one entity lives in one
+    row).
     """
-    last = latest(tag_log.select(entity, key, at, value), [entity, key], [at])
+    last = latest(tag_log.select(entity, key, at, value), [entity, key], [at]).select(entity, key, value)
+    if not as_map:
+        return last
     return last.groupBy(entity).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key), F.col(value))))).alias("tags"))

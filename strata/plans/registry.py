@@ -86,58 +86,61 @@ def silver_events(spark, sf):
     return events_silver(spark, sf)
 
 
-def orders_with_lines(spark, sf) -> DataFrame:
-    """One JSON document per order with its lines nested (bounded: lines of one order)."""
+def lineitem_docs(spark, sf) -> DataFrame:
+    """One JSON document per line item with a nested object and a nested array.
+
+    Built row by row (no grouping), like an API detail record that carries
+    its own nested fields."""
     li = table(spark, sf, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
-        "l_linenumber", "l_quantity", "l_extendedprice"))).alias("lines"))
-    o = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    doc = F.to_json(F.struct(F.col("o_orderkey").alias("orderkey"), F.col("o_orderstatus").alias("status"),
-                             F.col("o_totalprice").alias("total"), F.col("lines")), RP.JSON_OPTS)
-    return o.select(F.col("o_orderkey").alias("object_id"), F.lit(200).alias("http_status"),
-                    doc.alias("raw_json"))
-
-
-ORDER_FIELDS = S.spec(("orderkey", "bigint", "order_key"), ("status", "string", "status"),
-                      ("total", "double", "total"), ("lines", "json", "lines_raw_json"))
-
-SQL_ORDER_LINES = """
-WITH l AS (
-  SELECT l_orderkey,
-         CAST(to_json(list({'l_linenumber': l_linenumber, 'l_quantity': l_quantity,
-                            'l_extendedprice': l_extendedprice}
-                           ORDER BY l_linenumber, l_quantity, l_extendedprice)) AS VARCHAR) AS lines
-  FROM lineitem GROUP BY l_orderkey)
-SELECT o_orderkey AS object_id, o_orderkey AS order_key, o_orderstatus AS status, o_totalprice AS total,
-       l.lines AS lines_raw_json
-FROM orders LEFT JOIN l ON o_orderkey = l.l_orderkey
+    amounts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in AMOUNT_KINDS])
+    doc = F.to_json(F.struct(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
+                             F.col("l_partkey").alias("partkey"),
+                             F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
+                             .alias("ship"),
+                             amounts.alias("amounts")), RP.JSON_OPTS)
+    return li.select(F.col("l_orderkey").alias("object_id"), F.lit(200).alias("http_status"), doc.alias("raw_json"))
+
+
+# Fixed order of the nested amounts array.
+AMOUNT_KINDS = [("quantity", "l_quantity"), ("price", "l_extendedprice"), ("discount", "l_discount"),
+                ("tax", "l_tax")]
+
+LINE_FIELDS = S.spec(("orderkey", "bigint", "order_key"), ("linenumber", "int", "line_number"),
+                     ("partkey", "bigint", "part_key"), ("ship", "json", "ship_raw_json"),
+                     ("amounts", "json", "amounts_raw_json"))
+
+SQL_AMOUNTS = ", ".join(f"{{'kind': '{k}', 'value': {c}}}" for k, c in AMOUNT_KINDS)
+
+SQL_LINE_DOCS = f"""
+SELECT l_orderkey AS object_id, l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key,
+       CAST(json_object('flag', l_returnflag, 'status', l_linestatus) AS VARCHAR) AS ship_raw_json,
+       CAST(to_json([{SQL_AMOUNTS}]) AS VARCHAR) AS amounts_raw_json
+FROM lineitem
 """
 
 
-@register("silver_nested_text", SQL_ORDER_LINES)
+@register("silver_nested_text", SQL_LINE_DOCS)
 def silver_nested_text(spark, sf):
-    """Nested arrays stay compact JSON text in Silver."""
-    return S.silver(orders_with_lines(spark, sf), ORDER_FIELDS, keep=())
+    """Nested object and array stay compact JSON text in Silver."""
+    return S.silver(lineitem_docs(spark, sf), LINE_FIELDS, keep=())
 
 
-LINES_DDL = "array<struct<l_linenumber:int, l_quantity:double, l_extendedprice:double>>"
+AMOUNTS_DDL = "array<struct<kind:string, value:double>>"
 
 
-@register("gold_open_nested", """
-SELECT o_orderkey AS order_key,
-       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_extendedprice) - 1
-            AS INTEGER) AS pos,
-       l_linenumber, l_quantity, l_extendedprice
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-UNION ALL
-SELECT o_orderkey, NULL, NULL, NULL, NULL FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
-""")
+SQL_OPEN_NESTED = "\nUNION ALL\n".join(
+    f"SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key, "
+    f"CAST({i} AS INTEGER) AS pos, '{k}' AS kind, {c} AS value FROM lineitem"
+    for i, (k, c) in enumerate(AMOUNT_KINDS))
+
+
+@register("gold_open_nested", SQL_OPEN_NESTED)
 def gold_open_nested(spark, sf):
     """Reopen the nested text in Gold and explode it with positions."""
-    s = S.silver(orders_with_lines(spark, sf), ORDER_FIELDS, keep=()).select("order_key", "lines_raw_json")
-    out = G.explode_json(s, "lines_raw_json", LINES_DDL, alias="line")
-    return out.select("order_key", "pos", "line.l_linenumber", "line.l_quantity", "line.l_extendedprice")
+    s = S.silver(lineitem_docs(spark, sf), LINE_FIELDS, keep=())
+    out = G.explode_json(s.select("order_key", "line_number", "part_key", "amounts_raw_json"),
+                         "amounts_raw_json", AMOUNTS_DDL, alias="amount")
+    return out.select("order_key", "line_number", "part_key", "pos", "amount.kind", "amount.value")
 
 
 @register("gold_count_by", """
@@ -546,11 +549,8 @@ def resolve_alias(spark, sf):
 
 
 @register("apply_tags", """
-WITH l AS (SELECT user_id, event_type, CAST(value AS VARCHAR) AS v FROM events
-           QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
-SELECT user_id AS run_id, CAST(to_json(map_from_entries(list((event_type, v) ORDER BY event_type))) AS VARCHAR)
-       AS tags_json
-FROM l GROUP BY user_id
+SELECT user_id AS run_id, event_type AS key, CAST(value AS VARCHAR) AS value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1
 """)
 def apply_tags(spark, sf):
     """Last tag write wins per (run, key)."""
@@ -558,7 +558,7 @@ def apply_tags(spark, sf):
 
     log = table(spark, sf, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("key"),
                                             F.col("value").cast("string").alias("value"), F.col("ts").alias("set_at"))
-    return at(log).select("run_id", F.to_json("tags").alias("tags_json"))
+    return at(log)
 
 
 SEARCH_MAX_RESULTS = 100

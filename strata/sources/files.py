@@ -57,7 +57,9 @@ def read_table(spark: SparkSession, name: str, max_rows: int | None = None,
         return df
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0 or None")
-    return df.orderBy(*(order_by or df.columns)).limit(max_rows)
+    from strata.sources.ids import first_n
+
+    return first_n(df, max_rows, list(order_by or df.columns))
 
 
 def literal_rows(spark: SparkSession, n: int = 1, **values) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.joins import bounded_broadcast
 from strata.sources.fetch import MAX_ATTEMPTS, TokenBucket, bronze_schema, fetch_one, plan_parallelism
 from strata.sources.transport import Transport
 
@@ -49,16 +50,48 @@ def check_cap(cap: int | None) -> int | None:
     return cap
 
 
-def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
-    """Keep the first ``n`` ids in key order (repeatable, unlike a bare limit).
+TOPK_MAX = 100_000
+
+
+def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
+    """The first ``n`` rows in ``order_by`` order, exactly, at any ``n``.
 
-    Spark plans ``orderBy().limit(n)`` as a top-k (TakeOrderedAndProject):
-    each task keeps only its best n, so no full sort is shuffled.
+    Small ``n``: ``orderBy().limit(n)`` runs as a top-k (each task keeps its
+    best n). Large ``n``: the rows are range-partitioned and sorted, each row
+    gets its (partition, position) from ``monotonically_increasing_id``, the
+    per-partition counts (one row per partition) locate the cut, and a filter
+    keeps whole partitions before it plus a prefix of the boundary one. The
+    ranked rows are checkpointed so both passes see the same layout.
     """
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    if n <= TOPK_MAX:
+        return df.orderBy(*order).limit(n)
+    ranked = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    part = F.shiftright(F.col("_pos"), 33)
+    counts = ranked.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect()
+    full, cut, acc = [], None, 0
+    for r in counts:
+        if acc + r["c"] <= n:
+            full.append(r["p"])
+            acc += r["c"]
+        else:
+            cut = (r["p"], n - acc)
+            break
+    keep = part.isin(full) if full else F.lit(False)
+    if cut is not None:
+        idx = F.col("_pos") - F.shiftleft(part, 33)
+        keep = keep | ((part == F.lit(cut[0])) & (idx < F.lit(cut[1])))
+    return ranked.where(keep).drop("_pos")
+
+
+def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
+    """Keep the first ``n`` ids in key order (repeatable, unlike a bare limit)."""
     n = check_cap(n)
     if n is None:
         return ids
-    return ids.orderBy(F.col(order_by).asc_nulls_last()).limit(n)
+    return first_n(ids, n, [order_by])
 
 
 def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: str):
@@ -228,8 +261,8 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     partitions). Each source's ids are spread over its own task slots
     (source, slot) and every task keeps one bucket per source at
     rate/partitions, so a source never exceeds its own cap even when two of
-    its slots hash to the same task. The config is one row per configured API
-    (a handful), hence broadcast.
+    its slots hash to the same task. The config (one row per configured API)
+    is broadcast after a size check.
     """
     cfg = config.select(
         F.col("source").cast("string").alias("source"),
@@ -241,7 +274,7 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     kt = _key_type(key_type)
     j = (ids.select(F.col("source").cast("string").alias("source"), F.col("id").cast(kt).alias("id"),
                     *[F.col(c) for c in transport.carry])
-         .join(F.broadcast(cfg), "source", "inner")
+         .join(bounded_broadcast(cfg), "source", "inner")
          .withColumn("_parts", parts)
          .withColumn("_rate", F.col("rate") / F.col("_parts"))
          .withColumn("_slot", F.pmod(F.xxhash64("id"), F.col("_parts"))))

@@ -58,3 +58,12 @@ def test_new_and_failed_ids(spark):
                                    "object_id bigint, http_status int, raw_json string, error_message string")
     assert sorted(r.id for r in I.new_ids(ids, bronze).collect()) == [0, 5, 6, 7, 8, 9]
     assert sorted(r.id for r in I.failed_ids(bronze).collect()) == [3, 4]
+
+
+def test_first_n_large_path_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(I, "TOPK_MAX", 10)
+    ids = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id")).repartition(6)
+    got = [r.id for r in I.cap_ids(ids, 1234).collect()]
+    assert sorted(got) == list(range(1234))
+    assert I.cap_ids(ids, 5000).count() == 5000
+    assert I.cap_ids(ids, 9999).count() == 5000

@@ -53,4 +53,5 @@ def test_search_runs_views(spark):
 def test_apply_tags_last_write_wins(spark):
     log = spark.createDataFrame([(1, "a", "x", 1), (1, "a", "y", 2), (1, "b", "z", 1)],
                                 "run_id bigint, key string, value string, set_at int")
-    assert ST.apply_tags(log).collect()[0].tags == {"a": "y", "b": "z"}
+    assert ST.apply_tags(log, as_map=True).collect()[0].tags == {"a": "y", "b": "z"}
+    assert sorted(map(tuple, ST.apply_tags(log).collect())) == [(1, "a", "y"), (1, "b", "z")]
