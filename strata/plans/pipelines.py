@@ -12,28 +12,58 @@ from pyspark.sql import functions as F
 from strata.operators import ml
 from strata.operators.tables import append_run, ensure_schema_of, write_full, write_observed
 from strata.sources.fetch import fetch_all
+from strata.sources.ids import cap_ids
 from strata.sources.files import cap_files, read_files, read_table, with_provenance
 from strata.sources.transport import Transport
 
 
 def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, table: str,
                    rate_per_sec: float | None = None, partitions: int = 8, key_type: str = "bigint",
-                   runs_table: str | None = None, run_name: str = "api_ingest", sleep=None) -> dict:
-    """ids -> fetch -> Bronze table, counts observed during the single write.
+                   runs_table: str | None = None, run_name: str = "api_ingest", sleep=None,
+                   max_objects: int | None = None, min_success_ratio: float | None = None) -> dict:
+    """ids -> (cap) -> fetch -> Bronze table, counts observed during the single write.
 
     No ids: the table is left untouched and the run is recorded as skipped (W7).
+    With ``min_success_ratio`` the fetch lands in a stage table first and
+    replaces Bronze only if enough rows succeeded (the gate of P8); otherwise
+    the previous Bronze stays and the run is recorded as gated.
     """
+    if max_objects is not None:
+        ids = cap_ids(ids, max_objects)
     if ids.isEmpty():
         rec = {"rows": 0, "skipped": True, "table": table}
     else:
         ensure_schema_of(spark, table)
         bronze = fetch_all(ids, transport, rate_per_sec, partitions, key_type=key_type, sleep=sleep)
-        rec = write_observed(bronze, table, ok_expr=F.col("http_status") == 200)
+        ok = F.col("http_status") == 200
+        if min_success_ratio is None:
+            rec = write_observed(bronze, table, ok_expr=ok)
+        else:
+            stage = f"{table}__fetched"
+            rec = write_observed(bronze, stage, ok_expr=ok)
+            ratio = rec["success"] / rec["rows"] if rec["rows"] else 0.0
+            rec["table"] = table
+            rec["success_ratio"] = ratio
+            if ratio >= min_success_ratio:
+                write_full(spark.table(stage), table)
+            else:
+                rec["gated"] = True
+            spark.sql(f"DROP TABLE IF EXISTS {stage}")
     if runs_table:
         append_run(spark, runs_table, run_name, rec)
     return rec
 
 
+def run_configured_ingest(spark: SparkSession, cfg, ids: DataFrame, transport: Transport | None = None,
+                          sleep=None) -> dict:
+    """``run_api_ingest`` driven by an ``IngestConfig`` (HTTP transport by default)."""
+    from strata.sources.transport import HttpTransport
+
+    t = transport or HttpTransport(cfg.detail_url, cfg.list_url, cfg.headers)
+    return run_api_ingest(spark, ids, t, cfg.table, cfg.rate_per_sec, cfg.partitions, cfg.key_type,
+                          cfg.runs_table, cfg.name, sleep, cfg.max_objects, cfg.min_success_ratio)
+
+
 def run_file_ingest(spark: SparkSession, prefix: str, table: str, pattern: str = "*.csv", fmt: str = "csv",
                     options: dict | None = None, schema=None, max_files: int | None = None,
                     runs_table: str | None = None) -> dict:

@@ -268,6 +268,18 @@ def cursor_pages(spark, sf):
     return I.cursor_pages(sources, RP.ListingTransport(path), page_size=100)
 
 
+@register("link_pages", """
+SELECT c_mktsegment AS source, c_custkey AS id,
+       CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100 AS INTEGER) AS page
+FROM customer
+""")
+def link_pages(spark, sf):
+    """S3 (Link form): every response names the next page; chains per source in parallel."""
+    cust, path = customer_listing(spark, sf)
+    sources = cust.select(F.col("c_mktsegment").alias("source")).distinct()
+    return I.link_pages(sources, RP.ListingTransport(path), page_size=100)
+
+
 @register("offset_pages", """
 SELECT c_mktsegment AS source, c_custkey AS id,
        CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100 * 100 AS BIGINT) AS "offset"

@@ -128,6 +128,13 @@ class ListingTransport:
         keys = np.sort(np.concatenate(got)) if got else np.array([], dtype="int64")
         return keys[:page_size].tolist(), len(keys) > page_size
 
+    def link_page(self, source, link, page_size):
+        """Link form of the same listing: the next link carries the last key seen."""
+        cursor = None if link is None else int(link.rsplit("after=", 1)[1])
+        ids, more = self.list_page(source, cursor, page_size)
+        nxt = f"{self.path}/source={source}?limit={page_size}&after={ids[-1]}" if more and ids else None
+        return ids, nxt
+
     def offset_page(self, source, offset, limit):
         import numpy as np
 

@@ -94,7 +94,7 @@ def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
     return first_n(ids, n, [order_by])
 
 
-def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: str):
+def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: str, links: bool = False):
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         t = transport.open()
         out_src, out_id, out_page = [], [], []
@@ -102,7 +102,11 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
             for source in pdf["source"].tolist():
                 cursor, page, got = None, 0, 0
                 while cap is None or got < cap:
-                    ids, has_more = t.list_page(source, cursor, page_size)
+                    if links:   # the response names the next page (Link header)
+                        ids, nxt = t.link_page(source, cursor, page_size)
+                        has_more = nxt is not None
+                    else:
+                        ids, has_more = t.list_page(source, cursor, page_size)
                     if not ids:
                         break
                     if cap is not None:
@@ -114,7 +118,7 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
                     page += 1
                     if not has_more:
                         break
-                    cursor = ids[-1]
+                    cursor = nxt if links else ids[-1]
         finally:
             t.close()
         return pd.DataFrame({"source": pd.Series(out_src, dtype="object"),
@@ -182,9 +186,14 @@ def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
 
 def link_pages(sources: DataFrame, transport: Transport, page_size: int = 100,
                cap: int | None = None, key_type: str = "bigint") -> DataFrame:
-    """S3 (Link-header form): the next page is named by the previous response,
-    so it is a chain exactly like S2; the transport turns links into cursors."""
-    return cursor_pages(sources, transport, page_size, cap, key_type)
+    """S3 (Link-header form): each response names the next page
+    (``transport.link_page(source, link, size) -> (ids, next_link or None)``),
+    so pages form a chain per source, walked like S2 and in parallel across sources."""
+    cap = check_cap(cap)
+    kt = _key_type(key_type)
+    src = sources.select(F.col("source").cast("string"))
+    return src.groupBy("source").applyInPandas(_walk_fn(transport, page_size, cap, key_type, links=True),
+                                               f"source string, id {kt}, page int")
 
 
 def new_ids(ids: DataFrame, bronze: DataFrame, key: str = "id", bronze_key: str = "object_id") -> DataFrame:

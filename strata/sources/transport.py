@@ -33,6 +33,9 @@ class Transport:
     def list_page(self, source: Any, cursor: Any, page_size: int) -> tuple[list, bool]:
         raise NotImplementedError
 
+    def link_page(self, source: Any, link: str | None, page_size: int) -> tuple[list, str | None]:
+        raise NotImplementedError
+
 
 class HttpTransport(Transport):
     """GET ``detail_url`` with ``{id}`` filled in; list endpoints with a cursor param."""
@@ -73,6 +76,24 @@ class HttpTransport(Transport):
             raise TransportError(str(exc)) from exc
         return r.status_code, r.text
 
+    def link_page(self, source, link, page_size):
+        """GET the first page (or ``link``); the next page is the ``rel="next"`` Link header."""
+        import requests
+
+        url = link or (source if isinstance(source, str) and source.startswith("http") else self.list_url)
+        try:
+            r = self._session.get(url, params=None if link else {self.limit_param: page_size},
+                                  timeout=self.timeout)
+            r.raise_for_status()
+        except requests.exceptions.RequestException as exc:
+            raise TransportError(str(exc)) from exc
+        body = r.json()
+        if isinstance(body, list):   # array at the root (GitHub style)
+            ids = [d.get("id") if isinstance(d, dict) else d for d in body]
+        else:
+            ids = extract_ids(body, self.ids_path)
+        return ids, (r.links.get("next") or {}).get("url")
+
     def list_page(self, source, cursor, page_size):
         import requests
 
