@@ -79,6 +79,19 @@ def replace_from_query(spark: SparkSession, table: str, query, partition_by: Seq
 
 
 # ---------------------------------------------------------------- latest per key
+def _orderable(dt) -> bool:
+    from pyspark.sql import types as T
+
+    unordered = (T.MapType,) + ((T.VariantType,) if hasattr(T, "VariantType") else ())
+    if isinstance(dt, unordered):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], newest: bool = True) -> DataFrame:
     """O3: one row per key, the greatest (or least) by ``order_by``.
 
@@ -86,15 +99,22 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], newest:
     ``row_number`` window: max is a declarative aggregate, so Spark combines
     map-side (partial aggregate) before the shuffle and a hot key with a third
     of all rows costs one row per task, not one giant sorted partition. The
-    remaining columns inside the struct break ties deterministically.
+    remaining columns inside the struct break ties deterministically. Columns
+    that cannot be ordered (maps) ride along through ``max_by``, which is a
+    partial aggregate too.
     """
     keys, order_by = list(keys), list(order_by)
+    types = {f.name: f.dataType for f in df.schema.fields}
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    fields = order_by + rest
+    fields = order_by + [c for c in rest if _orderable(types[c])]
+    carried = [c for c in rest if not _orderable(types[c])]
     packed = F.struct(*[F.col(f"`{c}`") for c in fields])
-    agg = F.max(packed) if newest else F.min(packed)
+    if carried:
+        agg = (F.max_by if newest else F.min_by)(F.struct(*[F.col(f"`{c}`") for c in fields + carried]), packed)
+    else:
+        agg = F.max(packed) if newest else F.min(packed)
     out = df.groupBy(*keys).agg(agg.alias("_top"))
-    return out.select(*keys, *[F.col("_top")[c].alias(c) for c in fields]).select(*df.columns)
+    return out.select(*keys, *[F.col("_top")[c].alias(c) for c in fields + carried]).select(*df.columns)
 
 
 def dedupe_token(df: DataFrame, token: str, order_by: Sequence[str]) -> DataFrame:
@@ -162,16 +182,19 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
     if spark.catalog.tableExists(stage):          # finish a swap a crash interrupted
         _swap_in(spark, stage, table)
     buckets = bucket_count(spark, table, buckets, sample=df)
-    inc = latest(df, keys, order_by).withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
+    inc = df.withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
     if not spark.catalog.tableExists(table):
-        write_full(inc, table, [BUCKET_COL])
+        write_full(latest(inc, keys + [BUCKET_COL], order_by), table, [BUCKET_COL])
         _mark_buckets(spark, table, buckets)
         return spark.table(table)
     cur = spark.table(table)
     cols = [c for c in cur.columns]
+    # bucket numbers the batch touches: at most `buckets` rows, so broadcast is
+    # bounded; it also drives dynamic partition pruning of the table scan
     touched = inc.select(BUCKET_COL).distinct()
     old = cur.join(F.broadcast(touched), BUCKET_COL, "left_semi").withColumn("_src", F.lit(0))
     new = inc.select(*cols).withColumn("_src", F.lit(1))
+    # one aggregation dedupes the batch and merges it with the stored rows
     merged = latest(old.unionByName(new), keys + [BUCKET_COL], order_by + ["_src"]).drop("_src")
     write_full(merged.select(*cols), stage, [BUCKET_COL])
     _swap_in(spark, stage, table)

@@ -85,3 +85,11 @@ def test_snapshot_and_inventory(spark):
     snap = TB.snapshot(spark, f"{db}.t1").collect()[0]
     assert snap.name == "t1" and snap.schema_name == db and snap.format == "parquet"
     assert [r.name for r in TB.inventory(spark, db).where("not is_temporary").collect()] == ["t1"]
+
+
+def test_latest_carries_map_columns(spark):
+    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"})], "k bigint, ts int, tags map<string,string>")
+    r = TB.latest(df, ["k"], ["ts"]).collect()[0]
+    assert (r.ts, r.tags) == (2, {"a": "y"})
+    plan = TB.latest(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
