@@ -1321,3 +1321,93 @@ def run_log(spark, sf):
     run_api_ingest(spark, reqs.where(F.lit(False)), ReplayTransport(), f"{db}.bronze_empty",
                    runs_table=f"{db}.runs", run_name="empty_ingest", sleep=no_sleep)
     return spark.table(f"{db}.runs").select("run_name", "rows", "success", "failure", "skipped")
+
+
+# ---------------------------------------------------------------- the reference's Silver projections
+def met_documents(spark, sf) -> DataFrame:
+    """Met-shaped detail records, one per part (row by row, no grouping)."""
+    p = table(spark, sf, "part")
+    doc = F.to_json(F.struct(
+        F.col("p_partkey").alias("objectID"),
+        F.concat(F.lit("P."), F.col("p_partkey").cast("string")).alias("accessionNumber"),
+        F.col("p_size").cast("string").alias("accessionYear"),
+        (F.col("p_size") > 40).alias("isHighlight"),
+        (F.col("p_retailprice") < 1000).alias("isPublicDomain"),
+        F.col("p_name").alias("title"),
+        F.col("p_brand").alias("department"),
+        F.col("p_type").alias("classification"),
+        F.col("p_size").alias("objectBeginDate"),
+        (F.col("p_size") + 10).alias("objectEndDate"),
+        F.split(F.col("p_type"), " ").alias("tags"),
+        F.struct(F.col("p_size").alias("size"), F.col("p_retailprice").alias("price")).alias("measurements"),
+    ), RP.JSON_OPTS)
+    return p.select(F.col("p_partkey").alias("id"), F.lit(200).alias("replay_status"),
+                    F.coalesce(doc, F.lit("{}")).alias("replay_body"))
+
+
+SQL_MET_SILVER = """
+SELECT p_partkey AS object_id, p_partkey AS met_object_id, 'P.' || CAST(p_partkey AS VARCHAR) AS accession_number,
+       CAST(p_size AS VARCHAR) AS accession_year, p_size > 40 AS is_highlight, p_retailprice < 1000 AS is_public_domain,
+       p_name AS title, CAST(NULL AS VARCHAR) AS object_date, p_size AS object_begin_date,
+       p_size + 10 AS object_end_date, CAST(NULL AS VARCHAR) AS medium, CAST(NULL AS VARCHAR) AS dimensions,
+       p_type AS classification, p_brand AS department, CAST(NULL AS VARCHAR) AS culture,
+       CAST(NULL AS VARCHAR) AS period, CAST(NULL AS VARCHAR) AS dynasty, CAST(NULL AS VARCHAR) AS reign,
+       CAST(NULL AS VARCHAR) AS artist_display_name, CAST(NULL AS VARCHAR) AS artist_display_bio,
+       CAST(NULL AS VARCHAR) AS artist_role, CAST(NULL AS VARCHAR) AS artist_nationality,
+       CAST(NULL AS VARCHAR) AS artist_begin_date, CAST(NULL AS VARCHAR) AS artist_end_date,
+       CAST(NULL AS VARCHAR) AS primary_image_url, CAST(NULL AS VARCHAR) AS primary_image_small_url,
+       CAST(NULL AS VARCHAR) AS object_url,
+       CAST(to_json(string_split(p_type, ' ')) AS VARCHAR) AS tags_raw_json,
+       CAST(json_object('size', p_size, 'price', p_retailprice) AS VARCHAR) AS measurements_raw_json,
+       CAST(NULL AS VARCHAR) AS additional_images_raw_json, CAST(NULL AS VARCHAR) AS constituents_raw_json
+FROM part
+"""
+
+
+@register("silver_met_objects", SQL_MET_SILVER)
+def silver_met_objects(spark, sf):
+    """The reference's Met Silver (30 typed/JSON-text fields + key) over fetched Met-shaped records."""
+    from strata.plans.specs import MET_OBJECTS
+
+    bronze = fetch_all(met_documents(spark, sf), ReplayTransport(), partitions=8, sleep=no_sleep, stamp=False)
+    return S.silver(bronze, MET_OBJECTS, keep=())
+
+
+def stripe_documents(spark, sf) -> DataFrame:
+    """Stripe-shaped customers with string ids (cus_<key>), one per customer."""
+    c = table(spark, sf, "customer")
+    doc = F.to_json(F.struct(
+        F.concat(F.lit("cus_"), F.col("c_custkey").cast("string")).alias("id"),
+        F.concat(F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")), F.lit("@example.com")).alias("email"),
+        F.col("c_name").alias("name"),
+        (F.lit(1700000000) + F.col("c_custkey")).alias("created"),
+        F.col("c_mktsegment").alias("description"),
+        F.lit("usd").alias("currency"),
+        (F.col("c_acctbal") < 0).alias("delinquent"),
+        F.lit(False).alias("livemode"),
+        F.struct(F.col("c_nationkey").alias("nation")).alias("address"),
+        F.struct(F.col("c_mktsegment").alias("segment")).alias("metadata"),
+    ), RP.JSON_OPTS)
+    return c.select(F.concat(F.lit("cus_"), F.col("c_custkey").cast("string")).alias("id"),
+                    F.lit(200).alias("replay_status"), F.coalesce(doc, F.lit("{}")).alias("replay_body"))
+
+
+SQL_STRIPE_SILVER = """
+SELECT 'cus_' || CAST(c_custkey AS VARCHAR) AS customer_id,
+       lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) || '@example.com' AS email, c_name AS name,
+       1700000000 + c_custkey AS created_at_unix, c_mktsegment AS description, CAST(NULL AS VARCHAR) AS phone,
+       'usd' AS currency, c_acctbal < 0 AS delinquent, false AS livemode,
+       CAST(json_object('nation', c_nationkey) AS VARCHAR) AS address_raw_json,
+       CAST(json_object('segment', c_mktsegment) AS VARCHAR) AS metadata_raw_json
+FROM customer
+"""
+
+
+@register("silver_stripe_customers", SQL_STRIPE_SILVER)
+def silver_stripe_customers(spark, sf):
+    """The reference's Stripe Silver over fetched customers keyed by string ids (never cast)."""
+    from strata.plans.specs import STRIPE_CUSTOMERS
+
+    bronze = fetch_all(stripe_documents(spark, sf), ReplayTransport(), partitions=8, key_type="string",
+                       sleep=no_sleep, stamp=False)
+    return S.silver(bronze, STRIPE_CUSTOMERS, keep=()).withColumnRenamed("object_id", "customer_id")
