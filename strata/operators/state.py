@@ -30,24 +30,22 @@ def reconcile(current: DataFrame, desired: DataFrame, key, live: DataFrame | Non
 
     A desired key whose record is live becomes ``replace``; otherwise
     ``create`` (a stored record whose key is no longer live counts as
-    absent). Current keys missing from ``desired`` are kept (``keep``),
-    never deleted. One full outer join on the key.
+    absent). Current keys missing from ``desired`` are kept (``keep``) with
+    their stored values, never deleted. One full outer join on the key (plus
+    a left join with ``live`` when given).
     """
     keys = _keys(key)
-    cur = current.select(*keys).withColumn("_cur", F.lit(True))
+    vals = [c for c in desired.columns if c not in keys]
+    cur = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in vals]).withColumn("_cur", F.lit(True))
     if live is not None:
         cur = cur.join(live.select(*keys).distinct().withColumn("_live", F.lit(True)), keys, "left")
         cur = cur.withColumn("_cur", F.coalesce(F.col("_live"), F.lit(False))).drop("_live")
-    want = desired.withColumn("_want", F.lit(True))
-    j = want.join(cur, keys, "full_outer")
+    j = desired.withColumn("_want", F.lit(True)).join(cur, keys, "full_outer")
     action = (F.when(F.col("_want").isNull(), F.lit("keep"))
               .when(F.coalesce(F.col("_cur"), F.lit(False)), F.lit("replace"))
               .otherwise(F.lit("create")))
-    kept = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in desired.columns if c not in keys])
-    out = j.withColumn("action", action).join(kept, keys, "left")
-    vals = [F.when(F.col("action") == "keep", F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c)
-            for c in desired.columns if c not in keys]
-    return out.select(*keys, *vals, "action")
+    out = [F.when(F.col("_want").isNull(), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) for c in vals]
+    return j.select(*keys, *out, action.alias("action"))
 
 
 def patch(current: DataFrame, changes: DataFrame, key, cols: Sequence[str]) -> DataFrame:

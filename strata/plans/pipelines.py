@@ -18,7 +18,7 @@ from strata.sources.transport import Transport
 
 
 def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, table: str,
-                   rate_per_sec: float | None = None, partitions: int = 8, key_type: str = "bigint",
+                   rate_per_sec: float | None = None, partitions: int | None = None, key_type: str = "bigint",
                    runs_table: str | None = None, run_name: str = "api_ingest", sleep=None,
                    max_objects: int | None = None, min_success_ratio: float | None = None) -> dict:
     """ids -> (cap) -> fetch -> Bronze table, counts observed during the single write.

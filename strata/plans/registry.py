@@ -49,7 +49,7 @@ def no_sleep(_seconds: float) -> None:
 # ---------------------------------------------------------------- shared builders
 def events_bronze(spark, sf, stamp=False) -> DataFrame:
     reqs = RP.event_requests(table(spark, sf, "events"))
-    return fetch_all(reqs, ReplayTransport(), partitions=8, sleep=no_sleep, stamp=stamp)
+    return fetch_all(reqs, ReplayTransport(), sleep=no_sleep, stamp=stamp)
 
 
 def events_silver(spark, sf) -> DataFrame:
@@ -209,7 +209,7 @@ def new_ids(spark, sf):
     """Only ids not yet in Bronze (left anti join)."""
     ev = table(spark, sf, "events")
     earlier = fetch_all(RP.event_requests(ev.where(F.col("ts") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp_ntz"))),
-                        ReplayTransport(), partitions=8, sleep=no_sleep)
+                        ReplayTransport(), sleep=no_sleep)
     return I.new_ids(ev.select(F.col("event_id").alias("id")), earlier)
 
 
@@ -289,7 +289,7 @@ def offset_pages(spark, sf):
     """S3: offsets known from the total up front; every page fetched in parallel."""
     cust, path = customer_listing(spark, sf)
     totals = cust.groupBy(F.col("c_mktsegment").alias("source")).agg(F.count(F.lit(1)).alias("total"))
-    return I.offset_pages(totals, RP.ListingTransport(path), page_size=100, partitions=8)
+    return I.offset_pages(totals, RP.ListingTransport(path), page_size=100)
 
 
 @register("multi_source", """
@@ -1282,10 +1282,10 @@ def staged_resume(spark, sf):
     stage = scratch_dir(spark, "stage")
     ev = table(spark, sf, "events")
     first = ev.where(F.col("ts") < F.lit(STREAM_CUT).cast("timestamp_ntz"))
-    stage_raw(fetch_all(RP.event_requests(first), ReplayTransport(), partitions=8, sleep=no_sleep), stage)
+    stage_raw(fetch_all(RP.event_requests(first), ReplayTransport(), sleep=no_sleep), stage)
 
     reqs = RP.event_requests(ev)
-    resume(spark, reqs, stage, lambda todo: fetch_all(todo, ReplayTransport(), partitions=8, sleep=no_sleep))
+    resume(spark, reqs, stage, lambda todo: fetch_all(todo, ReplayTransport(), sleep=no_sleep))
     return load_staged(spark, stage).select("object_id", "http_status", "raw_json", "error_message")
 
 
@@ -1369,7 +1369,7 @@ def silver_met_objects(spark, sf):
     """The reference's Met Silver (30 typed/JSON-text fields + key) over fetched Met-shaped records."""
     from strata.plans.specs import MET_OBJECTS
 
-    bronze = fetch_all(met_documents(spark, sf), ReplayTransport(), partitions=8, sleep=no_sleep, stamp=False)
+    bronze = fetch_all(met_documents(spark, sf), ReplayTransport(), sleep=no_sleep, stamp=False)
     return S.silver(bronze, MET_OBJECTS, keep=())
 
 
@@ -1408,6 +1408,6 @@ def silver_stripe_customers(spark, sf):
     """The reference's Stripe Silver over fetched customers keyed by string ids (never cast)."""
     from strata.plans.specs import STRIPE_CUSTOMERS
 
-    bronze = fetch_all(stripe_documents(spark, sf), ReplayTransport(), partitions=8, key_type="string",
+    bronze = fetch_all(stripe_documents(spark, sf), ReplayTransport(), key_type="string",
                        sleep=no_sleep, stamp=False)
     return S.silver(bronze, STRIPE_CUSTOMERS, keep=()).withColumnRenamed("object_id", "customer_id")

@@ -72,7 +72,7 @@ class TokenBucket:
 def plan_parallelism(rate_per_sec: float | None, partitions: int) -> tuple[int, float | None]:
     """(tasks, per-task rate): never more tasks than whole requests per second."""
     if not rate_per_sec:
-        return max(1, partitions), None
+        return max(1, int(partitions)), None
     if rate_per_sec <= 0:
         raise ValueError("rate_per_sec must be positive")
     n = max(1, min(partitions, int(math.floor(rate_per_sec))))
@@ -137,15 +137,20 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
 
 
 def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None = None,
-              partitions: int = 8, key_col: str = "id", key_type: str = "bigint",
+              partitions: int | None = None, key_col: str = "id", key_type: str = "bigint",
               max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None,
               stamp: bool = True) -> DataFrame:
     """Fetch every id once through ``transport``; returns the Bronze rows.
 
-    The ids are hash-partitioned on the key into ``tasks`` partitions so a
+    ``partitions`` defaults to the cluster's default parallelism. The ids are
+    hash-partitioned on the key into ``tasks`` partitions so a
     re-run places each id on the same task, and the global rate is split
     evenly between tasks. The result is lazy: write it with one action.
     """
+    if partitions is None:
+        # a capped API needs only as many tasks as whole requests per second;
+        # an uncapped one gets the cluster's full parallelism
+        partitions = ids.sparkSession.sparkContext.defaultParallelism
     tasks, per_task = plan_parallelism(rate_per_sec, partitions)
     key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]

@@ -178,8 +178,10 @@ def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
                              F.greatest(F.col("total").cast("bigint") - 1, F.lit(0).cast("bigint")),
                              F.lit(page_size).cast("bigint"))).alias("offset"),
     ).where(F.col("offset") < F.col("total")).drop("total")
-    if partitions:
-        reqs = reqs.repartition(partitions, "source", "offset")
+    # the requests come from a handful of total rows: spread them over the
+    # cluster, or every page would be fetched by one task
+    n = partitions or totals.sparkSession.sparkContext.defaultParallelism
+    reqs = reqs.repartition(n, "source", "offset")
     return reqs.mapInPandas(_offset_fn(transport, page_size, key_type),
                             f"source string, id {kt}, offset bigint")
 

@@ -18,8 +18,17 @@ from strata.operators.tables import latest, upsert, BUCKET_COL, write_full
 from strata.session import scratch_dir
 
 
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "json", options: dict | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """File stream with provenance columns.
+
+    Micro-batches are bounded (``maxFilesPerTrigger``; ``availableNow``
+    honours it), so a backfill of a large landing folder runs as many
+    restartable batches instead of one giant one.
+    """
     r = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
