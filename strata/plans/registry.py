@@ -38,8 +38,17 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table. ``spread=True`` for row-heavy work straight after the scan
+    (building or parsing documents): the scan is spread over the cluster when
+    its files cannot be split (see ``balanced``). Scans that shuffle anyway
+    (aggregations, joins, windows) skip it."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    if not spread:
+        return df
+    from strata.sources.files import balanced
+
+    return balanced(df)
 
 
 def no_sleep(_seconds: float) -> None:
@@ -91,7 +100,7 @@ def lineitem_docs(spark, sf) -> DataFrame:
 
     Built row by row (no grouping), like an API detail record that carries
     its own nested fields."""
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     amounts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in AMOUNT_KINDS])
     doc = F.to_json(F.struct(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
                              F.col("l_partkey").alias("partkey"),
@@ -187,7 +196,7 @@ FROM documents
 """)
 def silver_quality(spark, sf):
     """Cast failures and NULLs when a drifting text field is typed as INT."""
-    return S.cast_profile(table(spark, sf, "documents").select("text"), {"text": "int"})
+    return S.cast_profile(table(spark, sf, "documents", spread=True).select("text"), {"text": "int"})
 
 
 # ---------------------------------------------------------------- S7 S9 J2 S4 S1
@@ -1211,7 +1220,7 @@ def traffic_split(spark, sf):
 
 def scoring_requests(spark, sf) -> DataFrame:
     """Events packed into the four request shapes (plus none-set and two-set requests)."""
-    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    ev = table(spark, sf, "events", spread=True).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     rec = F.array(F.struct("value", "k"))
     row = F.when(F.col("k") > 90, F.array(F.col("value"))).otherwise(
         F.array(F.col("value"), F.col("k").cast("double")))

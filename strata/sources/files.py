@@ -25,6 +25,35 @@ def read_files(spark: SparkSession, prefix: str, pattern: str = "*", fmt: str =
     return reader.options(**opts).load(path)
 
 
+BALANCE_MIN_BYTES = 1024 * 1024
+
+
+def balanced(df: DataFrame, min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
+    """Spread a scan over the cluster when its files cannot be split enough.
+
+    A parquet file with one row group is read by one task however many cores
+    there are, and every narrow step after it (JSON building and parsing,
+    projections) stays on that core. When the input is not tiny and has fewer
+    partitions than the cluster's parallelism, redistribute it round-robin;
+    otherwise (the normal case for large inputs) return it untouched, so no
+    shuffle is added at scale.
+    """
+    from strata.operators.tables import estimated_bytes
+
+    size = estimated_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    # hash of the row's (hashable) columns: deterministic on task retry like
+    # round-robin, but without the local sort round-robin needs for that
+    from pyspark.sql import types as T
+
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return df.repartition(want, F.xxhash64(*cols)) if cols else df.repartition(want)
+
+
 def with_provenance(df: DataFrame, file_col: str = "source_file", ts_col: str = "ingested_at") -> DataFrame:
     """File path from the hidden ``_metadata`` column plus a load timestamp."""
     return df.withColumn(file_col, F.col("_metadata.file_path")).withColumn(ts_col, F.current_timestamp())
