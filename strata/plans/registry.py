@@ -277,6 +277,18 @@ def cursor_pages(spark, sf):
     return I.cursor_pages(sources, RP.ListingTransport(path), page_size=100)
 
 
+CURSOR_SHARDS = 4
+
+
+@register("cursor_pages_sharded", "SELECT c_mktsegment AS source, c_custkey AS id FROM customer")
+def cursor_pages_sharded(spark, sf):
+    """S2 for skewed sources: each source split into key-range shards, every shard its own chain."""
+    cust, path = customer_listing(spark, sf)
+    keys = cust.select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").alias("id"))
+    shards = I.cursor_shards(keys, CURSOR_SHARDS)
+    return I.cursor_pages(shards, RP.ListingTransport(path), page_size=100).select("source", "id")
+
+
 @register("link_pages", """
 SELECT c_mktsegment AS source, c_custkey AS id,
        CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) // 100 AS INTEGER) AS page

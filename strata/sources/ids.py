@@ -98,17 +98,27 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         t = transport.open()
         out_src, out_id, out_page = [], [], []
+        has_bounds = "start_after" in pdf.columns
         try:
-            for source in pdf["source"].tolist():
-                cursor, page, got = None, 0, 0
+            for row in pdf.to_dict("records"):
+                source = row["source"]
+                start = row.get("start_after") if has_bounds else None
+                stop = row.get("stop_at") if has_bounds else None
+                start = None if start is None or pd.isna(start) else start
+                stop = None if stop is None or pd.isna(stop) else stop
+                cursor, page, got = start, 0, 0
+                link = None
                 while cap is None or got < cap:
                     if links:   # the response names the next page (Link header)
-                        ids, nxt = t.link_page(source, cursor, page_size)
-                        has_more = nxt is not None
+                        ids, link = t.link_page(source, link, page_size)
+                        has_more = link is not None
                     else:
                         ids, has_more = t.list_page(source, cursor, page_size)
                     if not ids:
                         break
+                    if stop is not None and ids[-1] > stop:   # end of this shard's key range
+                        ids = [i for i in ids if i <= stop]
+                        has_more = False
                     if cap is not None:
                         ids = ids[: cap - got]  # the cap applies whatever has_more says
                     out_src += [source] * len(ids)
@@ -116,9 +126,9 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
                     out_page += [page] * len(ids)
                     got += len(ids)
                     page += 1
-                    if not has_more:
+                    if not has_more or not ids:
                         break
-                    cursor = nxt if links else ids[-1]
+                    cursor = ids[-1]
         finally:
             t.close()
         return pd.DataFrame({"source": pd.Series(out_src, dtype="object"),
@@ -130,19 +140,48 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
 
 def cursor_pages(sources: DataFrame, transport: Transport, page_size: int = 100,
                  cap: int | None = None, key_type: str = "bigint") -> DataFrame:
-    """One cursor chain per source row; chains run in parallel across sources.
+    """One cursor chain per source row; chains run in parallel.
 
     Next cursor = last id of the page; stop on an empty page, on
     ``has_more`` false, or at the cap. The input group is the source's config
     row, so no data set is gathered into one task: the ids stream out.
+
+    A source may be split into key-range shards (columns ``start_after`` and
+    ``stop_at``, see ``cursor_shards``): each shard is its own chain starting
+    after ``start_after``, so one very large source is walked by many tasks.
+    Page numbers and caps then count per shard.
     """
     cap = check_cap(cap)
     kt = _key_type(key_type)
     schema = f"source string, id {kt}, page int"
-    src = sources.select(F.col("source").cast("string"))
-    return src.groupBy("source").applyInPandas(_walk_fn(transport, page_size, cap, key_type), schema)
-
-
+    cols = [F.col("source").cast("string").alias("source")]
+    if "start_after" in sources.columns:
+        cols += [F.col("start_after").cast(kt).alias("start_after"), F.col("stop_at").cast(kt).alias("stop_at")]
+        groups = ["source", "start_after"]
+    else:
+        groups = ["source"]
+    src = sources.select(*cols)
+    return src.groupBy(*groups).applyInPandas(_walk_fn(transport, page_size, cap, key_type), schema)
+
+
+def cursor_shards(keys: DataFrame, shards: int, source: str = "source", key: str = "id",
+                  accuracy: int = 10000) -> DataFrame:
+    """Split each source's key range into ``shards`` ranges from approximate quantiles.
+
+    Returns (source, start_after, stop_at) rows, ``shards`` per source, covering
+    every key exactly once (first start and last stop are open). Only the
+    quantiles (a few numbers per source) are computed; no keys are gathered.
+    """
+    if shards < 1:
+        raise ValueError("shards must be >= 1")
+    probs = [i / shards for i in range(1, shards)]
+    q = keys.groupBy(F.col(source).alias("source")).agg(
+        F.percentile_approx(key, probs, accuracy).alias("_q") if probs else F.array().alias("_q"))
+    bounds = F.array_distinct(F.array_sort(F.col("_q")))
+    starts = F.concat(F.array(F.lit(None).cast("bigint")), bounds.cast("array<bigint>"))
+    stops = F.concat(bounds.cast("array<bigint>"), F.array(F.lit(None).cast("bigint")))
+    return q.select("source", F.explode(F.arrays_zip(starts.alias("start_after"), stops.alias("stop_at")))
+                    .alias("_b")).select("source", "_b.start_after", "_b.stop_at")
 def _offset_fn(transport: Transport, page_size: int, key_type: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = transport.open()
