@@ -154,7 +154,8 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     tasks, per_task = plan_parallelism(rate_per_sec, partitions)
     key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]
-    df = ids.select(*cols).repartition(tasks, "id")
+    # a NULL id names no object: it is never requested
+    df = ids.select(*cols).where(F.col("id").isNotNull()).repartition(tasks, "id")
     out = df.mapInPandas(_fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep),
                          schema=bronze_schema(key_type))
     if stamp:

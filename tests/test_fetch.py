@@ -101,3 +101,10 @@ def test_string_keys_are_not_cast(spark):
     ids = spark.createDataFrame([("cus_A1",), ("cus_B2",)], "id string")
     out = fetch_all(ids, ScriptedTransport({}), key_type="string", sleep=lambda s: None, stamp=False)
     assert sorted(r.object_id for r in out.collect()) == ["cus_A1", "cus_B2"]
+
+
+def test_null_ids_are_not_requested(spark):
+    ids = spark.createDataFrame([(1,), (None,)], "id bigint")
+    t = ScriptedTransport({})
+    out = fetch_all(ids, t, sleep=lambda s: None, stamp=False).collect()
+    assert [r.object_id for r in out] == [1]
