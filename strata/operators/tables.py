@@ -187,8 +187,19 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
         write_full(latest(inc, keys + [BUCKET_COL], order_by), table, [BUCKET_COL])
         _mark_buckets(spark, table, buckets)
         return spark.table(table)
+    merged = merge_plan(spark, inc, table, keys, order_by)
+    write_full(merged, stage, [BUCKET_COL])
+    _swap_in(spark, stage, table)
+    return spark.table(table)
+
+
+def merge_plan(spark: SparkSession, inc: DataFrame, table: str, keys: Sequence[str],
+               order_by: Sequence[str]) -> DataFrame:
+    """The rows that replace the touched buckets: stored rows of those buckets
+    merged with the incoming batch (which already carries its bucket column)."""
+    keys, order_by = list(keys), list(order_by)
     cur = spark.table(table)
-    cols = [c for c in cur.columns]
+    cols = list(cur.columns)
     # bucket numbers the batch touches: at most `buckets` rows, so broadcast is
     # bounded; it also drives dynamic partition pruning of the table scan
     touched = inc.select(BUCKET_COL).distinct()
@@ -196,9 +207,7 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
     new = inc.select(*cols).withColumn("_src", F.lit(1))
     # one aggregation dedupes the batch and merges it with the stored rows
     merged = latest(old.unionByName(new), keys + [BUCKET_COL], order_by + ["_src"]).drop("_src")
-    write_full(merged.select(*cols), stage, [BUCKET_COL])
-    _swap_in(spark, stage, table)
-    return spark.table(table)
+    return merged.select(*cols)
 
 
 def write_keyed(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str],
