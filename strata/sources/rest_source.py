@@ -9,15 +9,19 @@ Options:
   retry_backoff ``true`` (default) waits 2**attempt s between retries;
                 ``false`` retries at once (replayed APIs)
 
-Each input partition is a set of parquet row groups of the id file, so the
-ids are read in parallel on executors, never on the driver.
+  rows_per_slice  (stream) ids per offset unit, default 10,000
+
+Each input partition is a set of row-group slices of the id files, so the
+ids are read in parallel on executors, never on the driver. As a stream
+(``spark.readStream.format("rest")``) each micro-batch fetches the id slices
+that landed since the last offset.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from strata.sources.fetch import TokenBucket, fetch_one, plan_parallelism
 from strata.sources.transport import HttpTransport, ReplayTransport
@@ -41,66 +45,111 @@ class RestDataSource(DataSource):
     def reader(self, schema):
         return RestReader(self.options)
 
+    def streamReader(self, schema):
+        return RestStreamReader(self.options)
+
+
+def _pieces(options, per: int | None = None) -> list:
+    """(file, row group, first row, end row) slices of the id parquet, in a stable order.
+
+    Files are ordered by modification time then path, so files that land
+    later always come after the ones already seen (what the stream offsets count).
+    """
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    local, root = _fs(options["ids_path"])
+    info = local.get_file_info(root)
+    infos = local.get_file_info(fs.FileSelector(root, recursive=True)) if info.type == fs.FileType.Directory \
+        else [info]
+    files = sorted((i for i in infos if i.path.endswith(".parquet")), key=lambda i: (i.mtime_ns or 0, i.path))
+    meta = []
+    for f in files:   # footers only: row-group sizes, no data
+        md = pq.ParquetFile(local.open_input_file(f.path)).metadata
+        meta += [(f.path, rg, md.row_group(rg).num_rows) for rg in range(md.num_row_groups)]
+    if per is None:
+        n_parts, _ = plan_parallelism(_rate(options), int(options.get("partitions", 8)))
+        per = max(1, -(-sum(n for _, _, n in meta) // n_parts))   # rows per slice, ceil
+    return [(f, rg, lo, min(n, lo + per)) for f, rg, n in meta for lo in range(0, n, per)]
+
+
+def _read_pieces(options, pieces):
+    """Fetch the ids of the given slices; one Arrow batch per slice."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    o = options
+    local = _fs(o["ids_path"])[0]
+    _n, rate = plan_parallelism(_rate(o), int(o.get("partitions", 8)))
+    t = ReplayTransport() if o.get("transport", "replay") == "replay" else HttpTransport(o["detail_url"])
+    t = t.open()
+    bucket = TokenBucket(rate)
+    pause = time.sleep if o.get("retry_backoff", "true").lower() != "false" else (lambda _s: None)
+    key_bigint = o.get("key_type", "bigint") == "bigint"
+    try:
+        for f, rg, lo, hi in pieces:
+            tbl = pq.ParquetFile(local.open_input_file(f)).read_row_group(rg).slice(lo, hi - lo)
+            cols = {c: tbl.column(c).to_pylist() for c in ["id", *t.carry]}
+            keys, st, bodies, errs = [], [], [], []
+            for i, key in enumerate(cols["id"]):
+                if key is None:   # a NULL id names no object
+                    continue
+                row = {c: cols[c][i] for c in t.carry}
+                s_, body, err = fetch_one(t, bucket, key, row, pause)
+                keys.append(int(key) if key_bigint else str(key))
+                st.append(s_)
+                bodies.append(body)
+                errs.append(err)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64() if key_bigint else pa.string()), pa.array(st, pa.int32()),
+                 pa.array(bodies, pa.string()), pa.array(errs, pa.string())],
+                names=["object_id", "http_status", "raw_json", "error_message"])
+    finally:
+        t.close()
+
 
 class RestReader(DataSourceReader):
     def __init__(self, options):
         self.options = dict(options)
 
     def partitions(self):
-        import pyarrow.parquet as pq
-        from pyarrow import fs
+        n_parts, _ = plan_parallelism(_rate(self.options), int(self.options.get("partitions", 8)))
+        pieces = _pieces(self.options)
+        groups = [pieces[i::n_parts] for i in range(n_parts)]
+        return [_Part(g) for g in groups if g]
 
-        path = self.options["ids_path"]
+    def read(self, partition):
+        yield from _read_pieces(self.options, partition.pieces)
+
+
+class RestStreamReader(DataSourceStreamReader):
+    """Streaming form: the offset is the number of id slices handed out so far.
+
+    Slices are fixed-size (``rows_per_slice``, default 10,000 ids) so earlier
+    offsets keep meaning the same slices as new files land.
+    """
+
+    def __init__(self, options):
+        self.options = dict(options)
+        self.per = int(self.options.get("rows_per_slice", 10000))
+
+    def initialOffset(self):
+        return {"slices": 0}
+
+    def latestOffset(self):
+        return {"slices": len(_pieces(self.options, self.per))}
+
+    def partitions(self, start, end):
+        pieces = _pieces(self.options, self.per)[start["slices"]:end["slices"]]
         n_parts, _ = plan_parallelism(_rate(self.options), int(self.options.get("partitions", 8)))
-        local, root = _fs(path)
-        sel = fs.FileSelector(root, recursive=True) if local.get_file_info(root).type == fs.FileType.Directory else None
-        files = [f.path for f in local.get_file_info(sel)] if sel else [root]
-        files = sorted(f for f in files if f.endswith(".parquet"))
-        groups_meta = []
-        for f in files:   # footers only: row-group sizes, no data
-            md = pq.ParquetFile(local.open_input_file(f)).metadata
-            groups_meta += [(f, rg, md.row_group(rg).num_rows) for rg in range(md.num_row_groups)]
-        total = sum(n for _, _, n in groups_meta)
-        per = max(1, -(-total // n_parts))            # rows per slice, ceil
-        pieces = [(f, rg, lo, min(n, lo + per)) for f, rg, n in groups_meta for lo in range(0, n, per)]
         groups = [pieces[i::n_parts] for i in range(n_parts)]
         return [_Part(g) for g in groups if g]
 
     def read(self, partition):
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        o = self.options
-        path = o["ids_path"]
-        local = _fs(path)[0]
-        n_parts, rate = plan_parallelism(_rate(o), int(o.get("partitions", 8)))
-        if o.get("transport", "replay") == "replay":
-            t = ReplayTransport()
-        else:
-            t = HttpTransport(o["detail_url"])
-        t = t.open()
-        bucket = TokenBucket(rate)
-        pause = time.sleep if o.get("retry_backoff", "true").lower() != "false" else (lambda _s: None)
-        key_bigint = o.get("key_type", "bigint") == "bigint"
-        try:
-            for f, rg, lo, hi in partition.pieces:
-                tbl = pq.ParquetFile(local.open_input_file(f)).read_row_group(rg).slice(lo, hi - lo)
-                cols = {c: tbl.column(c).to_pylist() for c in ["id", *t.carry]}
-                keys, st, bodies, errs = [], [], [], []
-                for i, key in enumerate(cols["id"]):
-                    row = {c: cols[c][i] for c in t.carry}
-                    s, body, err = fetch_one(t, bucket, key, row, pause)
-                    keys.append(int(key) if key_bigint else str(key))
-                    st.append(s)
-                    bodies.append(body)
-                    errs.append(err)
-                # one Arrow batch per slice: no per-row conversion on the JVM side
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64() if key_bigint else pa.string()), pa.array(st, pa.int32()),
-                     pa.array(bodies, pa.string()), pa.array(errs, pa.string())],
-                    names=["object_id", "http_status", "raw_json", "error_message"])
-        finally:
-            t.close()
+        yield from _read_pieces(self.options, partition.pieces)
+
+    def commit(self, end):
+        pass
 
 
 def _fs(path: str):

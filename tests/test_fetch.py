@@ -108,3 +108,30 @@ def test_null_ids_are_not_requested(spark):
     t = ScriptedTransport({})
     out = fetch_all(ids, t, sleep=lambda s: None, stamp=False).collect()
     assert [r.object_id for r in out] == [1]
+
+
+def test_rest_source_batch_and_stream(spark):
+    from strata.session import scratch_dir
+    from strata.sources.rest_source import register
+
+    register(spark)
+    path = scratch_dir(spark, "ids")
+    mk = lambda lo, hi: spark.range(lo, hi).selectExpr(
+        "id", "CASE WHEN id % 7 = 0 THEN 404 ELSE 200 END AS replay_status",
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE to_json(named_struct('id', id)) END AS replay_body")
+    mk(0, 50).write.mode("append").parquet(path)
+    opts = {"ids_path": path, "transport": "replay", "partitions": "4", "retry_backoff": "false"}
+    batch = spark.read.format("rest").options(**opts).load()
+    assert batch.count() == 50 and batch.where("error_message = 'not_found'").count() == 8
+    out = scratch_dir(spark, "restout")
+    ck = scratch_dir(spark, "restck")
+    q = (spark.readStream.format("rest").options(**opts).load().writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 50
+    mk(50, 80).write.mode("append").parquet(path)        # new ids land
+    q = (spark.readStream.format("rest").options(**opts).load().writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 80 and got.select("object_id").distinct().count() == 80
