@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.joins import bounded_broadcast
-from strata.sources.fetch import MAX_ATTEMPTS, TokenBucket, bronze_schema, fetch_one, plan_parallelism
+from strata.sources.fetch import MAX_ATTEMPTS, TokenBucket, bronze_schema, fetch_one
 from strata.sources.transport import Transport
 
 

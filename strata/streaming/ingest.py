@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.state import duration_ms, run_status
-from strata.operators.tables import latest, upsert, BUCKET_COL, write_full
+from strata.operators.tables import BUCKET_COL, upsert
 from strata.session import scratch_dir
 
 
