@@ -203,7 +203,9 @@ def merge_plan(spark: SparkSession, inc: DataFrame, table: str, keys: Sequence[s
     # bucket numbers the batch touches: at most `buckets` rows, so broadcast is
     # bounded; it also drives dynamic partition pruning of the table scan
     touched = inc.select(BUCKET_COL).distinct()
-    old = cur.join(F.broadcast(touched), BUCKET_COL, "left_semi").withColumn("_src", F.lit(0))
+    if bucket_count(spark, table) <= MAX_BUCKETS:
+        touched = F.broadcast(touched)
+    old = cur.join(touched, BUCKET_COL, "left_semi").withColumn("_src", F.lit(0))
     new = inc.select(*cols).withColumn("_src", F.lit(1))
     # one aggregation dedupes the batch and merges it with the stored rows
     merged = latest(old.unionByName(new), keys + [BUCKET_COL], order_by + ["_src"]).drop("_src")

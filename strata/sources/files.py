@@ -26,6 +26,7 @@ def read_files(spark: SparkSession, prefix: str, pattern: str = "*", fmt: str =
 
 
 BALANCE_MIN_BYTES = 1024 * 1024
+BROADCAST_MAX_ROWS = 100_000   # hint a broadcast only below this proven row bound
 
 
 def balanced(df: DataFrame, min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
@@ -62,15 +63,18 @@ def with_provenance(df: DataFrame, file_col: str = "source_file", ts_col: str =
 def cap_files(df: DataFrame, n: int | None, file_col: str = "source_file") -> DataFrame:
     """Keep the rows of the first ``n`` files in path order.
 
-    The file list is bounded by ``n`` rows, so broadcasting it is safe at any
-    scale; the semi join then filters without shuffling the data side.
+    The file list is bounded by ``n`` rows; for any reasonable ``n`` it is
+    broadcast and the semi join filters without shuffling the data side
+    (beyond 100,000 files the join strategy is left to Catalyst/AQE).
     """
     if n is None:
         return df
     if n < 0:
         raise ValueError("max_files must be >= 0 or None")
     files = df.select(file_col).distinct().orderBy(file_col).limit(n)
-    return df.join(F.broadcast(files), file_col, "left_semi")
+    if n <= BROADCAST_MAX_ROWS:     # at most n paths: a proven bound
+        files = F.broadcast(files)
+    return df.join(files, file_col, "left_semi")
 
 
 def file_counts(df: DataFrame, file_col: str = "source_file") -> DataFrame:
