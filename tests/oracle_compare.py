@@ -97,7 +97,14 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_spark("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):   # a session as a caller would build it, no presets
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_spark("local[8]", 8)
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
