@@ -175,6 +175,10 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
     bucket numbers + partition pruning), merged with ``latest`` and written
     back with a dynamic partition overwrite, so the cost follows the batch,
     not the table. On equal order values the incoming row wins.
+
+    The incoming DataFrame is evaluated twice (its keys for the touched
+    buckets, its rows for the merge): materialise inputs with side effects
+    (a live API fetch) first, as ``run_api_ingest`` does.
     """
     keys, order_by = list(keys), list(order_by)
     stage = f"{table}__stage"

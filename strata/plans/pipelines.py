@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import ml
-from strata.operators.tables import append_run, ensure_schema_of, write_full, write_observed
+from strata.operators.tables import append_run, ensure_schema_of, upsert, write_full, write_observed
 from strata.sources.fetch import fetch_all
 from strata.sources.ids import cap_ids
 from strata.sources.files import cap_files, read_files, read_table, with_provenance
@@ -20,14 +20,22 @@ from strata.sources.transport import Transport
 def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, table: str,
                    rate_per_sec: float | None = None, partitions: int | None = None, key_type: str = "bigint",
                    runs_table: str | None = None, run_name: str = "api_ingest", sleep=None,
-                   max_objects: int | None = None, min_success_ratio: float | None = None) -> dict:
-    """ids -> (cap) -> fetch -> Bronze table, counts observed during the single write.
-
-    No ids: the table is left untouched and the run is recorded as skipped (W7).
-    With ``min_success_ratio`` the fetch lands in a stage table first and
-    replaces Bronze only if enough rows succeeded (the gate of P8); otherwise
-    the previous Bronze stays and the run is recorded as gated.
+                   max_objects: int | None = None, min_success_ratio: float | None = None,
+                   mode: str = "overwrite") -> dict:
+    """ids -> (cap) -> fetch -> Bronze table, counts observed during the fetch's single write.
+
+    ``mode="overwrite"`` replaces Bronze (a full pull). ``mode="upsert"``
+    merges the fetched rows into Bronze on ``object_id``, newest
+    ``ingested_at`` winning (incremental pulls). No ids: the table is left
+    untouched and the run is recorded as skipped (W7). With
+    ``min_success_ratio`` Bronze changes only if enough rows succeeded.
+
+    The fetch has side effects (remote calls), so it runs in exactly one
+    action: either the direct Bronze write, or a write to a stage table that
+    later steps (gate, upsert) read as often as they need.
     """
+    if mode not in ("overwrite", "upsert"):
+        raise ValueError("mode must be 'overwrite' or 'upsert'")
     if max_objects is not None:
         ids = cap_ids(ids, max_objects)
     if ids.isEmpty():
@@ -36,18 +44,21 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
         ensure_schema_of(spark, table)
         bronze = fetch_all(ids, transport, rate_per_sec, partitions, key_type=key_type, sleep=sleep)
         ok = F.col("http_status") == 200
-        if min_success_ratio is None:
+        if min_success_ratio is None and mode == "overwrite":
             rec = write_observed(bronze, table, ok_expr=ok)
         else:
             stage = f"{table}__fetched"
-            rec = write_observed(bronze, stage, ok_expr=ok)
-            ratio = rec["success"] / rec["rows"] if rec["rows"] else 0.0
+            rec = write_observed(bronze, stage, ok_expr=ok)      # the only action that fetches
             rec["table"] = table
-            rec["success_ratio"] = ratio
-            if ratio >= min_success_ratio:
+            ratio = rec["success"] / rec["rows"] if rec["rows"] else 0.0
+            if min_success_ratio is not None:
+                rec["success_ratio"] = ratio
+            if min_success_ratio is not None and ratio < min_success_ratio:
+                rec["gated"] = True
+            elif mode == "overwrite":
                 write_full(spark.table(stage), table)
             else:
-                rec["gated"] = True
+                upsert(spark, spark.table(stage), table, ["object_id"], ["ingested_at"])
             spark.sql(f"DROP TABLE IF EXISTS {stage}")
     if runs_table:
         append_run(spark, runs_table, run_name, rec)

@@ -36,6 +36,19 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "json", optio
             .withColumn("ingested_at", F.current_timestamp()))
 
 
+def _landed(spark: SparkSession, batch: DataFrame, table: str, batch_id: int) -> tuple[DataFrame, str]:
+    """Write a micro-batch once to its own stage table and read it back.
+
+    The merge reads its input more than once; a source with side effects
+    (the REST stream) must not be evaluated twice, and a written stage also
+    survives executor loss (unlike a cache). Drop the stage after the merge.
+    """
+    stage = f"{table}__batch{batch_id}"
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")      # a replayed batch id starts clean
+    batch.write.mode("overwrite").saveAsTable(stage)
+    return spark.table(stage), stage
+
+
 def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, checkpoint: str,
                   fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = ()):
     """R2: append new files under ``path`` to a parquet folder, then stop."""
@@ -53,7 +66,9 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequ
                   order_by: Sequence[str], checkpoint: str, buckets: int | None = None, available_now: bool = True):
     """Every micro-batch is upserted on the key (W4); replays are harmless."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, batch, table, keys, order_by, buckets)
+        rows, stage = _landed(spark, batch, table, batch_id)
+        upsert(spark, rows, table, keys, order_by, buckets)
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -71,7 +86,8 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
     runs (first seen = min, count = sum, state = newest) and swapped in.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        b = run_status(batch, run, state, ts, terminal)
+        rows, stage = _landed(spark, batch, table, batch_id)
+        b = run_status(rows, run, state, ts, terminal)
         if spark.catalog.tableExists(table):
             cur = spark.table(table).drop(BUCKET_COL)
             old = cur.join(b.select(run), run, "left_semi")
@@ -85,6 +101,7 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
                               F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen")))
                               .alias("duration_ms"))
         upsert(spark, b, table, [run], ["last_seen"])
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w

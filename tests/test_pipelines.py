@@ -59,3 +59,20 @@ def test_literal_rows(spark):
 
     r = literal_rows(spark, 1, hello=1).withColumn("ts", F.current_timestamp()).collect()
     assert r[0].hello == 1 and r[0].ts is not None
+
+
+def test_upsert_mode_fetches_once_and_merges(spark):
+    db = fresh_db(spark)
+    t = f"{db}.bronze"
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(ScriptedTransport):
+        def fetch(self, key, row=None):
+            calls.add(1)
+            return super().fetch(key, row)
+
+    run_api_ingest(spark, spark.range(0, 6), Counting({}), t, sleep=lambda s: None, mode="upsert")
+    run_api_ingest(spark, spark.range(4, 10), Counting({5: [404]}), t, sleep=lambda s: None, mode="upsert")
+    assert calls.value == 12                      # every id requested exactly once per run
+    rows = {r.object_id: r.http_status for r in spark.table(t).collect()}
+    assert sorted(rows) == list(range(10)) and rows[5] == 404
