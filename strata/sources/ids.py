@@ -66,6 +66,9 @@ def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in order_by]
     if n <= TOPK_MAX:
         return df.orderBy(*order).limit(n)
+    from strata.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)          # the shared folder reliable checkpoints go to
     ranked = (df.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_pos", F.monotonically_increasing_id())
               .checkpoint(eager=True))
