@@ -60,6 +60,12 @@ def band_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, lo
 
 
 def _left_keep(left: DataFrame, matched: DataFrame) -> DataFrame:
-    """Left rows without a match, appended with NULL right columns."""
-    unmatched = left.join(matched.select(*left.columns).distinct(), left.columns, "left_anti")
+    """Left rows without a match, appended with NULL right columns.
+
+    The anti join compares every left column NULL-safely (``<=>``), so a left
+    row holding NULLs is recognised as matched.
+    """
+    hit = matched.select(*[F.col(c).alias(f"_m_{c}") for c in left.columns]).distinct()
+    cond = [left[c].eqNullSafe(hit[f"_m_{c}"]) for c in left.columns]
+    unmatched = left.join(hit, cond, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
