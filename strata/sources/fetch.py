@@ -107,13 +107,13 @@ def fetch_one(transport: Transport, bucket: TokenBucket, key, row, sleep,
 
 
 def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attempts: int,
-              clock, sleep):
+              clock, sleep, backoff=None):
     carry = list(transport.carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = transport.open()
         bucket = TokenBucket(rate, clock=clock or time.monotonic, sleep=sleep or time.sleep)
-        pause = sleep or time.sleep
+        pause = backoff or sleep or time.sleep
         try:
             for pdf in batches:
                 keys = pdf["id"].tolist()
@@ -139,13 +139,15 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
 def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None = None,
               partitions: int | None = None, key_col: str = "id", key_type: str = "bigint",
               max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None,
-              stamp: bool = True) -> DataFrame:
+              stamp: bool = True, backoff=None) -> DataFrame:
     """Fetch every id once through ``transport``; returns the Bronze rows.
 
-    ``partitions`` defaults to the cluster's default parallelism. The ids are
-    hash-partitioned on the key into ``tasks`` partitions so a
-    re-run places each id on the same task, and the global rate is split
-    evenly between tasks. The result is lazy: write it with one action.
+    ``partitions`` defaults to the cluster's default parallelism. ``sleep``
+    is the clock's wait (token bucket and, unless ``backoff`` is given, the
+    retry backoff). The ids are spread round-robin over ``tasks``
+    partitions (equal counts, so no task lags under its share of the rate)
+    and the global rate is split evenly between tasks. The result is lazy:
+    write it with one action.
     """
     if partitions is None:
         # a capped API needs only as many tasks as whole requests per second;
@@ -154,9 +156,12 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     tasks, per_task = plan_parallelism(rate_per_sec, partitions)
     key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]
-    # a NULL id names no object: it is never requested
-    df = ids.select(*cols).where(F.col("id").isNotNull()).repartition(tasks, "id")
-    out = df.mapInPandas(_fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep),
+    # a NULL id names no object: it is never requested. Round-robin placement
+    # gives every task the same number of ids (±1), so no task lags behind the
+    # others under its share of the rate; Spark sorts before a round-robin
+    # exchange, so a retried task sees the same ids.
+    df = ids.select(*cols).where(F.col("id").isNotNull()).repartition(tasks)
+    out = df.mapInPandas(_fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep, backoff),
                          schema=bronze_schema(key_type))
     if stamp:
         out = out.withColumn("ingested_at", F.current_timestamp())
