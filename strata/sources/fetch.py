@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import time
+import warnings
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -149,10 +150,14 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     and the global rate is split evenly between tasks. The result is lazy:
     write it with one action.
     """
+    spark = ids.sparkSession
+    if spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true":
+        warnings.warn("spark.speculation is on: speculative copies of fetch tasks repeat remote calls "
+                      "and can exceed the rate cap; run API ingest in a session with it off")
     if partitions is None:
         # a capped API needs only as many tasks as whole requests per second;
         # an uncapped one gets the cluster's full parallelism
-        partitions = ids.sparkSession.sparkContext.defaultParallelism
+        partitions = spark.sparkContext.defaultParallelism
     tasks, per_task = plan_parallelism(rate_per_sec, partitions)
     key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]
