@@ -1473,3 +1473,22 @@ def bronze_incremental(spark, sf):
     run_api_ingest(spark, reqs.join(todo, "id", "left_semi"), ReplayTransport(), bronze, sleep=no_sleep,
                    mode="upsert")
     return spark.table(bronze).select("object_id", "http_status", "raw_json", "error_message")
+
+
+# ---------------------------------------------------------------- A7 over Bronze
+DRIFT_FIELDS = S.spec(("id", "bigint", "id"), ("value", "double", "value"), ("k", "int", "k"),
+                      ("event_type", "int", "event_type_as_int"))
+
+
+@register("silver_quality_bronze", """
+WITH ok AS (SELECT * FROM events WHERE event_type NOT IN ('error', 'signup'))
+SELECT column_name, null_count, cast_failures, row_count FROM (
+  SELECT 'id' AS column_name, 0 AS o, CAST(0 AS BIGINT) AS null_count, CAST(0 AS BIGINT) AS cast_failures,
+         count(*) AS row_count FROM ok
+  UNION ALL SELECT 'value', 1, 0, 0, count(*) FROM ok
+  UNION ALL SELECT 'k', 2, 0, 0, count(*) FROM ok
+  UNION ALL SELECT 'event_type_as_int', 3, 0, count(*), count(*) FROM ok) t
+""")
+def silver_quality_bronze(spark, sf):
+    """NULL and cast-failure profile of a Silver spec over fetched Bronze (one field drifted)."""
+    return S.silver_quality(events_bronze(spark, sf), DRIFT_FIELDS)
