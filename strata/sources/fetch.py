@@ -1,6 +1,6 @@
 """Rate-limited, retrying fan-out fetch.
 
-ids -> hash-repartition(N) -> mapInPandas(one transport session and one token
+ids -> round-robin repartition(N) -> mapInPandas(one transport session and one token
 bucket per task) -> fixed Bronze schema. The per-request loop is Python by
 nature (one remote call per id); everything around it is DataFrame work.
 """
