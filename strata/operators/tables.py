@@ -126,26 +126,17 @@ def dedupe_token(df: DataFrame, token: str, order_by: Sequence[str]) -> DataFram
 # ---------------------------------------------------------------- upsert
 BUCKETS_PROP = "strata.buckets"
 BUCKETS_CONF = "strata.upsert.buckets"          # session override for new keyed tables
-BUCKET_TARGET_BYTES = 256 * 1024 * 1024
 MAX_BUCKETS = 4096                              # keep partition directories listable
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes scaled by the projection)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable: caller falls back
-        return None
-
-
-def bucket_count(spark: SparkSession, table: str, buckets: int | None = None,
-                 sample: DataFrame | None = None) -> int:
+def bucket_count(spark: SparkSession, table: str, buckets: int | None = None) -> int:
     """Bucket count of a keyed table.
 
     Stored with the table once created, so every later upsert hashes keys the
     same way. A new table takes ``buckets``, else the session setting
-    ``strata.upsert.buckets``, else one bucket per ~256 MB of the first batch
-    (at most 4096 directories; big buckets hold several files).
+    ``strata.upsert.buckets``, else the cluster's default parallelism (one
+    bucket per core that builds it), at most 4096 directories; large buckets
+    hold several files.
     """
     if spark.catalog.tableExists(table):
         props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
@@ -156,10 +147,7 @@ def bucket_count(spark: SparkSession, table: str, buckets: int | None = None,
     conf = spark.conf.get(BUCKETS_CONF, None)
     if conf:
         return int(conf)
-    size = estimated_bytes(sample) if sample is not None else None
-    if size is None:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_BUCKETS, -(-size // BUCKET_TARGET_BYTES)))
+    return max(1, min(MAX_BUCKETS, spark.sparkContext.defaultParallelism))
 
 
 def _mark_buckets(spark: SparkSession, table: str, buckets: int) -> None:
@@ -185,7 +173,7 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
     ensure_schema_of(spark, table)
     if spark.catalog.tableExists(stage):          # finish a swap a crash interrupted
         _swap_in(spark, stage, table)
-    buckets = bucket_count(spark, table, buckets, sample=df)
+    buckets = bucket_count(spark, table, buckets)
     inc = df.withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
     if not spark.catalog.tableExists(table):
         write_full(latest(inc, keys + [BUCKET_COL], order_by), table, [BUCKET_COL])
@@ -220,7 +208,7 @@ def write_keyed(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequen
                 buckets: int | None = None) -> None:
     """Full rebuild of a keyed table in the layout ``upsert`` maintains."""
     spark = df.sparkSession
-    buckets = bucket_count(spark, table, buckets, sample=df)
+    buckets = bucket_count(spark, table, buckets)
     out = latest(df, keys, order_by).withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
     write_full(out, table, [BUCKET_COL])
     _mark_buckets(spark, table, buckets)

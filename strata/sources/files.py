@@ -25,25 +25,19 @@ def read_files(spark: SparkSession, prefix: str, pattern: str = "*", fmt: str =
     return reader.options(**opts).load(path)
 
 
-BALANCE_MIN_BYTES = 1024 * 1024
 BROADCAST_MAX_ROWS = 100_000   # hint a broadcast only below this proven row bound
 
 
-def balanced(df: DataFrame, min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan over the cluster when its files cannot be split enough.
 
     A parquet file with one row group is read by one task however many cores
     there are, and every narrow step after it (JSON building and parsing,
-    projections) stays on that core. When the input is not tiny and has fewer
-    partitions than the cluster's parallelism, redistribute it round-robin;
-    otherwise (the normal case for large inputs) return it untouched, so no
-    shuffle is added at scale.
+    projections) stays on that core. Meant for row-heavy work right after a
+    scan: when the input has fewer partitions than the cluster's parallelism
+    it is redistributed; otherwise (the normal case for large inputs) it is
+    returned untouched, so no shuffle is added at scale.
     """
-    from strata.operators.tables import estimated_bytes
-
-    size = estimated_bytes(df)
-    if size is not None and size < min_bytes:
-        return df
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
