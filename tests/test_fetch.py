@@ -154,3 +154,11 @@ def test_bucket_never_exceeds_cap(rate, n, latency):
         c.t += latency          # time spent on the request itself
     # n grants need at least n - 1 refills after the first token, whatever the latency
     assert granted[-1] - start >= (n - 1) / rate - 1e-9
+
+
+def test_classify_column(spark):
+    from strata.sources.fetch import classify
+
+    df = spark.createDataFrame([(200,), (404,), (0,), (503,), (418,)], "http_status int")
+    assert [r.c for r in df.select(classify("http_status").alias("c")).collect()] == \
+        ["ok", "not_found", "network_error", "retries_exhausted", "unexpected_status"]
