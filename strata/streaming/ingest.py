@@ -63,9 +63,18 @@ def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, chec
 
 
 def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequence[str],
-                  order_by: Sequence[str], checkpoint: str, buckets: int | None = None, available_now: bool = True):
-    """Every micro-batch is upserted on the key (W4); replays are harmless."""
+                  order_by: Sequence[str], checkpoint: str, buckets: int | None = None, available_now: bool = True,
+                  land: bool = True):
+    """Every micro-batch is upserted on the key (W4); replays are harmless.
+
+    ``land=True`` writes each micro-batch once before the merge (required for
+    sources with side effects, e.g. the REST stream); a file source re-reads
+    the same files, so ``land=False`` skips that write.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
+        if not land:
+            upsert(spark, batch, table, keys, order_by, buckets)
+            return
         rows, stage = _landed(spark, batch, table, batch_id)
         upsert(spark, rows, table, keys, order_by, buckets)
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
@@ -79,14 +88,14 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequ
 
 
 def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: str, state: str, ts: str,
-                      terminal: Sequence[str], checkpoint: str, available_now: bool = True):
+                      terminal: Sequence[str], checkpoint: str, available_now: bool = True, land: bool = True):
     """Latest state per run kept current from an observation stream.
 
     Each batch is reduced per run, merged with the stored rows of the same
     runs (first seen = min, count = sum, state = newest) and swapped in.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows, stage = _landed(spark, batch, table, batch_id)
+        rows, stage = _landed(spark, batch, table, batch_id) if land else (batch, None)
         b = run_status(rows, run, state, ts, terminal)
         if spark.catalog.tableExists(table):
             cur = spark.table(table).drop(BUCKET_COL)
@@ -101,7 +110,8 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
                               F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen")))
                               .alias("duration_ms"))
         upsert(spark, b, table, [run], ["last_seen"])
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        if stage:
+            spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
