@@ -154,10 +154,15 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     if spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true":
         warnings.warn("spark.speculation is on: speculative copies of fetch tasks repeat remote calls "
                       "and can exceed the rate cap; run API ingest in a session with it off")
+    cores = spark.sparkContext.defaultParallelism
     if partitions is None:
         # a capped API needs only as many tasks as whole requests per second;
         # an uncapped one gets the cluster's full parallelism
-        partitions = spark.sparkContext.defaultParallelism
+        partitions = cores
+    elif rate_per_sec:
+        # more capped tasks than cores would run in waves, each wave holding
+        # only its share of the rate: fewer, faster tasks keep the whole cap
+        partitions = min(partitions, cores)
     tasks, per_task = plan_parallelism(rate_per_sec, partitions)
     key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]
