@@ -2,7 +2,8 @@
 
 One ``from_json`` with an all-STRING struct parses each document once; every
 field is then cast on its own (``try_cast`` by default, ``cast`` when
-strict). Catalyst prunes the parse to the fields actually selected.
+strict). The struct is kept in its own projection: inlined into one
+projection, Catalyst would split it into one parse per field.
 """
 
 from __future__ import annotations
