@@ -67,3 +67,13 @@ def test_first_n_large_path_is_exact(spark, monkeypatch):
     assert sorted(got) == list(range(1234))
     assert I.cap_ids(ids, 5000).count() == 5000
     assert I.cap_ids(ids, 9999).count() == 5000
+
+
+def test_cursor_shards_cover_every_key_once(spark):
+    keys = list(range(1, 1001, 3))                                 # one big source
+    t = ScriptedTransport({}, pages={"big": keys})
+    kdf = spark.createDataFrame([("big", k) for k in keys], "source string, id bigint")
+    shards = I.cursor_shards(kdf, 5)
+    assert shards.count() == 5
+    got = sorted(r.id for r in I.cursor_pages(shards, t, page_size=7).collect())
+    assert got == keys
