@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import registry
 from tests.oracle_compare import compare, duck
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
