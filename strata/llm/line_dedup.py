@@ -24,6 +24,7 @@ from strata.llm.common import SPACES, ascii_lower
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+SALTS = 8           # parts that the rows of one hash are joined in
 
 
 def _lines(c):
@@ -42,7 +43,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
                          F.hash("key").alias("h2"), F.length("key").alias("n"))
     often = (lines.select("h", "h2", "n", "id").distinct().groupBy("h", "h2", "n")
              .agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).drop("docs"))
-    drop = (lines.join(often, ["h", "h2", "n"], "left_semi")
+    # Salted, so that a line of very many documents is joined in several tasks.
+    often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    drop = (lines.join(often, ["h", "h2", "n", "salt"], "left_semi")
             .groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("pos").alias("_drop")))
     joined = docs.join(drop, F.col(id_col).eqNullSafe(F.col("_id")) & (own == F.col("_th")), "left")
     kept = F.filter(F.col("_lines"), lambda _, i: ~F.array_contains(F.col("_drop"), i))
