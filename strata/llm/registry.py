@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import fingerprint, line_dedup, packing, token_counts, token_output
+from strata.llm import fingerprint, line_dedup, packing, sharding, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -24,4 +24,5 @@ _add(fingerprint.op3_fingerprint)
 _add(line_dedup.op6_line_dedup, line_dedup.ORACLE)
 _add(token_output.op7_token_output)
 _add(token_counts.op8_token_counts)
+_add(sharding.op9_sharding)
 _add(packing.op10_packing)
