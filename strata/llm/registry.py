@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import fingerprint, line_dedup, packing, sharding, token_counts, token_output
+from strata.llm import decontam, fingerprint, line_dedup, packing, sharding, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -20,6 +20,7 @@ def _add(fn, oracle: str | None = None) -> None:
         ORACLES[fn.__name__] = oracle.strip()
 
 
+_add(decontam.op1_decontamination, decontam.ORACLE)
 _add(fingerprint.op3_fingerprint)
 _add(line_dedup.op6_line_dedup, line_dedup.ORACLE)
 _add(token_output.op7_token_output)
