@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontam, fingerprint, line_dedup, packing, sharding, token_counts, token_output
+from strata.llm import decontam, fingerprint, line_dedup, packing, quality, sharding, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -22,6 +22,7 @@ def _add(fn, oracle: str | None = None) -> None:
 
 _add(decontam.op1_decontamination, decontam.ORACLE)
 _add(fingerprint.op3_fingerprint)
+_add(quality.op5_quality)
 _add(line_dedup.op6_line_dedup, line_dedup.ORACLE)
 _add(token_output.op7_token_output)
 _add(token_counts.op8_token_counts)
