@@ -134,7 +134,7 @@ def window_hashes(words: np.ndarray, first: np.ndarray, size: int, powers: Power
     np.cumsum(words * up, out=total[1:])
     out = np.zeros(n, U)
     m = n - size + 1
-    out[:m] = mix((total[size:] - total[:m]) * down[:m] + U(size) * GOLD)
+    out[:m] = mix((total[size:] - total[:m]) * down[:m] + U(size * int(GOLD) % 2 ** 64))
     last = np.repeat(first[1:], np.diff(first))
     ok[:m] = np.arange(m) + size <= last[:m]
     return out, ok
