@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontam, fingerprint, line_dedup, packing, quality, sharding, substring_dedup, token_counts, token_output
+from strata.llm import decontam, fingerprint, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -23,6 +23,7 @@ def _add(fn, oracle: str | None = None) -> None:
 _add(decontam.op1_decontamination, decontam.ORACLE)
 _add(substring_dedup.op2_substring_dedup, substring_dedup.ORACLE)
 _add(fingerprint.op3_fingerprint)
+_add(ngram_join.op4_ngram_join, ngram_join.ORACLE)
 _add(quality.op5_quality)
 _add(line_dedup.op6_line_dedup, line_dedup.ORACLE)
 _add(token_output.op7_token_output)
