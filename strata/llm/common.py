@@ -53,3 +53,11 @@ def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col
         return F.lit(0)
     at = F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= F.col(id_col).cast("double"))
     return F.when(F.col(id_col).isNull(), 0).otherwise(F.size(at))
+
+
+def about(df: DataFrame, key: list[str], rows: int, of: int) -> DataFrame:
+    """About ``rows`` of a table of ``of`` rows, always the same ones: those of low key hashes."""
+    if of <= rows:
+        return df
+    steps = 1 << 30
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(steps)) < max(1, steps * rows // of))

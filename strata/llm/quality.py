@@ -7,7 +7,7 @@
 2. Pooling. A document is the mean of its word vectors, of their squares and of
    the products of neighbours (which tells repetition from prose).
 3. A two-layer numpy network on a bounded sample of labelled rows
-   (``max_train``, the rows with the lowest id hashes), then a temperature
+   (about ``max_train`` rows, by a hash of their ids), then a temperature
    fitted on rows kept out of the training, so that scores are probabilities.
 
 Labels serve the fit only; id, language and source are never inputs.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns, stage
+from strata.llm.common import about, doc_columns, stage
 
 BUCKETS = 1 << 15
 DIMS = 64
@@ -238,14 +238,13 @@ def _sigmoid(x):
 
 
 def fit(features: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Network:
-    """A network from labelled rows whose ids are not held out, ``max_train`` of them at most."""
+    """A network from labelled rows whose ids are not held out, about ``max_train`` of them."""
     import numpy as np
 
     known = (labels.select("doc_id", "quality").where(F.col("quality").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = (features.join(known, "doc_id").orderBy("doc_id", "text_hash").limit(max_train)
-            .select("features", "quality").collect())
+    known = about(known, ["doc_id"], max_train, known.count())
+    rows = features.join(known, "doc_id").orderBy("doc_id", "text_hash").select("features", "quality").collect()
     x = np.frombuffer(b"".join(bytes(r["features"]) for r in rows), np.float32).reshape(-1, 3 * DIMS)
     return Network(x.astype(np.float64), np.array([float(r["quality"]) for r in rows]))
 

@@ -29,13 +29,13 @@ import struct
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns, id_ranges
+from strata.llm.common import about, doc_columns, id_ranges
 from strata.llm.tokens import word_tokenizer
 from strata.session import scratch_dir
 
 MAGIC = b"STID1\0"
 HEAD = struct.Struct("<6sBxQQ")
-DICT_SAMPLE = 1000          # documents that the dictionary is trained on
+DICT_SAMPLE = 1000          # about so many documents train the dictionary
 DICT_SAMPLE_BYTES = 1 << 16  # longer texts are left out of the sample
 DICT_BYTES = 1 << 15
 LEVEL = 3
@@ -53,14 +53,14 @@ def ids_width(path: str) -> int:
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int | None, width: int) -> bytes:
-    """A zstandard dictionary from the ids of a bounded sample: the rows with the lowest id hashes."""
+    """A zstandard dictionary from the ids of a sample of about ``DICT_SAMPLE`` rows."""
     import zstandard
 
     from strata.llm.text import encode
     from strata.llm.tokens import encoder
 
-    rows = (docs.where(F.octet_length("text") <= DICT_SAMPLE_BYTES)
-            .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(DICT_SAMPLE).select("text").collect())
+    some = about(docs, ["doc_id"], DICT_SAMPLE, docs.count()).where(F.octet_length("text") <= DICT_SAMPLE_BYTES)
+    rows = some.orderBy("doc_id", F.xxhash64("text")).select("text").collect()
     enc, samples = encoder(path, end_id), []
     for r in rows:
         ids, _ = enc.encode(encode([r["text"]]))
