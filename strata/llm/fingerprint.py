@@ -92,9 +92,11 @@ def encode(a) -> Column:
     return F.array_join(F.transform(_c(a), lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(spark: SparkSession, docs: DataFrame, columns: list[str], then=lambda df: df) -> DataFrame:
     """``docs`` plus ``next_<c>``: the columns of the next row by ascending (doc_id, text); last meets first.
 
+    ``then`` adds columns to each row before the rows are dealt out.
+
     Rows are dealt into id ranges; the first row of each range is added to the
     range before it (that of the first range to the last), so one window per
     range sees every successor and no task sees all rows.
@@ -109,7 +111,7 @@ def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataF
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = firsts.select(F.coalesce(F.lag("range_no").over(order), F.last("range_no").over(whole)).alias("range_no"),
                           "f.*").withColumn("later", F.lit(1))
-    both = cut.unionByName(heads.select(*cut.columns))
+    both = then(cut.unionByName(heads.select(*cut.columns)))
     by = Window.partitionBy("range_no").orderBy("later", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return (both.select("*", *[F.lead(c).over(by).alias(f"next_{c}") for c in columns])
             .where(F.col("later") == 0).drop("later", "range_no"))
@@ -117,8 +119,7 @@ def with_next(spark: SparkSession, docs: DataFrame, columns: list[str]) -> DataF
 
 def op3_fingerprint(spark, sf_dir: str) -> DataFrame:
     docs = doc_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    own = with_sketch(docs, "text", "sketch")
-    pairs = with_next(spark, own, ["text", "sketch"]).withColumn("n", F.char_length("text"))
+    pairs = with_next(spark, docs, ["text", "sketch"], lambda df: with_sketch(df, "text", "sketch")).withColumn("n", F.char_length("text"))
     cut = F.floor(F.col("n") / 2).cast("int")
     edited = F.concat(F.expr("substring(text, 1, n - cast(floor(n / 2) as int))"),
                       F.substring(F.col("next_text"), F.lit(1), cut))
