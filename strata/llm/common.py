@@ -34,6 +34,24 @@ def doc_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, hash of the text) lie in ``gone`` (doc_id, text_hash)."""
+    i, h = unused(docs, "gone_id", "gone_hash")
+    gone = gone.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(h))
+    return docs.join(gone, same, "left_anti")
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts: one number, from which counts of batches are set."""
     return int(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns, stage, text_bytes
+from strata.llm.common import doc_columns, stage, text_bytes, without
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
@@ -238,10 +238,7 @@ def find_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, on
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """``docs`` without its contaminated rows; columns stay."""
-    bad = find_contaminated(spark, docs, items, **kw).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_th"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, find_contaminated(spark, docs, items, **kw).where("contaminated"))
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACES, ascii_lower
+from strata.llm.common import SPACES, ascii_lower, unused
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -33,7 +33,12 @@ def _lines(c):
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus ``_kept_text``, ``_n_lines`` and ``_n_dropped``."""
+    """All rows and columns of ``docs`` plus kept_text, n_lines and n_dropped.
+
+    Where ``docs`` has a column of such a name, the new one gets underscores before its name.
+    """
+    kept_text, n_lines, n_dropped, rid, rth, drop, split = unused(
+        docs, "kept_text", "n_lines", "n_dropped", "drop_id", "drop_hash", "drop", "split")
     own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     base = docs.select(F.col(id_col).alias("id"), own.alias("th"), _lines(F.col(text_col)).alias("lines"))
     lines = base.select("id", "th", F.posexplode("lines").alias("pos", "line"))
@@ -46,30 +51,28 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     # Salted, so that a line of very many documents is joined in several tasks.
     often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     lines = lines.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    drop = (lines.join(often, ["h", "h2", "n", "salt"], "left_semi")
-            .groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("pos").alias("_drop")))
-    joined = docs.join(drop, F.col(id_col).eqNullSafe(F.col("_id")) & (own == F.col("_th")), "left")
-    kept = F.filter(F.col("_lines"), lambda _, i: ~F.array_contains(F.col("_drop"), i))
-    return (joined.withColumn("_lines", _lines(F.col(text_col)))
-            .withColumn("_kept_text", F.when(F.col("_drop").isNull(), F.coalesce(F.col(text_col), F.lit("")))
+    gone = (lines.join(often, ["h", "h2", "n", "salt"], "left_semi")
+            .groupBy(F.col("id").alias(rid), F.col("th").alias(rth)).agg(F.collect_set("pos").alias(drop)))
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(rid)) & (own == F.col(rth)), "left")
+    kept = F.filter(F.col(split), lambda _, i: ~F.array_contains(F.col(drop), i))
+    return (joined.withColumn(split, _lines(F.col(text_col)))
+            .withColumn(kept_text, F.when(F.col(drop).isNull(), F.coalesce(F.col(text_col), F.lit("")))
                         .otherwise(F.array_join(kept, "\n")))
-            .withColumn("_n_lines", F.size("_lines").cast("long"))
-            .withColumn("_n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-            .drop("_id", "_th", "_drop", "_lines"))
+            .withColumn(n_lines, F.size(split).cast("long"))
+            .withColumn(n_dropped, F.coalesce(F.size(drop), F.lit(0)).cast("long"))
+            .drop(rid, rth, drop, split))
 
 
-def drop_lines(docs: DataFrame, **kw) -> DataFrame:
+def drop_lines(docs: DataFrame, text_col: str = "text", **kw) -> DataFrame:
     """``docs`` with shared lines gone from the text; null texts become empty, the columns stay."""
-    text_col = kw.get("text_col", "text")
-    out = dedup_lines(docs, **kw)
-    return out.select(*[F.col("_kept_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    kept, = unused(docs, "kept_text")
+    out = dedup_lines(docs, text_col=text_col, **kw)
+    return out.select(*[F.col(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", F.col("_n_lines").alias("n_lines"),
-                                    F.col("_n_dropped").alias("n_dropped"),
-                                    F.sha2(F.col("_kept_text"), 256).alias("kept_sha256"))
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 ORACLE = r"""

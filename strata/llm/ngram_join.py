@@ -25,7 +25,8 @@ of those. No pair is dropped: every two documents of a group meet in one cell.
 Defined cases: null or empty texts, or such without words, have an empty set,
 link with nothing and are their own component; a text of fewer words than a
 shingle is one shingle; copies link with each other; repeated rows of one id are
-copies; other columns are left out; ids are integers, a null one is kept apart.
+copies; other columns are left out; ids are integers; a row with a null id has
+the component of its copies, or null if it has none with an id.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns, stage, text_bytes
+from strata.llm.common import doc_columns, stage, text_bytes, without
 from strata.llm.components import connected_components
 from strata.llm.keys import (PACKED, batched, bucket_count, bucket_of, packed, per_batch, per_bucket, replies, unpacked,
                              with_replies)
@@ -47,6 +48,7 @@ BLOCK = 64              # documents of a group in one block
 TOKENS_AT_ONCE = 1 << 14  # columns of a cell's matrix at a time
 SALTS = 8
 ORDERS = 3
+NO_ID = 1 << 62         # texts without any id get numbers from here on; ids are below
 SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 PAYLOAD = np.uint64(0x3FFFFFFF)
 
@@ -205,17 +207,18 @@ def _cells(found: DataFrame) -> DataFrame:
 
 def ngram_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, n_links of every row of ``docs``."""
-    docs = doc_columns(docs).withColumn("text_hash", F.xxhash64("text"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", F.md5("text").alias("same"))
-    texts = (docs.withColumn("same", F.md5("text")).groupBy("same")
-             .agg(F.min(F.col("doc_id").cast("long")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")))
-    copies = stage(spark, ids.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+    docs = doc_columns(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"),
+                                    F.md5("text").alias("same"))
+    ids = docs.select("doc_id", "text_hash", "same")
+    rep = F.coalesce(F.min("doc_id"), F.lit(NO_ID) + F.pmod(F.xxhash64("same"), F.lit(NO_ID))).alias("rep")
+    texts = docs.groupBy("same").agg(rep, F.first("text").alias("text"))
+    copies = stage(spark, ids.groupBy("same").agg(rep, F.count(F.lit(1)).alias("copies")), "classes")
     n_bytes = text_bytes(docs)
     n = bucket_count(n_bytes)
     reps = batched(texts.select("rep", "text", F.col("rep").alias("doc_id")), n_bytes).select("batch", "rep", "text")
     shared = per_bucket(per_batch(reps, _ask_tokens(size, n), PACKED), _find_shared)
     sets = stage(spark, with_replies(reps, shared, _prefixes(size, percent, n), SETS), "sets")
-    live = sets.where("p1 is not null and rep is not null").withColumn("grp", F.lit(0).cast("long"))
+    live = sets.where("p1 is not null").withColumn("grp", F.lit(0).cast("long"))
     first = _regroup(spark, live.select("rep", "grp", "p1"), "p1")
     second = _regroup(spark, live.drop("grp").join(first, "rep").select("rep", "grp", "p2"), "p2")
     found = live.drop("grp").join(second, "rep").join(copies.drop("same"), "rep")
@@ -229,17 +232,19 @@ def ngram_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percen
     of_rep = of_rep.select("same", "rep", "n", "copies", "component", "links",
                            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     out = ids.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(of_rep, ["same", "salt"], "left")
-    empty = F.coalesce("n", F.lit(0)) == 0
+    empty, least = F.coalesce("n", F.lit(0)) == 0, F.coalesce("component", "rep")
     return out.select("doc_id", "text_hash", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
-                      F.when(empty, F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"),
+                      F.when(empty, F.col("doc_id")).when(least < NO_ID, least).alias("component_id"),
                       F.when(empty, 0).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; columns stay."""
+    """``docs`` with one document of each component, that of the smallest id; columns stay.
+
+    Rows that repeat that id and its text, and rows with a null id, all stay.
+    """
     found = ngram_join(spark, docs, size, percent)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return without(docs, found.where(F.col("doc_id") != F.col("component_id")))
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:

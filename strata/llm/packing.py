@@ -158,7 +158,8 @@ def pack(spark: SparkSession, docs: DataFrame, window: int = WINDOW, path: str |
     order = Window.partitionBy("range_no", "length").orderBy(F.col("doc_id").asc_nulls_first(), "start", "ids_crc32")
     ranked = pieces.withColumn("inside", F.row_number().over(order) - 1).join(counts, ["range_no", "length"])
     ranked = ranked.withColumn("rank", (F.col("base") + F.col("inside")).cast("long")).drop("base", "inside", "range_no")
-    return with_places(ranked if with_ids else ranked.drop("ids"), places)
+    columns = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", *(["ids"] if with_ids else []), "rank"]
+    return with_places(ranked.select(*columns), places)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import about, doc_columns, stage
+from strata.llm.common import about, doc_columns, stage, without
 
 BUCKETS = 1 << 15
 DIMS = 64
@@ -186,7 +186,7 @@ class Network:
         import numpy as np
 
         self.base = float(y.mean()) if len(y) else 0.5
-        self.trained = 0 < self.base < 1
+        self.trained = bool(len(y)) and 0 < self.base < 1
         if not self.trained:
             return
         rng = np.random.Generator(np.random.PCG64(seed))
@@ -212,7 +212,7 @@ class Network:
                     p -= 0.002 * (mi / (1 - 0.9 ** t)) / ((vi / (1 - 0.999 ** t)) ** 0.5 + 1e-8)
         self.w, self.temperature = w, 1.0
         logit, yc = self.logits(x[~keep]), y[~keep]
-        if 0 < yc.mean() < 1:
+        if len(yc) and 0 < yc.mean() < 1:
             def loss(temp):
                 p = np.clip(_sigmoid(logit / temp), 1e-12, 1 - 1e-12)
                 return -(yc * np.log(p) + (1 - yc) * np.log(1 - p)).mean()
@@ -272,10 +272,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_train:
 
 def drop_rejected(spark: SparkSession, docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     """``docs`` without rows that the classifier rejects; columns stay."""
-    bad = classify(spark, docs, labels, **kw).where("predicted = 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_th"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, classify(spark, docs, labels, **kw).where("predicted = 0"))
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
