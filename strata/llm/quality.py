@@ -34,7 +34,8 @@ HIDDEN = 32
 EPOCHS = 40
 MAX_TRAIN = 20_000
 CUT = 0.3
-TRAIN_CHUNK = 4 << 20
+WORDS_AT_ONCE = 1 << 18  # words whose neighbours are counted at a time
+POOL_AT_ONCE = 1 << 12   # word vectors held at a time
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -68,20 +69,23 @@ def index_vectors(seed: int):
     return rng.integers(0, DIMS, (BUCKETS, NONZERO)), rng.integers(0, 2, (BUCKETS, NONZERO)) * 2 - 1
 
 
-def neighbour_sums(texts: list[bytes], places, signs):
-    """BUCKETS x DIMS: for each word, the sum of its neighbours' index vectors."""
+def neighbour_sums(texts: list[bytes], places, signs, out) -> None:
+    """Add to ``out`` (BUCKETS * DIMS): for each word, its neighbours' index vectors."""
     import numpy as np
 
     rows, first = word_rows(texts)
-    out = np.zeros(BUCKETS * DIMS)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    for step in range(1, REACH + 1):
-        same = doc[step:] == doc[:-step]
-        a, b = rows[:-step][same], rows[step:][same]
-        for word, other in ((a, b), (b, a)):
-            for k in range(NONZERO):
-                out += np.bincount(word * DIMS + places[other, k], weights=signs[other, k], minlength=len(out))
-    return out.astype(np.int64).reshape(BUCKETS, DIMS)
+    for a in range(0, len(rows), WORDS_AT_ONCE):
+        own, own_doc = rows[a:a + WORDS_AT_ONCE + REACH], doc[a:a + WORDS_AT_ONCE + REACH]
+        cells, weights = [], []
+        for step in range(1, REACH + 1):
+            n = min(WORDS_AT_ONCE, len(own) - step)
+            same = np.flatnonzero(own_doc[step:step + n] == own_doc[:n])
+            x, y = own[same], own[same + step]
+            for word, other in ((x, y), (y, x)):
+                cells.append((word[:, None] * DIMS + places[other]).ravel())
+                weights.append(signs[other].ravel())
+        out += np.bincount(np.concatenate(cells), np.concatenate(weights), len(out))
 
 
 def train_vectors(spark: SparkSession, docs: DataFrame, seed: int = 7):
@@ -97,11 +101,12 @@ def train_vectors(spark: SparkSession, docs: DataFrame, seed: int = 7):
         from strata.llm.text import chunks, encode
 
         places, signs = index_vectors(seed)
-        total = np.zeros((BUCKETS, DIMS), np.int64)
+        total = np.zeros(BUCKETS * DIMS)       # whole numbers, exact in doubles
         for batch in batches:
             texts = encode(batch.column("text").to_pylist())
-            for a, b in chunks(texts, TRAIN_CHUNK):
-                total += neighbour_sums(texts[a:b], places, signs)
+            for a, b in chunks(texts):
+                neighbour_sums(texts[a:b], places, signs, total)
+        total = total.astype(np.int64).reshape(BUCKETS, DIMS)
         small = zstandard.ZstdCompressor(level=1)
         for k in range(ROW_BLOCKS):
             part = total[k * step:(k + 1) * step]
@@ -136,21 +141,31 @@ def train_vectors(spark: SparkSession, docs: DataFrame, seed: int = 7):
 
 
 def pool(texts: list[bytes], vectors):
-    """Per text: means of the word vectors, of their squares and of neighbours' products."""
+    """Per text: means of the word vectors, of their squares and of neighbours' products.
+
+    Words are taken in runs of bounded length, whatever texts they belong to.
+    """
     import numpy as np
 
     rows, first = word_rows(texts)
     out = np.zeros((len(texts), 3 * DIMS), np.float32)
-    full = np.flatnonzero(np.diff(first))
-    if not len(full):
-        return out
-    n = np.diff(first)[full][:, None].astype(np.float32)
-    words = vectors[rows]
-    out[full, :DIMS] = np.add.reduceat(words, first[full], axis=0) / n
-    out[full, DIMS:2 * DIMS] = np.add.reduceat(words * words, first[full], axis=0) / n
-    words[:-1] *= words[1:]
-    words[first[full + 1] - 1] = 0          # a text's last word has no neighbour
-    out[full, 2 * DIMS:] = np.add.reduceat(words, first[full], axis=0) / np.maximum(n - 1, 1)
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    for a in range(0, len(rows), POOL_AT_ONCE):
+        n = min(POOL_AT_ONCE, len(rows) - a)
+        words, own = vectors[rows[a:a + n + 1]], doc[a:a + n + 1]
+        begin = np.flatnonzero(np.diff(own[:n], prepend=-1))
+        to = own[begin]
+        out[to, :DIMS] += np.add.reduceat(words[:n], begin, axis=0)
+        out[to, DIMS:2 * DIMS] += np.add.reduceat(words[:n] * words[:n], begin, axis=0)
+        m = len(words) - 1
+        if m:
+            words[:m] *= words[1:]
+            words[:m][own[:m] != own[1:]] = 0          # a text's last word has no neighbour
+            cut = begin[begin < m]
+            out[own[cut], 2 * DIMS:] += np.add.reduceat(words[:m], cut, axis=0)
+    n = np.diff(first)[:, None]
+    out[:, :2 * DIMS] /= np.maximum(n, 1)
+    out[:, 2 * DIMS:] /= np.maximum(n - 1, 1)
     return out
 
 
