@@ -1,15 +1,12 @@
 """Column-expression helpers (all JVM-side built-ins, no Python UDFs)."""
 
 from strata.functions.scalar import (  # noqa: F401
-    bucket_of,
     epoch_millis_to_ts,
     epoch_seconds_to_ts,
-    json_body,
     md5_bucket,
     md5_int,
     preview,
     row_hash,
     safe_name,
-    strict_int,
     url_for,
 )

@@ -9,20 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Marker written in place of NULL before hashing: concat_ws skips NULLs, so
-# without it ("a", NULL) and (NULL, "a") would hash alike.
-NULL_MARK = "\\N"
-SEP = "\u001f"
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def row_hash(*cols) -> Column:
-    """SHA-256 over the ordered columns as text, NULL-safe."""
-    parts = [F.coalesce(_c(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha2(F.concat_ws(SEP, *parts), 256)
+    """SHA-256 over the ordered columns as text.
+
+    Each value stands behind its length, a NULL is ``-``: no two different rows
+    give the same text, whatever the values contain.
+    """
+    def part(c):
+        text = c.cast("string")
+        return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+    return F.sha2(F.concat(*[part(_c(c)) for c in cols]), 256)
 
 
 def md5_int(key) -> Column:
@@ -38,17 +40,6 @@ def md5_bucket(key, buckets: int, seed: int | str | None = None) -> Column:
     return F.pmod(md5_int(k), F.lit(buckets))
 
 
-def bucket_of(key, buckets: int) -> Column:
-    """Storage bucket for keyed tables (xxhash64, cheap, stable across runs)."""
-    return F.pmod(F.xxhash64(_c(key)), F.lit(buckets)).cast("int")
-
-
-def strict_int(c) -> Column:
-    """INT only for plain integer text (optional sign, digits, blanks around)."""
-    s = F.trim(_c(c).cast("string"))
-    return F.when(s.rlike(r"^[+-]?[0-9]+\z"), s.try_cast("int"))
-
-
 def url_for(template: str, key) -> Column:
     """Fill ``{id}`` in a URL template from a column."""
     pre, _, post = template.partition("{id}")
@@ -70,8 +61,3 @@ def epoch_millis_to_ts(c) -> Column:
 
 def epoch_seconds_to_ts(c) -> Column:
     return F.timestamp_seconds(_c(c))
-
-
-def json_body(**fields) -> Column:
-    """Compact JSON object text from named columns, in the given order."""
-    return F.to_json(F.struct(*[_c(v).alias(k) for k, v in fields.items()]))

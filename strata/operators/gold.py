@@ -16,11 +16,6 @@ def count_by(df: DataFrame, *cols: str, top: int | None = None) -> DataFrame:
     return out.limit(top) if top is not None else out
 
 
-def open_json(df: DataFrame, col: str, ddl: str, alias: str | None = None) -> DataFrame:
-    """Parse nested JSON text into a typed struct/array column."""
-    return df.withColumn(alias or col, F.from_json(F.col(col), ddl))
-
-
 def explode_json(df: DataFrame, col: str, ddl: str, alias: str = "item", pos: bool = True) -> DataFrame:
     """One row per element of a JSON array text (empty/NULL arrays keep a NULL row)."""
     arr = F.from_json(F.col(col), ddl)

@@ -12,43 +12,36 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast hint only after checking the side's size.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check is cheap even when the side turns out to be large; beyond the
-    bound the join is left to Catalyst/AQE (sort-merge or shuffled hash).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def _micros(c):
+    return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def _secs(c):
-    return F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1_000_000.0)
+def _to_micros(seconds: float) -> int:
+    return round(seconds * 1_000_000)
 
 
 def band_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, lo_seconds: float,
               hi_seconds: float, on: Sequence[str] = (), how: str = "inner") -> DataFrame:
-    """Rows where ``left_ts + lo <= right_ts <= left_ts + hi`` (and equal ``on`` keys).
+    """Rows where ``left_ts + lo <= right_ts <= left_ts + hi`` (and equal ``on`` keys), in whole microseconds.
 
     Column names of the two sides must not collide except for ``on``.
     """
-    if hi_seconds < lo_seconds:
+    lo, hi = _to_micros(lo_seconds), _to_micros(hi_seconds)
+    if hi < lo:
         raise ValueError("hi_seconds must be >= lo_seconds")
-    width = max(float(hi_seconds - lo_seconds), 1e-6)
-    lb = F.floor((_secs(left_ts) + F.lit(float(lo_seconds))) / F.lit(width)).cast("bigint")
-    rb = F.floor(_secs(right_ts) / F.lit(width)).cast("bigint")
-    l2 = left.withColumn("_bin", lb)
+    width = max(hi - lo, 1)
+    l2 = left.withColumn("_from", _micros(left_ts) + F.lit(lo))
+    l2 = l2.withColumn("_bin", F.expr(f"_from div {width} - cast(_from % {width} < 0 as bigint)"))
     # a right row in bin b can match left rows whose window starts in bin b or b-1
-    r2 = right.withColumn("_bin", F.explode(F.array(rb, rb - F.lit(1))))
-    lo = F.expr(f"INTERVAL {int(lo_seconds * 1_000_000)} MICROSECONDS")
-    hi = F.expr(f"INTERVAL {int(hi_seconds * 1_000_000)} MICROSECONDS")
+    r2 = right.withColumn("_at", _micros(right_ts))
+    own = F.expr(f"_at div {width} - cast(_at % {width} < 0 as bigint)")
+    r2 = r2.withColumn("_bin", F.explode(F.array(own, own - F.lit(1))))
     cond = [l2["_bin"] == r2["_bin"]] + [l2[k] == r2[k] for k in on]
-    cond += [r2[right_ts] >= l2[left_ts] + lo, r2[right_ts] <= l2[left_ts] + hi]
+    cond += [r2["_at"] >= l2["_from"], r2["_at"] <= l2["_from"] + F.lit(hi - lo)]
     j = l2.join(r2, cond, "inner")
     cols = [l2[c] for c in left.columns] + [r2[c] for c in right.columns if c not in on]
     out = j.select(*cols)
@@ -59,6 +52,34 @@ def band_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, lo
     raise ValueError("how must be 'inner' or 'left'")
 
 
+def band_count(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lo_seconds: float,
+               hi_seconds: float, bin_seconds: float = 3600.0) -> DataFrame:
+    """``key`` and the number ``n`` of right rows with ``left_ts + lo <= right_ts <= left_ts + hi``.
+
+    No pair is made. Both ends of a left row's band ask how many right rows lie
+    before them: those of all earlier bins (a running sum over one row per bin)
+    plus those of the same bin (a window inside the bin). Rows of ``left`` have
+    distinct keys; those with a null time count 0.
+    """
+    lo, hi, width = _to_micros(lo_seconds), _to_micros(hi_seconds), _to_micros(bin_seconds)
+    at = _micros(left_ts)
+    # side -1 stands before a right row of the same instant, side 1 after it
+    ends = left.select(key, F.explode(F.array(
+        F.struct((at + F.lit(lo)).alias("at"), F.lit(-1).alias("side")),
+        F.struct((at + F.lit(hi)).alias("at"), F.lit(1).alias("side")))).alias("e")).select(key, "e.at", "e.side")
+    kind = left.schema[key].dataType
+    points = right.select(F.lit(None).cast(kind).alias(key), _micros(right_ts).alias("at"), F.lit(0).alias("side"))
+    binned = ends.unionByName(points).where("at is not null").withColumn(
+        "bin", F.expr(f"at div {width} - cast(at % {width} < 0 as bigint)"))
+    hit = F.when(F.col("side") == 0, 1).otherwise(0)
+    order = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = binned.groupBy("bin").agg(F.sum(hit).alias("c")).select("bin", F.coalesce(F.sum("c").over(order), F.lit(0)).alias("before"))
+    inside = F.sum(hit).over(Window.partitionBy("bin").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0))
+    ranks = binned.withColumn("inside", inside).where("side <> 0").join(bins, "bin")
+    counts = ranks.groupBy(key).agg(F.sum(F.col("side") * (F.col("before") + F.col("inside"))).cast("bigint").alias("n"))
+    return left.select(key).join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def _left_keep(left: DataFrame, matched: DataFrame) -> DataFrame:
     """Left rows without a match, appended with NULL right columns.
 

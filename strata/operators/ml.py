@@ -45,7 +45,8 @@ def split_label(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> list
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vectors; a row with a NULL feature keeps its place and has no vector values (NaN)."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
 @dataclass
@@ -116,6 +117,11 @@ def score(model, df: DataFrame, features: Sequence[str], label: str | None = Non
     else:
         cols = list(keep) + list(features) + ([label] if label and label not in keep else [])
         out = model.transform(assemble(df.select(*dict.fromkeys(cols)), features))
+        # as the OLS path: no prediction where a feature is missing, and no row lost
+        known = F.lit(True)
+        for f in features:
+            known = known & F.col(f).isNotNull()
+        out = out.withColumn("predicted", F.when(known, F.col("predicted")))
     sel = [*keep, F.col("predicted").cast("double").alias("predicted")]
     if label:
         sel.append(F.col(label).cast("double").alias("actual"))
@@ -125,12 +131,16 @@ def score(model, df: DataFrame, features: Sequence[str], label: str | None = Non
 
 
 def regression_metrics(pred: DataFrame, predicted: str = "predicted", actual: str = "actual") -> DataFrame:
-    """RMSE and R^2 = 1 - SSE/SST in one aggregation (SST from the stable var_pop)."""
-    err = F.col(predicted) - F.col(actual)
-    agg = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("sse"),
-                   (F.var_pop(actual) * F.count(F.lit(1))).alias("sst"))
-    return agg.select("n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-                      (F.lit(1.0) - F.col("sse") / F.col("sst")).alias("r2"))
+    """RMSE and R^2 = 1 - SSE/SST over the rows that have both values, in one aggregation.
+
+    ``n`` counts those rows, ``n_unscored`` the others.
+    """
+    both = F.col(predicted).isNotNull() & F.col(actual).isNotNull()
+    seen, err = F.when(both, F.col(actual)), F.col(predicted) - F.col(actual)
+    agg = pred.agg(F.count(seen).alias("n"), F.count_if(~both).alias("n_unscored"), F.sum(err * err).alias("sse"),
+                   (F.var_pop(seen) * F.count(seen)).alias("sst"))
+    return agg.select("n", "n_unscored", F.sqrt(F.try_divide("sse", "n")).alias("rmse"),
+                      (F.lit(1.0) - F.try_divide("sse", "sst")).alias("r2"))
 
 
 # ---------------------------------------------------------------- traffic split (M6)
@@ -169,8 +179,10 @@ def decode_requests(df: DataFrame, body: str = "body", request_id: str = "reques
     exploded once, so the log is read and parsed in a single pass. Records
     come out as JSON object text; ``dataframe_split`` rows are zipped with
     the column names and rows of the wrong length are kept, flagged
-    ``ragged``. Requests with zero or several shapes yield one row with a
-    ``reject_reason`` and no record.
+    ``ragged``. ``inputs`` may be any value: one that is not an array is one
+    record. Every request gives a row: those with zero or several shapes, with
+    no records, or with records that are not an array have a ``reject_reason``
+    and no record.
     """
     shapes = F.from_json(F.col(body), "struct<" + ", ".join(f"{s}: string" for s in REQUEST_SHAPES) + ">")
     d = df.select(F.col(request_id), shapes.alias("_s"))
@@ -178,8 +190,9 @@ def decode_requests(df: DataFrame, body: str = "body", request_id: str = "reques
     shape = F.coalesce(*[F.when(F.col("_s")[s].isNotNull(), F.lit(s)) for s in REQUEST_SHAPES])
     item = "struct<row_idx: int, record: string, ragged: boolean>"
 
-    as_list = F.from_json(F.coalesce(F.col("_s.dataframe_records"), F.col("_s.instances"), F.col("_s.inputs")),
-                          "array<string>")
+    text = F.coalesce(F.col("_s.dataframe_records"), F.col("_s.instances"), F.col("_s.inputs"))
+    is_list = F.ltrim(text).startswith("[")
+    as_list = F.when(is_list, F.from_json(text, "array<string>")).when(F.col("_s.inputs").isNotNull(), F.array(text))
     listed = F.transform(as_list, lambda x, i: F.struct(i.alias("row_idx"), x.alias("record"),
                                                         F.lit(False).alias("ragged")))
     sp = F.from_json(F.col("_s.dataframe_split"), "struct<columns: array<string>, data: array<array<string>>>")
@@ -195,21 +208,36 @@ def decode_requests(df: DataFrame, body: str = "body", request_id: str = "reques
              .when(F.col("shape") == "dataframe_split", split_items)
              .otherwise(listed))
     reason = (F.when(F.col("_n") == 0, F.lit("no input shape set"))
-              .when(F.col("_n") > 1, F.lit("more than one input shape set")))
-    out = (d.withColumn("_n", n_set)
-           .withColumn("shape", F.when(F.col("_n") == 1, shape))
-           .select(request_id, "shape", reason.alias("reject_reason"), F.explode(items).alias("_it")))
+              .when(F.col("_n") > 1, F.lit("more than one input shape set"))
+              .when(F.col("_items").isNull(), F.concat("shape", F.lit(" is malformed")))
+              .when(F.size("_items") == 0, F.lit("no records")))
+    # the items are made once, in a projection of their own, and exploded from there
+    made = (d.withColumn("_n", n_set).withColumn("shape", F.when(F.col("_n") == 1, shape))
+            .select(request_id, "shape", "_n", items.alias("_items")))
+    out = made.select(request_id, "shape", reason.alias("reject_reason"), F.explode_outer("_items").alias("_it"))
     return out.select(request_id, "shape", F.col("_it.row_idx").alias("row_idx"), F.col("_it.record").alias("record"),
                       F.coalesce(F.col("_it.ragged"), F.lit(False)).alias("ragged"), "reject_reason")
 
 
 def score_requests(model, decoded: DataFrame, features: Sequence[str]) -> DataFrame:
-    """M5: score decoded records: features are read from the record JSON by name."""
+    """M5: score decoded records, each parsed once.
+
+    Features of an object record are read by name, those of an array record by
+    position; a scalar record is the only feature.
+    """
     # filter on generator outputs only: a predicate on the request-level
     # columns would be pushed below the parse and re-run it per reference
     ok = decoded.where(F.col("record").isNotNull() & ~F.col("ragged"))
-    cols = [F.get_json_object("record", f"$.{f}").try_cast("double").alias(f) for f in features]
-    x = ok.select("request_id", "row_idx", *cols)
+    head = F.substring(F.ltrim("record"), 1, 1)
+    schema = "struct<" + ", ".join(f"`{f}`: string" for f in features) + ">"
+    x = ok.select("request_id", "row_idx", "record", head.alias("_head"),
+                  F.when(head == "{", F.from_json("record", schema)).alias("_named"),
+                  F.when(head == "[", F.from_json("record", "array<string>")).alias("_listed"))
+    cols = []
+    for i, f in enumerate(features):
+        scalar = F.when(~F.col("_head").isin("{", "["), F.col("record")) if len(features) == 1 else F.lit(None)
+        cols.append(F.coalesce(F.col("_named")[f], F.get("_listed", F.lit(i)), scalar).try_cast("double").alias(f))
+    x = x.select("request_id", "row_idx", *cols)
     return score(model, x, features, keep=["request_id", "row_idx"])
 
 

@@ -95,22 +95,21 @@ def silver_quality(bronze: DataFrame, fields: Sequence[Field], json_col: str = "
 
 def refresh_silver(spark, bronze_table: str, silver_table: str, fields: Sequence[Field],
                    key: str = "object_id", ts: str = "ingested_at", strict: bool = False) -> dict:
-    """Incremental Silver: project only Bronze rows newer than Silver's high-water mark.
+    """Incremental Silver: project only Bronze rows that are newer than Silver's row of the same key.
 
-    The mark is one value (max ``ts`` already in Silver), used as a literal
-    filter so it reaches the Bronze scan (and partition pruning when Bronze
-    is partitioned by ingest time). New rows are upserted on the key, newest
-    ``ts`` winning, so re-running after a failure is harmless. The first run
-    builds Silver in full.
+    What Silver already has is found by a join on the key over two narrow
+    columns of either table, not by one high-water mark: rows of a long pull
+    that commits after a shorter, later one are older than the mark but new to
+    Silver. New rows are upserted on the key, newest ``ts`` winning, so
+    re-running after a failure is harmless. The first run builds Silver in full.
     """
-    from strata.operators.tables import read_keyed, upsert
+    from strata.operators.tables import read_keyed, table_exists, upsert
 
     bronze = spark.table(bronze_table)
-    hwm = None
-    if spark.catalog.tableExists(silver_table):
-        hwm = read_keyed(spark, silver_table).agg(F.max(ts)).first()[0]
-    if hwm is not None:
-        bronze = bronze.where(F.col(ts) > F.lit(hwm))
+    if table_exists(spark, silver_table):
+        have = read_keyed(spark, silver_table).select(F.col(key).alias("_have"), F.col(ts).alias("_have_ts"))
+        bronze = (bronze.join(have, F.col(key).eqNullSafe(F.col("_have")), "left")
+                  .where(F.col("_have_ts").isNull() | (F.col(ts) > F.col("_have_ts"))).drop("_have", "_have_ts"))
     rows = silver(bronze, fields, key=key, keep=(ts,), strict=strict)
     upsert(spark, rows, silver_table, [key], [ts])
-    return {"table": silver_table, "high_water_before": hwm}
+    return {"table": silver_table}

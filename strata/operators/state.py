@@ -12,12 +12,6 @@ from pyspark.sql import functions as F
 from strata.functions.scalar import row_hash
 from strata.operators.tables import latest
 
-# Terminal states of the three observed run kinds.
-TERMINAL_STATES = {
-    "job": ("TERMINATED", "SKIPPED", "INTERNAL_ERROR"),
-    "update": ("COMPLETED", "FAILED", "CANCELED"),
-    "statement": ("SUCCEEDED", "FAILED", "CANCELED", "CLOSED"),
-}
 VIEW_TYPES = ("ACTIVE_ONLY", "DELETED_ONLY", "ALL")
 
 
@@ -25,9 +19,18 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def reconcile(current: DataFrame, desired: DataFrame, key, live: DataFrame | None = None) -> DataFrame:
+def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """At most one row per key: the greatest by ``order_by``, then by the other columns in their order."""
+    return latest(df, keys, order_by)
+
+
+def reconcile(current: DataFrame, desired: DataFrame, key, live: DataFrame | None = None,
+              order_by: Sequence[str] = ()) -> DataFrame:
     """Full replace per key.
 
+    Several desired (or current) rows of a key are reduced to the greatest by
+    ``order_by``, then by their other columns.
+
     A desired key whose record is live becomes ``replace``; otherwise
     ``create`` (a stored record whose key is no longer live counts as
     absent). Current keys missing from ``desired`` are kept (``keep``) with
@@ -36,7 +39,9 @@ def reconcile(current: DataFrame, desired: DataFrame, key, live: DataFrame | Non
     """
     keys = _keys(key)
     vals = [c for c in desired.columns if c not in keys]
-    cur = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in vals]).withColumn("_cur", F.lit(True))
+    desired = one_per_key(desired, keys, order_by)
+    cur = one_per_key(current.select(*keys, *vals), keys, [c for c in order_by if c in vals])
+    cur = cur.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in vals]).withColumn("_cur", F.lit(True))
     if live is not None:
         cur = cur.join(live.select(*keys).distinct().withColumn("_live", F.lit(True)), keys, "left")
         cur = cur.withColumn("_cur", F.coalesce(F.col("_live"), F.lit(False))).drop("_live")
@@ -48,13 +53,15 @@ def reconcile(current: DataFrame, desired: DataFrame, key, live: DataFrame | Non
     return j.select(*keys, *out, action.alias("action"))
 
 
-def patch(current: DataFrame, changes: DataFrame, key, cols: Sequence[str]) -> DataFrame:
+def patch(current: DataFrame, changes: DataFrame, key, cols: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Only supplied (non-NULL) fields overwrite; an empty string counts as supplied.
 
+    Several changes of a key are reduced to the greatest by ``order_by``, then by
+    their other columns.
     ``update_mask`` lists the fields that were set, in ``cols`` order.
     """
     keys = _keys(key)
-    ch = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
+    ch = one_per_key(changes, keys, order_by).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
     j = current.join(ch, keys, "left")
     vals = [F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in cols else F.col(c)
             for c in current.columns if c not in keys]
@@ -67,11 +74,11 @@ def with_row_hash(df: DataFrame, cols: Sequence[str], name: str = "row_hash") ->
     return df.withColumn(name, row_hash(*cols))
 
 
-def changed(current: DataFrame, desired: DataFrame, key, cols: Sequence[str]) -> DataFrame:
-    """Desired rows that are new or whose hashed columns differ (one join)."""
+def changed(current: DataFrame, desired: DataFrame, key, cols: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """Desired rows that are new or whose hashed columns differ (one join); one row per key as in T1."""
     keys = _keys(key)
-    cur = with_row_hash(current, cols, "_old_hash").select(*keys, "_old_hash")
-    des = with_row_hash(desired, cols, "_new_hash")
+    cur = with_row_hash(one_per_key(current, keys, order_by), cols, "_old_hash").select(*keys, "_old_hash")
+    des = with_row_hash(one_per_key(desired, keys, order_by), cols, "_new_hash")
     j = des.join(cur, keys, "left")
     change = F.when(F.col("_old_hash").isNull(), F.lit("new")).otherwise(F.lit("changed"))
     return (j.where(F.col("_old_hash").isNull() | (F.col("_old_hash") != F.col("_new_hash")))

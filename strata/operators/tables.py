@@ -1,23 +1,24 @@
 """Table writes and keyed maintenance.
 
-Managed tables are plain Spark catalog tables. Upserts never use MERGE (the
-built-in catalog refuses it): they rewrite only the storage buckets the
-incoming keys touch, through a stage table and a dynamic partition overwrite.
+Managed tables are plain Spark catalog tables.
+
+* A full write goes to a new table beside the old one and takes its name only
+  when it is complete, so a failed write leaves the old table as it was.
+* A keyed table holds versions of rows: an upsert appends its batch (one write,
+  one evaluation, cost as the batch), readers keep the newest version per key,
+  and ``compact`` folds the versions now and then.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.scalar import bucket_of
-
-BUCKET_COL = "_bucket"
-
 
 # ---------------------------------------------------------------- names / schema
 def split_name(full_name: str) -> tuple[str | None, str | None, str]:
@@ -42,39 +43,73 @@ def ensure_schema_of(spark: SparkSession, table: str, location: str | None = Non
 
 
 # ---------------------------------------------------------------- plain writes
-def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full-refresh write (one action).
+NEW = "__new_"                       # table__new_<run>: a write in progress
+COMPLETE_PROP = "strata.complete"    # set on it when all its rows are written
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _set_properties(spark: SparkSession, table: str, props: dict) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in props.items()) + ")")
+
+
+def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+               properties: dict | None = None) -> None:
+    """Replace a table as a unit (one write of the data).
+
+    The rows go to a new table under a name of its own, which then takes the
+    table's name; ``properties`` are set before that, so a reader never sees the
+    table without them. If the write fails, the old table is untouched. The
+    query may read the table it replaces.
 
     Partitioned writes go through a REBALANCE on the partition columns: rows
     of one partition value meet in few tasks (few files per directory) while
     AQE still splits a skewed value and merges small ones.
     """
+    spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite").format(fmt)
+    new = f"{table}{NEW}{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("error").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(table)
+    try:
+        w.saveAsTable(new)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    _set_properties(spark, new, {**(properties or {}), COMPLETE_PROP: "true"})
+    _rename(spark, new, table)
 
 
-def replace_from_query(spark: SparkSession, table: str, query, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Idempotent create-or-replace from a query (SQL text or DataFrame).
+def _rename(spark: SparkSession, new: str, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
 
-    A query that reads its own target cannot overwrite it in place, so it is
-    materialised in a stage table first and then swapped in.
-    """
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    """Whether a table is there; one whose completed replacement was not yet renamed (a crash) is renamed first."""
+    if spark.catalog.tableExists(table):
+        return True
+    cat, sch, name = split_name(table)
+    place = ".".join(x for x in (cat, sch) if x)
+    if place and not spark.catalog.databaseExists(place):
+        return False
+    for t in spark.catalog.listTables(place or None, f"{name}{NEW}*"):
+        new = f"{place}.{t.name}" if place else t.name
+        if _properties(spark, new).get(COMPLETE_PROP) == "true":
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+            return True
+    return False
+
+
+def replace_from_query(spark: SparkSession, table: str, query, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Idempotent create-or-replace from a query (SQL text or DataFrame), which may read the table itself."""
     df = spark.sql(query) if isinstance(query, str) else query
     ensure_schema_of(spark, table)
-    try:
-        write_full(df, table, partition_by)
-    except AnalysisException as exc:
-        if "being read from" not in str(exc) and "UNSUPPORTED_OVERWRITE" not in str(exc):
-            raise
-        stage = f"{table}__stage"
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
-        write_full(df, stage, partition_by)
-        write_full(spark.table(stage), table, partition_by)
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+    write_full(df, table, partition_by)
     return spark.table(table)
 
 
@@ -124,109 +159,73 @@ def dedupe_token(df: DataFrame, token: str, order_by: Sequence[str]) -> DataFram
 
 
 # ---------------------------------------------------------------- upsert
-BUCKETS_PROP = "strata.buckets"
-BUCKETS_CONF = "strata.upsert.buckets"          # session override for new keyed tables
-MAX_BUCKETS = 4096                              # keep partition directories listable
+SEQ_COL = "_seq"                # version of a row: later batches have larger ones
+KEYS_PROP, ORDER_PROP, BATCHES_PROP = "strata.keys", "strata.order", "strata.batches"
+COMPACT_EVERY = 16              # batches after which an upsert folds the versions
 
 
-def bucket_count(spark: SparkSession, table: str, buckets: int | None = None) -> int:
-    """Bucket count of a keyed table.
+def _next_seq() -> int:
+    return time.time_ns() // 1000
 
-    Stored with the table once created, so every later upsert hashes keys the
-    same way. A new table takes ``buckets``, else the session setting
-    ``strata.upsert.buckets``, else the cluster's default parallelism (one
-    bucket per core that builds it), at most 4096 directories; large buckets
-    hold several files.
-    """
-    if spark.catalog.tableExists(table):
-        props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-        if BUCKETS_PROP in props:
-            return int(props[BUCKETS_PROP])
-    if buckets:
-        return int(buckets)
-    conf = spark.conf.get(BUCKETS_CONF, None)
-    if conf:
-        return int(conf)
-    return max(1, min(MAX_BUCKETS, spark.sparkContext.defaultParallelism))
-
-
-def _mark_buckets(spark: SparkSession, table: str, buckets: int) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROP}' = '{buckets}')")
-
-
-def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str],
-           order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Append + keep the newest row per key.
-
-    The target is partitioned by a hash bucket of the key. Only buckets that
-    the incoming batch touches are read (broadcast of at most ``buckets``
-    bucket numbers + partition pruning), merged with ``latest`` and written
-    back with a dynamic partition overwrite, so the cost follows the batch,
-    not the table. On equal order values the incoming row wins.
-
-    The incoming DataFrame is evaluated twice (its keys for the touched
-    buckets, its rows for the merge): materialise inputs with side effects
-    (a live API fetch) first, as ``run_api_ingest`` does.
-    """
-    keys, order_by = list(keys), list(order_by)
-    stage = f"{table}__stage"
-    ensure_schema_of(spark, table)
-    if spark.catalog.tableExists(stage):          # finish a swap a crash interrupted
-        _swap_in(spark, stage, table)
-    buckets = bucket_count(spark, table, buckets)
-    inc = df.withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
-    if not spark.catalog.tableExists(table):
-        write_full(latest(inc, keys + [BUCKET_COL], order_by), table, [BUCKET_COL])
-        _mark_buckets(spark, table, buckets)
-        return spark.table(table)
-    merged = merge_plan(spark, inc, table, keys, order_by)
-    write_full(merged, stage, [BUCKET_COL])
-    _swap_in(spark, stage, table)
-    return spark.table(table)
 
+def _layout(spark: SparkSession, table: str) -> tuple[list[str], list[str], int] | None:
+    """(keys, order columns, batches since the last fold) of a keyed table; None for a plain one."""
+    props = _properties(spark, table)
+    if KEYS_PROP in props:
+        return json.loads(props[KEYS_PROP]), json.loads(props[ORDER_PROP]), int(props.get(BATCHES_PROP, 0))
+    if SEQ_COL in spark.table(table).columns:
+        raise ValueError(f"{table} has versions but no record of its keys; rebuild it with write_keyed")
+    return None
 
-def merge_plan(spark: SparkSession, inc: DataFrame, table: str, keys: Sequence[str],
-               order_by: Sequence[str]) -> DataFrame:
-    """The rows that replace the touched buckets: stored rows of those buckets
-    merged with the incoming batch (which already carries its bucket column)."""
-    keys, order_by = list(keys), list(order_by)
-    cur = spark.table(table)
-    cols = list(cur.columns)
-    # bucket numbers the batch touches: at most `buckets` rows, so broadcast is
-    # bounded; it also drives dynamic partition pruning of the table scan
-    touched = inc.select(BUCKET_COL).distinct()
-    if bucket_count(spark, table) <= MAX_BUCKETS:
-        touched = F.broadcast(touched)
-    old = cur.join(touched, BUCKET_COL, "left_semi").withColumn("_src", F.lit(0))
-    new = inc.select(*cols).withColumn("_src", F.lit(1))
-    # one aggregation dedupes the batch and merges it with the stored rows
-    merged = latest(old.unionByName(new), keys + [BUCKET_COL], order_by + ["_src"]).drop("_src")
-    return merged.select(*cols)
-
-
-def write_keyed(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str],
-                buckets: int | None = None) -> None:
-    """Full rebuild of a keyed table in the layout ``upsert`` maintains."""
-    spark = df.sparkSession
-    buckets = bucket_count(spark, table, buckets)
-    out = latest(df, keys, order_by).withColumn(BUCKET_COL, bucket_of(F.struct(*keys), buckets))
-    write_full(out, table, [BUCKET_COL])
-    _mark_buckets(spark, table, buckets)
 
+def write_keyed(df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
+    """Full build of a keyed table: the newest row per key, with the keys recorded before the table can be seen."""
+    ensure_schema_of(df.sparkSession, table)
+    rows = latest(df, keys, order_by).withColumn(SEQ_COL, F.lit(_next_seq()))
+    write_full(rows, table, properties={KEYS_PROP: json.dumps(list(keys)), ORDER_PROP: json.dumps(list(order_by)),
+                                        BATCHES_PROP: 0})
 
-def _swap_in(spark: SparkSession, stage: str, table: str) -> None:
-    cols = spark.table(table).columns
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.table(stage).select(*cols).hint("rebalance", BUCKET_COL).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+def upsert(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str],
+           compact_every: int = COMPACT_EVERY) -> DataFrame:
+    """Keep the newest row per key; returns the table's current rows.
+
+    The batch is evaluated once and appended; nothing of the table is read. A
+    batch that is applied twice changes nothing. On equal order values the later
+    batch wins. A plain table (of a full pull) becomes keyed in the same call.
+    After ``compact_every`` batches the versions are folded.
+    """
+    keys, order_by = list(keys), list(order_by)
+    if not table_exists(spark, table):
+        write_keyed(df, table, keys, order_by)
+        return read_keyed(spark, table)
+    layout = _layout(spark, table)
+    if layout is None:
+        write_keyed(spark.table(table), table, keys, order_by)
+        layout = keys, order_by, 0
+    if layout[0] != keys or layout[1] != order_by:
+        raise ValueError(f"{table} is keyed by {layout[0]}, ordered by {layout[1]}")
+    columns = spark.table(table).columns
+    df.withColumn(SEQ_COL, F.lit(_next_seq())).select(*columns).write.mode("append").saveAsTable(table)
+    if layout[2] + 1 >= compact_every:
+        compact(spark, table)
+    else:
+        _set_properties(spark, table, {BATCHES_PROP: layout[2] + 1})
+    return read_keyed(spark, table)
 
 
 def read_keyed(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).drop(BUCKET_COL)
+    """The newest row per key (a plain table as it is)."""
+    layout = _layout(spark, table)
+    if layout is None:
+        return spark.table(table)
+    return latest(spark.table(table), layout[0], [*layout[1], SEQ_COL]).drop(SEQ_COL)
+
+
+def compact(spark: SparkSession, table: str) -> None:
+    """Fold a keyed table to one row per key."""
+    keys, order_by, _ = _layout(spark, table)
+    write_keyed(read_keyed(spark, table), table, keys, order_by)
 
 
 # ---------------------------------------------------------------- run records
@@ -241,10 +240,14 @@ def write_observed(df: DataFrame, table: str, ok_expr=None, mode: str = "overwri
     metrics = [F.count(F.lit(1)).alias("rows")]
     if ok_expr is not None:
         metrics.append(F.count_if(ok_expr).alias("success"))
-    w = df.observe(obs, *metrics).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(table)
+    observed = df.observe(obs, *metrics)
+    if mode == "overwrite":
+        write_full(observed, table, partition_by)
+    else:
+        w = observed.write.mode(mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(table)
     m = dict(obs.get)
     out = {"rows": int(m["rows"]), "table": table}
     if ok_expr is not None:
@@ -272,7 +275,8 @@ def append_run(spark: SparkSession, runs_table: str, run_name: str, record: dict
 
 # ---------------------------------------------------------------- catalog
 def drop_table(spark: SparkSession, table: str) -> None:
-    """Drop a table and (managed) its data."""
+    """Drop a table and (managed) its data, with what an interrupted write left beside it."""
+    table_exists(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from strata.operators import ml
 from strata.operators.tables import append_run, ensure_schema_of, upsert, write_full, write_observed
+from strata.session import scratch_dir
 from strata.sources.fetch import fetch_all
 from strata.sources.ids import cap_ids
-from strata.sources.files import cap_files, read_files, read_table, with_provenance
+from strata.sources.files import read_files, read_table, with_provenance
 from strata.sources.transport import Transport
 
 
@@ -30,14 +32,18 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
     untouched and the run is recorded as skipped (W7). With
     ``min_success_ratio`` Bronze changes only if enough rows succeeded.
 
-    The fetch has side effects (remote calls), so it runs in exactly one
-    action: either the direct Bronze write, or a write to a stage table that
-    later steps (gate, upsert) read as often as they need.
+    List calls and fetches are remote calls, so either runs in exactly one
+    action: the ids are written to the shared folder first, and the fetch is
+    either the direct Bronze write or a write to a stage table of this run's
+    own that later steps (gate, upsert) read as often as they need.
     """
     if mode not in ("overwrite", "upsert"):
         raise ValueError("mode must be 'overwrite' or 'upsert'")
     if max_objects is not None:
         ids = cap_ids(ids, max_objects)
+    listed = scratch_dir(spark, "ids")
+    ids.write.parquet(listed)
+    ids = spark.read.schema(ids.schema).parquet(listed)
     if ids.isEmpty():
         rec = {"rows": 0, "skipped": True, "table": table}
     else:
@@ -47,19 +53,21 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
         if min_success_ratio is None and mode == "overwrite":
             rec = write_observed(bronze, table, ok_expr=ok)
         else:
-            stage = f"{table}__fetched"
+            stage = f"{table}__fetched_{uuid.uuid4().hex[:12]}"
             rec = write_observed(bronze, stage, ok_expr=ok)      # the only action that fetches
             rec["table"] = table
             ratio = rec["success"] / rec["rows"] if rec["rows"] else 0.0
             if min_success_ratio is not None:
                 rec["success_ratio"] = ratio
-            if min_success_ratio is not None and ratio < min_success_ratio:
-                rec["gated"] = True
-            elif mode == "overwrite":
-                write_full(spark.table(stage), table)
-            else:
-                upsert(spark, spark.table(stage), table, ["object_id"], ["ingested_at"])
-            spark.sql(f"DROP TABLE IF EXISTS {stage}")
+            try:
+                if min_success_ratio is not None and ratio < min_success_ratio:
+                    rec["gated"] = True
+                elif mode == "overwrite":
+                    write_full(spark.table(stage), table)
+                else:
+                    upsert(spark, spark.table(stage), table, ["object_id"], ["ingested_at"])
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {stage}")
     if runs_table:
         append_run(spark, runs_table, run_name, rec)
     return rec
@@ -79,7 +87,7 @@ def run_file_ingest(spark: SparkSession, prefix: str, table: str, pattern: str =
                     options: dict | None = None, schema=None, max_files: int | None = None,
                     runs_table: str | None = None) -> dict:
     """Files -> provenance columns -> optional file cap -> Bronze table."""
-    df = cap_files(with_provenance(read_files(spark, prefix, pattern, fmt, options, schema)), max_files)
+    df = with_provenance(read_files(spark, prefix, pattern, fmt, options, schema, max_files))
     ensure_schema_of(spark, table)
     rec = write_observed(df, table)
     rec["source"] = f"{prefix.rstrip('/')}/{pattern}"
@@ -105,13 +113,17 @@ def run_training(spark: SparkSession, source: DataFrame | str, label: str, keys:
     name = name or (source if isinstance(source, str) else "frame")
     run_id = run_id_for(name, feats, label, test_size, seed, max_rows)
     pred = ml.score(model, test_df, feats, label, keep=keys, run_id=run_id)
+    if predictions_table:      # scored once, by this write; the metrics read what it wrote
+        ensure_schema_of(spark, predictions_table)
+        write_full(pred.select("predicted", "actual", "run_id", *keys), predictions_table)
+        pred = spark.table(predictions_table)
     m = ml.regression_metrics(pred).first()
-    rec = {"run_id": run_id, "rmse": float(m["rmse"]), "r2": float(m["r2"]), "n_test": int(m["n"]),
+    number = lambda x: None if x is None else float(x)  # noqa: E731  no test row has both values
+    rec = {"run_id": run_id, "rmse": number(m["rmse"]), "r2": number(m["r2"]), "n_test": int(m["n"]),
+           "n_unscored": int(m["n_unscored"]),
            "features": feats, "label": label, "coefficients": [float(c) for c in model.coefficients],
            "intercept": float(model.intercept)}
     if predictions_table:
-        ensure_schema_of(spark, predictions_table)
-        write_full(pred.select("predicted", "actual", "run_id", *keys), predictions_table)
         rec["predictions_table"] = predictions_table
     if model_path:
         ml.save_model(model, model_path)

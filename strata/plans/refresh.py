@@ -6,8 +6,9 @@ from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators.tables import replace_from_query, upsert, write_keyed
+from strata.operators.tables import replace_from_query, table_exists, upsert, write_keyed
 
 
 @dataclass
@@ -15,8 +16,14 @@ class Declared:
     """A declared table: ``build(spark, tables)`` returns its DataFrame.
 
     ``inputs`` names the declared tables it reads (for ordering). With
-    ``keys``/``order_by`` an incremental refresh upserts the build output;
-    without them incremental equals full.
+    ``keys``/``order_by`` an incremental refresh upserts; without them
+    incremental equals full.
+
+    ``changes(spark, tables, mark)`` builds only what input from ``mark`` on
+    changes, where ``mark`` is the greatest value of the ``mark`` column in the
+    table: an incremental refresh then reads new input alone. (A row's key must
+    not leave the input; rows that did go with a full refresh.) Without
+    ``changes`` an incremental refresh builds all and upserts it.
     """
     name: str
     build: Callable[[SparkSession, dict], DataFrame]
@@ -24,6 +31,8 @@ class Declared:
     keys: Sequence[str] = field(default_factory=tuple)
     order_by: Sequence[str] = field(default_factory=tuple)
     comment: str = ""
+    mark: str | None = None
+    changes: Callable[[SparkSession, dict, object], DataFrame] | None = None
 
 
 def refresh_order(tables: Sequence[Declared]) -> list[Declared]:
@@ -54,15 +63,19 @@ def refresh(spark: SparkSession, tables: Sequence[Declared], schema: str, full:
     for t in refresh_order(tables):
         if only and t.name not in only and t.name not in full_for:
             continue
-        df = t.build(spark, names)
         target = names[t.name]
-        if not t.keys:
-            replace_from_query(spark, target, df)
-            done[t.name] = "full"
-        elif full or t.name in full_for or not spark.catalog.tableExists(target):
-            write_keyed(df, target, t.keys, t.order_by)
-            done[t.name] = "full"
-        else:
+        mark = None
+        if t.keys and not full and t.name not in full_for and table_exists(spark, target):
+            if t.changes and t.mark:
+                mark = spark.table(target).agg(F.max(t.mark)).first()[0]      # one value
+            df = t.build(spark, names) if mark is None else t.changes(spark, names, mark)
             upsert(spark, df, target, t.keys, t.order_by)
             done[t.name] = "incremental"
+        else:
+            df = t.build(spark, names)
+            if t.keys:
+                write_keyed(df, target, t.keys, t.order_by)
+            else:
+                replace_from_query(spark, target, df)
+            done[t.name] = "full"
     return done

@@ -38,17 +38,9 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table. ``spread=True`` for row-heavy work straight after the scan
-    (building or parsing documents): the scan is spread over the cluster when
-    its files cannot be split (see ``balanced``). Scans that shuffle anyway
-    (aggregations, joins, windows) skip it."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    if not spread:
-        return df
-    from strata.sources.files import balanced
-
-    return balanced(df)
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def no_sleep(_seconds: float) -> None:
@@ -100,7 +92,7 @@ def lineitem_docs(spark, sf) -> DataFrame:
 
     Built row by row (no grouping), like an API detail record that carries
     its own nested fields."""
-    li = table(spark, sf, "lineitem", spread=True)
+    li = table(spark, sf, "lineitem")
     amounts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in AMOUNT_KINDS])
     doc = F.to_json(F.struct(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
                              F.col("l_partkey").alias("partkey"),
@@ -196,7 +188,7 @@ FROM documents
 """)
 def silver_quality(spark, sf):
     """Cast failures and NULLs when a drifting text field is typed as INT."""
-    return S.cast_profile(table(spark, sf, "documents", spread=True).select("text"), {"text": "int"})
+    return S.cast_profile(table(spark, sf, "documents").select("text"), {"text": "int"})
 
 
 # ---------------------------------------------------------------- S7 S9 J2 S4 S1
@@ -373,8 +365,8 @@ def ingest_csv(spark, sf, max_files):
     from strata.sources import files as FL
 
     path = orders_csv_drop(spark, sf)
-    raw = FL.read_files(spark, path, "bucket=*/*.csv", "csv", schema=ORDERS_CSV_SCHEMA)
-    return FL.cap_files(FL.with_provenance(raw), max_files)
+    return FL.with_provenance(FL.read_files(spark, path, "bucket=*/*.csv", "csv", schema=ORDERS_CSV_SCHEMA,
+                                            max_files=max_files))
 
 
 @register("files_capped", f"""
@@ -501,8 +493,8 @@ def reconcile_patch(spark, sf):
 
 
 def sql_row_hash(cols, alias=""):
-    parts = ", ".join(f"coalesce(CAST({alias}{c} AS VARCHAR), '\\N')" for c in cols)
-    return f"sha256(concat_ws(chr(31), {parts}))"
+    text = [f"CAST({alias}{c} AS VARCHAR)" for c in cols]
+    return "sha256(" + " || ".join(f"CASE WHEN {t} IS NULL THEN '-' ELSE length({t}) || ':' || {t} END" for t in text) + ")"
 
 
 @register("row_hash", f"SELECT *, {sql_row_hash(CUST_COLS)} AS row_hash FROM customer")
@@ -738,6 +730,7 @@ SELECT 'union_all', count(*) FROM (SELECT c_nationkey FROM customer UNION ALL SE
 """, "O6: intersect, except, union")
 
 BAND_SECONDS = 300
+BAND_MICROS = 90_500_000     # a fractional number of seconds
 
 
 @register("sql_range_join", f"""
@@ -748,14 +741,32 @@ WHERE a.event_type = 'signup' AND b.event_type = 'purchase'
 GROUP BY a.event_id
 """)
 def sql_range_join(spark, sf):
-    """Range join with an interval bound, planned as a bin equi-join (no nested loop)."""
-    from strata.operators.joins import band_join
+    """Matches in an interval per row, counted from running sums (no pair is made)."""
+    from strata.operators.joins import band_count
 
     ev = table(spark, sf, "events")
     a = ev.where(F.col("event_type") == "signup").select("event_id", F.col("ts").alias("a_ts"))
     b = ev.where(F.col("event_type") == "purchase").select(F.col("event_id").alias("b_id"), F.col("ts").alias("b_ts"))
-    return band_join(a, b, "a_ts", "b_ts", 0, BAND_SECONDS).groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("n_purchases"))
+    counts = band_count(a, b, "event_id", "a_ts", "b_ts", 0, BAND_SECONDS)
+    return counts.where("n > 0").select("event_id", F.col("n").alias("n_purchases"))
+
+
+@register("sql_band_join", f"""
+SELECT a.event_id, b.event_id AS b_id, CAST(epoch_us(b.ts) - epoch_us(a.ts) AS BIGINT) AS lag_us
+FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts >= a.ts
+  AND b.ts <= a.ts + INTERVAL {BAND_MICROS} MICROSECOND
+WHERE a.event_type = 'signup' AND b.event_type = 'purchase'
+""")
+def sql_band_join(spark, sf):
+    """The rows of a range join with a fractional bound and a key, planned as a bin equi-join."""
+    from strata.operators.joins import band_join
+
+    ev = table(spark, sf, "events")
+    a = ev.where(F.col("event_type") == "signup").select("user_id", "event_id", F.col("ts").alias("a_ts"))
+    b = ev.where(F.col("event_type") == "purchase").select("user_id", F.col("event_id").alias("b_id"), F.col("ts").alias("b_ts"))
+    j = band_join(a, b, "a_ts", "b_ts", 0, BAND_MICROS / 1_000_000, on=["user_id"])
+    return j.select("event_id", "b_id", (F.unix_micros(F.col("b_ts").cast("timestamp")) - F.unix_micros(
+        F.col("a_ts").cast("timestamp"))).alias("lag_us"))
 
 
 @register("sql_scalars", """
@@ -792,6 +803,12 @@ def sql_scalars(spark, sf):
 
 
 # ---------------------------------------------------------------- Q4
+NATION_STATEMENT = """
+SELECT count(o_orderkey) AS n_orders, round(sum(o_totalprice), 2) AS revenue
+FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_nationkey = :n_nationkey GROUP BY c_nationkey
+"""
+
+
 @register("for_each_params", """
 SELECT n.n_nationkey, n.n_name, count(o.o_orderkey) AS n_orders, round(sum(o.o_totalprice), 2) AS revenue
 FROM nation n JOIN customer c ON c.c_nationkey = n.n_nationkey JOIN orders o ON o.o_custkey = c.c_custkey
@@ -801,14 +818,8 @@ def for_each_params(spark, sf):
     """Q4: a per-nation task run once over all nations as a join (not N jobs)."""
     from strata.plans.sql import for_each
 
-    cust, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
-
-    def body(params: DataFrame) -> DataFrame:
-        j = params.join(cust, params.n_nationkey == cust.c_nationkey).join(orders, F.col("o_custkey") == F.col("c_custkey"))
-        return j.groupBy("n_nationkey", "n_name").agg(F.count("o_orderkey").alias("n_orders"),
-                                                     F.round(F.sum("o_totalprice"), 2).alias("revenue"))
-
-    return for_each(table(spark, sf, "nation").select("n_nationkey", "n_name"), body)
+    register_views(spark, sf, ["customer", "orders"])
+    return for_each(spark, table(spark, sf, "nation").select("n_nationkey", "n_name"), NATION_STATEMENT)
 
 
 # ---------------------------------------------------------------- Q5
@@ -885,22 +896,25 @@ def model_tests(spark, sf):
 
 # ---------------------------------------------------------------- R1
 def declared_orders(cut: str | None):
-    """Two declared tables over orders: a keyed daily rollup and a status mix."""
+    """Two declared tables over orders: a keyed daily rollup (its mark is the day) and a status mix."""
     from strata.plans.refresh import Declared
+    from strata.operators.tables import read_keyed
 
-    def daily(spark, names):
+    def daily(spark, names, since=None):
         o = orders_frame(spark)
         if cut is not None:
             o = o.where(F.col("o_orderdate") < F.lit(cut).cast("timestamp_ntz"))
+        if since is not None:      # the last day may have got more orders, so it is built again
+            o = o.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
         return o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
             F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue")) \
             .withColumn("refreshed_at", F.current_timestamp())
 
     def status_mix(spark, names):
-        d = spark.table(names["order_daily"])
+        d = read_keyed(spark, names["order_daily"])
         return d.agg(F.count(F.lit(1)).alias("days"), F.sum("n_orders").alias("n_orders"))
 
-    return [Declared("order_daily", daily, keys=("day",), order_by=("refreshed_at",)),
+    return [Declared("order_daily", daily, keys=("day",), order_by=("refreshed_at",), mark="day", changes=daily),
             Declared("status_mix", status_mix, inputs=("order_daily",))]
 
 
@@ -1060,7 +1074,7 @@ def stream_upsert(spark, sf):
     for before in (True, False):
         events_json_drop(spark, sf, landing, before)
         s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ).drop("source_file", "ingested_at")
-        upsert_stream(spark, s, tbl, ["user_id"], ["ts"], ckpt, land=False)   # files replay without side effects
+        upsert_stream(spark, s, tbl, ["user_id"], ["ts"], ckpt)
     return read_keyed(spark, tbl)
 
 
@@ -1074,16 +1088,15 @@ FROM l JOIN a ON l.user_id = a.user_id WHERE rn = 1
 """)
 def stream_run_status(spark, sf):
     """Latest state per run kept current from an observation stream."""
-    from strata.operators.tables import read_keyed
-    from strata.streaming.ingest import read_stream, run_status_stream
+    from strata.streaming.ingest import read_run_status, read_stream, run_status_stream
 
     landing, _, ckpt = stream_paths(spark)
     tbl = f"{fresh_db(spark)}.run_status"
     for before in (True, False):
         events_json_drop(spark, sf, landing, before)
         s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ)
-        run_status_stream(spark, s, tbl, "user_id", "event_type", "ts", FIXTURE_TERMINAL, ckpt, land=False)
-    return read_keyed(spark, tbl)
+        run_status_stream(spark, s, tbl, "user_id", "event_type", "ts", FIXTURE_TERMINAL, ckpt)
+    return read_run_status(spark, tbl, "user_id", FIXTURE_TERMINAL)
 
 
 @register("stream_full_refresh", SQL_EVENTS_ALL)
@@ -1095,7 +1108,7 @@ def stream_full_refresh(spark, sf):
     events_json_drop(spark, sf, landing, True)
     events_json_drop(spark, sf, landing, False)
     ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ)
-    full_refresh_stream(spark, landing, EVENTS_JSON_SCHEMA, target, options=JSON_READ)
+    target, _ = full_refresh_stream(spark, landing, EVENTS_JSON_SCHEMA, target, options=JSON_READ)
     return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
@@ -1235,8 +1248,8 @@ def traffic_split(spark, sf):
 
 
 def scoring_requests(spark, sf) -> DataFrame:
-    """Events packed into the four request shapes (plus none-set and two-set requests)."""
-    ev = table(spark, sf, "events", spread=True).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    """Events packed into the four request shapes (plus object inputs, none-set, two-set, empty and malformed requests)."""
+    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     rec = F.array(F.struct("value", "k"))
     row = F.when(F.col("k") > 90, F.array(F.col("value"))).otherwise(
         F.array(F.col("value"), F.col("k").cast("double")))
@@ -1244,9 +1257,12 @@ def scoring_requests(spark, sf) -> DataFrame:
     et = F.col("event_type")
     body = (F.when((et == "view") & (F.col("k") < 5),
                    F.to_json(F.struct(rec.alias("dataframe_records"), rec.alias("instances"))))
+            .when((et == "view") & (F.col("k") > 95), F.lit('{"dataframe_records": []}'))
+            .when((et == "view") & (F.col("k") > 90), F.lit('{"dataframe_records": {"value": 1}}'))
             .when(et == "view", F.to_json(F.struct(rec.alias("dataframe_records"))))
             .when(et == "click", F.to_json(F.struct(split_.alias("dataframe_split"))))
             .when(et == "purchase", F.to_json(F.struct(rec.alias("instances"))))
+            .when((et == "signup") & (F.col("k") < 10), F.to_json(F.struct(F.struct("value", "k").alias("inputs"))))
             .when(et == "signup", F.to_json(F.struct(rec.alias("inputs"))))
             .otherwise(F.lit("{}")))
     return ev.select(F.col("event_id").alias("request_id"), body.alias("body"))
@@ -1258,7 +1274,11 @@ SELECT event_id AS request_id,
        CASE event_type WHEN 'view' THEN 'dataframe_records' WHEN 'purchase' THEN 'instances' ELSE 'inputs' END AS shape,
        0 AS row_idx, CAST(json_object('value', value, 'k', k) AS VARCHAR) AS record, false AS ragged,
        CAST(NULL AS VARCHAR) AS reject_reason
-FROM e WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k >= 5)
+FROM e WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k BETWEEN 5 AND 90)
+UNION ALL
+SELECT event_id, 'dataframe_records', NULL, NULL, false,
+       CASE WHEN k > 95 THEN 'no records' ELSE 'dataframe_records is malformed' END
+FROM e WHERE event_type = 'view' AND k > 90
 UNION ALL
 SELECT event_id, 'dataframe_split', 0,
        CASE WHEN k > 90 THEN '{"value":"' || CAST(value AS VARCHAR) || '"}'
@@ -1285,7 +1305,8 @@ WITH e AS (SELECT event_id, event_type, value, CAST(json_extract_string(props, '
 m AS (SELECT regr_slope(value, k) AS s, regr_intercept(value, k) AS i FROM e)
 SELECT event_id AS request_id, 0 AS row_idx, round(m.i + m.s * k, 3) AS predicted
 FROM e CROSS JOIN m
-WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k >= 5) OR (event_type = 'click' AND k <= 90)
+WHERE event_type IN ('purchase', 'signup') OR (event_type = 'view' AND k BETWEEN 5 AND 90)
+  OR (event_type = 'click' AND k <= 90)
 """)
 def score_requests(spark, sf):
     """M5: decoded records scored in bulk by a model over the same features."""
@@ -1460,6 +1481,7 @@ def silver_incremental(spark, sf):
 @register("bronze_incremental", SQL_BRONZE)
 def bronze_incremental(spark, sf):
     """Incremental pulls: run 2 fetches only ids not in Bronze plus retryable failures, upserted on object_id."""
+    from strata.operators.tables import read_keyed
     from strata.plans.pipelines import run_api_ingest
 
     db = fresh_db(spark)
@@ -1468,11 +1490,27 @@ def bronze_incremental(spark, sf):
     reqs = RP.event_requests(ev)
     early = RP.event_requests(ev.where(F.col("ts") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp_ntz")))
     run_api_ingest(spark, early, ReplayTransport(), bronze, sleep=no_sleep, mode="upsert")
-    stored = spark.table(bronze)
+    stored = read_keyed(spark, bronze)
     todo = I.union_sources(I.new_ids(reqs.select("id"), stored), I.failed_ids(stored))
     run_api_ingest(spark, reqs.join(todo, "id", "left_semi"), ReplayTransport(), bronze, sleep=no_sleep,
                    mode="upsert")
-    return spark.table(bronze).select("object_id", "http_status", "raw_json", "error_message")
+    return read_keyed(spark, bronze).select("object_id", "http_status", "raw_json", "error_message")
+
+
+@register("full_then_incremental", SQL_BRONZE)
+def full_then_incremental(spark, sf):
+    """The usual life of Bronze: a full pull (overwrite), then new ids only (upsert on object_id)."""
+    from strata.operators.tables import read_keyed
+    from strata.plans.pipelines import run_api_ingest
+
+    bronze = f"{fresh_db(spark)}.bronze"
+    ev = table(spark, sf, "events")
+    reqs = RP.event_requests(ev)
+    early = RP.event_requests(ev.where(F.col("ts") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp_ntz")))
+    run_api_ingest(spark, early, ReplayTransport(), bronze, sleep=no_sleep)
+    todo = I.new_ids(reqs.select("id"), spark.table(bronze))
+    run_api_ingest(spark, reqs.join(todo, "id", "left_semi"), ReplayTransport(), bronze, sleep=no_sleep, mode="upsert")
+    return read_keyed(spark, bronze).select("object_id", "http_status", "raw_json", "error_message")
 
 
 # ---------------------------------------------------------------- A7 over Bronze

@@ -60,8 +60,6 @@ STRIPE_CUSTOMERS = spec(
     ("metadata", "json", "metadata_raw_json"),
 )
 
-# Silver key column per API (the Bronze object_id renamed).
-SILVER_KEY = {"met": "object_id", "stripe": "customer_id"}
 
 
 @dataclass
@@ -106,7 +104,3 @@ class IngestConfig:
             if isinstance(merged.get(k), str):
                 merged[k] = float(merged[k])
         return cls(**merged)
-
-
-def silver_fields(api: str) -> list[Field]:
-    return {"met": MET_OBJECTS, "stripe": STRIPE_CUSTOMERS}[api]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from typing import Callable
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.tables import write_full
+
 QUERIES_SCHEMA = "name string, query_text string, description string, tags array<string>"
 
 
@@ -14,17 +16,21 @@ def run_sql(spark: SparkSession, statement: str, catalog: str | None = None, sch
             row_limit: int | None = None, params: dict | None = None) -> DataFrame:
     """Q1: run one statement with named parameters (``:p``) and an optional row limit.
 
-    A default catalog/schema is applied in a cloned session so the caller's
-    current schema is untouched. Failures raise.
+    A default catalog/schema holds while the statement is resolved, in the
+    caller's session (so its views and settings count), and is set back after.
+    Failures raise.
     """
-    s = spark
-    if catalog or schema:
-        s = spark.newSession()
+    before = spark.catalog.currentCatalog(), spark.catalog.currentDatabase()
+    try:
         if catalog:
-            s.catalog.setCurrentCatalog(catalog)
+            spark.catalog.setCurrentCatalog(catalog)
         if schema:
-            s.catalog.setCurrentDatabase(schema)
-    df = s.sql(statement, args=params or None)
+            spark.catalog.setCurrentDatabase(schema)
+        df = spark.sql(statement, args=params or None)
+    finally:
+        if catalog or schema:
+            spark.catalog.setCurrentCatalog(before[0])
+            spark.catalog.setCurrentDatabase(before[1])
     if row_limit is not None:
         if row_limit < 0:
             raise ValueError("row_limit must be >= 0")
@@ -43,9 +49,7 @@ class SavedQueries:
         if self.spark.catalog.tableExists(self.table):
             keep = self.spark.table(self.table).where(F.col("name") != name)
             row = keep.unionByName(row)
-        row.write.mode("overwrite").saveAsTable(self.table + "__stage")
-        self.spark.table(self.table + "__stage").write.mode("overwrite").saveAsTable(self.table)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}__stage")
+        write_full(row, self.table)
 
     def text(self, name: str) -> str:
         rows = self.spark.table(self.table).where(F.col("name") == name).select("query_text").take(1)
@@ -56,22 +60,28 @@ class SavedQueries:
     def run(self, name: str, params: dict | None = None, row_limit: int | None = None) -> DataFrame:
         return run_sql(self.spark, self.text(name), params=params, row_limit=row_limit)
 
-    def by_tag(self, tag: str) -> DataFrame:
-        return self.spark.table(self.table).where(F.array_contains("tags", tag))
+
+# What a SQL text is made of as far as we look: literals and quoted names, comments, ends of statements, parameters.
+TOKEN = re.compile(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`)|(--[^\n]*|/\*.*?\*/)|(;)|(?<![:\w]):([A-Za-z_]\w*)""", re.S)
 
 
 def split_statements(text: str) -> list[str]:
-    """Statements of a SQL file: separated by ';' at the end of a line; '--' comment lines dropped."""
-    lines = [ln for ln in text.splitlines() if not ln.strip().startswith("--")]
-    out, cur = [], []
-    for ln in lines:
-        cur.append(ln)
-        if ln.rstrip().endswith(";"):
-            out.append("\n".join(cur).rstrip().rstrip(";"))
-            cur = []
-    if "".join(cur).strip():
-        out.append("\n".join(cur))
-    return [s.strip() for s in out if s.strip()]
+    """Statements of a SQL text, separated by ``;`` outside literals; comments dropped."""
+    out, cur, at = [], "", 0
+    for m in TOKEN.finditer(text):
+        cur += text[at:m.start()]
+        at = m.end()
+        if m[3]:
+            out.append(cur)
+            cur = ""
+        elif not m[2]:
+            cur += m[0]
+    return [s.strip() for s in [*out, cur + text[at:]] if s.strip()]
+
+
+def parameters(statement: str) -> set[str]:
+    """Names of the ``:name`` markers of a statement (not those inside literals)."""
+    return {m[4] for m in TOKEN.finditer(statement) if m[4]}
 
 
 def run_sql_file(spark: SparkSession, path: str, params: dict | None = None) -> DataFrame | None:
@@ -82,15 +92,21 @@ def run_sql_file(spark: SparkSession, path: str, params: dict | None = None) ->
     text = spark.read.text(path, wholetext=True).first()[0]
     last = None
     for stmt in split_statements(text):
-        used = {k: v for k, v in (params or {}).items() if f":{k}" in stmt}
+        used = {k: v for k, v in (params or {}).items() if k in parameters(stmt)}
         last = spark.sql(stmt, args=used or None)
     return last
 
 
-def for_each(inputs: DataFrame, body: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Q4: run ``body`` once over all inputs instead of once per input.
+def for_each(spark: SparkSession, inputs: DataFrame, statement: str) -> DataFrame:
+    """Q4: a statement with ``:name`` parameters, run for every row of ``inputs`` at once.
 
-    ``body`` receives the input rows as a DataFrame and must use them as a
-    join (or semi join) column, so N parameter sets become one job.
+    Each marker becomes the input row's column of that name and the statement a
+    lateral subquery, so N parameter sets are one join and one job. The result
+    has the columns of ``inputs``, then those of the statement; an input whose
+    statement returns no row gives none.
     """
-    return body(inputs)
+    missing = parameters(statement) - set(inputs.columns)
+    if missing:
+        raise ValueError(f"the inputs lack {sorted(missing)}")
+    body = TOKEN.sub(lambda m: f"_inputs.`{m[4]}`" if m[4] else m[0], statement.strip().rstrip(";"))
+    return spark.sql(f"SELECT _inputs.*, _each.* FROM {{inputs}} AS _inputs, LATERAL ({body}) AS _each", inputs=inputs)

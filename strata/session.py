@@ -85,11 +85,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder the session names; a local one only where all runs in one process.
+
+    On a cluster executors do not share this machine's folders, so there an
+    unset ``spark.checkpoint.dir`` is an error.
+    """
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

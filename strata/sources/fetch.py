@@ -27,6 +27,7 @@ NOT_FOUND = "not_found"
 RETRIES_EXHAUSTED = "retries_exhausted ({status})"
 UNEXPECTED_STATUS = "unexpected_status ({status})"
 NETWORK_ERROR = "network_error: {error}"
+NULL_ID = "null_id"   # our own: a request that was never made
 
 
 def bronze_schema(key_type: str = "bigint") -> T.StructType:
@@ -117,17 +118,17 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
         pause = backoff or sleep or time.sleep
         try:
             for pdf in batches:
-                keys = pdf["id"].tolist()
+                keys = [None if k is None else int(k) if key_type == "bigint" else k for k in pdf["id"].tolist()]
                 rows = pdf[carry].to_dict("records") if carry else [None] * len(keys)
                 out_s, out_b, out_e = [], [], []
                 for key, row in zip(keys, rows):
-                    s, b, e = fetch_one(t, bucket, key, row, pause, max_attempts)
+                    s, b, e = (None, None, NULL_ID) if key is None else fetch_one(t, bucket, key, row, pause, max_attempts)
                     out_s.append(s)
                     out_b.append(b)
                     out_e.append(e)
                 yield pd.DataFrame({
-                    "object_id": pd.Series(keys, dtype="int64" if key_type == "bigint" else "object"),
-                    "http_status": pd.Series(out_s, dtype="int32"),
+                    "object_id": pd.Series(keys, dtype="Int64" if key_type == "bigint" else "object"),
+                    "http_status": pd.Series(out_s, dtype="Int32"),
                     "raw_json": pd.Series(out_b, dtype="object"),
                     "error_message": pd.Series(out_e, dtype="object"),
                 })
@@ -143,7 +144,9 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
               stamp: bool = True, backoff=None) -> DataFrame:
     """Fetch every id once through ``transport``; returns the Bronze rows.
 
-    ``partitions`` defaults to the cluster's default parallelism. ``sleep``
+    ``partitions`` defaults to the cluster's default parallelism; a capped API
+    gets no more tasks than whole requests per second. A NULL id names no object:
+    it is never requested and comes back as a row with ``null_id``. ``sleep``
     is the clock's wait (token bucket and, unless ``backoff`` is given, the
     retry backoff). The ids are spread round-robin over ``tasks``
     partitions (equal counts, so no task lags under its share of the rate)
@@ -154,23 +157,14 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     if spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true":
         warnings.warn("spark.speculation is on: speculative copies of fetch tasks repeat remote calls "
                       "and can exceed the rate cap; run API ingest in a session with it off")
-    cores = spark.sparkContext.defaultParallelism
-    if partitions is None:
-        # a capped API needs only as many tasks as whole requests per second;
-        # an uncapped one gets the cluster's full parallelism
-        partitions = cores
-    elif rate_per_sec:
-        # more capped tasks than cores would run in waves, each wave holding
-        # only its share of the rate: fewer, faster tasks keep the whole cap
-        partitions = min(partitions, cores)
-    tasks, per_task = plan_parallelism(rate_per_sec, partitions)
-    key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").alias("id")
+    tasks, per_task = plan_parallelism(rate_per_sec, partitions or spark.sparkContext.defaultParallelism)
+    # as text, so that null ids do not turn the others into floating-point numbers
+    key = F.col(key_col).cast("bigint" if key_type == "bigint" else "string").cast("string").alias("id")
     cols = [key] + [F.col(c) for c in transport.carry]
-    # a NULL id names no object: it is never requested. Round-robin placement
-    # gives every task the same number of ids (±1), so no task lags behind the
+    # Round-robin placement gives every task the same number of ids (±1), so no task lags behind the
     # others under its share of the rate; Spark sorts before a round-robin
     # exchange, so a retried task sees the same ids.
-    df = ids.select(*cols).where(F.col("id").isNotNull()).repartition(tasks)
+    df = ids.select(*cols).repartition(tasks)
     out = df.mapInPandas(_fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep, backoff),
                          schema=bronze_schema(key_type))
     if stamp:

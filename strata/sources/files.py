@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 CSV_DEFAULTS = {"header": "true", "inferSchema": "true", "sep": ",", "nullValue": ""}
 
 
+def list_files(spark: SparkSession, path: str, n: int | None = None) -> list[str]:
+    """Paths under a glob in ascending order, the first ``n`` of them; no file is opened."""
+    if n is not None and n < 0:
+        raise ValueError("max_files must be >= 0 or None")
+    paths = spark.read.format("binaryFile").load(path).select("path").orderBy("path")
+    return [r["path"] for r in (paths if n is None else paths.limit(n)).collect()]
+
+
 def read_files(spark: SparkSession, prefix: str, pattern: str = "*", fmt: str = "csv",
-               options: dict | None = None, schema=None) -> DataFrame:
-    """Scan ``prefix/pattern`` in a format; explicit schema preferred.
+               options: dict | None = None, schema=None, max_files: int | None = None) -> DataFrame:
+    """Scan ``prefix/pattern`` in a format; explicit schema preferred.
 
-    Inference costs an extra pass over the input; pass ``schema`` in production.
+    ``max_files`` takes the first files in path order: the paths are listed, and
+    only the chosen files are read. Inference costs an extra pass over the
+    input; pass ``schema`` in production.
     """
     path = f"{prefix.rstrip('/')}/{pattern}"
     reader = spark.read.format(fmt)
@@ -22,31 +32,13 @@ def read_files(spark: SparkSession, prefix: str, pattern: str = "*", fmt: str =
         opts.pop("inferSchema", None)
         reader = reader.schema(schema)
     opts.update({k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in (options or {}).items()})
-    return reader.options(**opts).load(path)
-
-
-BROADCAST_MAX_ROWS = 100_000   # hint a broadcast only below this proven row bound
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster when its files cannot be split enough.
-
-    A parquet file with one row group is read by one task however many cores
-    there are, and every narrow step after it (JSON building and parsing,
-    projections) stays on that core. Meant for row-heavy work right after a
-    scan: when the input has fewer partitions than the cluster's parallelism
-    it is redistributed; otherwise (the normal case for large inputs) it is
-    returned untouched, so no shuffle is added at scale.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    # hash of the row's (hashable) columns: deterministic on task retry like
-    # round-robin, but without the local sort round-robin needs for that
-    from pyspark.sql import types as T
-
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return df.repartition(want, F.xxhash64(*cols)) if cols else df.repartition(want)
+    reader = reader.options(**opts)
+    if max_files is None:
+        return reader.load(path)
+    chosen = list_files(spark, path, max_files)
+    if not chosen:
+        return reader.load(path).limit(0)
+    return reader.load(chosen)
 
 
 def with_provenance(df: DataFrame, file_col: str = "source_file", ts_col: str = "ingested_at") -> DataFrame:
@@ -54,23 +46,6 @@ def with_provenance(df: DataFrame, file_col: str = "source_file", ts_col: str =
     return df.withColumn(file_col, F.col("_metadata.file_path")).withColumn(ts_col, F.current_timestamp())
 
 
-def cap_files(df: DataFrame, n: int | None, file_col: str = "source_file") -> DataFrame:
-    """Keep the rows of the first ``n`` files in path order.
-
-    The file list is bounded by ``n`` rows; for any reasonable ``n`` it is
-    broadcast and the semi join filters without shuffling the data side
-    (beyond 100,000 files the join strategy is left to Catalyst/AQE).
-    """
-    if n is None:
-        return df
-    if n < 0:
-        raise ValueError("max_files must be >= 0 or None")
-    files = df.select(file_col).distinct().orderBy(file_col).limit(n)
-    if n <= BROADCAST_MAX_ROWS:     # at most n paths: a proven bound
-        files = F.broadcast(files)
-    return df.join(files, file_col, "left_semi")
-
-
 def file_counts(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     """A5: rows per file (partial counts per task, then one small shuffle)."""
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_rows"))

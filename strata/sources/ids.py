@@ -5,17 +5,19 @@ ID lists stay DataFrames end to end: nothing is collected to the driver.
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.joins import bounded_broadcast
-from strata.sources.fetch import MAX_ATTEMPTS, TokenBucket, bronze_schema, fetch_one
-from strata.sources.transport import Transport
+from strata.operators.tables import latest
+from strata.sources.fetch import (BACKOFF_BASE_SEC, MAX_ATTEMPTS, NOT_FOUND, TokenBucket, bronze_schema, fetch_one,
+                                  plan_parallelism)
+from strata.sources.transport import Transport, TransportError
 
 
 def _key_type(key_type: str):
@@ -26,18 +28,21 @@ def ids_from_list(responses: DataFrame, body_col: str = "body", path: str = "obj
                   key_type: str = "bigint", keep: tuple = ()) -> DataFrame:
     """Ids out of list responses; a missing or null array gives no rows.
 
-    ``path`` is either a top-level array field (``objectIDs``) or
-    ``array[].field`` (``data[].id``).
+    ``path`` is a top-level array field (``objectIDs``), ``array[].field``
+    (``data[].id``), ``[]`` for an array of ids at the root or ``[].field`` for
+    a root array of objects.
     """
     kt = _key_type(key_type)
-    if "[]." in path:
-        arr, field = path.split("[].", 1)
-        schema = f"struct<`{arr}`:array<struct<`{field}`:{kt}>>>"
-        items = F.from_json(F.col(body_col), schema)[arr]
-        exploded = responses.select(*keep, F.explode(items).alias("_it"))
-        return exploded.select(*keep, F.col("_it")[field].alias("id"))
-    schema = f"struct<`{path}`:array<{kt}>>"
-    return responses.select(*keep, F.explode(F.from_json(F.col(body_col), schema)[path]).alias("id"))
+    arr, is_objects, field = path.partition("[].")
+    if path == "[]":
+        items = F.from_json(F.col(body_col), f"array<{kt}>")
+    elif is_objects:
+        inner = f"array<struct<`{field}`:{kt}>>"
+        items = F.from_json(F.col(body_col), f"struct<`{arr}`:{inner}>")[arr] if arr else F.from_json(F.col(body_col), inner)
+    else:
+        items = F.from_json(F.col(body_col), f"struct<`{path}`:array<{kt}>>")[path]
+    out = responses.select(*keep, F.explode(items).alias("id"))
+    return out.select(*keep, F.col("id")[field].alias("id")) if is_objects else out
 
 
 def check_cap(cap: int | None) -> int | None:
@@ -50,43 +55,9 @@ def check_cap(cap: int | None) -> int | None:
     return cap
 
 
-TOPK_MAX = 100_000
-
-
 def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_by`` order, exactly, at any ``n``.
-
-    Small ``n``: ``orderBy().limit(n)`` runs as a top-k (each task keeps its
-    best n). Large ``n``: the rows are range-partitioned and sorted, each row
-    gets its (partition, position) from ``monotonically_increasing_id``, the
-    per-partition counts (one row per partition) locate the cut, and a filter
-    keeps whole partitions before it plus a prefix of the boundary one. The
-    ranked rows are checkpointed so both passes see the same layout.
-    """
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    if n <= TOPK_MAX:
-        return df.orderBy(*order).limit(n)
-    from strata.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)          # the shared folder reliable checkpoints go to
-    ranked = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    part = F.shiftright(F.col("_pos"), 33)
-    counts = ranked.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).orderBy("p").collect()
-    full, cut, acc = [], None, 0
-    for r in counts:
-        if acc + r["c"] <= n:
-            full.append(r["p"])
-            acc += r["c"]
-        else:
-            cut = (r["p"], n - acc)
-            break
-    keep = part.isin(full) if full else F.lit(False)
-    if cut is not None:
-        idx = F.col("_pos") - F.shiftleft(part, 33)
-        keep = keep | ((part == F.lit(cut[0])) & (idx < F.lit(cut[1])))
-    return ranked.where(keep).drop("_pos")
+    """The first ``n`` rows in ``order_by`` order (a top-k: each task keeps its best n)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
 
 
 def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
@@ -97,79 +68,93 @@ def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
     return first_n(ids, n, [order_by])
 
 
-def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: str, links: bool = False):
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = transport.open()
-        out_src, out_id, out_page = [], [], []
-        has_bounds = "start_after" in pdf.columns
+def _page(fetch, bucket: TokenBucket, pause, max_attempts: int):
+    """One list call under the retry policy: every attempt takes a token, the last failure is raised."""
+    attempt = 0
+    while True:
+        bucket.take()
         try:
-            for row in pdf.to_dict("records"):
-                source = row["source"]
-                start = row.get("start_after") if has_bounds else None
-                stop = row.get("stop_at") if has_bounds else None
-                start = None if start is None or pd.isna(start) else start
-                stop = None if stop is None or pd.isna(stop) else stop
-                cursor, page, got = start, 0, 0
-                link = None
-                while cap is None or got < cap:
-                    if links:   # the response names the next page (Link header)
-                        ids, link = t.link_page(source, link, page_size)
-                        has_more = link is not None
-                    else:
-                        ids, has_more = t.list_page(source, cursor, page_size)
-                    if not ids:
-                        break
-                    if stop is not None and ids[-1] > stop:   # end of this shard's key range
-                        ids = [i for i in ids if i <= stop]
-                        has_more = False
-                    if cap is not None:
-                        ids = ids[: cap - got]  # the cap applies whatever has_more says
-                    out_src += [source] * len(ids)
-                    out_id += list(ids)
-                    out_page += [page] * len(ids)
-                    got += len(ids)
-                    page += 1
-                    if not has_more or not ids:
-                        break
-                    cursor = ids[-1]
+            return fetch()
+        except TransportError:
+            attempt += 1
+            if attempt >= max_attempts:
+                raise
+            pause(BACKOFF_BASE_SEC ** attempt)
+
+
+def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: str, links: bool, rate: float | None,
+             max_attempts: int, clock, sleep):
+    def value(x):
+        return None if x is None or pd.isna(x) else x
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t, pause = transport.open(), sleep or time.sleep
+        bucket = TokenBucket(rate, clock or time.monotonic, pause)
+        try:
+            for pdf in batches:
+                for row in pdf.to_dict("records"):
+                    source, cursor, stop = row["source"], value(row.get("start_after")), value(row.get("stop_at"))
+                    if key_type == "bigint":
+                        cursor, stop = (None if x is None else int(x) for x in (cursor, stop))
+                    page, got, link, more = 0, 0, None, True
+                    while more and (cap is None or got < cap):
+                        if links:   # the response names the next page (Link header)
+                            ids, link = _page(lambda: t.link_page(source, link, page_size), bucket, pause, max_attempts)
+                            more = link is not None
+                        else:
+                            ids, more = _page(lambda: t.list_page(source, cursor, page_size), bucket, pause, max_attempts)
+                        if not ids:
+                            break
+                        cursor = ids[-1]
+                        if stop is not None and cursor > stop:   # end of this shard's key range
+                            ids, more = [i for i in ids if i <= stop], False
+                        if cap is not None:
+                            ids = ids[: cap - got]  # the cap applies whatever has_more says
+                        if ids:
+                            yield pd.DataFrame({"source": source, "id": pd.Series(ids, dtype="int64" if key_type == "bigint" else "object"),
+                                                "page": pd.Series(page, index=range(len(ids)), dtype="int32")})
+                        got += len(ids)
+                        page += 1
         finally:
             t.close()
-        return pd.DataFrame({"source": pd.Series(out_src, dtype="object"),
-                             "id": pd.Series(out_id, dtype="int64" if key_type == "bigint" else "object"),
-                             "page": pd.Series(out_page, dtype="int32")})
 
     return walk
 
 
-def cursor_pages(sources: DataFrame, transport: Transport, page_size: int = 100,
-                 cap: int | None = None, key_type: str = "bigint") -> DataFrame:
-    """One cursor chain per source row; chains run in parallel.
+def _walk(sources: DataFrame, transport: Transport, page_size: int, cap: int | None, key_type: str, links: bool,
+          rate_per_sec: float | None, partitions: int | None, max_attempts: int, clock, sleep) -> DataFrame:
+    n, rate = plan_parallelism(rate_per_sec, partitions or sources.sparkSession.sparkContext.defaultParallelism)
+    # Few rows that stand for much work: dealt out by count, which no size-based coalescing undoes.
+    return sources.repartition(n).mapInPandas(
+        _walk_fn(transport, page_size, check_cap(cap), key_type, links, rate, max_attempts, clock, sleep),
+        f"source string, id {_key_type(key_type)}, page int")
+
+
+def cursor_pages(sources: DataFrame, transport: Transport, page_size: int = 100, cap: int | None = None,
+                 key_type: str = "bigint", rate_per_sec: float | None = None, partitions: int | None = None,
+                 max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
+    """One cursor chain per source row; chains are spread over ``partitions`` tasks.
 
-    Next cursor = last id of the page; stop on an empty page, on
-    ``has_more`` false, or at the cap. The input group is the source's config
-    row, so no data set is gathered into one task: the ids stream out.
+    Next cursor = last id of the page; stop on an empty page, on ``has_more``
+    false, or at the cap. Each page leaves the task as it comes, so a long chain
+    holds one page in memory. Every call takes a token of its task's share of
+    ``rate_per_sec`` and is retried like a fetch.
 
     A source may be split into key-range shards (columns ``start_after`` and
-    ``stop_at``, see ``cursor_shards``): each shard is its own chain starting
-    after ``start_after``, so one very large source is walked by many tasks.
-    Page numbers and caps then count per shard.
+    ``stop_at``, numbers or strings as the keys are): each shard is its own chain
+    starting after ``start_after``, so one very large source is walked by many
+    tasks. Page numbers and caps then count per shard.
     """
-    cap = check_cap(cap)
     kt = _key_type(key_type)
-    schema = f"source string, id {kt}, page int"
     cols = [F.col("source").cast("string").alias("source")]
-    if "start_after" in sources.columns:
-        cols += [F.col("start_after").cast(kt).alias("start_after"), F.col("stop_at").cast(kt).alias("stop_at")]
-        groups = ["source", "start_after"]
-    else:
-        groups = ["source"]
-    src = sources.select(*cols)
-    return src.groupBy(*groups).applyInPandas(_walk_fn(transport, page_size, cap, key_type), schema)
+    cols += [F.col(c).cast(kt).cast("string").alias(c) for c in ("start_after", "stop_at") if c in sources.columns]
+    return _walk(sources.select(*cols), transport, page_size, cap, key_type, False, rate_per_sec, partitions,
+                 max_attempts, clock, sleep)
 
 
 def cursor_shards(keys: DataFrame, shards: int, source: str = "source", key: str = "id",
                   accuracy: int = 10000) -> DataFrame:
-    """Split each source's key range into ``shards`` ranges from approximate quantiles.
+    """Split each source's key range into ``shards`` ranges from approximate quantiles (of an earlier key list).
 
     Returns (source, start_after, stop_at) rows, ``shards`` per source, covering
     every key exactly once (first start and last stop are open). Only the
@@ -178,13 +163,21 @@ def cursor_shards(keys: DataFrame, shards: int, source: str = "source", key: str
     if shards < 1:
         raise ValueError("shards must be >= 1")
     probs = [i / shards for i in range(1, shards)]
-    q = keys.groupBy(F.col(source).alias("source")).agg(
-        F.percentile_approx(key, probs, accuracy).alias("_q") if probs else F.array().alias("_q"))
-    bounds = F.array_distinct(F.array_sort(F.col("_q")))
-    starts = F.concat(F.array(F.lit(None).cast("bigint")), bounds.cast("array<bigint>"))
-    stops = F.concat(bounds.cast("array<bigint>"), F.array(F.lit(None).cast("bigint")))
+    kind = keys.schema[key].dataType.simpleString()
+    if kind == "string":
+        # Text has no quantiles: bounds are keys drawn by hash, one per cut, the same in every run.
+        drawn = [F.min_by(key, F.xxhash64(F.col(key), F.lit(i))) for i in range(1, shards)]
+        q = keys.groupBy(F.col(source).alias("source")).agg(F.array(*drawn).cast("array<string>").alias("_q"))
+    else:
+        q = keys.groupBy(F.col(source).alias("source")).agg(
+            F.percentile_approx(key, probs, accuracy).alias("_q") if probs else F.array().alias("_q"))
+    bounds = F.array_distinct(F.array_sort(F.col("_q"))).cast(f"array<{kind}>")
+    starts = F.concat(F.array(F.lit(None).cast(kind)), bounds)
+    stops = F.concat(bounds, F.array(F.lit(None).cast(kind)))
     return q.select("source", F.explode(F.arrays_zip(starts.alias("start_after"), stops.alias("stop_at")))
                     .alias("_b")).select("source", "_b.start_after", "_b.stop_at")
+
+
 def _offset_fn(transport: Transport, page_size: int, key_type: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = transport.open()
@@ -228,16 +221,14 @@ def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
                             f"source string, id {kt}, offset bigint")
 
 
-def link_pages(sources: DataFrame, transport: Transport, page_size: int = 100,
-               cap: int | None = None, key_type: str = "bigint") -> DataFrame:
+def link_pages(sources: DataFrame, transport: Transport, page_size: int = 100, cap: int | None = None,
+               key_type: str = "bigint", rate_per_sec: float | None = None, partitions: int | None = None,
+               max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
     """S3 (Link-header form): each response names the next page
     (``transport.link_page(source, link, size) -> (ids, next_link or None)``),
     so pages form a chain per source, walked like S2 and in parallel across sources."""
-    cap = check_cap(cap)
-    kt = _key_type(key_type)
-    src = sources.select(F.col("source").cast("string"))
-    return src.groupBy("source").applyInPandas(_walk_fn(transport, page_size, cap, key_type, links=True),
-                                               f"source string, id {kt}, page int")
+    return _walk(sources.select(F.col("source").cast("string")), transport, page_size, cap, key_type, True,
+                 rate_per_sec, partitions, max_attempts, clock, sleep)
 
 
 def new_ids(ids: DataFrame, bronze: DataFrame, key: str = "id", bronze_key: str = "object_id") -> DataFrame:
@@ -246,23 +237,28 @@ def new_ids(ids: DataFrame, bronze: DataFrame, key: str = "id", bronze_key: str
     return ids.join(seen, key, "left_anti")
 
 
-def failed_ids(bronze: DataFrame, key: str = "object_id") -> DataFrame:
-    """Ids whose last fetch failed and is worth retrying (not 404)."""
-    return (bronze.where((F.col("http_status") != 200) &
-                         (F.col("error_message").isNull() | (F.col("error_message") != "not_found")))
-            .select(F.col(key).alias("id")))
+def failed_ids(bronze: DataFrame, key: str = "object_id", ts: str = "ingested_at") -> DataFrame:
+    """Ids whose last fetch failed and is worth retrying (not 404).
+
+    Over appended Bronze the newest row of a key counts (where ``ts`` is a
+    column); a 200 without a body is a failure, as the success filter has it.
+    """
+    rows = latest(bronze, [key], [ts]) if ts in bronze.columns else bronze
+    ok = (F.col("http_status") == 200) & F.col("raw_json").isNotNull()
+    missing = F.coalesce(F.col("error_message") == NOT_FOUND, F.lit(False))
+    return rows.where(F.col(key).isNotNull() & ~F.coalesce(ok, F.lit(False)) & ~missing).select(F.col(key).alias("id"))
 
 
 def since(df: DataFrame, ts_col: str, runs: DataFrame, hwm_col: str = "high_water",
           ok_col: str | None = "success") -> DataFrame:
-    """Rows at or after the high-water mark of the last good run.
+    """Rows at or after the high-water mark of the last good run; all rows if no run was good.
 
     The mark is a scalar subquery: Spark evaluates it once and inlines it as a
-    literal filter, which also reaches the parquet scan.
+    literal filter.
     """
     good = runs.where(F.col(ok_col)) if ok_col else runs
     hwm = good.agg(F.max(hwm_col)).scalar()
-    return df.where(F.col(ts_col) >= hwm)
+    return df.where(hwm.isNull() | (F.col(ts_col) >= hwm))
 
 
 def union_sources(*dfs: DataFrame) -> DataFrame:
@@ -311,33 +307,27 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     """Several APIs in one job, each with its own rate and parallelism.
 
     ``ids`` has (source, id, carry...); ``config`` has (source, rate_per_sec,
-    partitions). Each source's ids are spread over its own task slots
-    (source, slot) and every task keeps one bucket per source at
-    rate/partitions, so a source never exceeds its own cap even when two of
-    its slots hash to the same task. The config (one row per configured API)
-    is broadcast after a size check.
+    partitions), one row per API. Every source owns ``partitions`` tasks (fewer
+    if its rate is lower), each with a bucket of its share of the rate; no two
+    slots share a task. An id of a source without a config row fails the job
+    before its fetch; ids that are null are passed over (they name no object).
     """
-    cfg = config.select(
-        F.col("source").cast("string").alias("source"),
-        F.col("rate_per_sec").cast("double").alias("rate"),
-        F.col("partitions").cast("int").alias("parts"),
-    )
-    parts = F.greatest(F.lit(1), F.least(F.col("parts"),
-                                         F.coalesce(F.floor(F.col("rate")).cast("int"), F.col("parts"))))
+    rate, parts = F.col("rate_per_sec").cast("double"), F.col("partitions").cast("int")
+    cfg = config.select(F.col("source").cast("string").alias("source"), rate.alias("rate"), F.greatest(
+        F.lit(1), F.least(parts, F.coalesce(F.floor(rate).cast("int"), parts))).alias("_parts"))
+    rows = cfg.orderBy("source").collect()      # one row per configured API
+    first, slots = {}, 0
+    for r in rows:
+        first[r["source"]], slots = slots, slots + r["_parts"]
+    start = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in first.items()], F.raise_error(
+        F.concat(F.lit("no configuration for source "), F.coalesce("source", F.lit("NULL"))))) if rows else F.raise_error(
+        F.lit("no source is configured"))
     kt = _key_type(key_type)
     j = (ids.select(F.col("source").cast("string").alias("source"), F.col("id").cast(kt).alias("id"),
-                    *[F.col(c) for c in transport.carry])
-         .join(bounded_broadcast(cfg), "source", "inner")
-         .withColumn("_parts", parts)
+                    *[F.col(c) for c in transport.carry]).where(F.col("id").isNotNull())
+         .withColumn("_first", start.cast("int")).join(cfg, "source", "left")
          .withColumn("_rate", F.col("rate") / F.col("_parts"))
-         .withColumn("_slot", F.pmod(F.xxhash64("id"), F.col("_parts"))))
-    total_slots = max(1, int(j.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    j = j.repartition(total_slots, "source", "_slot")
+         .withColumn("_slot", (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_parts"))).cast("int")))
+    j = j.repartitionById(max(1, slots), "_slot").drop("_first", "_slot")
     schema = T.StructType([T.StructField("source", T.StringType())] + bronze_schema(key_type).fields)
     return j.mapInPandas(_multi_fetch_fn(transport, key_type, max_attempts, clock, sleep), schema)
-
-
-def ids_frame(spark: SparkSession, ids: list, key_type: str = "bigint") -> DataFrame:
-    """Small literal id list (tests, hand-picked retries)."""
-    kt = _key_type(key_type)
-    return spark.createDataFrame([(i,) for i in ids], f"id {kt}")

@@ -9,19 +9,17 @@ Options:
   retry_backoff ``true`` (default) waits 2**attempt s between retries;
                 ``false`` retries at once (replayed APIs)
 
-  rows_per_slice  (stream) ids per offset unit, default 10,000
-
 Each input partition is a set of row-group slices of the id files, so the
-ids are read in parallel on executors, never on the driver. As a stream
-(``spark.readStream.format("rest")``) each micro-batch fetches the id slices
-that landed since the last offset.
+ids are read in parallel on executors, never on the driver. It is a batch
+source: to fetch ids as they land, stream the id files with Spark and fetch in
+``foreachBatch``. Hidden files and folders (``_temporary``) are not read.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from strata.sources.fetch import TokenBucket, fetch_one, plan_parallelism
 from strata.sources.transport import HttpTransport, ReplayTransport
@@ -45,16 +43,13 @@ class RestDataSource(DataSource):
     def reader(self, schema):
         return RestReader(self.options)
 
-    def streamReader(self, schema):
-        return RestStreamReader(self.options)
 
+def _hidden(path: str, root: str) -> bool:
+    return any(x[:1] in ("_", ".") for x in path[len(root):].strip("/").split("/"))
 
-def _pieces(options, per: int | None = None) -> list:
-    """(file, row group, first row, end row) slices of the id parquet, in a stable order.
 
-    Files are ordered by modification time then path, so files that land
-    later always come after the ones already seen (what the stream offsets count).
-    """
+def _pieces(options) -> list:
+    """(file, row group, first row, end row) slices of the id parquet, in path order."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
@@ -62,14 +57,13 @@ def _pieces(options, per: int | None = None) -> list:
     info = local.get_file_info(root)
     infos = local.get_file_info(fs.FileSelector(root, recursive=True)) if info.type == fs.FileType.Directory \
         else [info]
-    files = sorted((i for i in infos if i.path.endswith(".parquet")), key=lambda i: (i.mtime_ns or 0, i.path))
+    files = sorted((i for i in infos if i.path.endswith(".parquet") and not _hidden(i.path, root)), key=lambda i: i.path)
     meta = []
     for f in files:   # footers only: row-group sizes, no data
         md = pq.ParquetFile(local.open_input_file(f.path)).metadata
         meta += [(f.path, rg, md.row_group(rg).num_rows) for rg in range(md.num_row_groups)]
-    if per is None:
-        n_parts, _ = plan_parallelism(_rate(options), int(options.get("partitions", 8)))
-        per = max(1, -(-sum(n for _, _, n in meta) // n_parts))   # rows per slice, ceil
+    n_parts, _ = plan_parallelism(_rate(options), int(options.get("partitions", 8)))
+    per = max(1, -(-sum(n for _, _, n in meta) // n_parts))   # rows per slice, ceil
     return [(f, rg, lo, min(n, lo + per)) for f, rg, n in meta for lo in range(0, n, per)]
 
 
@@ -122,36 +116,6 @@ class RestReader(DataSourceReader):
         yield from _read_pieces(self.options, partition.pieces)
 
 
-class RestStreamReader(DataSourceStreamReader):
-    """Streaming form: the offset is the number of id slices handed out so far.
-
-    Slices are fixed-size (``rows_per_slice``, default 10,000 ids) so earlier
-    offsets keep meaning the same slices as new files land.
-    """
-
-    def __init__(self, options):
-        self.options = dict(options)
-        self.per = int(self.options.get("rows_per_slice", 10000))
-
-    def initialOffset(self):
-        return {"slices": 0}
-
-    def latestOffset(self):
-        return {"slices": len(_pieces(self.options, self.per))}
-
-    def partitions(self, start, end):
-        pieces = _pieces(self.options, self.per)[start["slices"]:end["slices"]]
-        n_parts, _ = plan_parallelism(_rate(self.options), int(self.options.get("partitions", 8)))
-        groups = [pieces[i::n_parts] for i in range(n_parts)]
-        return [_Part(g) for g in groups if g]
-
-    def read(self, partition):
-        yield from _read_pieces(self.options, partition.pieces)
-
-    def commit(self, end):
-        pass
-
-
 def _fs(path: str):
     """(filesystem, path inside it); ``file:/x`` and plain paths are local."""
     from pyarrow import fs

@@ -87,12 +87,7 @@ class HttpTransport(Transport):
             r.raise_for_status()
         except requests.exceptions.RequestException as exc:
             raise TransportError(str(exc)) from exc
-        body = r.json()
-        if isinstance(body, list):   # array at the root (GitHub style)
-            ids = [d.get("id") if isinstance(d, dict) else d for d in body]
-        else:
-            ids = extract_ids(body, self.ids_path)
-        return ids, (r.links.get("next") or {}).get("url")
+        return extract_ids(r.json(), self.ids_path), (r.links.get("next") or {}).get("url")
 
     def list_page(self, source, cursor, page_size):
         import requests
@@ -107,11 +102,16 @@ class HttpTransport(Transport):
         except requests.exceptions.RequestException as exc:
             raise TransportError(str(exc)) from exc
         body = r.json()
-        return extract_ids(body, self.ids_path), bool(body.get(self.more_field))
+        ids = extract_ids(body, self.ids_path)
+        # an array at the root has no flag: a full page may have a successor
+        return ids, len(ids) >= page_size if isinstance(body, list) else bool(body.get(self.more_field))
 
 
-def extract_ids(body: dict, path: str) -> list:
-    """``objectIDs`` -> body["objectIDs"]; ``data[].id`` -> [d["id"] for d in body["data"]]."""
+def extract_ids(body, path: str) -> list:
+    """``objectIDs`` -> body["objectIDs"]; ``data[].id`` -> [d["id"] for d in body["data"]]; a root array as it is."""
+    if isinstance(body, list):
+        field = path.rpartition("[].")[2] if "[]." in path else "id"
+        return [d.get(field) if isinstance(d, dict) else d for d in body]
     if "[]." in path:
         arr, field = path.split("[].", 1)
         return [d.get(field) for d in (body.get(arr) or [])]

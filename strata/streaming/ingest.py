@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.state import duration_ms, run_status
-from strata.operators.tables import BUCKET_COL, upsert
+from strata.operators.tables import read_keyed, upsert
 from strata.session import scratch_dir
 
 
@@ -36,19 +36,6 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "json", optio
             .withColumn("ingested_at", F.current_timestamp()))
 
 
-def _landed(spark: SparkSession, batch: DataFrame, table: str, batch_id: int) -> tuple[DataFrame, str]:
-    """Write a micro-batch once to its own stage table and read it back.
-
-    The merge reads its input more than once; a source with side effects
-    (the REST stream) must not be evaluated twice, and a written stage also
-    survives executor loss (unlike a cache). Drop the stage after the merge.
-    """
-    stage = f"{table}__batch{batch_id}"
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")      # a replayed batch id starts clean
-    batch.write.mode("overwrite").saveAsTable(stage)
-    return spark.table(stage), stage
-
-
 def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, checkpoint: str,
                   fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = ()):
     """R2: append new files under ``path`` to a parquet folder, then stop."""
@@ -63,21 +50,10 @@ def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, chec
 
 
 def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequence[str],
-                  order_by: Sequence[str], checkpoint: str, buckets: int | None = None, available_now: bool = True,
-                  land: bool = True):
-    """Every micro-batch is upserted on the key (W4); replays are harmless.
-
-    ``land=True`` writes each micro-batch once before the merge (required for
-    sources with side effects, e.g. the REST stream); a file source re-reads
-    the same files, so ``land=False`` skips that write.
-    """
+                  order_by: Sequence[str], checkpoint: str, available_now: bool = True):
+    """Every micro-batch is upserted on the key (W4), evaluated once; replays are harmless."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not land:
-            upsert(spark, batch, table, keys, order_by, buckets)
-            return
-        rows, stage = _landed(spark, batch, table, batch_id)
-        upsert(spark, rows, table, keys, order_by, buckets)
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        upsert(spark, batch, table, keys, order_by)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -87,31 +63,20 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequ
     return q
 
 
+BATCH_COL = "_batch"
+
+
 def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: str, state: str, ts: str,
-                      terminal: Sequence[str], checkpoint: str, available_now: bool = True, land: bool = True):
-    """Latest state per run kept current from an observation stream.
+                      terminal: Sequence[str], checkpoint: str, available_now: bool = True):
+    """Latest state per run kept current from an observation stream (read it with ``read_run_status``).
 
-    Each batch is reduced per run, merged with the stored rows of the same
-    runs (first seen = min, count = sum, state = newest) and swapped in.
+    Each batch is reduced to one row per run and upserted under (run, batch), so
+    a batch that is replayed replaces its own rows and is not counted twice. A
+    batch reads nothing of the table; the reader folds a run's batches.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows, stage = _landed(spark, batch, table, batch_id) if land else (batch, None)
-        b = run_status(rows, run, state, ts, terminal)
-        if spark.catalog.tableExists(table):
-            cur = spark.table(table).drop(BUCKET_COL)
-            old = cur.join(b.select(run), run, "left_semi")
-            both = old.unionByName(b)
-            merged = both.groupBy(run).agg(
-                F.max(F.struct("last_seen", "state")).alias("_l"), F.min("first_seen").alias("first_seen"),
-                F.sum("n_obs").alias("n_obs"))
-            term = F.col("_l.state").isin(*terminal)
-            b = merged.select(run, F.col("_l.state").alias("state"), "first_seen",
-                              F.col("_l.last_seen").alias("last_seen"), "n_obs", term.alias("is_terminal"),
-                              F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen")))
-                              .alias("duration_ms"))
-        upsert(spark, b, table, [run], ["last_seen"])
-        if stage:
-            spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        rows = run_status(batch, run, state, ts, terminal).drop("is_terminal", "duration_ms")
+        upsert(spark, rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), table, [run, BATCH_COL], ["last_seen"])
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -121,15 +86,27 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
     return q
 
 
-def full_refresh_stream(spark: SparkSession, path: str, schema, target_path: str, fmt: str = "json",
-                        options: dict | None = None) -> str:
-    """Rebuild a streamed target from scratch with a brand-new checkpoint.
+def read_run_status(spark: SparkSession, table: str, run: str, terminal: Sequence[str]) -> DataFrame:
+    """Current status per run: first seen = min, observations = sum, state = newest."""
+    merged = read_keyed(spark, table).groupBy(run).agg(
+        F.max(F.struct("last_seen", "state")).alias("_l"), F.min("first_seen").alias("first_seen"),
+        F.sum("n_obs").alias("n_obs"))
+    term = F.col("_l.state").isin(*terminal)
+    return merged.select(run, F.col("_l.state").alias("state"), "first_seen", F.col("_l.last_seen").alias("last_seen"),
+                         "n_obs", term.alias("is_terminal"),
+                         F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen"))).alias("duration_ms"))
+
+
+def full_refresh_stream(spark: SparkSession, path: str, schema, target_path: str, checkpoint: str | None = None,
+                        fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = ()) -> tuple[str, str]:
+    """Build a streamed target anew beside the old one, with a checkpoint of its own.
 
-    Returns the new checkpoint folder (under the shared checkpoint root); the
-    target folder is overwritten by the first batch of the new stream.
+    Returns (folder of the new target, its checkpoint). The old target is not
+    touched: readers switch to the new folder when the build is done. A build
+    that was interrupted goes on if called again with the same ``checkpoint``,
+    which also names the folder, so choose it before the call.
     """
-    ckpt = scratch_dir(spark, "ckpt")
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("overwrite").parquet(target_path)   # clear the old target's files
-    ingest_stream(spark, path, schema, target_path, ckpt, fmt, options)
-    return ckpt
+    checkpoint = (checkpoint or scratch_dir(spark, "ckpt")).rstrip("/")
+    target = f"{target_path.rstrip('/')}-{checkpoint.rsplit('/', 1)[1]}"
+    ingest_stream(spark, path, schema, target, checkpoint, fmt, options, partition_by)
+    return target, checkpoint

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from strata.operators.joins import band_join
 from strata.operators.tables import latest
@@ -46,3 +47,22 @@ def test_latest_on_hot_key_matches_pandas(spark):
     top = pdf.sort_values(["k", "ts", "id", "v2"]).groupby("k").tail(1)
     want = {int(r.k): (r.ts.to_pydatetime(), int(r.id)) for r in top.itertuples()}
     assert got == want
+
+
+def test_fractional_bounds_and_counts_without_pairs(spark):
+    import random
+
+    from strata.operators.joins import band_count
+
+    rng = random.Random(9)
+    at = lambda: rng.choice([-1, 1]) * rng.randrange(0, 40_000_000, 100_000)
+    left, right = [(i, at()) for i in range(80)], [(i, at()) for i in range(300)]
+    left.append((900, None))
+    L = spark.createDataFrame(left, "lid int, us bigint").select("lid", F.timestamp_micros("us").alias("lt"))
+    R = spark.createDataFrame(right, "rid int, us bigint").select("rid", F.timestamp_micros("us").alias("rt"))
+    for lo, hi in ((0, 8.2), (-1.1, 2.3), (-3, -3), (0.1, 0.1)):
+        a, b = round(lo * 1e6), round(hi * 1e6)
+        want = {(i, j) for i, x in left for j, y in right if x is not None and x + a <= y <= x + b}
+        assert {(r.lid, r.rid) for r in band_join(L, R, "lt", "rt", lo, hi).collect()} == want
+        got = {r.lid: r.n for r in band_count(L, R, "lid", "lt", "rt", lo, hi, bin_seconds=5).collect()}
+        assert got == {i: sum(p == i for p, _ in want) for i, _ in left}

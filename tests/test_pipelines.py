@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import specs
 from strata.plans.pipelines import run_api_ingest, run_configured_ingest, run_file_ingest
+from strata.operators.tables import read_keyed
 from strata.plans.registry import fresh_db
 from strata.session import scratch_dir
 from strata.sources.transport import ScriptedTransport
@@ -74,5 +75,78 @@ def test_upsert_mode_fetches_once_and_merges(spark):
     run_api_ingest(spark, spark.range(0, 6), Counting({}), t, sleep=lambda s: None, mode="upsert")
     run_api_ingest(spark, spark.range(4, 10), Counting({5: [404]}), t, sleep=lambda s: None, mode="upsert")
     assert calls.value == 12                      # every id requested exactly once per run
-    rows = {r.object_id: r.http_status for r in spark.table(t).collect()}
+    rows = {r.object_id: r.http_status for r in read_keyed(spark, t).collect()}
     assert sorted(rows) == list(range(10)) and rows[5] == 404
+
+
+def test_list_pages_are_called_once(spark):
+    from strata.sources.ids import cursor_pages
+
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(ScriptedTransport):
+        def list_page(self, source, cursor, page_size):
+            calls.add(1)
+            return super().list_page(source, cursor, page_size)
+
+    sources = spark.createDataFrame([("a",)], "source string")
+    ids = cursor_pages(sources, Counting({}, pages={"a": list(range(150))}), page_size=100).select("id")
+    rec = run_api_ingest(spark, ids, ScriptedTransport({}), f"{fresh_db(spark)}.bronze", sleep=lambda s: None)
+    assert rec["rows"] == 150 and calls.value == 2
+
+
+def test_an_interrupted_pull_keeps_its_chunks(spark):
+    from strata.sources.fetch import fetch_all
+    from strata.sources.staging import load_staged, resume
+
+    path, ids = scratch_dir(spark, "stage"), spark.range(60)
+    asked, chunk = spark.sparkContext.accumulator(0), []
+
+    class Counting(ScriptedTransport):
+        def fetch(self, key, row=None):
+            asked.add(1)
+            return super().fetch(key, row)
+
+    def fetch(todo):
+        chunk.append(1)
+        if len(chunk) == 4:
+            raise RuntimeError("killed")
+        return fetch_all(todo, Counting({}), sleep=lambda s: None, stamp=False)
+
+    with pytest.raises(RuntimeError):
+        resume(spark, ids, path, fetch, chunks=6)
+    kept = load_staged(spark, path).count()
+    assert 0 < kept < 60 and asked.value == kept
+    assert resume(spark, ids, path, fetch, chunks=6).count() == 60 and asked.value == 60     # no id asked twice
+
+
+def test_training_run_record_can_be_read_back(spark, sf):
+    import json
+
+    from strata.plans.pipelines import run_training
+
+    db = fresh_db(spark)
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    rec = run_training(spark, li, "l_extendedprice", ["l_orderkey", "l_linenumber"], ["l_quantity"],
+                       predictions_table=f"{db}.p", runs_table=f"{db}.runs")
+    run = spark.table(f"{db}.runs").collect()
+    assert len(run) == 1 and run[0].run_id == rec["run_id"] and run[0].run_name == "training"
+    assert json.loads(run[0].metrics)["rmse"] == pytest.approx(rec["rmse"])
+    assert spark.table(f"{db}.p").count() == rec["n_test"]
+
+
+def test_late_commit_reaches_silver(spark):
+    from strata.operators.silver import refresh_silver, spec
+
+    db = fresh_db(spark)
+    bronze, silver = f"{db}.bronze", f"{db}.silver"
+    schema = "object_id bigint, http_status int, raw_json string, error_message string, ingested_at int"
+    fields = spec(("v", "int", "v"))
+    add = lambda rows: spark.createDataFrame(rows, schema).write.mode("append").saveAsTable(bronze)
+    add([(1, 200, '{"v": 1}', None, 20)])
+    refresh_silver(spark, bronze, silver, fields)
+    add([(2, 200, '{"v": 2}', None, 10)])            # a longer pull that began earlier commits now
+    refresh_silver(spark, bronze, silver, fields)
+    add([(1, 200, '{"v": 9}', None, 5)])             # older than what Silver has: no change
+    refresh_silver(spark, bronze, silver, fields)
+    assert sorted((r.object_id, r.v) for r in read_keyed(spark, silver).collect()) == [(1, 1), (2, 2)]

@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators.tables import read_keyed
+
 from strata.operators.gate import compare, gate
 from strata.plans.models import Model, order_models, select_models
 from strata.plans.refresh import Declared, refresh
 from strata.plans.registry import fresh_db
-from strata.plans.sql import run_sql, split_statements
+from strata.plans.sql import for_each, run_sql, split_statements
 
 
 def test_gate_numeric_and_text(spark):
@@ -39,7 +41,7 @@ def test_refresh_modes(spark):
         return s.table("refresh_src")
 
     def count(s, names):
-        return s.table(names["base"]).agg(F.count(F.lit(1)).alias("n"))
+        return read_keyed(s, names["base"]).agg(F.count(F.lit(1)).alias("n"))
 
     tables = [Declared("base", base, keys=("k",), order_by=("at",)), Declared("counts", count, inputs=("base",))]
     assert refresh(spark, tables, db) == {"base": "full", "counts": "full"}
@@ -49,7 +51,7 @@ def test_refresh_modes(spark):
     assert spark.table(f"{db}.counts").first().n == 2          # not refreshed
     assert refresh(spark, tables, db, full_for=("counts",)) == {"base": "incremental", "counts": "full"}
     assert spark.table(f"{db}.counts").first().n == 3
-    assert sorted(r.v for r in spark.table(f"{db}.base").collect()) == ["a", "b2", "c"]
+    assert sorted(r.v for r in read_keyed(spark, f"{db}.base").collect()) == ["a", "b2", "c"]
     with pytest.raises(ValueError):
         refresh(spark, tables, db, full=True, only=("base",))
 
@@ -58,3 +60,51 @@ def test_run_sql_params_and_limit(spark):
     spark.range(10).createOrReplaceTempView("ten")
     assert run_sql(spark, "SELECT id FROM ten WHERE id >= :lo", params={"lo": 5}, row_limit=3).count() == 3
     assert split_statements("-- c\nSELECT 1;\nSELECT\n 2;\n") == ["SELECT 1", "SELECT\n 2"]
+
+
+def test_statements_end_outside_literals_and_comments():
+    text = "SELECT ';' AS a, '-- no' AS b; -- c; d\n/* e; */ SELECT \"x;y\" FROM t WHERE s = 'it''s;' ; SELECT 3"
+    assert split_statements(text) == ["SELECT ';' AS a, '-- no' AS b", "SELECT \"x;y\" FROM t WHERE s = 'it''s;'", "SELECT 3"]
+
+
+def test_for_each_binds_each_row(spark):
+    spark.createDataFrame([(1, 10), (1, 20), (2, 5)], "k int, v int").createOrReplaceTempView("fe")
+    inputs = spark.createDataFrame([(1, 15), (2, 0), (3, 0)], "key int, least int")
+    out = for_each(spark, inputs, "SELECT v, ':key' AS text FROM fe WHERE k = :key AND v >= :least;")
+    assert sorted(map(tuple, out.collect())) == [(1, 15, 20, ":key"), (2, 0, 5, ":key")]
+    with pytest.raises(ValueError):
+        for_each(spark, inputs, "SELECT :nothing AS x")
+
+
+def test_statement_in_another_schema_sees_the_callers_views(spark):
+    db = fresh_db(spark)
+    spark.range(3).write.saveAsTable(f"{db}.t3")
+    spark.range(2).createOrReplaceTempView("own_view")
+    before = spark.catalog.currentDatabase()
+    assert run_sql(spark, "SELECT count(*) AS n FROM t3 CROSS JOIN own_view", schema=db).first().n == 6
+    assert spark.catalog.currentDatabase() == before
+    with pytest.raises(Exception):
+        run_sql(spark, "SELECT * FROM no_such_table", schema=db)
+    assert spark.catalog.currentDatabase() == before
+
+
+def test_incremental_refresh_reads_new_input_only(spark):
+    db, asked = fresh_db(spark), []
+
+    def build(s, names):
+        return s.table("inc_src")
+
+    def changes(s, names, mark):
+        asked.append(mark)
+        return s.table("inc_src").where(F.col("at") >= mark)
+
+    t = [Declared("t", build, keys=("k",), order_by=("at",), mark="at", changes=changes)]
+    mk = lambda rows: spark.createDataFrame(rows, "k int, v string, at int").createOrReplaceTempView("inc_src")
+    mk([(1, "a", 1), (2, "b", 2)])
+    assert refresh(spark, t, db) == {"t": "full"}
+    mk([(1, "changed long ago", 1), (2, "b2", 2), (3, "c", 3)])
+    assert refresh(spark, t, db) == {"t": "incremental"} and asked == [2]
+    assert sorted(r.v for r in read_keyed(spark, f"{db}.t").collect()) == ["a", "b2", "c"]
+    mk([(3, "only", 3)])
+    assert refresh(spark, t, db, full_for=("t",)) == {"t": "full"}
+    assert [r.v for r in read_keyed(spark, f"{db}.t").collect()] == ["only"]

@@ -55,3 +55,28 @@ def test_apply_tags_last_write_wins(spark):
                                 "run_id bigint, key string, value string, set_at int")
     assert ST.apply_tags(log, as_map=True).collect()[0].tags == {"a": "y", "b": "z"}
     assert sorted(map(tuple, ST.apply_tags(log).collect())) == [(1, "a", "y"), (1, "b", "z")]
+
+
+def test_different_rows_hash_differently(spark):
+    from strata.functions.scalar import row_hash
+
+    odd = [("a", None), ("a", "\\N"), (None, "a"), ("\\N", "a"), ("a\x1f", "b"), ("a", "\x1fb"), ("", None), (None, ""), ("-", None)]
+    rows = spark.createDataFrame(odd, "a string, b string").select(row_hash("a", "b").alias("h")).collect()
+    assert len({r.h for r in rows}) == len(odd)
+
+
+def test_several_rows_of_a_key_are_reduced(spark):
+    cur = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, at int")
+    two = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "n", 1), (3, "m", 3)], "k int, v string, at int")
+    got = sorted((r.k, r.v, r.action) for r in ST.reconcile(cur, two, "k", order_by=["at"]).collect())
+    assert got == [(1, "y", "replace"), (2, "b", "keep"), (3, "m", "create")]
+    got = sorted((r.k, r.v, r.update_mask) for r in ST.patch(cur, two.select("k", "v", "at"), "k", ["v"], order_by=["at"]).collect())
+    assert got == [(1, "y", "v"), (2, "b", "")]
+    assert ST.changed(cur, two, "k", ["v"], order_by=["at"]).count() == 2
+
+
+def test_a_record_that_is_no_longer_live_is_created(spark):
+    cur = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    want = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    live = spark.createDataFrame([(1,)], "k int")
+    assert {r.k: r.action for r in ST.reconcile(cur, want, "k", live=live).collect()} == {1: "replace", 2: "create"}

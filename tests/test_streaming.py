@@ -6,7 +6,7 @@ from strata.operators.state import run_status
 from strata.operators.tables import read_keyed
 from strata.plans import registry as R
 from strata.session import scratch_dir
-from strata.streaming.ingest import ingest_stream, read_stream, run_status_stream, upsert_stream
+from strata.streaming.ingest import full_refresh_stream, ingest_stream, read_run_status, read_stream, run_status_stream, upsert_stream
 
 
 def _rows(df):
@@ -48,6 +48,29 @@ def test_run_status_merges_across_batches(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
     want = run_status(ev, "user_id", "event_type", "ts", R.FIXTURE_TERMINAL)
     cols = ["user_id", "state", "n_obs", "is_terminal", "duration_ms"]
-    got = read_keyed(spark, tbl).select(*cols, F.col("first_seen").cast("string"), F.col("last_seen").cast("string"))
+    got = read_run_status(spark, tbl, "user_id", R.FIXTURE_TERMINAL).select(*cols, F.col("first_seen").cast("string"), F.col("last_seen").cast("string"))
     exp = want.select(*cols, F.col("first_seen").cast("string"), F.col("last_seen").cast("string"))
     assert _rows(got) == _rows(exp)
+
+
+def test_a_replayed_status_batch_is_counted_once(spark):
+    tbl, landing = f"{R.fresh_db(spark)}.status", scratch_dir(spark, "land")
+    spark.createDataFrame([(7, "a", 1), (7, "b", 2)], "run int, state string, ts int").coalesce(1).write.json(landing)
+    for ckpt in ("ckpt-a", "ckpt-b"):       # the sink was written, the commit was lost: batch 0 runs again
+        s = read_stream(spark, landing, "run int, state string, ts int")
+        s = s.withColumn("ts", F.timestamp_seconds("ts"))
+        run_status_stream(spark, s, tbl, "run", "state", "ts", ("b",), scratch_dir(spark, ckpt))
+    row = read_run_status(spark, tbl, "run", ("b",)).collect()
+    assert [(r.run, r.state, r.n_obs, r.is_terminal, r.duration_ms) for r in row] == [(7, "b", 2, True, 1000)]
+
+
+def test_full_refresh_keeps_the_old_target_and_can_go_on(spark):
+    landing, target, ckpt = R.stream_paths(spark)
+    schema = "id int, day int"
+    spark.createDataFrame([(1, 1)], schema).write.json(landing)
+    ingest_stream(spark, landing, schema, target, ckpt)
+    new_ckpt = scratch_dir(spark, "again")
+    new, used = full_refresh_stream(spark, landing, schema, target, new_ckpt, partition_by=["day"])
+    spark.createDataFrame([(2, 2)], schema).write.mode("append").json(landing)
+    assert (new, used) == full_refresh_stream(spark, landing, schema, target, new_ckpt, partition_by=["day"])
+    assert spark.read.parquet(target).count() == 1 and spark.read.parquet(new).count() == 2 and used == new_ckpt

@@ -1,5 +1,6 @@
 """W3/W4/O3/T5 laws: idempotence, ties, NULL keys, skew-safe plans."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import tables as TB
@@ -47,15 +48,67 @@ def test_upsert_tie_incoming_wins(spark):
     assert rows(TB.read_keyed(spark, t)) == [(1, 5, "aaa")]
 
 
-def test_upsert_recovers_leftover_stage(spark):
-    db = fresh_db(spark)
-    t = f"{db}.kv"
-    TB.upsert(spark, spark.createDataFrame([(1, 1, "a")], SCHEMA), t, ["k"], ["ts"])
-    cur = spark.table(t).withColumn("v", F.lit("from_stage"))
-    TB.write_full(cur, f"{t}__stage", [TB.BUCKET_COL])         # a crash left a finished stage
-    TB.upsert(spark, spark.createDataFrame([(2, 1, "b")], SCHEMA), t, ["k"], ["ts"])
-    assert rows(TB.read_keyed(spark, t)) == [(1, 1, "from_stage"), (2, 1, "b")]
-    assert not spark.catalog.tableExists(f"{t}__stage")
+def test_a_failed_overwrite_leaves_the_table(spark):
+    t = f"{fresh_db(spark)}.kv"
+    TB.write_full(spark.createDataFrame([(1, 1, "a")], SCHEMA), t)
+    with pytest.raises(Exception):
+        TB.write_full(spark.range(3).select(F.raise_error(F.lit("broken")).cast("string").alias("v")), t)
+    assert rows(spark.table(t)) == [(1, 1, "a")]
+    assert [x.name for x in spark.catalog.listTables(t.split(".")[0]) if not x.isTemporary] == ["kv"]
+
+
+def test_a_crash_between_write_and_rename_loses_nothing(spark, monkeypatch):
+    t = f"{fresh_db(spark)}.kv"
+    TB.write_full(spark.createDataFrame([(1, 1, "old")], SCHEMA), t)
+
+    def crash(s, new, table):
+        s.sql(f"DROP TABLE {table}")
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(TB, "_rename", crash)
+        TB.write_keyed(spark.createDataFrame([(1, 1, "new")], SCHEMA), t, ["k"], ["ts"])
+    TB.upsert(spark, spark.createDataFrame([(2, 1, "b")], SCHEMA), t, ["k"], ["ts"])     # finds the finished write
+    assert rows(TB.read_keyed(spark, t)) == [(1, 1, "new"), (2, 1, "b")]
+
+
+def test_full_write_then_upsert(spark):
+    t = f"{fresh_db(spark)}.kv"
+    TB.write_full(spark.createDataFrame([(1, 1, "a"), (1, 2, "a2"), (2, 1, "b")], SCHEMA), t)
+    TB.upsert(spark, spark.createDataFrame([(2, 2, "b2"), (3, 1, "c")], SCHEMA), t, ["k"], ["ts"])
+    assert rows(TB.read_keyed(spark, t)) == [(1, 2, "a2"), (2, 2, "b2"), (3, 1, "c")]
+
+
+def test_versions_fold_and_the_batch_is_evaluated_once(spark):
+    t, seen = f"{fresh_db(spark)}.kv", spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    for i in range(7):
+        batch = spark.createDataFrame([(1, i, f"v{i}"), (10 + i, 0, "x")], SCHEMA)
+        TB.upsert(spark, batch.mapInArrow(count, SCHEMA), t, ["k"], ["ts"], compact_every=3)
+    assert seen.value == 14
+    assert rows(TB.read_keyed(spark, t)) == [(1, 6, "v6"), *[(10 + i, 0, "x") for i in range(7)]]
+    assert spark.table(t).count() < 14
+    with pytest.raises(ValueError):
+        TB.upsert(spark, batch, t, ["ts"], ["k"])
+
+
+def test_a_versioned_table_without_its_keys_is_refused(spark):
+    t = f"{fresh_db(spark)}.kv"
+    spark.createDataFrame([(1, 1, "a")], SCHEMA).withColumn(TB.SEQ_COL, F.lit(1)).write.saveAsTable(t)
+    with pytest.raises(ValueError):
+        TB.upsert(spark, spark.createDataFrame([(2, 2, "b2")], SCHEMA), t, ["k"], ["ts"])
+
+
+def test_split_name():
+    assert TB.split_name("a.b.c") == ("a", "b", "c") and TB.split_name("b.c") == (None, "b", "c")
+    assert TB.split_name("c") == (None, None, "c")
+    with pytest.raises(ValueError):
+        TB.split_name("a.b.c.d")
 
 
 def test_dedupe_token_keeps_nulls(spark):
