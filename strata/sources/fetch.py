@@ -7,6 +7,7 @@ nature (one remote call per id); everything around it is DataFrame work.
 
 from __future__ import annotations
 
+import heapq
 import math
 import time
 import warnings
@@ -108,6 +109,46 @@ def fetch_one(transport: Transport, bucket: TokenBucket, key, row, sleep,
         return status, None, UNEXPECTED_STATUS.format(status=status)
 
 
+def fetch_many(transport: Transport, bucket_for, keys: list, rows: list, clock, sleep,
+               max_attempts: int = MAX_ATTEMPTS) -> list[tuple]:
+    """Several ids through the retry policy -> [(status, body, error_message)], in the order of ``keys``.
+
+    An id that waits for its next attempt does not hold up the others: the task
+    goes on with them and comes back when the wait is over, so retries do not
+    leave tokens unused. ``bucket_for(i)`` is the token bucket of the i-th id.
+    """
+    done: list = [None] * len(keys)
+    waiting: list[tuple[float, int, int]] = []      # (due, i, attempts made)
+    ahead = iter(i for i, k in enumerate(keys) if k is not None)
+    while True:
+        if waiting and waiting[0][0] <= clock():
+            _, i, made = heapq.heappop(waiting)
+        elif (i := next(ahead, None)) is not None:
+            made = 0
+        elif waiting:
+            due, i, made = heapq.heappop(waiting)
+            sleep(max(0.0, due - clock()))
+        else:
+            break
+        bucket_for(i).take()  # every attempt, retries included, takes a token
+        try:
+            status, body = transport.fetch(keys[i], rows[i])
+            error = None
+        except TransportError as exc:
+            status, body, error = 0, None, NETWORK_ERROR.format(error=exc)
+        if status == 200:
+            done[i] = 200, body, None
+        elif status == 404:
+            done[i] = 404, None, NOT_FOUND
+        elif status not in RETRYABLE_STATUS and status != 0:
+            done[i] = status, None, UNEXPECTED_STATUS.format(status=status)
+        elif made + 1 >= max_attempts:
+            done[i] = status, None, error or RETRIES_EXHAUSTED.format(status=status)
+        else:
+            heapq.heappush(waiting, (clock() + BACKOFF_BASE_SEC ** (made + 1), i, made + 1))
+    return [(None, None, NULL_ID) if d is None else d for d in done]
+
+
 def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attempts: int,
               clock, sleep, backoff=None):
     carry = list(transport.carry)
@@ -120,12 +161,8 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
             for pdf in batches:
                 keys = [None if k is None else int(k) if key_type == "bigint" else k for k in pdf["id"].tolist()]
                 rows = pdf[carry].to_dict("records") if carry else [None] * len(keys)
-                out_s, out_b, out_e = [], [], []
-                for key, row in zip(keys, rows):
-                    s, b, e = (None, None, NULL_ID) if key is None else fetch_one(t, bucket, key, row, pause, max_attempts)
-                    out_s.append(s)
-                    out_b.append(b)
-                    out_e.append(e)
+                got = fetch_many(t, lambda i: bucket, keys, rows, clock or time.monotonic, pause, max_attempts)
+                out_s, out_b, out_e = (list(x) for x in zip(*got)) if got else ([], [], [])
                 yield pd.DataFrame({
                     "object_id": pd.Series(keys, dtype="Int64" if key_type == "bigint" else "object"),
                     "http_status": pd.Series(out_s, dtype="Int32"),

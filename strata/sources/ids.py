@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.tables import latest
-from strata.sources.fetch import (BACKOFF_BASE_SEC, MAX_ATTEMPTS, NOT_FOUND, TokenBucket, bronze_schema, fetch_one,
+from strata.sources.fetch import (BACKOFF_BASE_SEC, MAX_ATTEMPTS, NOT_FOUND, TokenBucket, bronze_schema, fetch_many,
                                   plan_parallelism)
 from strata.sources.transport import Transport, TransportError
 
@@ -267,30 +267,24 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
 
 
 def _multi_fetch_fn(transport: Transport, key_type: str, max_attempts: int, clock, sleep):
-    import time as _t
-
     carry = list(transport.carry)
 
     def run(batches):
         t = transport.open()
         buckets: dict = {}
-        pause = sleep or _t.sleep
+        pause = sleep or time.sleep
         try:
             for pdf in batches:
                 keys = pdf["id"].tolist()
                 srcs = pdf["source"].tolist()
                 rates = pdf["_rate"].tolist()
                 rows = pdf[carry].to_dict("records") if carry else [None] * len(keys)
-                s_out, b_out, e_out = [], [], []
-                for src, rate, key, row in zip(srcs, rates, keys, rows):
-                    b = buckets.get(src)
-                    if b is None:
+                for src, rate in zip(srcs, rates):
+                    if src not in buckets:
                         rate = None if rate is None or pd.isna(rate) else float(rate)
-                        b = buckets[src] = TokenBucket(rate, clock or _t.monotonic, pause)
-                    s, body, e = fetch_one(t, b, key, row, pause, max_attempts)
-                    s_out.append(s)
-                    b_out.append(body)
-                    e_out.append(e)
+                        buckets[src] = TokenBucket(rate, clock or time.monotonic, pause)
+                got = fetch_many(t, lambda i: buckets[srcs[i]], keys, rows, clock or time.monotonic, pause, max_attempts)
+                s_out, b_out, e_out = (list(x) for x in zip(*got)) if got else ([], [], [])
                 yield pd.DataFrame({"source": srcs,
                                     "object_id": pd.Series(keys, dtype="int64" if key_type == "bigint" else "object"),
                                     "http_status": pd.Series(s_out, dtype="int32"),
