@@ -14,22 +14,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 2 << 20     # text of a batch
-BUCKET_KEYS = 1 << 18     # keys that meet in a bucket, about
+BATCH_BYTES = 2 << 20     # text of a batch, up to 1 GB of text
+BUCKET_KEYS = 1 << 18     # keys that meet in a bucket, about, up to 1 GB of text
+MOST = 8                  # times those that a batch and a bucket grow to, which bounds a task's memory
 
 PACKED = "batch int, bucket int, keys binary"
 PACKED_ARROW = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
 
 
+def _growth(n_bytes: int) -> float:
+    """Batches times buckets are the rows of a shuffle: both grow as the root of the text, so that rows grow as the text."""
+    return min(MOST, max(1.0, (n_bytes / 2 ** 30) ** 0.5))
+
+
 def batched(docs: DataFrame, n_bytes: int) -> DataFrame:
     """``docs`` plus ``batch``, even and the same in every run."""
-    n = max(1, -(-n_bytes // BATCH_BYTES))
+    n = max(1, -(-n_bytes // int(BATCH_BYTES * _growth(n_bytes))))
     return docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
 def bucket_count(n_bytes: int) -> int:
     """Buckets for about a key per six bytes of text."""
-    return max(1, -(-(n_bytes // 6) // BUCKET_KEYS))
+    return max(1, -(-(n_bytes // 6) // int(BUCKET_KEYS * _growth(n_bytes))))
 
 
 def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
