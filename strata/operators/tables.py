@@ -281,11 +281,10 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def inventory(spark: SparkSession, schema: str) -> DataFrame:
-    """Tables of a schema as a DataFrame (catalog metadata, one row per table)."""
-    rows = [(t.catalog, (t.namespace or [None])[-1], t.name, t.tableType, bool(t.isTemporary))
-            for t in spark.catalog.listTables(schema)]
-    return spark.createDataFrame(
-        rows, "catalog string, schema_name string, name string, table_type string, is_temporary boolean")
+    """Tables of a schema (one row per table), as the catalog lists them; writes in progress are left out."""
+    shown = spark.sql(f"SHOW TABLES IN {schema}")
+    return shown.where(~F.col("tableName").contains(NEW)).select(
+        F.col("namespace").alias("schema_name"), F.col("tableName").alias("name"), F.col("isTemporary").alias("is_temporary"))
 
 
 def snapshot(spark: SparkSession, table: str) -> DataFrame:

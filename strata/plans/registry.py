@@ -1010,10 +1010,11 @@ def replace_from_query(spark, sf):
 
 
 @register("table_inventory", """
-SELECT 'orders_copy' AS name, 'MANAGED' AS table_type UNION ALL SELECT 'events_copy', 'MANAGED'
+SELECT 'orders_copy' AS name, count(*) AS n_rows, max(o_orderkey) AS top_key FROM orders
+UNION ALL SELECT 'events_copy', count(*), max(event_id) FROM events
 """)
 def table_inventory(spark, sf):
-    """List the tables of a schema (after a drop) from the catalog."""
+    """The tables of a schema (after a drop) from the catalog, with what each holds."""
     from strata.operators.tables import drop_table, inventory, write_full
 
     db = fresh_db(spark)
@@ -1021,7 +1022,11 @@ def table_inventory(spark, sf):
     write_full(table(spark, sf, "events"), f"{db}.events_copy")
     write_full(table(spark, sf, "nation"), f"{db}.nation_copy")
     drop_table(spark, f"{db}.nation_copy")
-    return inventory(spark, db).where(~F.col("is_temporary")).select("name", "table_type")
+    held = None
+    for name, key in (("orders_copy", "o_orderkey"), ("events_copy", "event_id")):
+        one = spark.table(f"{db}.{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.max(key).alias("top_key"))
+        held = one if held is None else held.unionByName(one)
+    return inventory(spark, db).where(~F.col("is_temporary")).select("name").join(held, "name", "left")
 
 
 # ---------------------------------------------------------------- R2-R5 (streaming)
@@ -1126,6 +1131,7 @@ def sql_split_bucket(seed=SEED):
 
 
 SQL_SPLIT = f"WITH t AS (SELECT *, {sql_split_bucket()} AS b FROM lineitem)"
+NUMERIC_COLUMNS = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax"]
 SQL_MODEL = ("m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS s, "
              "regr_intercept(l_extendedprice, l_quantity) AS i FROM t WHERE b >= 2000)")
 
@@ -1163,6 +1169,37 @@ def linreg_predict(spark, sf):
     return p.select(*SPLIT_KEYS, F.round("predicted", 3).alias("predicted"), "actual")
 
 
+@register("feature_columns", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean FROM lineitem" for c in NUMERIC_COLUMNS))
+def feature_columns(spark, sf):
+    """The numeric columns other than the target and the keys, each with its mean."""
+    from strata.operators.ml import split_label
+
+    li = table(spark, sf, "lineitem")
+    features = split_label(li, LABEL, exclude=SPLIT_KEYS)
+    means = li.agg(*[F.round(F.avg(c), 6).alias(c) for c in features])
+    return means.unpivot([], features, "feature", "mean")
+
+
+@register("training_runs", f"""
+{SQL_SPLIT}, {SQL_MODEL},
+p AS (SELECT m.i + m.s * l_quantity AS predicted, l_extendedprice AS actual FROM t CROSS JOIN m WHERE b < 2000)
+SELECT 'training' AS run_name, count(*) AS n_test,
+       round(sqrt(avg((predicted - actual) * (predicted - actual))), 4) AS rmse,
+       round(1 - sum((predicted - actual) * (predicted - actual)) / (var_pop(actual) * count(*)), 6) AS r2
+FROM p
+""")
+def training_runs(spark, sf):
+    """M4: the run record of a training, read back from the runs table."""
+    from strata.plans.pipelines import run_training
+
+    runs = f"{fresh_db(spark)}.runs"
+    run_training(spark, table(spark, sf, "lineitem"), LABEL, SPLIT_KEYS, FEATURES, TEST_SIZE, SEED, runs_table=runs, name="lineitem")
+    m = F.from_json("metrics", "n_test bigint, rmse double, r2 double")
+    return spark.table(runs).select("run_name", m.alias("m")).select(
+        "run_name", "m.n_test", F.round("m.rmse", 4).alias("rmse"), F.round("m.r2", 6).alias("r2"))
+
+
 @register("linreg_metrics", f"""
 {SQL_SPLIT}, {SQL_MODEL},
 p AS (SELECT m.i + m.s * l_quantity AS predicted, l_extendedprice AS actual FROM t CROSS JOIN m WHERE b < 2000)

@@ -3,6 +3,7 @@
 Options:
   ids_path      parquet with an ``id`` column (+ replay columns for ``transport=replay``)
   transport     ``http`` (needs ``detail_url``) or ``replay``
+  header.NAME   a request header of the ``http`` transport
   key_type      ``bigint`` (default) or ``string``
   rate_per_sec  global cap, split over the partitions
   partitions    number of input partitions (default 8)
@@ -75,7 +76,8 @@ def _read_pieces(options, pieces):
     o = options
     local = _fs(o["ids_path"])[0]
     _n, rate = plan_parallelism(_rate(o), int(o.get("partitions", 8)))
-    t = ReplayTransport() if o.get("transport", "replay") == "replay" else HttpTransport(o["detail_url"])
+    t = ReplayTransport() if o.get("transport", "replay") == "replay" else HttpTransport(
+        o["detail_url"], headers={k[7:]: v for k, v in o.items() if k.lower().startswith("header.")})
     t = t.open()
     bucket = TokenBucket(rate)
     pause = time.sleep if o.get("retry_backoff", "true").lower() != "false" else (lambda _s: None)

@@ -9,7 +9,7 @@ anything else is a bug and fails the task.
 from __future__ import annotations
 
 import json
-from typing import Any, Sequence
+from typing import Any, Callable, Sequence
 
 
 class TransportError(Exception):
@@ -38,15 +38,20 @@ class Transport:
 
 
 class HttpTransport(Transport):
-    """GET ``detail_url`` with ``{id}`` filled in; list endpoints with a cursor param."""
+    """GET ``detail_url`` with ``{id}`` filled in; list endpoints with a cursor param.
 
-    def __init__(self, detail_url: str, list_url: str | None = None, headers: dict | None = None,
+    ``headers`` is a dict or a function that returns one. A function is called by
+    each task when it opens its session and again when an answer is 401, so a
+    token that expires during a long pull is fetched anew.
+    """
+
+    def __init__(self, detail_url: str, list_url: str | None = None, headers: dict | Callable[[], dict] | None = None,
                  timeout: float = 30.0, cursor_param: str = "starting_after",
                  limit_param: str = "limit", ids_path: str = "data[].id",
                  more_field: str = "has_more"):
         self.detail_url = detail_url
         self.list_url = list_url
-        self.headers = dict(headers or {})
+        self.headers = headers if callable(headers) else dict(headers or {})
         self.timeout = timeout
         self.cursor_param = cursor_param
         self.limit_param = limit_param
@@ -60,48 +65,54 @@ class HttpTransport(Transport):
         t = HttpTransport.__new__(HttpTransport)
         t.__dict__.update(self.__dict__)
         t._session = requests.Session()
-        t._session.headers.update(self.headers)
+        t._authorize()
         return t
 
-    def close(self):
-        if self._session is not None:
-            self._session.close()
+    def _authorize(self):
+        self._session.headers.update(self.headers() if callable(self.headers) else self.headers)
 
-    def fetch(self, key, row=None):
+    def _get(self, url, params=None):
         import requests
 
         try:
-            r = self._session.get(self.detail_url.format(id=key), timeout=self.timeout)
+            r = self._session.get(url, params=params, timeout=self.timeout)
+            if r.status_code == 401 and callable(self.headers):
+                self._authorize()
+                r = self._session.get(url, params=params, timeout=self.timeout)
         except requests.exceptions.RequestException as exc:
             raise TransportError(str(exc)) from exc
-        return r.status_code, r.text
+        return r
 
-    def link_page(self, source, link, page_size):
-        """GET the first page (or ``link``); the next page is the ``rel="next"`` Link header."""
+    def _get_page(self, url, params=None):
         import requests
 
-        url = link or (source if isinstance(source, str) and source.startswith("http") else self.list_url)
+        r = self._get(url, params)
         try:
-            r = self._session.get(url, params=None if link else {self.limit_param: page_size},
-                                  timeout=self.timeout)
             r.raise_for_status()
         except requests.exceptions.RequestException as exc:
             raise TransportError(str(exc)) from exc
+        return r
+
+    def close(self):
+        if self._session is not None:
+            self._session.close()
+
+    def fetch(self, key, row=None):
+        r = self._get(self.detail_url.format(id=key))
+        return r.status_code, r.text
+
+    def link_page(self, source, link, page_size):
+        """GET the first page (or ``link``); the next page is the ``rel="next"`` Link header."""
+        url = link or (source if isinstance(source, str) and source.startswith("http") else self.list_url)
+        r = self._get_page(url, None if link else {self.limit_param: page_size})
         return extract_ids(r.json(), self.ids_path), (r.links.get("next") or {}).get("url")
 
     def list_page(self, source, cursor, page_size):
-        import requests
-
         params = {self.limit_param: page_size}
         if cursor is not None:
             params[self.cursor_param] = cursor
         url = source if isinstance(source, str) and source.startswith("http") else self.list_url
-        try:
-            r = self._session.get(url, params=params, timeout=self.timeout)
-            r.raise_for_status()
-        except requests.exceptions.RequestException as exc:
-            raise TransportError(str(exc)) from exc
-        body = r.json()
+        body = self._get_page(url, params).json()
         ids = extract_ids(body, self.ids_path)
         # an array at the root has no flag: a full page may have a successor
         return ids, len(ids) >= page_size if isinstance(body, list) else bool(body.get(self.more_field))

@@ -89,3 +89,29 @@ def test_staged_json_layout(spark, tmp_path):
         (tmp_path / f"{k}.json").write_text(json.dumps({"objectID": k}))
     rows = sorted(tuple(r) for r in load_staged_json(spark, str(tmp_path)).collect())
     assert rows == [(3, 200, '{"objectID": 3}', None), (11, 200, '{"objectID": 11}', None)]
+
+
+def test_headers_are_made_by_the_task_and_renewed_on_401(http, monkeypatch):
+    import requests
+
+    made, seen = [], []
+
+    def headers():
+        made.append(1)
+        return {"Authorization": f"Bearer {len(made)}"}
+
+    def get(self, url, params=None, timeout=None):
+        seen.append(self.headers["Authorization"])
+        return FakeResponse(401 if seen[-1] == "Bearer 1" else 200, {"id": 1})
+
+    monkeypatch.setattr(requests.Session, "get", get)
+    t = TR.HttpTransport("https://api.example/{id}", headers=headers)
+    assert not made                                # nothing on the driver
+    assert t.open().fetch(1)[0] == 200 and seen == ["Bearer 1", "Bearer 2"]
+
+
+def test_root_arrays_of_list_pages(http):
+    answers, _ = http
+    answers["https://api.example/list"] = FakeResponse(200, [{"id": 1}, {"id": 2}])
+    t = TR.HttpTransport("u", "https://api.example/list").open()
+    assert t.list_page("a", None, 2) == ([1, 2], True) and t.list_page("a", None, 3) == ([1, 2], False)
