@@ -196,7 +196,10 @@ def _cells(found: DataFrame) -> DataFrame:
     sizes = found.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     small = blocks.where("blocks = 1").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"]
-    rows = found.join(blocks.drop("size"), "grp")
+    # Salted, so that the rows of one large group are joined in several tasks.
+    salted = blocks.drop("size").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = (found.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+            .join(salted, ["grp", "salt"]).drop("salt"))
     rows = rows.withColumn("side", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     many = max(1, -(-int(small) // BLOCK))         # small groups share cells
