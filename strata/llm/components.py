@@ -22,11 +22,10 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         g = f.join(f.select(F.col("u").alias("p"), F.col("p").alias("gp")), "p").select("u", "p", "gp")
         m = e.join(g.select(F.col("u").alias("v"), "gp"), "v").groupBy("u").agg(F.min("gp").alias("m"))
         h = g.join(m, "u")
-        new = (h.select("u", F.least("p", "gp", "m").alias("p"))
-               .unionByName(h.select(F.col("p").alias("u"), F.col("m").alias("p")))
-               .groupBy("u").agg(F.min("p").alias("p")))
+        new = (h.select("u", F.least("p", "gp", "m").alias("p"), F.col("p").alias("was"))
+               .unionByName(h.select(F.col("p").alias("u"), F.col("m").alias("p"), F.lit(None).cast("long").alias("was")))
+               .groupBy("u").agg(F.min("p").alias("p"), F.max("was").alias("was")))
         new = stage(spark, new, "parents")
-        changed = new.join(f.select("u", F.col("p").alias("was")), "u").where(F.col("p") != F.col("was")).limit(1).count()
-        f = new
-        if not changed:
+        f = new.select("u", "p")
+        if new.where("p <> was").isEmpty():
             return f.select(F.col("u").alias("node"), F.col("p").alias("component"))

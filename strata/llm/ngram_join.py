@@ -11,11 +11,11 @@ a hash, and by another hash. A pair is a candidate only if it passes all three.
    first in every order and no pair shares them, so a document with a prefix of
    such tokens is done: it links with nothing. The others keep the rest.
 3. Documents that share prefix tokens of the first order form candidate groups
-   (star edges to the smallest id of a token, then components), which are parted
-   again by the second order; a linked pair is never parted.
-4. Groups are cut into blocks of at most about ``BLOCK`` documents and every two
-   blocks of a group are a cell, a task of bounded size. A cell tests its pairs
-   against the three prefixes, verifies what is left by exact intersection and
+   (star edges to the smallest id of a token, then components), so a pair that
+   passes the first order lies in one group.
+4. Groups are cut into blocks of about ``BLOCK`` documents and every two blocks of
+   a group are a cell, a task of bounded size. A cell tests its pairs against the
+   three prefixes, in turn, verifies what is left by exact intersection and
    returns each document's count of links and a spanning forest, not the pairs.
 5. Components of the forests' edges are the classes.
 
@@ -47,7 +47,6 @@ PERCENT = 85
 BLOCK = 64              # documents of a group in one block
 TOKENS_AT_ONCE = 1 << 14  # columns of a cell's matrix at a time
 SALTS = 8
-ORDERS = 3
 NO_ID = 1 << 62         # texts without any id get numbers from here on; ids are below
 SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 PAYLOAD = np.uint64(0x3FFFFFFF)
@@ -125,13 +124,13 @@ def _prefixes(size: int, percent: int, n_buckets: int):
     return run
 
 
-def _regroup(spark: SparkSession, found: DataFrame, prefix: str) -> DataFrame:
-    """rep, grp: groups parted by the tokens of one order. Documents left alone are dropped."""
-    rows = found.select("rep", "grp", F.explode(prefix).alias("token"))
-    least = rows.groupBy("grp", "token").agg(F.min("rep").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+def _groups(spark: SparkSession, found: DataFrame, prefix: str) -> DataFrame:
+    """rep, grp: documents that prefix tokens of one order connect. Documents left alone are dropped."""
+    rows = found.select("rep", F.explode(prefix).alias("token"))
+    least = rows.groupBy("token").agg(F.min("rep").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     edges = (rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
-             .join(salted, ["grp", "token", "salt"]).where("rep <> v").select(F.col("rep").alias("u"), "v"))
+             .join(salted, ["token", "salt"]).where("rep <> v").select(F.col("rep").alias("u"), "v"))
     return connected_components(spark, edges).select(F.col("node").alias("rep"), F.col("component").alias("grp"))
 
 
@@ -221,10 +220,8 @@ def ngram_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percen
     reps = batched(texts.select("rep", "text", F.col("rep").alias("doc_id")), n_bytes).select("batch", "rep", "text")
     shared = per_bucket(per_batch(reps, _ask_tokens(size, n), PACKED), _find_shared)
     sets = stage(spark, with_replies(reps, shared, _prefixes(size, percent, n), SETS), "sets")
-    live = sets.where("p1 is not null").withColumn("grp", F.lit(0).cast("long"))
-    first = _regroup(spark, live.select("rep", "grp", "p1"), "p1")
-    second = _regroup(spark, live.drop("grp").join(first, "rep").select("rep", "grp", "p2"), "p2")
-    found = live.drop("grp").join(second, "rep").join(copies.drop("same"), "rep")
+    live = sets.where("p1 is not null")
+    found = live.join(_groups(spark, live, "p1"), "rep").join(copies.drop("same"), "rep")
     checked = _cells(found).groupBy("cell").applyInArrow(_verify(percent), "u long, v long, links long")
     checked = stage(spark, checked, "links")
     groups = connected_components(spark, checked.select("u", "v"))

@@ -205,11 +205,12 @@ class Network:
         if not self.trained:
             return
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + np.float32(1e-6)
         keep = rng.random(len(y)) < 0.8            # the rest sets the temperature
         z = (x - self.mean) / self.scale
         w = [rng.normal(0, (2 / z.shape[1]) ** 0.5, (z.shape[1], hidden)), np.zeros(hidden),
              rng.normal(0, (1 / hidden) ** 0.5, hidden), np.zeros(1)]
+        w = [p.astype(np.float32) for p in w]
         m, v, t = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
         zt, yt = z[keep], y[keep]
         for _ in range(epochs):
@@ -261,7 +262,7 @@ def fit(features: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> N
     known = about(known, ["doc_id"], max_train, known.count())
     rows = features.join(known, "doc_id").orderBy("doc_id", "text_hash").select("features", "quality").collect()
     x = np.frombuffer(b"".join(bytes(r["features"]) for r in rows), np.float32).reshape(-1, 3 * DIMS)
-    return Network(x.astype(np.float64), np.array([float(r["quality"]) for r in rows]))
+    return Network(x, np.array([r["quality"] for r in rows], np.float32))
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, cut: float = CUT) -> DataFrame:
@@ -276,7 +277,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_train:
 
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column("features").to_pylist()), np.float32).reshape(-1, 3 * DIMS)
-            score = net.score(x.astype(np.float64))
+            score = net.score(x).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(score),
                  pa.array((score >= cut).astype(np.int32))], names=["doc_id", "text_hash", "score", "predicted"])
