@@ -92,6 +92,20 @@ def test_sequences_hold_the_ids(spark, edge):
     assert all(n == len(x) <= 256 for n, x in seq.values())
 
 
+# ---------------------------------------------------------------- id ranges
+def test_ranges_are_in_order_and_even(spark):
+    from strata.llm.common import id_ranges
+
+    ids = [None, *range(-500, 20000, 7), 10 ** 15, *[3] * 50]
+    docs = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(5)
+    for n in (1, 2, 3, 7, 40):
+        got = [tuple(r) for r in docs.select("doc_id", id_ranges(spark, docs, n)).collect()]
+        got.sort(key=lambda r: (r[0] is not None, r[0] or 0))
+        rng = [r[1] for r in got]
+        assert rng == sorted(rng) and rng[0] == 0 and max(rng) < n
+        assert len(set(rng)) == n and max(rng.count(k) for k in set(rng)) < 3 * len(ids) / n + 60
+
+
 # ---------------------------------------------------------------- sharding
 def test_flow_moves_the_fewest_bytes():
     rng = random.Random(6)
