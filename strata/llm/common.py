@@ -57,20 +57,30 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
 
 
+IDS_A_RANGE = 50      # sampled ids that a range's bounds are made from
+
+
 def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col: str = "doc_id") -> Column:
     """A column that cuts ascending ids into about ``n`` even ranges, numbered from 0.
 
-    The bounds are approximate quantiles: at most ``n - 1`` numbers on the driver.
-    Null ids go to range 0, before all others. Equal ids share a range.
+    The bounds are quantiles of a hash sample of about ``IDS_A_RANGE * n`` ids
+    (``n - 1`` numbers on the driver). Null ids go to range 0, before all others.
+    Equal ids share a range.
     """
     n = n or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    ids = docs.select(F.col(id_col).cast("double").alias("id")).where("id is not null")
-    cuts = ids.stat.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
-    cuts = sorted(set(cuts))
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    some = about(ids, ["id"], IDS_A_RANGE * n, ids.count()).select(F.col("id").cast("double").alias("id"))
+    cuts = sorted(set(some.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
     if not cuts:
         return F.lit(0)
-    at = F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= F.col(id_col).cast("double"))
-    return F.when(F.col(id_col).isNull(), 0).otherwise(F.size(at))
+    # Two levels of comparisons: the group of cuts, then the cut inside it.
+    step = max(1, round(len(cuts) ** 0.5))
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    numbers = lambda xs: "array(" + ", ".join(f"{x!r}D" for x in xs) + ")"
+    own = f"cast(`{id_col}` as double)"
+    group = f"greatest(size(filter({numbers([g[0] for g in groups])}, c -> c <= {own})) - 1, 0)"
+    inside = f"size(filter(get(array({', '.join(map(numbers, groups))}), {group}), c -> c <= {own}))"
+    return F.expr(f"case when `{id_col}` is null then 0 else {group} * {step} + {inside} end")
 
 
 def about(df: DataFrame, key: list[str], rows: int, of: int) -> DataFrame:
