@@ -27,10 +27,10 @@ def _growth(n_bytes: int) -> float:
     return min(MOST, max(1.0, (n_bytes / 2 ** 30) ** 0.5))
 
 
-def batched(docs: DataFrame, n_bytes: int) -> DataFrame:
-    """``docs`` plus ``batch``, even and the same in every run."""
+def batched(docs: DataFrame, n_bytes: int, *by: str) -> DataFrame:
+    """``docs`` plus ``batch`` from a hash of the columns ``by``, even and the same in every run."""
     n = max(1, -(-n_bytes // int(BATCH_BYTES * _growth(n_bytes))))
-    return docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    return docs.withColumn("batch", F.pmod(F.xxhash64(*by), F.lit(n)).cast("int"))
 
 
 def bucket_count(n_bytes: int) -> int:

@@ -6,7 +6,8 @@ n - ceil(t * n) + 1 of either set, under every order of all tokens. Three orders
 are used; each puts tokens of one document first and then goes by frequency, by
 a hash, and by another hash. A pair is a candidate only if it passes all three.
 
-1. Equal texts are one class, represented by their smallest id.
+1. Equal texts are one class, represented by their smallest id. Each task lets
+   a text through once, and its copies meet in one batch.
 2. Tokens of one document only are found by batches (``keys``). They stand
    first in every order and no pair shares them, so a document with a prefix of
    such tokens is done: it links with nothing. The others keep the rest.
@@ -51,7 +52,25 @@ NO_ID = 1 << 62         # texts without any id get numbers from here on; ids are
 SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 PAYLOAD = np.uint64(0x3FFFFFFF)
 
-SETS = "rep long, n long, tokens array<long>, p1 array<long>, p2 array<long>, p3 array<long>"
+SETS = "same string, n long, tokens array<long>, p1 array<long>, p2 array<long>, p3 array<long>"
+
+
+def _first_copies(batches):
+    """Rows (same, text) of a task, each text once; what is kept of it is 16 bytes."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for i, x in enumerate(batch.column("same").to_pylist()):
+            key = bytes.fromhex(x)
+            if key not in seen:
+                seen.add(key)
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
+def _distinct(docs: pa.Table) -> pa.Table:
+    """A batch's texts, each once."""
+    return docs.take(pa.array(np.unique(np.array(docs.column("same").to_pylist(), object), return_index=True)[1]))
 
 
 def _sets(table: pa.Table, size: int):
@@ -65,7 +84,7 @@ def _codes(tokens: np.ndarray, n: int) -> np.ndarray:
 
 def _ask_tokens(size: int, n_buckets: int):
     def run(docs: pa.Table) -> pa.Table:
-        code = np.sort(_codes(_sets(docs, size)[0], n_buckets))
+        code = np.sort(_codes(_sets(_distinct(docs), size)[0], n_buckets))
         new = np.flatnonzero(np.diff(code, prepend=~code[:1]))
         count = np.minimum(np.diff(np.append(new, len(code))), 3).astype(np.uint64)
         code = code[new]
@@ -91,9 +110,10 @@ def _find_shared(table: pa.Table) -> pa.Table:
 
 def _prefixes(size: int, percent: int, n_buckets: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("tokens", "p1", "p2", "p3")]])
+        schema = pa.schema([("same", pa.string()), ("n", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("tokens", "p1", "p2", "p3")]])
         if not docs.num_rows:
             return schema.empty_table()
+        docs = _distinct(docs)
         tokens, bounds = _sets(docs, size)
         n = np.diff(bounds)
         freq = np.zeros(len(tokens), np.int64)
@@ -118,7 +138,7 @@ def _prefixes(size: int, percent: int, n_buckets: int):
             a, b = mix(t ^ SEEDS[0]), mix(t ^ SEEDS[1])
             for c, o in enumerate((None, np.lexsort((a, mine)), np.argsort(a), np.argsort(b))):
                 out[c][d] = (t if o is None else t[o[:k]]).view(np.int64)
-        return pa.Table.from_arrays([docs.column("rep").combine_chunks(), pa.array(n, pa.int64()),
+        return pa.Table.from_arrays([docs.column("same").combine_chunks(), pa.array(n, pa.int64()),
                                      *[pa.array(x, pa.list_(pa.int64())) for x in out]], schema=schema)
 
     return run
@@ -213,20 +233,19 @@ def ngram_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percen
                                     F.md5("text").alias("same"))
     ids = docs.select("doc_id", "text_hash", "same")
     rep = F.coalesce(F.min("doc_id"), F.lit(NO_ID) + F.pmod(F.xxhash64("same"), F.lit(NO_ID))).alias("rep")
-    texts = docs.groupBy("same").agg(rep, F.first("text").alias("text"))
     copies = stage(spark, ids.groupBy("same").agg(rep, F.count(F.lit(1)).alias("copies")), "classes")
     n_bytes = text_bytes(docs)
     n = bucket_count(n_bytes)
-    reps = batched(texts.select("rep", "text", F.col("rep").alias("doc_id")), n_bytes).select("batch", "rep", "text")
-    shared = per_bucket(per_batch(reps, _ask_tokens(size, n), PACKED), _find_shared)
-    sets = stage(spark, with_replies(reps, shared, _prefixes(size, percent, n), SETS), "sets")
-    live = sets.where("p1 is not null")
-    found = live.join(_groups(spark, live, "p1"), "rep").join(copies.drop("same"), "rep")
+    texts = batched(docs.select("same", "text").mapInArrow(_first_copies, "same string, text string"), n_bytes, "same")
+    shared = per_bucket(per_batch(texts, _ask_tokens(size, n), PACKED), _find_shared)
+    sets = stage(spark, with_replies(texts, shared, _prefixes(size, percent, n), SETS), "sets").join(copies, "same")
+    live = sets.where("p1 is not null").drop("same")
+    found = live.join(_groups(spark, live.select("rep", "p1"), "p1"), "rep")
     checked = _cells(found).groupBy("cell").applyInArrow(_verify(percent), "u long, v long, links long")
     checked = stage(spark, checked, "links")
     groups = connected_components(spark, checked.select("u", "v"))
     links = checked.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
-    of_rep = (sets.select("rep", "n").join(copies, "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    of_rep = (sets.select("same", "rep", "n", "copies").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
               .join(links, "rep", "left"))
     # Salted, so that the rows of one text's many copies are joined in several tasks.
     of_rep = of_rep.select("same", "rep", "n", "copies", "component", "links",

@@ -180,7 +180,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     docs = doc_columns(docs).withColumn("text_hash", F.xxhash64("text"))
     n_bytes = text_bytes(docs)
     n = bucket_count(n_bytes)
-    docs = batched(docs, n_bytes)
+    docs = batched(docs, n_bytes, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     anchors = per_bucket(per_batch(docs, _ask_blocks(block, n), PACKED), _find_anchors)
     repeats = per_bucket(with_replies(docs, anchors, _ask_windows(window, block, n, n), PACKED), _find_repeats)
