@@ -26,7 +26,8 @@ of those. No pair is dropped: every two documents of a group meet in one cell.
 Defined cases: null or empty texts, or such without words, have an empty set,
 link with nothing and are their own component; a text of fewer words than a
 shingle is one shingle; copies link with each other; repeated rows of one id are
-copies; other columns are left out; ids are integers; a row with a null id has
+copies; rows of one id with different texts are one node of the components;
+other columns are left out; ids are integers; a row with a null id has
 the component of its copies, or null if it has none with an id.
 """
 
@@ -238,14 +239,15 @@ def ngram_join(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percen
     n = bucket_count(n_bytes)
     texts = batched(docs.select("same", "text").mapInArrow(_first_copies, "same string, text string"), n_bytes, "same")
     shared = per_bucket(per_batch(texts, _ask_tokens(size, n), PACKED), _find_shared)
-    sets = stage(spark, with_replies(texts, shared, _prefixes(size, percent, n), SETS), "sets").join(copies, "same")
-    live = sets.where("p1 is not null").drop("same")
-    found = live.join(_groups(spark, live.select("rep", "p1"), "p1"), "rep")
+    sets = stage(spark, with_replies(texts, shared, _prefixes(size, percent, n), SETS), "sets")
+    live = sets.where("p1 is not null")
+    groups = _groups(spark, live.select("same", "p1").join(copies, "same").select("rep", "p1"), "p1")
+    found = live.join(groups.join(copies, "rep"), "same").drop("same")
     checked = _cells(found).groupBy("cell").applyInArrow(_verify(percent), "u long, v long, links long")
     checked = stage(spark, checked, "links")
-    groups = connected_components(spark, checked.select("u", "v"))
+    classes = connected_components(spark, checked.select("u", "v"))
     links = checked.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
-    of_rep = (sets.select("same", "rep", "n", "copies").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    of_rep = (sets.select("same", "n").join(copies, "same").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
               .join(links, "rep", "left"))
     # Salted, so that the rows of one text's many copies are joined in several tasks.
     of_rep = of_rep.select("same", "rep", "n", "copies", "component", "links",
