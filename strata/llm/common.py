@@ -57,7 +57,8 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
 
 
-IDS_A_RANGE = 50      # sampled ids that a range's bounds are made from
+IDS_A_RANGE = 250     # sampled ids that a range's bounds are made from
+RANGES = 4            # for each partition of a shuffle, so that partitions get even loads of ranges
 
 
 def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col: str = "doc_id") -> Column:
@@ -67,7 +68,7 @@ def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col
     (``n - 1`` numbers on the driver). Null ids go to range 0, before all others.
     Equal ids share a range.
     """
-    n = n or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = n or RANGES * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
     some = about(ids, ["id"], IDS_A_RANGE * n, ids.count()).select(F.col("id").cast("double").alias("id"))
     cuts = sorted(set(some.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
