@@ -8,7 +8,10 @@ The index is stored as a table and serves any number of searches.
 ``search`` looks up test phrases: in each shard a phrase starts from its rarest
 term and intersects the other terms' lists, adjusted by their offsets, from
 rare to common. What is left are exact matches. With ``slop`` the lists are
-intersected with a tolerance, which gives proximity matches. Shards are spread
+intersected with a tolerance, which gives proximity matches: for some start,
+every term of the window lies up to ``slop`` words from its offset, all in one
+document. That holds or not whatever else the shard has and whichever term is
+its rarest; the start may lie before the document. Shards are spread
 over the cluster and hold all postings of their documents, so a term that a
 third of all documents share is spread with them.
 
@@ -106,8 +109,9 @@ def _expand(begin, count):
     return begin[who] + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count), who
 
 
-def match(terms, bounds, positions, phrases: Phrases, size: int, windows, slop: int):
-    """(window, position) of every place in a shard where all terms of a window lie at their offsets, give or take slop."""
+def match(terms, bounds, positions, first, phrases: Phrases, size: int, windows, slop: int):
+    """(window, document, position) of every place in a shard where all terms of a window lie in one document at their
+    offsets, give or take slop. With slop a place of the rarest term counts once, with a position nearest to it."""
     import numpy as np
 
     at = np.minimum(np.searchsorted(terms, phrases.vocab), max(len(terms) - 1, 0))
@@ -115,7 +119,7 @@ def match(terms, bounds, positions, phrases: Phrases, size: int, windows, slop:
     count = np.where(here, bounds[at + 1] - bounds[at], 0) if len(terms) else np.zeros(len(here), np.int64)
     live = np.flatnonzero(count[windows].min(axis=1) > 0)
     if not len(live):
-        return live, live
+        return live, live, live
     # The postings of the phrases' terms as one ascending list of (term number, position).
     own, who = _expand(bounds[at], count)
     lists = (who.astype(np.int64) << 32) + positions[own]
@@ -124,17 +128,36 @@ def match(terms, bounds, positions, phrases: Phrases, size: int, windows, slop:
     rare = np.argsort(count[few], axis=1, kind="stable")
     anchor = np.take_along_axis(few, rare[:, :1], 1)[:, 0]
     place, who = _expand(begin[anchor], count[anchor])
-    start = (lists[place] & 0xFFFFFFFF) - rare[who, 0]
-    keep = start >= 0
-    start, who = start[keep], who[keep]
-    for k in range(1, size):
-        off = rare[who, k]
-        want = (few[who, off] << 32) + start + off
-        i = np.searchsorted(lists, want - slop)
-        ok = lists[np.minimum(i, len(lists) - 1)] <= want + slop
-        ok &= i < len(lists)
-        start, who = start[ok], who[ok]
-    return live[who], start
+    posting = lists[place] & 0xFFFFFFFF
+    doc = np.searchsorted(first, posting, "right") - 1      # of the posting: with slop, start may lie in the gap before it
+    start = posting - rare[who, 0]
+    last = np.append(first[1:], 1 << 32) - 1
+
+    def within(reach, start, who, doc):
+        """Which rows have every other term up to reach from its offset, in the document."""
+        keep = np.arange(len(start))
+        for k in range(1, size):
+            off = rare[who[keep], k]
+            term, want = few[who[keep], off] << 32, start[keep] + off
+            low, high = np.maximum(want - reach, first[doc[keep]]), np.minimum(want + reach, last[doc[keep]])
+            i = np.searchsorted(lists, term + low)
+            ok = (low <= high) & (i < len(lists))
+            ok &= lists[np.minimum(i, len(lists) - 1)] <= term + high
+            keep = keep[ok]
+        return keep
+
+    # The rarest term itself lies up to slop from its offset, so the others lie up to twice that from it.
+    keep = within(2 * slop, start, who, doc)
+    start, who, doc = start[keep], who[keep], doc[keep]
+    if slop:
+        found, left = [], np.arange(len(start))
+        for shift in sorted(range(-slop, slop + 1), key=abs):
+            ok = within(slop, start[left] + shift, who[left], doc[left])
+            found.append((left[ok], start[left[ok]] + shift))
+            left = np.delete(left, ok)
+        keep, start = (np.concatenate(x) for x in zip(*found))
+        who, doc = who[keep], doc[keep]
+    return live[who], doc, start
 
 
 def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0,
@@ -163,12 +186,11 @@ def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int
                     first = np.array(row["firsts"], np.int64)
                     spans, pairs, near = [], [], []
                     for size, windows, cut, owners in phrases.groups:
-                        w, p = match(terms, bounds, positions, phrases, size, windows, 0)
+                        w, d, p = match(terms, bounds, positions, first, phrases, size, windows, 0)
                         spans.append(np.stack([p, p + size]))
                         for tolerance, to in [(0, pairs)] + ([(slop, near)] if slop else []):
                             if tolerance:
-                                w, p = match(terms, bounds, positions, phrases, size, windows, tolerance)
-                            d = np.searchsorted(first, p, "right") - 1
+                                w, d, _ = match(terms, bounds, positions, first, phrases, size, windows, tolerance)
                             dw = np.unique((d << 32) + w)
                             d, w = dw >> 32, dw & 0xFFFFFFFF
                             own, who = _expand(cut[w], cut[w + 1] - cut[w])

@@ -212,6 +212,40 @@ def test_proximity_matches_and_blocks(spark, monkeypatch):
     assert near == {1: (["7"], [], [(0, 6)]), 2: ([], ["7"], []), 3: ([], [], []), 4: (["7"], [], [(1, 7)])}
 
 
+def near(doc, item, slop):
+    """Whether for some start every word of the item lies up to slop from its offset in the document."""
+    return any(all(w in doc[max(0, s + k - slop):max(0, s + k + slop + 1)] for k, w in enumerate(item))
+               for s in range(-len(item) - slop, len(doc) + slop))
+
+
+def test_a_rare_term_before_its_offset_stays_in_its_document(spark):
+    texts = ["b a c d e f", "a a a a", "x y", "b a c d e f", "a b c d", "e f a a", ""]      # 'b' is rarer than 'a'
+    index = decontam.build_index(spark, frame(spark, list(enumerate(texts))).coalesce(1))
+    assert index.count() == 1
+    items = spark.createDataFrame([(7, "a b c d e f")], "item_id long, text string")
+    got = {r.doc_id: (r["items"], r.near_items) for r in decontam.search(spark, index, items, slop=2).collect()}
+    assert got == {i: ([], ["7"] if i in (0, 3) else []) for i in range(len(texts))}
+
+
+def test_proximity_ends_at_the_document(spark):
+    index = decontam.build_index(spark, frame(spark, [(1, "a b c d e"), (2, "f g"), (3, "a b c d e f")]).coalesce(1))
+    items = spark.createDataFrame([(7, "a b c d e f")], "item_id long, text string")
+    got = {r.doc_id: (r["items"], r.near_items) for r in decontam.search(spark, index, items, slop=decontam.GAP - 1).collect()}
+    assert got == {1: ([], []), 2: ([], []), 3: (["7"], [])}
+
+
+def test_proximity_equals_the_plain_version(spark):
+    rng = random.Random(17)
+    words = lambda n: [rng.choice("aaaaabcdefgh") for _ in range(n)]
+    docs = [(i, words(rng.randint(0, 14))) for i in range(150)]
+    items = [(i, words(rng.randint(1, 5))) for i in range(40)]
+    index = decontam.build_index(spark, frame(spark, [(i, " ".join(w)) for i, w in docs]).coalesce(2))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    for slop in (1, 3):
+        got = {r.doc_id: set(r.near_items) | set(r["items"]) for r in decontam.search(spark, index, table, window=4, slop=slop).collect()}
+        assert got == {d: {str(i) for i, x in items for k in range(max(1, len(x) - 3)) if near(w, x[k:k + 4], slop)} for d, w in docs}
+
+
 # ---------------------------------------------------------------- texts and columns
 def test_spans_of_maximal_repeats(spark):
     passage = " ".join(f"p{i}" for i in range(50))
