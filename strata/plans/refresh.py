@@ -21,7 +21,9 @@ class Declared:
 
     ``changes(spark, tables, mark)`` builds only what input from ``mark`` on
     changes, where ``mark`` is the greatest value of the ``mark`` column in the
-    table: an incremental refresh then reads new input alone. (A row's key must
+    table: an incremental refresh then reads new input alone. The mark must grow
+    as input arrives (a commit id, not a date in the rows): input that arrives
+    later with a smaller mark is not read before a full refresh. (A row's key must
     not leave the input; rows that did go with a full refresh.) Without
     ``changes`` an incremental refresh builds all and upserts it.
     """

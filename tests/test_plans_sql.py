@@ -108,3 +108,18 @@ def test_incremental_refresh_reads_new_input_only(spark):
     mk([(3, "only", 3)])
     assert refresh(spark, t, db, full_for=("t",)) == {"t": "full"}
     assert [r.v for r in read_keyed(spark, f"{db}.t").collect()] == ["only"]
+
+
+def test_late_orders_are_counted_by_an_incremental_refresh(spark):
+    from strata.plans.registry import declared_orders
+
+    db = fresh_db(spark)
+    mk = lambda rows: (spark.createDataFrame(rows, "o_orderkey bigint, day string, o_totalprice double")
+                       .withColumn("o_orderdate", F.col("day").cast("timestamp_ntz")).createOrReplaceTempView("orders"))
+    rows = [(1, "1995-01-01", 1.0), (2, "1995-01-02", 2.0), (3, "1995-01-03", 4.0)]
+    days = lambda: {str(r.day): (r.n_orders, r.revenue) for r in read_keyed(spark, f"{db}.order_daily").collect()}
+    mk(rows)
+    assert refresh(spark, declared_orders(None), db) == {"order_daily": "full", "status_mix": "full"}
+    mk(rows + [(4, "1995-01-01", 8.0), (5, "1994-12-31", 16.0)])        # late: an earlier day, and one not seen yet
+    assert refresh(spark, declared_orders(None), db) == {"order_daily": "incremental", "status_mix": "full"}
+    assert days() == {"1994-12-31": (1, 16.0), "1995-01-01": (2, 9.0), "1995-01-02": (1, 2.0), "1995-01-03": (1, 4.0)}
