@@ -178,20 +178,17 @@ def cursor_shards(keys: DataFrame, shards: int, source: str = "source", key: str
                     .alias("_b")).select("source", "_b.start_after", "_b.stop_at")
 
 
-def _offset_fn(transport: Transport, page_size: int, key_type: str):
+def _offset_fn(transport: Transport, page_size: int, key_type: str, rate: float | None, max_attempts: int, clock, sleep):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = transport.open()
+        t, pause = transport.open(), sleep or time.sleep
+        bucket = TokenBucket(rate, clock or time.monotonic, pause)
         try:
             for pdf in batches:
-                out_src, out_id, out_off = [], [], []
                 for source, off in zip(pdf["source"].tolist(), pdf["offset"].tolist()):
-                    ids = t.offset_page(source, int(off), page_size)
-                    out_src += [source] * len(ids)
-                    out_id += list(ids)
-                    out_off += [off] * len(ids)
-                yield pd.DataFrame({"source": pd.Series(out_src, dtype="object"),
-                                    "id": pd.Series(out_id, dtype="int64" if key_type == "bigint" else "object"),
-                                    "offset": pd.Series(out_off, dtype="int64")})
+                    ids = list(_page(lambda: t.offset_page(source, int(off), page_size), bucket, pause, max_attempts))
+                    if ids:
+                        yield pd.DataFrame({"source": source, "id": pd.Series(ids, dtype="int64" if key_type == "bigint" else "object"),
+                                            "offset": pd.Series(off, index=range(len(ids)), dtype="int64")})
         finally:
             t.close()
 
@@ -199,11 +196,14 @@ def _offset_fn(transport: Transport, page_size: int, key_type: str):
 
 
 def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
-                 key_type: str = "bigint", partitions: int | None = None) -> DataFrame:
+                 key_type: str = "bigint", partitions: int | None = None, rate_per_sec: float | None = None,
+                 max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
     """S3 (offset form): every page offset is known from the total up front,
     so pages are generated with ``sequence`` and fetched in parallel.
 
-    ``totals`` has (source, total); each page becomes one request row.
+    ``totals`` has (source, total); each page becomes one request row. As in S2,
+    each page leaves the task as it comes, and every call takes a token of its
+    task's share of ``rate_per_sec`` and is retried like a fetch.
     """
     kt = _key_type(key_type)
     reqs = totals.select(
@@ -215,9 +215,9 @@ def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
     ).where(F.col("offset") < F.col("total")).drop("total")
     # the requests come from a handful of total rows: spread them over the
     # cluster, or every page would be fetched by one task
-    n = partitions or totals.sparkSession.sparkContext.defaultParallelism
+    n, rate = plan_parallelism(rate_per_sec, partitions or totals.sparkSession.sparkContext.defaultParallelism)
     reqs = reqs.repartition(n, "source", "offset")
-    return reqs.mapInPandas(_offset_fn(transport, page_size, key_type),
+    return reqs.mapInPandas(_offset_fn(transport, page_size, key_type, rate, max_attempts, clock, sleep),
                             f"source string, id {kt}, offset bigint")
 
 

@@ -112,6 +112,35 @@ def test_a_page_is_retried_and_takes_tokens(spark):
     assert got == [1, 2, 3, 4, 5] and 2 in waits and len(waits) == 4      # three waits for tokens, one backoff
 
 
+class Offsets(ScriptedTransport):
+    failed = False
+
+    def offset_page(self, source, offset, limit):
+        if offset == 2 and not self.failed:
+            self.failed = True
+            raise TransportError("503")
+        return self.pages[source][offset:offset + limit]
+
+
+def test_an_offset_page_is_retried_takes_tokens_and_leaves_at_once(spark):
+    waits = []
+    run = I._offset_fn(Offsets({}, pages={"a": [1, 2, 3, 4, 5]}), 2, "bigint", 1.0, 3, FakeClock(), waits.append)
+    got = [(pdf["offset"].tolist(), pdf["id"].tolist()) for pdf in run(iter([pd.DataFrame({"source": ["a"] * 3, "offset": [0, 2, 4]})]))]
+    assert got == [([0, 0], [1, 2]), ([2, 2], [3, 4]), ([4], [5])]
+    assert 2 in waits and len(waits) == 4      # three waits for tokens, one backoff
+
+
+def test_offset_pages_survive_a_failed_call(spark):
+    held = {"a": list(range(1, 8)), "b": []}
+    totals = spark.createDataFrame([(s, len(x)) for s, x in held.items()], "source string, total long")
+    out = I.offset_pages(totals, Offsets({}, pages=held), page_size=2, partitions=3, sleep=lambda s: None)
+    assert sorted((r.id, r.offset) for r in out.collect()) == [(i, (i - 1) // 2 * 2) for i in range(1, 8)]
+    capped = I.offset_pages(totals, Offsets({}, pages=held), page_size=2, partitions=3, rate_per_sec=2.0, sleep=lambda s: None)
+    assert capped.rdd.getNumPartitions() == 2 and capped.count() == 7
+    with pytest.raises(Exception, match="503"):
+        I.offset_pages(totals, Offsets({}, pages=held), page_size=2, max_attempts=1, sleep=lambda s: None).collect()
+
+
 def test_string_keys_can_be_sharded(spark):
     keys = sorted(f"cus_{i:04d}" for i in range(0, 900, 7))
     t = ScriptedTransport({}, pages={"big": keys})
