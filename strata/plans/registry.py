@@ -322,7 +322,7 @@ def multi_source(spark, sf):
         RP.record_requests(table(spark, sf, "supplier"), "s_suppkey", "supplier", ["s_name", "s_acctbal"]))
     config = spark.createDataFrame([("customer", None, 10), ("supplier", None, 8)],
                                    "source string, rate_per_sec double, partitions int")
-    return I.fetch_sources(ids, config, ReplayTransport(), sleep=no_sleep)
+    return I.fetch_sources(ids, config, ReplayTransport(), sleep=no_sleep, null_ids=True)
 
 
 GOOD_RUNS_BEFORE = "2024-01-20 00:00:00"

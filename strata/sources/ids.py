@@ -275,7 +275,7 @@ def _multi_fetch_fn(transport: Transport, key_type: str, max_attempts: int, cloc
         pause = sleep or time.sleep
         try:
             for pdf in batches:
-                keys = pdf["id"].tolist()
+                keys = [None if k is None else int(k) if key_type == "bigint" else k for k in pdf["id"].tolist()]
                 srcs = pdf["source"].tolist()
                 rates = pdf["_rate"].tolist()
                 rows = pdf[carry].to_dict("records") if carry else [None] * len(keys)
@@ -286,8 +286,8 @@ def _multi_fetch_fn(transport: Transport, key_type: str, max_attempts: int, cloc
                 got = fetch_many(t, lambda i: buckets[srcs[i]], keys, rows, clock or time.monotonic, pause, max_attempts)
                 s_out, b_out, e_out = (list(x) for x in zip(*got)) if got else ([], [], [])
                 yield pd.DataFrame({"source": srcs,
-                                    "object_id": pd.Series(keys, dtype="int64" if key_type == "bigint" else "object"),
-                                    "http_status": pd.Series(s_out, dtype="int32"),
+                                    "object_id": pd.Series(keys, dtype="Int64" if key_type == "bigint" else "object"),
+                                    "http_status": pd.Series(s_out, dtype="Int32"),
                                     "raw_json": pd.Series(b_out, dtype="object"),
                                     "error_message": pd.Series(e_out, dtype="object")})
         finally:
@@ -297,14 +297,16 @@ def _multi_fetch_fn(transport: Transport, key_type: str, max_attempts: int, cloc
 
 
 def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_type: str = "bigint",
-                  max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
+                  max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None, null_ids: bool = False) -> DataFrame:
     """Several APIs in one job, each with its own rate and parallelism.
 
     ``ids`` has (source, id, carry...); ``config`` has (source, rate_per_sec,
     partitions), one row per API. Every source owns ``partitions`` tasks (fewer
     if its rate is lower), each with a bucket of its share of the rate; no two
     slots share a task. An id of a source without a config row fails the job
-    before its fetch; ids that are null are passed over (they name no object).
+    before its fetch. Ids that are null (also by the cast to ``key_type``) name no
+    object and are not requested: with ``null_ids`` each comes back as a
+    ``null_id`` row, as in ``fetch_all``; without it they are passed over.
     """
     rate, parts = F.col("rate_per_sec").cast("double"), F.col("partitions").cast("int")
     cfg = config.select(F.col("source").cast("string").alias("source"), rate.alias("rate"), F.greatest(
@@ -316,12 +318,14 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     start = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in first.items()], F.raise_error(
         F.concat(F.lit("no configuration for source "), F.coalesce("source", F.lit("NULL"))))) if rows else F.raise_error(
         F.lit("no source is configured"))
+    spread = F.when(F.col("id").isNull(), F.xxhash64(F.lit(0), *transport.carry)).otherwise(F.xxhash64("id"))
     kt = _key_type(key_type)
     j = (ids.select(F.col("source").cast("string").alias("source"), F.col("id").cast(kt).alias("id"),
-                    *[F.col(c) for c in transport.carry]).where(F.col("id").isNotNull())
+                    *[F.col(c) for c in transport.carry]).where(F.lit(null_ids) | F.col("id").isNotNull())
          .withColumn("_first", start.cast("int")).join(cfg, "source", "left")
          .withColumn("_rate", F.col("rate") / F.col("_parts"))
-         .withColumn("_slot", (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_parts"))).cast("int")))
+         .withColumn("_slot", (F.col("_first") + F.pmod(spread, F.col("_parts"))).cast("int"))
+         .withColumn("id", F.col("id").cast("string")))      # as text, so that null ids do not turn the others into floats
     j = j.repartitionById(max(1, slots), "_slot").drop("_first", "_slot")
     schema = T.StructType([T.StructField("source", T.StringType())] + bronze_schema(key_type).fields)
     return j.mapInPandas(_multi_fetch_fn(transport, key_type, max_attempts, clock, sleep), schema)

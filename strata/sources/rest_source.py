@@ -22,7 +22,7 @@ import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from strata.sources.fetch import TokenBucket, fetch_one, plan_parallelism
+from strata.sources.fetch import NULL_ID, TokenBucket, fetch_one, plan_parallelism
 from strata.sources.transport import HttpTransport, ReplayTransport
 
 
@@ -88,11 +88,12 @@ def _read_pieces(options, pieces):
             cols = {c: tbl.column(c).to_pylist() for c in ["id", *t.carry]}
             keys, st, bodies, errs = [], [], [], []
             for i, key in enumerate(cols["id"]):
-                if key is None:   # a NULL id names no object
-                    continue
-                row = {c: cols[c][i] for c in t.carry}
-                s_, body, err = fetch_one(t, bucket, key, row, pause)
-                keys.append(int(key) if key_bigint else str(key))
+                if key is None:   # a NULL id names no object: it is reported, not requested
+                    s_, body, err = None, None, NULL_ID
+                else:
+                    row = {c: cols[c][i] for c in t.carry}
+                    s_, body, err = fetch_one(t, bucket, key, row, pause)
+                keys.append(None if key is None else int(key) if key_bigint else str(key))
                 st.append(s_)
                 bodies.append(body)
                 errs.append(err)

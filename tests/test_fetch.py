@@ -1,5 +1,7 @@
 """Token bucket, parallelism plan and retry classes, with a fake clock."""
 
+from collections import Counter
+
 import pytest
 
 from strata.sources.fetch import TokenBucket, fetch_all, fetch_one, plan_parallelism
@@ -132,6 +134,21 @@ def test_rest_source_reads_finished_files_only(spark):
     assert batch.count() == 50 and batch.where("error_message = 'not_found'").count() == 8
 
 
+def test_rest_source_reports_null_ids(spark):
+    from strata.session import scratch_dir
+    from strata.sources.rest_source import register
+
+    register(spark)
+    for kind in ("bigint", "string"):
+        path = scratch_dir(spark, "ids")
+        spark.createDataFrame([(1,), (None,), (2 ** 53 + 1,), (None,)], "id bigint").selectExpr(
+            f"CAST(id AS {kind}) AS id", "200 AS replay_status", "'{}' AS replay_body").write.parquet(path)
+        out = spark.read.format("rest").options(ids_path=path, transport="replay", key_type=kind, retry_backoff="false").load()
+        one, big = (1, 2 ** 53 + 1) if kind == "bigint" else ("1", str(2 ** 53 + 1))
+        assert Counter((r.object_id, r.http_status, r.raw_json, r.error_message) for r in out.collect()) == {
+            (one, 200, "{}", None): 1, (big, 200, "{}", None): 1, (None, None, None, "null_id"): 2}
+
+
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
 

@@ -175,6 +175,28 @@ def test_an_unconfigured_source_fails_and_slots_do_not_collide(spark):
         I.fetch_sources(ids.fillna(5), config.where("source = 'a'"), ScriptedTransport({}), sleep=lambda s: None).collect()
 
 
+def test_null_ids_of_sources_are_reported_not_requested(spark):
+    big = 2 ** 53 + 1
+    config = spark.createDataFrame([("a", None, 3), ("b", None, 2)], "source string, rate_per_sec double, partitions int")
+    ids = spark.createDataFrame([("a", 1), ("a", None), ("b", big), ("b", None), ("b", None)], "source string, id bigint")
+    out = I.fetch_sources(ids, config, ScriptedTransport({None: [500]}), sleep=lambda s: None, null_ids=True).collect()
+    assert sorted((r.source, r.object_id or 0, r.http_status or 0, r.error_message or "") for r in out) == [
+        ("a", 0, 0, "null_id"), ("a", 1, 200, ""), ("b", 0, 0, "null_id"), ("b", 0, 0, "null_id"), ("b", big, 200, "")]
+    text = I.fetch_sources(ids.withColumn("id", F.col("id").cast("string")), config, ScriptedTransport({}), key_type="string",
+                           sleep=lambda s: None, null_ids=True).collect()
+    assert sorted(r.object_id or "" for r in text) == ["", "", "", "1", str(big)]
+
+
+def test_the_query_reports_null_ids(spark, sf, monkeypatch):
+    from strata.plans import registry
+
+    real = registry.table
+    monkeypatch.setattr(registry, "table", lambda s, d, name: real(s, d, name).withColumn(
+        "s_suppkey", F.when(F.col("s_suppkey") != 1, F.col("s_suppkey"))) if name == "supplier" else real(s, d, name))
+    out = registry.QUERIES["multi_source"](spark, sf).where("source = 'supplier'").collect()
+    assert [r.error_message for r in out if r.object_id is None] == ["null_id"] and len(out) == real(spark, sf, "supplier").count()
+
+
 def test_cursor_shards_cover_every_key_once(spark):
     keys = list(range(1, 1001, 3))                                 # one big source
     t = ScriptedTransport({}, pages={"big": keys})
