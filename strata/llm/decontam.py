@@ -170,7 +170,7 @@ def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must lie between 0 and {GAP - 1}")
     items = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()     # copies would share a block
     n_blocks = -(-text_bytes(items) // BLOCK_BYTES)
 
     def finder(data):

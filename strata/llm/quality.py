@@ -254,13 +254,20 @@ def _sigmoid(x):
 
 
 def fit(features: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Network:
-    """A network from labelled rows whose ids are not held out, about ``max_train`` of them."""
+    """A network from labelled rows whose ids are not held out, about ``max_train`` of them.
+
+    Copies of a row train once; if the sampled ids still have over twice
+    ``max_train`` rows (many texts under one id), about so many of them train.
+    """
     import numpy as np
 
     known = (labels.select("doc_id", "quality").where(F.col("quality").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     known = about(known, ["doc_id"], max_train, known.count())
-    rows = features.join(known, "doc_id").orderBy("doc_id", "text_hash").select("features", "quality").collect()
+    pairs = features.select("doc_id", "text_hash").join(known, "doc_id").distinct()
+    pairs = about(pairs, ["doc_id", "text_hash"], 2 * max_train, pairs.count())
+    rows = (features.join(pairs, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+            .orderBy("doc_id", "text_hash").select("features", "quality").collect())
     x = np.frombuffer(b"".join(bytes(r["features"]) for r in rows), np.float32).reshape(-1, 3 * DIMS)
     return Network(x, np.array([r["quality"] for r in rows], np.float32))
 

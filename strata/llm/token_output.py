@@ -53,13 +53,19 @@ def ids_width(path: str) -> int:
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int | None, width: int) -> bytes:
-    """A zstandard dictionary from the ids of a sample of about ``DICT_SAMPLE`` rows."""
+    """A zstandard dictionary from the ids of a sample of about ``DICT_SAMPLE`` rows.
+
+    Copies of a row count once; if the sampled ids still have over twice as many
+    rows (many texts under one id), about that many are taken.
+    """
     import zstandard
 
     from strata.llm.text import encode
     from strata.llm.tokens import encoder
 
     some = about(docs, ["doc_id"], DICT_SAMPLE, docs.count()).where(F.octet_length("text") <= DICT_SAMPLE_BYTES)
+    some = some.select("doc_id", "text").distinct()
+    some = about(some, ["doc_id", "text"], 2 * DICT_SAMPLE, some.count())
     rows = some.orderBy("doc_id", F.xxhash64("text")).select("text").collect()
     enc, samples = encoder(path, end_id), []
     for r in rows:

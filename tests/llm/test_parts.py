@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import (components, decontam, fingerprint, line_dedup, ngram_join, packing, quality, sharding,
-                        substring_dedup, text, token_counts, token_output)
+                        substring_dedup, text, token_counts, token_output, tokens)
+from strata.llm.common import about
 from strata.llm.tokens import Encoder, word_tokenizer
 from strata.session import scratch_dir
 from tests.llm import brute
@@ -246,6 +247,45 @@ def test_proximity_equals_the_plain_version(spark):
         assert got == {d: {str(i) for i, x in items for k in range(max(1, len(x) - 3)) if near(w, x[k:k + 4], slop)} for d, w in docs}
 
 
+# ---------------------------------------------------------------- what the driver collects
+def sampled_id(spark, rows, of):
+    """An id that a sample of about ``rows`` of ``of`` rows takes."""
+    return about(spark.range(100_000).toDF("doc_id"), ["doc_id"], rows, of).first().doc_id
+
+
+@pytest.mark.parametrize("texts", [1, 1000])
+def test_rows_of_one_id_do_not_fill_the_dictionary_sample(spark, monkeypatch, texts):
+    hot = sampled_id(spark, 20, 2000)
+    docs = frame(spark, [(hot, f"t{i % texts} x") for i in range(1000)] + [(200_000 + i, f"u{i}") for i in range(1000)])
+    monkeypatch.setattr(token_output, "DICT_SAMPLE", 20)
+    taken, real = [], tokens.Encoder.encode
+    monkeypatch.setattr(tokens.Encoder, "encode", lambda self, x: taken.append(x) or real(self, x))
+    token_output.train_dictionary(docs, word_tokenizer(), None, 2)
+    assert 1 <= len(taken) <= 100
+
+
+@pytest.mark.parametrize("texts", [1, 1000])
+def test_rows_of_one_id_do_not_fill_the_training_set(spark, monkeypatch, texts):
+    known = [i for i, in spark.range(3000).toDF("doc_id").where(~quality.held_out()).collect()]
+    labels = spark.createDataFrame([(i, i % 2) for i in known], "doc_id long, quality long")
+    hot = about(labels, ["doc_id"], 20, len(known)).first().doc_id
+    vector = np.ones(3 * quality.DIMS, np.float32).tobytes()
+    rows = [(hot, k % texts, bytearray(vector)) for k in range(1000)] + [(i, 0, bytearray(vector)) for i in known if i != hot]
+    features = spark.createDataFrame(rows, "doc_id long, text_hash long, features binary")
+    seen = []
+    monkeypatch.setattr(quality, "Network", lambda x, y: seen.append((len(x), len(y))))
+    quality.fit(features, labels, 20)
+    assert 1 <= seen[0][0] == seen[0][1] <= 100
+
+
+def test_copies_of_a_benchmark_row_are_collected_once(spark, monkeypatch):
+    items = spark.createDataFrame([(7, "a b c")] * 500 + [(8, "a b c"), (7, "c b")], "item_id long, text string")
+    blocks, real = [], decontam.Phrases.__init__
+    monkeypatch.setattr(decontam.Phrases, "__init__", lambda self, block, window: blocks.append(len(block)) or real(self, block, window))
+    out = decontam.search(spark, decontam.build_index(spark, frame(spark, [(1, "x a b c"), (2, "c b")])), items)
+    assert {r.doc_id: r["items"] for r in out.collect()} == {1: ["7", "8"], 2: ["7"]} and sum(blocks) == 3
+
+
 # ---------------------------------------------------------------- texts and columns
 def test_spans_of_maximal_repeats(spark):
     passage = " ".join(f"p{i}" for i in range(50))
