@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontam, fingerprint, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, token_counts, token_output
+from strata.llm import byte_bpe, decontam, fingerprint, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -30,3 +30,4 @@ _add(token_output.op7_token_output)
 _add(token_counts.op8_token_counts)
 _add(sharding.op9_sharding)
 _add(packing.op10_packing)
+_add(byte_bpe.op11_byte_bpe)

@@ -139,3 +139,20 @@ def test_quality(spark, edge):
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
     same = {r.score for r in out if r.doc_id in (10_000, 10_001, 10_004, 10_005)}
     assert len(same) == 1            # null and empty texts
+
+
+def test_byte_bpe(spark, edge):
+    import base64
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for d, t in edge[1]:
+        ids = enc.encode_ordinary(t or "")
+        want[d, len(ids), brute.sha(",".join(map(str, ids))), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    assert got(Q["op11_byte_bpe"](spark, edge[0])) == want

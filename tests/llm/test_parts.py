@@ -317,3 +317,53 @@ def test_held_out_accuracy(spark):
     assert sum((a > b) + (a == b) / 2 for a in good for b in bad) / (len(good) * len(bad)) > 0.98
     assert sum(b < quality.CUT for b in bad) >= 0.85 * len(bad)
     assert sum(a >= quality.CUT for a in good) >= 0.95 * len(good)
+
+
+# ---------------------------------------------------------------- byte-level BPE
+def odd_texts(seed: int, n: int):
+    """Random mixes of letters, signs, white space, and characters that only some Unicode tables know."""
+    from strata.llm.pretokens import Splitter
+
+    rng = random.Random(seed)
+    letters = "aS'tre!,é́ \n\x01ſß<|0̸ Ως中文字ñ½٣  \x1c\x85␀▁Ġ" + "".join(rng.sample(sorted(Splitter().new), 20))
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def test_byte_bpe_ids_equal_tiktoken():
+    import public_tokenizers
+    import tiktoken
+
+    from strata.llm.byte_bpe import ByteBpe, multi_ranks
+
+    own = ByteBpe(multi_ranks())
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    texts = odd_texts(1, 3000) + ["a" * 5000, " " * 3000 + "x", "<|endoftext|>", "", "it's IT'S 'lls"]
+    texts += [k.decode("utf-8") for k in own.ranks if k.isascii()]
+    ids, bounds = own.encode(texts)
+    for i, t in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode_ordinary(t), t
+    assert own.decode(ids) == "".join(texts).encode()
+
+
+def test_an_entry_is_found_where_merges_do_not_lead_to_it(tmp_path):
+    import base64
+
+    from strata.llm.byte_bpe import ByteBpe
+
+    entries = [bytes([i]) for i in range(256)] + [b"abc"]        # no entry of two bytes
+    path = tmp_path / "few.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(e) + b" %d\n" % k for k, e in enumerate(entries)))
+    ids, bounds = ByteBpe(str(path)).encode(["abc", "abcd abc"])
+    assert ids.tolist() == [256, 97, 98, 99, 100, 32, 97, 98, 99] and bounds.tolist() == [0, 1, 9]
+
+
+def test_a_worker_forgets_words_and_cuts_long_texts(monkeypatch):
+    from strata.llm import pretokens
+    from strata.llm.byte_bpe import ByteBpe, multi_ranks
+
+    texts = odd_texts(2, 300) + ["word " * 2000]
+    want = ByteBpe(multi_ranks()).encode(texts)
+    monkeypatch.setattr(pretokens, "MAX_WORDS", 50)
+    monkeypatch.setattr(pretokens, "WORDS_A_TIME", 64)
+    got = ByteBpe(multi_ranks()).encode(texts)
+    assert all((a == b).all() for a, b in zip(want, got))
