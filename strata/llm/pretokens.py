@@ -145,6 +145,17 @@ def encode_texts(texts: list[str], word_ids: WordIds, pattern: re.Pattern = WORD
     return (np.concatenate(found) if found else np.empty(0, np.uint32)), np.concatenate([[0], np.cumsum(total)])
 
 
+def text_slices(batch, limit: int):
+    """(rows of a record batch, their texts), about ``limit`` bytes of the column ``text`` at a time."""
+    import pyarrow.compute as pc
+
+    size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // limit)) + 1
+    for a, b in itertools.pairwise([0, *cuts.tolist(), len(size)]):
+        rows = batch.slice(a, b - a)
+        yield rows, rows.column("text").to_pylist()
+
+
 class Strings:
     """Byte strings by number; ``join`` puts those of an array of numbers in a row."""
 

@@ -99,3 +99,46 @@ def lines(rows, min_docs=10):
 
 def prefix_length(n, percent):
     return n - ceil(percent * n / 100) + 1
+
+
+def aligned(text, a, b):
+    """(A ids, B ids, groups as (A ids, B ids)) by the libraries, and sets of ends."""
+    from itertools import accumulate
+
+    letters = {c: i for i, c in enumerate(byte_letters())}
+    if not text:
+        return [], [], []
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    raw_a = [bytes(letters[c] for c in a.id_to_token(i)) for i in ids_a]
+    raw_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids_b]
+    if not b"".join(raw_a) == b"".join(raw_b) == (" " + text).encode():
+        return [], [], []
+    ends_a, ends_b = ([0, *accumulate(map(len, x))] for x in (raw_a, raw_b))
+    place_a, place_b = ({e: i for i, e in enumerate(x)} for x in (ends_a, ends_b))
+    cuts = sorted(set(ends_a) & set(ends_b))
+    return ids_a, ids_b, [(ids_a[place_a[x]:place_a[y]], ids_b[place_b[x]:place_b[y]]) for x, y in zip(cuts, cuts[1:])]
+
+
+def byte_letters():
+    seen = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    return [chr(b) if b in seen else chr(0x100 + sum(x not in seen for x in range(b))) for b in range(256)]
+
+
+def alignment(rows, path_a, path_b):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    found = [(doc, *aligned(text, a, b)) for doc, text in rows]
+    count = Counter((x[-1], y[-1]) for _, _, _, groups in found for x, y in groups)
+    best = Counter()
+    for (_, y), n in count.items():
+        best[y] = max(best[y], n)
+    out = []
+    for doc, ids_a, ids_b, groups in found:
+        links = [(x[-1], y[-1]) for x, y in groups]
+        text = ";".join("|".join(",".join(map(str, side)) for side in g) for g in groups)
+        out.append((doc, len(ids_a), len(ids_b), len(groups), len(links), sum(count[k] == best[k[1]] for k in links),
+                    sum(count[k] for k in links), sha(text) if text else ""))
+    return out

@@ -156,3 +156,12 @@ def test_byte_bpe(spark, edge):
         ids = enc.encode_ordinary(t or "")
         want[d, len(ids), brute.sha(",".join(map(str, ids))), hashlib.sha256((t or "").encode()).hexdigest()] += 1
     assert got(Q["op11_byte_bpe"](spark, edge[0])) == want
+
+
+def test_alignment(spark, edge):
+    import public_tokenizers
+
+    rows = edge[1]
+    want = brute.alignment(rows, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    assert got(Q["op13_alignment"](spark, edge[0])) == Counter(want)
+    assert len({r[5] != r[4] for r in want}) == 2

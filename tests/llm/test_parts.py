@@ -367,3 +367,55 @@ def test_a_worker_forgets_words_and_cuts_long_texts(monkeypatch):
     monkeypatch.setattr(pretokens, "WORDS_A_TIME", 64)
     got = ByteBpe(multi_ranks()).encode(texts)
     assert all((a == b).all() for a, b in zip(want, got))
+
+
+# ---------------------------------------------------------------- alignment
+def test_pointers_end_at_the_last_token_of_their_component():
+    from strata.llm.alignment import terminals
+
+    rng = random.Random(8)
+    for n in (1, 2, 40, 300):
+        for share in (0.1, 0.5, 0.9):
+            ends = [np.array(sorted({n, *(x for x in range(1, n) if rng.random() < share)})) for _ in range(2)]
+            of_a, of_b = terminals(*ends)
+            cuts = sorted(set(ends[0]) & set(ends[1]))
+            last = [int(np.flatnonzero(ends[1] == c)[0]) for c in cuts]
+            for got, side in ((of_a, ends[0]), (of_b, ends[1])):
+                assert got.tolist() == [last[int(np.searchsorted(cuts, e))] for e in side]
+
+
+def test_alignment_of_odd_texts(spark):
+    from strata.llm import alignment
+
+    files = alignment.default_files()
+    texts = odd_texts(4, 500) + [" ", "  ", "a ", "a  ", "\x00", "<s></s><unk>", "<0x41>", "<|endoftext|> x", "x" * 3000, None, ""]
+    texts += [t.replace("▁", "") for t in texts[:500]] + ["word " * 30_000]
+    rows = list(enumerate(texts)) + [(None, "no id"), (7, "same id")]
+    want = brute.alignment(rows, *files)
+    documents, pairs = alignment.link_counts(spark, frame(spark, rows).repartition(3))
+    assert sorted(map(tuple, documents.collect()), key=repr) == sorted(want, key=repr)
+    assert pairs.agg(F.sum("n")).first()[0] == sum(r[4] for r in want)
+    written = {r.doc_id: r.groups for r in alignment.align(frame(spark, rows)).collect()}
+    for doc in (0, 3, 501, 506, 512):
+        assert (brute.sha(written[doc]) if written[doc] else "") == next(r[7] for r in want if r[0] == doc)
+
+
+def test_files_that_merge_across_words_are_encoded_whole(spark, tmp_path):
+    from strata.llm import alignment
+
+    a, b = alignment.default_files()
+    own = alignment.Aligned(["some words", "", "more  of them\n"], *alignment.sides(a, b))
+    pair, piece = alignment.PairTokenizer(a), alignment.PieceTokenizer(b)
+    for side in (pair, piece):
+        side.by_word, side.pattern = False, alignment.WHOLE
+    whole = alignment.Aligned(["some words", "", "more  of them\n"], pair, piece)
+    assert all((getattr(own, k) == getattr(whole, k)).all() for k in ("ids_a", "ids_b", "last_b", "upto_a", "groups"))
+
+
+def test_stored_ids_decode_to_the_texts(spark):
+    from strata.llm import byte_bpe
+
+    rows = list(enumerate(odd_texts(6, 200))) + [(900, None), (901, ""), (None, "no id")]
+    stored = byte_bpe.encode(frame(spark, rows)).unionByName(spark.createDataFrame([(902, None)], "doc_id long, ids array<int>"))
+    back = {r.doc_id: bytes(r.decoded).decode() for r in byte_bpe.decode(stored).collect()}
+    assert back == {d: t or "" for d, t in rows} | {902: ""}
