@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import alignment, byte_bpe, decontam, fingerprint, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, token_counts, token_output
+from strata.llm import alignment, byte_bpe, decontam, fingerprint, line_dedup, ngram_join, packing, quality, ranked_search, sharding, substring_dedup, token_counts, token_output
 from strata.session import prepare
 
 QUERIES: dict = {}
@@ -31,4 +31,5 @@ _add(token_counts.op8_token_counts)
 _add(sharding.op9_sharding)
 _add(packing.op10_packing)
 _add(byte_bpe.op11_byte_bpe)
+_add(ranked_search.op12_ranked_search, ranked_search.ORACLE)
 _add(alignment.op13_alignment)

@@ -142,3 +142,26 @@ def alignment(rows, path_a, path_b):
         out.append((doc, len(ids_a), len(ids_b), len(groups), len(links), sum(count[k] == best[k[1]] for k in links),
                     sum(count[k] for k in links), sha(text) if text else ""))
     return out
+
+
+def ranked(rows, items, top=50):
+    from math import floor, log
+
+    docs = [(d, Counter(ALNUM.findall(low(t)))) for d, t in rows]
+    docs = [(d, c, sum(c.values())) for d, c in docs if c]
+    n_docs, n_terms = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    terms = defaultdict(set)
+    for item, text in items:
+        terms[item].update(ALNUM.findall(low(text)))
+    out = []
+    for item, asked in terms.items():
+        found = []
+        for d, c, n in docs:
+            m = 50 + (50 * n * n_docs) // n_terms
+            score = sum(floor(1000 * log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10 ** 9 * c[t]) // (1000 * c[t] + 20 * m))
+                        for t in asked if t in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(item, k + 1, d, -s) for k, (s, _, _, d) in enumerate(sorted(found, key=lambda x: x[:3])[:top])]
+    return out

@@ -165,3 +165,8 @@ def test_alignment(spark, edge):
     want = brute.alignment(rows, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
     assert got(Q["op13_alignment"](spark, edge[0])) == Counter(want)
     assert len({r[5] != r[4] for r in want}) == 2
+
+
+def test_ranked_search(spark, edge):
+    folder, rows, items = edge
+    assert got(Q["op12_ranked_search"](spark, folder)) == Counter(brute.ranked(rows, items))

@@ -419,3 +419,56 @@ def test_stored_ids_decode_to_the_texts(spark):
     stored = byte_bpe.encode(frame(spark, rows)).unionByName(spark.createDataFrame([(902, None)], "doc_id long, ids array<int>"))
     back = {r.doc_id: bytes(r.decoded).decode() for r in byte_bpe.decode(stored).collect()}
     assert back == {d: t or "" for d, t in rows} | {902: ""}
+
+
+# ---------------------------------------------------------------- ranked search
+def test_a_tree_finds_the_best_of_its_documents(monkeypatch):
+    from strata.llm import ranked_search as rs
+
+    rng = random.Random(9)
+    for page, top, n in ((1, 3, 60), (4, 5, 200), (16, 50, 500), (16, 5, 10)):
+        monkeypatch.setattr(rs, "PAGE", page)
+        monkeypatch.setattr(rs, "TOP", top)
+        n_terms = 30
+        docs = []
+        for _ in range(n):
+            terms = sorted({min(n_terms - 1, int(rng.expovariate(0.2))) for _ in range(rng.randint(1, 9))})
+            docs.append((terms, [rng.randint(1, 4) for _ in terms], rng.choice((60, 100, 100, 900))))
+        docs += [docs[0]] * 40                                    # copies, with equal scores
+        ids = rng.sample(range(10_000), len(docs) - 1) + [rs.NO_ID]
+        bounds = np.cumsum([0] + [len(t) for t, _, _ in docs])
+        flat = [np.array([x for d in docs for x in d[k]], np.int64) for k in (0, 1)]
+        tree = rs.Tree(np.array(ids), np.array([m for _, _, m in docs]), bounds, *flat, n_terms)
+        assert tree.begin[0] == 0 and tree.end[0] == len(docs)
+        for node, kids in enumerate(tree.children):               # children are the node's documents, in order
+            if kids:
+                spans = [(tree.begin[k], tree.end[k]) for k in kids]
+                assert [a for a, _ in spans] == [tree.begin[node], *[b for _, b in spans[:-1]]] and spans[-1][1] == tree.end[node]
+            else:
+                assert tree.end[node] - tree.begin[node] <= page
+        for _ in range(20):
+            asked = np.array(sorted(rng.sample(range(n_terms), rng.randint(1, 8))))
+            weights = np.array([rng.randint(0, 9000) for _ in asked])
+            column = np.full(n_terms, -1)
+            column[asked] = np.arange(len(asked))
+            best = rs.Best()
+            tree.search(asked, weights, column, best)
+            want = []
+            for i, (terms, tfs, m) in zip(ids, docs):
+                score = sum(int(w) * (10 ** 9 * tfs[terms.index(t)] // (1000 * tfs[terms.index(t)] + 20 * m))
+                            for t, w in zip(asked.tolist(), weights) if t in terms)
+                if score:
+                    want.append((score, -i))
+            assert sorted(best.heap, reverse=True) == sorted(want, reverse=True)[:top]
+
+
+def test_search_in_blocks_of_items_equals_one_block(spark, edge, monkeypatch):
+    from strata.llm import ranked_search as rs
+
+    _, rows, items = edge
+    items = [(str(i), t) for i, t in items] + [(None, "w1 w2 w3"), (None, "w4")]
+    asked = spark.createDataFrame(items, "item_id string, text string")
+    monkeypatch.setattr(rs, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(rs, "FIRST_SHARE", 2)
+    got = rs.search(spark, frame(spark, rows).repartition(6), asked).select("item_id", "rank", "doc_id", "score").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute.ranked(rows, items), key=repr)
