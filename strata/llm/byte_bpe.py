@@ -134,53 +134,63 @@ def multi_ranks() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids array<int> of every row."""
+def _binaries(flat, bounds):
+    import numpy as np
+    import pyarrow as pa
+
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(flat)])
+
+
+def encode(docs: DataFrame, path: str | None = None, decoded: bool = False) -> DataFrame:
+    """doc_id, ids array<int> of every row; with ``decoded`` also the bytes that the ids give back."""
     path = path or multi_ranks()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        from strata.llm.text import chunks
+        from strata.llm.pretokens import text_slices
+        from strata.llm.text import CHUNK
 
         own = codec(path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in chunks(texts):
-                ids, bounds = own.encode(texts[a:b])
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], names=["doc_id", "ids"])
+            for rows, texts in text_slices(batch, CHUNK):
+                ids, bounds = own.encode(texts)
+                out = {"doc_id": rows.column("doc_id"),
+                       "ids": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))}
+                if decoded:
+                    flat, ends = own.strings.join(ids)
+                    out["decoded"] = _binaries(flat, np.concatenate([[0], ends])[bounds])
+                yield pa.RecordBatch.from_pydict(out)
 
     docs = doc_columns(docs)
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>" + (", decoded binary" if decoded else ""))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """The rows of ``encode`` plus decoded binary; a null list of ids has no bytes."""
+    """The rows of ``encode`` (doc_id, ids) plus decoded binary; a null list of ids has no bytes."""
     path = path or multi_ranks()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         own = codec(path)
         for batch in batches:
             lists = batch.column("ids")
-            count = np.diff(lists.offsets.to_numpy()) if not lists.null_count else np.array([len(x or ()) for x in lists.to_pylist()])
-            bounds = np.concatenate([[0], np.cumsum(count)])
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            flat, ends = own.strings.join(values)
-            at = np.concatenate([[0], ends])[bounds]
-            out = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(flat)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, out.cast(pa.binary())], names=["doc_id", "ids", "decoded"])
+            count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            flat, ends = own.strings.join(lists.flatten().to_numpy())
+            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": lists, "decoded": _binaries(flat, bounds)})
 
     encoded = encoded.select("doc_id", "ids")
     return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
 def op11_byte_bpe(spark, sf_dir: str) -> DataFrame:
-    out = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    out = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), decoded=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
