@@ -103,11 +103,11 @@ def refresh_silver(spark, bronze_table: str, silver_table: str, fields: Sequence
     Silver. New rows are upserted on the key, newest ``ts`` winning, so
     re-running after a failure is harmless. The first run builds Silver in full.
     """
-    from strata.operators.tables import read_keyed, table_exists, upsert
+    from strata.operators.tables import table_exists, upsert
 
     bronze = spark.table(bronze_table)
     if table_exists(spark, silver_table):
-        have = read_keyed(spark, silver_table).select(F.col(key).alias("_have"), F.col(ts).alias("_have_ts"))
+        have = spark.table(silver_table).select(F.col(key).alias("_have"), F.col(ts).alias("_have_ts"))
         bronze = (bronze.join(have, F.col(key).eqNullSafe(F.col("_have")), "left")
                   .where(F.col("_have_ts").isNull() | (F.col(ts) > F.col("_have_ts"))).drop("_have", "_have_ts"))
     rows = silver(bronze, fields, key=key, keep=(ts,), strict=strict)

@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import ml
-from strata.operators.tables import append_run, ensure_schema_of, upsert, write_full, write_observed
+from strata.operators.tables import append_run, drop_table, ensure_schema_of, upsert, write_full, write_observed
 from strata.session import scratch_dir
-from strata.sources.fetch import fetch_all
+from strata.sources.fetch import NOT_FOUND, fetch_all
 from strata.sources.ids import cap_ids
 from strata.sources.files import read_files, read_table, with_provenance
 from strata.sources.transport import Transport
 
 
+#: Of an object's versions: an answer (a body, or that it does not exist) before a failed attempt, then the newest.
+BRONZE_ORDER = [f"coalesce(http_status = 200 AND raw_json IS NOT NULL OR error_message = '{NOT_FOUND}', false)", "ingested_at"]
+
+
 def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, table: str,
                    rate_per_sec: float | None = None, partitions: int | None = None, key_type: str = "bigint",
                    runs_table: str | None = None, run_name: str = "api_ingest", sleep=None,
@@ -27,8 +31,8 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
     """ids -> (cap) -> fetch -> Bronze table, counts observed during the fetch's single write.
 
     ``mode="overwrite"`` replaces Bronze (a full pull). ``mode="upsert"``
-    merges the fetched rows into Bronze on ``object_id``, newest
-    ``ingested_at`` winning (incremental pulls). No ids: the table is left
+    merges the fetched rows into Bronze on ``object_id`` (incremental pulls):
+    the newest answer wins, and a failed attempt replaces only an older one. No ids: the table is left
     untouched and the run is recorded as skipped (W7). With
     ``min_success_ratio`` Bronze changes only if enough rows succeeded.
 
@@ -65,9 +69,9 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
                 elif mode == "overwrite":
                     write_full(spark.table(stage), table)
                 else:
-                    upsert(spark, spark.table(stage), table, ["object_id"], ["ingested_at"])
+                    upsert(spark, spark.table(stage), table, ["object_id"], BRONZE_ORDER)
             finally:
-                spark.sql(f"DROP TABLE IF EXISTS {stage}")
+                drop_table(spark, stage)
     if runs_table:
         append_run(spark, runs_table, run_name, rec)
     return rec

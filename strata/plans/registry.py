@@ -322,7 +322,7 @@ def multi_source(spark, sf):
         RP.record_requests(table(spark, sf, "supplier"), "s_suppkey", "supplier", ["s_name", "s_acctbal"]))
     config = spark.createDataFrame([("customer", None, 10), ("supplier", None, 8)],
                                    "source string, rate_per_sec double, partitions int")
-    return I.fetch_sources(ids, config, ReplayTransport(), sleep=no_sleep, null_ids=True)
+    return I.fetch_sources(ids, config, ReplayTransport(), sleep=no_sleep)
 
 
 GOOD_RUNS_BEFORE = "2024-01-20 00:00:00"
@@ -408,14 +408,14 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 """)
 def upsert_latest(spark, sf):
     """Two batches (before/after a cut) upserted on user_id, newest ts wins."""
-    from strata.operators.tables import read_keyed, upsert
+    from strata.operators.tables import upsert
 
     ev = table(spark, sf, "events")
     cut = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
     tbl = f"{fresh_db(spark)}.events_latest"
     upsert(spark, ev.where(F.col("ts") < cut), tbl, ["user_id"], ["ts"])
     upsert(spark, ev.where(F.col("ts") >= cut), tbl, ["user_id"], ["ts"])
-    return read_keyed(spark, tbl)
+    return spark.table(tbl)
 
 
 # ---------------------------------------------------------------- T1-T8
@@ -895,41 +895,26 @@ def model_tests(spark, sf):
 
 
 # ---------------------------------------------------------------- R1
-def declared_orders(cut: str | None):
-    """Two declared tables over orders: a keyed daily rollup and a status mix.
+def declared_orders(orders: str):
+    """Two declared tables over a table of orders: a keyed daily rollup and a status mix.
 
-    With ``cut`` only a part of the orders has arrived: none from that day on,
-    and of the earlier days all but every seventh. Orders have no time of
-    arrival, and one may arrive for any day, so the rollup has no mark: an
-    incremental refresh counts every day again.
+    An order goes into the day of its date; it may arrive late, for any day, so an
+    incremental refresh builds the days anew that orders of new commits touch.
     """
     from strata.plans.refresh import Declared
-    from strata.operators.tables import read_keyed
 
     def daily(spark, names):
-        o = orders_frame(spark)
-        if cut is not None:
-            late = F.coalesce(F.col("o_orderkey") % 7 == 0, F.lit(False))
-            o = o.where((F.col("o_orderdate") < F.lit(cut).cast("timestamp_ntz")) & ~late)
-        return o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
-            F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue")) \
-            .withColumn("refreshed_at", F.current_timestamp())
+        return spark.table(names[orders]).groupBy(F.to_date("o_orderdate").alias("day")).agg(
+            F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
 
     def status_mix(spark, names):
-        d = read_keyed(spark, names["order_daily"])
+        d = spark.table(names["order_daily"])
         return d.agg(F.count(F.lit(1)).alias("days"), F.sum("n_orders").alias("n_orders"))
 
-    return [Declared("order_daily", daily, keys=("day",), order_by=("refreshed_at",)),
+    return [Declared("order_daily", daily, inputs=(orders,), keys=("day",), affected={orders: ["to_date(o_orderdate)"]}),
             Declared("status_mix", status_mix, inputs=("order_daily",))]
 
 
-_ORDERS_VIEW = "orders"
-
-
-def orders_frame(spark):
-    return spark.table(_ORDERS_VIEW)
-
-
 REFRESH_CUT = "1998-01-01 00:00:00"
 
 
@@ -938,15 +923,24 @@ SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_orders, round(sum(o_total
 FROM orders GROUP BY 1
 """)
 def refresh_set(spark, sf):
-    """Full refresh of a partial input, then an incremental refresh selecting one table."""
-    from strata.operators.tables import read_keyed
+    """Full refresh of a partial input, then incremental refreshes of one table after each further commit.
+
+    The first commit has no order from the cut on, and of the days before it all
+    but every seventh order; the second has the late ones, the third the rest.
+    """
+    from strata.operators.tables import append
     from strata.plans.refresh import refresh
 
-    register_views(spark, sf, ["orders"])
     db = fresh_db(spark)
-    refresh(spark, declared_orders(REFRESH_CUT), db, full=True)
-    refresh(spark, declared_orders(None), db, only=("order_daily",))
-    return read_keyed(spark, f"{db}.order_daily").drop("refreshed_at")
+    orders, every = f"{db}.orders", table(spark, sf, "orders")
+    before = F.coalesce(F.col("o_orderdate") < F.lit(REFRESH_CUT).cast("timestamp_ntz"), F.lit(False))
+    late = F.coalesce(F.col("o_orderkey") % 7 == 0, F.lit(False))
+    append(every.where(before & ~late), orders)
+    refresh(spark, declared_orders(orders), db, full=True)
+    for part in (every.where(before & late), every.where(~before)):
+        append(part, orders)
+        refresh(spark, declared_orders(orders), db, only=("order_daily",))
+    return spark.table(f"{db}.order_daily")
 
 
 # ---------------------------------------------------------------- Q2 Q3
@@ -1075,8 +1069,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
 """)
 def stream_upsert(spark, sf):
-    """Keyed upsert of every micro-batch (newest ts per user wins)."""
-    from strata.operators.tables import read_keyed
+    """Keyed upsert of every micro-batch (newest ts per user wins), read by name."""
     from strata.streaming.ingest import read_stream, upsert_stream
 
     landing, _, ckpt = stream_paths(spark)
@@ -1085,7 +1078,7 @@ def stream_upsert(spark, sf):
         events_json_drop(spark, sf, landing, before)
         s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ).drop("source_file", "ingested_at")
         upsert_stream(spark, s, tbl, ["user_id"], ["ts"], ckpt)
-    return read_keyed(spark, tbl)
+    return spark.table(tbl)
 
 
 @register("stream_run_status", """
@@ -1098,7 +1091,7 @@ FROM l JOIN a ON l.user_id = a.user_id WHERE rn = 1
 """)
 def stream_run_status(spark, sf):
     """Latest state per run kept current from an observation stream."""
-    from strata.streaming.ingest import read_run_status, read_stream, run_status_stream
+    from strata.streaming.ingest import read_stream, run_status_stream
 
     landing, _, ckpt = stream_paths(spark)
     tbl = f"{fresh_db(spark)}.run_status"
@@ -1106,20 +1099,21 @@ def stream_run_status(spark, sf):
         events_json_drop(spark, sf, landing, before)
         s = read_stream(spark, landing, EVENTS_JSON_SCHEMA, options=JSON_READ)
         run_status_stream(spark, s, tbl, "user_id", "event_type", "ts", FIXTURE_TERMINAL, ckpt)
-    return read_run_status(spark, tbl, "user_id", FIXTURE_TERMINAL)
+    return spark.table(tbl)
 
 
 @register("stream_full_refresh", SQL_EVENTS_ALL)
 def stream_full_refresh(spark, sf):
-    """Full refresh of a stream = new checkpoint + rebuilt target (no duplicates)."""
+    """Full refresh of a stream = new checkpoint + rebuilt target (no duplicates); readers of the name switch."""
     from strata.streaming.ingest import full_refresh_stream, ingest_stream
 
     landing, target, ckpt = stream_paths(spark)
     events_json_drop(spark, sf, landing, True)
     events_json_drop(spark, sf, landing, False)
-    ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ)
-    target, _ = full_refresh_stream(spark, landing, EVENTS_JSON_SCHEMA, target, options=JSON_READ)
-    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    name = f"{fresh_db(spark)}.events"
+    ingest_stream(spark, landing, EVENTS_JSON_SCHEMA, target, ckpt, options=JSON_READ, table=name)
+    full_refresh_stream(spark, landing, EVENTS_JSON_SCHEMA, target, options=JSON_READ, table=name)
+    return spark.table(name).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 # ---------------------------------------------------------------- M1-M7 A6 W5 P6
@@ -1506,7 +1500,7 @@ def silver_stripe_customers(spark, sf):
 def silver_incremental(spark, sf):
     """P1/P2 incrementally: two Bronze runs (append), Silver refreshed after each from its high-water mark."""
     from strata.operators.silver import refresh_silver
-    from strata.operators.tables import read_keyed
+    from strata.operators.tables import append
 
     db = fresh_db(spark)
     bronze, silver_t = f"{db}.bronze", f"{db}.silver"
@@ -1514,16 +1508,15 @@ def silver_incremental(spark, sf):
     cut = F.col("ts") < F.lit(STREAM_CUT).cast("timestamp_ntz")
     for part in (ev.where(cut), ev.where(~cut)):
         fetched = fetch_all(RP.event_requests(part), ReplayTransport(), sleep=no_sleep)
-        fetched.write.mode("append").saveAsTable(bronze)
+        append(fetched, bronze)
         refresh_silver(spark, bronze, silver_t, RP.EVENT_FIELDS)
-    return read_keyed(spark, silver_t).drop("ingested_at")
+    return spark.table(silver_t).drop("ingested_at")
 
 
 # ---------------------------------------------------------------- incremental Bronze (S7 + S9 + W4)
 @register("bronze_incremental", SQL_BRONZE)
 def bronze_incremental(spark, sf):
     """Incremental pulls: run 2 fetches only ids not in Bronze plus retryable failures, upserted on object_id."""
-    from strata.operators.tables import read_keyed
     from strata.plans.pipelines import run_api_ingest
 
     db = fresh_db(spark)
@@ -1532,17 +1525,16 @@ def bronze_incremental(spark, sf):
     reqs = RP.event_requests(ev)
     early = RP.event_requests(ev.where(F.col("ts") < F.lit(EARLIER_RUN_CUTOFF).cast("timestamp_ntz")))
     run_api_ingest(spark, early, ReplayTransport(), bronze, sleep=no_sleep, mode="upsert")
-    stored = read_keyed(spark, bronze)
+    stored = spark.table(bronze)
     todo = I.union_sources(I.new_ids(reqs.select("id"), stored), I.failed_ids(stored))
     run_api_ingest(spark, reqs.join(todo, "id", "left_semi"), ReplayTransport(), bronze, sleep=no_sleep,
                    mode="upsert")
-    return read_keyed(spark, bronze).select("object_id", "http_status", "raw_json", "error_message")
+    return spark.table(bronze).select("object_id", "http_status", "raw_json", "error_message")
 
 
 @register("full_then_incremental", SQL_BRONZE)
 def full_then_incremental(spark, sf):
     """The usual life of Bronze: a full pull (overwrite), then new ids only (upsert on object_id)."""
-    from strata.operators.tables import read_keyed
     from strata.plans.pipelines import run_api_ingest
 
     bronze = f"{fresh_db(spark)}.bronze"
@@ -1552,7 +1544,7 @@ def full_then_incremental(spark, sf):
     run_api_ingest(spark, early, ReplayTransport(), bronze, sleep=no_sleep)
     todo = I.new_ids(reqs.select("id"), spark.table(bronze))
     run_api_ingest(spark, reqs.join(todo, "id", "left_semi"), ReplayTransport(), bronze, sleep=no_sleep, mode="upsert")
-    return read_keyed(spark, bronze).select("object_id", "http_status", "raw_json", "error_message")
+    return spark.table(bronze).select("object_id", "http_status", "raw_json", "error_message")
 
 
 # ---------------------------------------------------------------- A7 over Bronze

@@ -297,7 +297,7 @@ def _multi_fetch_fn(transport: Transport, key_type: str, max_attempts: int, cloc
 
 
 def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_type: str = "bigint",
-                  max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None, null_ids: bool = False) -> DataFrame:
+                  max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
     """Several APIs in one job, each with its own rate and parallelism.
 
     ``ids`` has (source, id, carry...); ``config`` has (source, rate_per_sec,
@@ -305,8 +305,8 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     if its rate is lower), each with a bucket of its share of the rate; no two
     slots share a task. An id of a source without a config row fails the job
     before its fetch. Ids that are null (also by the cast to ``key_type``) name no
-    object and are not requested: with ``null_ids`` each comes back as a
-    ``null_id`` row, as in ``fetch_all``; without it they are passed over.
+    object and are not requested: each comes back as a ``null_id`` row, as in
+    ``fetch_all``.
     """
     rate, parts = F.col("rate_per_sec").cast("double"), F.col("partitions").cast("int")
     cfg = config.select(F.col("source").cast("string").alias("source"), rate.alias("rate"), F.greatest(
@@ -321,7 +321,7 @@ def fetch_sources(ids: DataFrame, config: DataFrame, transport: Transport, key_t
     spread = F.when(F.col("id").isNull(), F.xxhash64(F.lit(0), *transport.carry)).otherwise(F.xxhash64("id"))
     kt = _key_type(key_type)
     j = (ids.select(F.col("source").cast("string").alias("source"), F.col("id").cast(kt).alias("id"),
-                    *[F.col(c) for c in transport.carry]).where(F.lit(null_ids) | F.col("id").isNotNull())
+                    *[F.col(c) for c in transport.carry])
          .withColumn("_first", start.cast("int")).join(cfg, "source", "left")
          .withColumn("_rate", F.col("rate") / F.col("_parts"))
          .withColumn("_slot", (F.col("_first") + F.pmod(spread, F.col("_parts"))).cast("int"))

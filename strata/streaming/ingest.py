@@ -13,8 +13,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.state import duration_ms, run_status
-from strata.operators.tables import read_keyed, upsert
+from strata.operators.state import run_status
+from strata.operators.tables import ensure_schema_of, show_folder, upsert
 from strata.session import scratch_dir
 
 
@@ -37,8 +37,8 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "json", optio
 
 
 def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, checkpoint: str,
-                  fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = ()):
-    """R2: append new files under ``path`` to a parquet folder, then stop."""
+                  fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = (), table: str | None = None):
+    """R2: append new files under ``path`` to a parquet folder, then stop. ``table`` is a name for readers of the folder."""
     w = (read_stream(spark, path, schema, fmt, options).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", target_path)
          .outputMode("append").trigger(availableNow=True))
@@ -46,6 +46,9 @@ def ingest_stream(spark: SparkSession, path: str, schema, target_path: str, chec
         w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
+    if table:
+        ensure_schema_of(spark, table)
+        show_folder(spark, table, target_path)
     return q
 
 
@@ -63,22 +66,22 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, table: str, keys: Sequ
     return q
 
 
-BATCH_COL = "_batch"
-
-
 def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: str, state: str, ts: str,
                       terminal: Sequence[str], checkpoint: str, available_now: bool = True):
-    """Latest state per run kept current from an observation stream (read it with ``read_run_status``).
-
-    Each batch is reduced to one row per run and upserted under (run, batch), so
-    a batch that is replayed replaces its own rows and is not counted twice. A
-    batch reads nothing of the table; the reader folds a run's batches.
+    """Latest state per run kept current from an observation stream; ``table`` has one row per run.
+
+    The runs' status lives in the stream's state store, which is saved with the
+    checkpoint: a batch changes the states of the runs it observes (one row per
+    run, whatever the number of batches) and the changed ones are upserted by
+    run. A batch that is run again starts from the state before it and gives the
+    same rows. It is the aggregation of ``run_status`` in update mode, which keeps
+    its state in the JVM; Python state functions would have nothing to add.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = run_status(batch, run, state, ts, terminal).drop("is_terminal", "duration_ms")
-        upsert(spark, rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")), table, [run, BATCH_COL], ["last_seen"])
+        upsert(spark, batch, table, [run])
 
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = run_status(stream, run, state, ts, terminal).writeStream.outputMode("update").foreachBatch(each)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     q = w.start()
     if available_now:
@@ -86,27 +89,17 @@ def run_status_stream(spark: SparkSession, stream: DataFrame, table: str, run: s
     return q
 
 
-def read_run_status(spark: SparkSession, table: str, run: str, terminal: Sequence[str]) -> DataFrame:
-    """Current status per run: first seen = min, observations = sum, state = newest."""
-    merged = read_keyed(spark, table).groupBy(run).agg(
-        F.max(F.struct("last_seen", "state")).alias("_l"), F.min("first_seen").alias("first_seen"),
-        F.sum("n_obs").alias("n_obs"))
-    term = F.col("_l.state").isin(*terminal)
-    return merged.select(run, F.col("_l.state").alias("state"), "first_seen", F.col("_l.last_seen").alias("last_seen"),
-                         "n_obs", term.alias("is_terminal"),
-                         F.when(term, duration_ms(F.col("first_seen"), F.col("_l.last_seen"))).alias("duration_ms"))
-
-
 def full_refresh_stream(spark: SparkSession, path: str, schema, target_path: str, checkpoint: str | None = None,
-                        fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = ()) -> tuple[str, str]:
+                        fmt: str = "json", options: dict | None = None, partition_by: Sequence[str] = (),
+                        table: str | None = None) -> tuple[str, str]:
     """Build a streamed target anew beside the old one, with a checkpoint of its own.
 
     Returns (folder of the new target, its checkpoint). The old target is not
-    touched: readers switch to the new folder when the build is done. A build
-    that was interrupted goes on if called again with the same ``checkpoint``,
-    which also names the folder, so choose it before the call.
+    touched: readers of ``table`` switch to the new folder, at once, when the
+    build is done. A build that was interrupted goes on if called again with the
+    same ``checkpoint``, which also names the folder, so choose it before the call.
     """
     checkpoint = (checkpoint or scratch_dir(spark, "ckpt")).rstrip("/")
     target = f"{target_path.rstrip('/')}-{checkpoint.rsplit('/', 1)[1]}"
-    ingest_stream(spark, path, schema, target, checkpoint, fmt, options, partition_by)
+    ingest_stream(spark, path, schema, target, checkpoint, fmt, options, partition_by, table)
     return target, checkpoint

@@ -170,7 +170,8 @@ def test_an_unconfigured_source_fails_and_slots_do_not_collide(spark):
     config = spark.createDataFrame([("a", None, 3), ("b", None, 2)], "source string, rate_per_sec double, partitions int")
     out = I.fetch_sources(ids, config, ScriptedTransport({}), sleep=lambda s: None)
     rows = out.select("source", F.spark_partition_id().alias("task")).collect()
-    assert len(rows) == 100 and len({r.task for r in rows}) == 3
+    assert len(rows) == 101 and len({r.task for r in rows if r.source == "a"}) == 3
+    assert not {r.task for r in rows if r.source == "a"} & {r.task for r in rows if r.source == "b"}
     with pytest.raises(Exception, match="no configuration for source b"):
         I.fetch_sources(ids.fillna(5), config.where("source = 'a'"), ScriptedTransport({}), sleep=lambda s: None).collect()
 
@@ -179,11 +180,11 @@ def test_null_ids_of_sources_are_reported_not_requested(spark):
     big = 2 ** 53 + 1
     config = spark.createDataFrame([("a", None, 3), ("b", None, 2)], "source string, rate_per_sec double, partitions int")
     ids = spark.createDataFrame([("a", 1), ("a", None), ("b", big), ("b", None), ("b", None)], "source string, id bigint")
-    out = I.fetch_sources(ids, config, ScriptedTransport({None: [500]}), sleep=lambda s: None, null_ids=True).collect()
+    out = I.fetch_sources(ids, config, ScriptedTransport({None: [500]}), sleep=lambda s: None).collect()
     assert sorted((r.source, r.object_id or 0, r.http_status or 0, r.error_message or "") for r in out) == [
         ("a", 0, 0, "null_id"), ("a", 1, 200, ""), ("b", 0, 0, "null_id"), ("b", 0, 0, "null_id"), ("b", big, 200, "")]
     text = I.fetch_sources(ids.withColumn("id", F.col("id").cast("string")), config, ScriptedTransport({}), key_type="string",
-                           sleep=lambda s: None, null_ids=True).collect()
+                           sleep=lambda s: None).collect()
     assert sorted(r.object_id or "" for r in text) == ["", "", "", "1", str(big)]
 
 

@@ -16,6 +16,7 @@ BOUNDED_ACTIONS = {
     ("operators/ml.py", "clean.agg(*aggs).first()"),                         # k x k statistics
     ("operators/ml.py", "json(path + \"/ols\").first()"),                    # one model row
     ("operators/tables.py", "SHOW TBLPROPERTIES {table}\").collect()"),      # table properties
+    ("operators/tables.py", "LIKE '{name}{kind}*'\").collect()"),           # one table's data tables
     ("sources/ids.py", "orderBy(\"source\").collect()"),                     # one row per configured API
     ("sources/files.py", "paths.limit(n)).collect()"),                       # paths of files, which a reader lists anyway
     ("plans/refresh.py", "agg(F.max(t.mark)).first()"),                      # one mark

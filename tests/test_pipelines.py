@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from strata.plans import specs
 from strata.plans.pipelines import run_api_ingest, run_configured_ingest, run_file_ingest
-from strata.operators.tables import read_keyed
 from strata.plans.registry import fresh_db
 from strata.session import scratch_dir
 from strata.sources.transport import ScriptedTransport
@@ -75,10 +74,27 @@ def test_upsert_mode_fetches_once_and_merges(spark):
     run_api_ingest(spark, spark.range(0, 6), Counting({}), t, sleep=lambda s: None, mode="upsert")
     run_api_ingest(spark, spark.range(4, 10), Counting({5: [404]}), t, sleep=lambda s: None, mode="upsert")
     assert calls.value == 12                      # every id requested exactly once per run
-    rows = {r.object_id: r.http_status for r in read_keyed(spark, t).collect()}
+    rows = {r.object_id: r.http_status for r in spark.table(t).collect()}
     assert sorted(rows) == list(range(10)) and rows[5] == 404
 
 
+def test_a_failed_fetch_does_not_replace_a_good_body(spark):
+    """A transient failure loses to any answer of the API; an answer (here: gone) wins if it is newer."""
+    t = f"{fresh_db(spark)}.bronze"
+    pull = lambda script: run_api_ingest(spark, spark.range(3), ScriptedTransport(script), t, sleep=lambda s: None, mode="upsert")
+    got = lambda: {r.object_id: (r.http_status, r.raw_json is not None) for r in spark.table(t).collect()}
+    pull({2: [500] * 9})
+    pull({0: [500] * 9, 1: [404], 2: [500] * 9})
+    want = {0: (200, True), 1: (404, got()[1][1]), 2: (500, got()[2][1])}
+    assert got() == want
+    from strata.operators.tables import compact
+
+    compact(spark, t)
+    assert got() == want
+    pull({})
+    assert {k: v[0] for k, v in got().items()} == {0: 200, 1: 200, 2: 200}
+
+
 def test_list_pages_are_called_once(spark):
     from strata.sources.ids import cursor_pages
 
@@ -149,4 +165,4 @@ def test_late_commit_reaches_silver(spark):
     refresh_silver(spark, bronze, silver, fields)
     add([(1, 200, '{"v": 9}', None, 5)])             # older than what Silver has: no change
     refresh_silver(spark, bronze, silver, fields)
-    assert sorted((r.object_id, r.v) for r in read_keyed(spark, silver).collect()) == [(1, 1), (2, 2)]
+    assert sorted((r.object_id, r.v) for r in spark.table(silver).collect()) == [(1, 1), (2, 2)]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.tables import read_keyed
+from strata.operators import tables as TB
 
 from strata.operators.gate import compare, gate
 from strata.plans.models import Model, order_models, select_models
@@ -41,7 +41,7 @@ def test_refresh_modes(spark):
         return s.table("refresh_src")
 
     def count(s, names):
-        return read_keyed(s, names["base"]).agg(F.count(F.lit(1)).alias("n"))
+        return s.table(names["base"]).agg(F.count(F.lit(1)).alias("n"))
 
     tables = [Declared("base", base, keys=("k",), order_by=("at",)), Declared("counts", count, inputs=("base",))]
     assert refresh(spark, tables, db) == {"base": "full", "counts": "full"}
@@ -51,7 +51,7 @@ def test_refresh_modes(spark):
     assert spark.table(f"{db}.counts").first().n == 2          # not refreshed
     assert refresh(spark, tables, db, full_for=("counts",)) == {"base": "incremental", "counts": "full"}
     assert spark.table(f"{db}.counts").first().n == 3
-    assert sorted(r.v for r in read_keyed(spark, f"{db}.base").collect()) == ["a", "b2", "c"]
+    assert sorted(r.v for r in spark.table(f"{db}.base").collect()) == ["a", "b2", "c"]
     with pytest.raises(ValueError):
         refresh(spark, tables, db, full=True, only=("base",))
 
@@ -104,22 +104,62 @@ def test_incremental_refresh_reads_new_input_only(spark):
     assert refresh(spark, t, db) == {"t": "full"}
     mk([(1, "changed long ago", 1), (2, "b2", 2), (3, "c", 3)])
     assert refresh(spark, t, db) == {"t": "incremental"} and asked == [2]
-    assert sorted(r.v for r in read_keyed(spark, f"{db}.t").collect()) == ["a", "b2", "c"]
+    assert sorted(r.v for r in spark.table(f"{db}.t").collect()) == ["a", "b2", "c"]
     mk([(3, "only", 3)])
     assert refresh(spark, t, db, full_for=("t",)) == {"t": "full"}
-    assert [r.v for r in read_keyed(spark, f"{db}.t").collect()] == ["only"]
+    assert [r.v for r in spark.table(f"{db}.t").collect()] == ["only"]
 
 
 def test_late_orders_are_counted_by_an_incremental_refresh(spark):
     from strata.plans.registry import declared_orders
 
     db = fresh_db(spark)
-    mk = lambda rows: (spark.createDataFrame(rows, "o_orderkey bigint, day string, o_totalprice double")
-                       .withColumn("o_orderdate", F.col("day").cast("timestamp_ntz")).createOrReplaceTempView("orders"))
-    rows = [(1, "1995-01-01", 1.0), (2, "1995-01-02", 2.0), (3, "1995-01-03", 4.0)]
-    days = lambda: {str(r.day): (r.n_orders, r.revenue) for r in read_keyed(spark, f"{db}.order_daily").collect()}
-    mk(rows)
-    assert refresh(spark, declared_orders(None), db) == {"order_daily": "full", "status_mix": "full"}
-    mk(rows + [(4, "1995-01-01", 8.0), (5, "1994-12-31", 16.0)])        # late: an earlier day, and one not seen yet
-    assert refresh(spark, declared_orders(None), db) == {"order_daily": "incremental", "status_mix": "full"}
-    assert days() == {"1994-12-31": (1, 16.0), "1995-01-01": (2, 9.0), "1995-01-02": (1, 2.0), "1995-01-03": (1, 4.0)}
+    orders = f"{db}.orders"
+    mk = lambda *rows: (spark.createDataFrame(rows, "o_orderkey bigint, day string, o_totalprice double")
+                        .withColumn("o_orderdate", F.col("day").cast("timestamp_ntz")))
+    days = lambda: {str(r.day): (r.n_orders, r.revenue) for r in spark.table(f"{db}.order_daily").collect()}
+    TB.append(mk((1, "1995-01-01", 1.0), (2, "1995-01-02", 2.0), (3, "1995-01-03", 4.0), (9, None, 1.0)), orders)
+    assert refresh(spark, declared_orders(orders), db) == {"order_daily": "full", "status_mix": "full"}
+    TB.append(mk((4, "1995-01-01", 8.0), (5, "1994-12-31", 16.0), (8, None, 2.0)), orders)     # late: an earlier day, one not seen yet, none
+    assert refresh(spark, declared_orders(orders), db) == {"order_daily": "incremental", "status_mix": "full"}
+    want = {"1994-12-31": (1, 16.0), "1995-01-01": (2, 9.0), "1995-01-02": (1, 2.0), "1995-01-03": (1, 4.0), "None": (2, 3.0)}
+    assert days() == want
+    TB.write_full(spark.table(orders).where("o_orderkey < 3"), orders)              # what was seen is not there any more
+    assert refresh(spark, declared_orders(orders), db, only=("order_daily",)) == {"order_daily": "full"}
+    assert days() == {"1995-01-01": (1, 1.0), "1995-01-02": (1, 2.0)}
+
+
+def test_only_touched_keys_are_built_and_keys_without_input_go(spark):
+    """Orders change their day by upserts, with folds of the input in between."""
+    db, built = fresh_db(spark), spark.sparkContext.accumulator(0)
+    orders = f"{db}.orders"
+    put = lambda *rows: TB.upsert(spark, spark.createDataFrame(rows, "id int, day string, v int"), orders, ["id"])
+
+    def daily(s, names):
+        def count(batches):
+            for b in batches:
+                built.add(b.num_rows)
+                yield b
+
+        rows = s.table(names[orders])
+        return rows.mapInArrow(count, rows.schema).groupBy("day").agg(F.sum("v").alias("v"))
+
+    t = [Declared("daily", daily, inputs=(orders,), keys=("day",), affected={orders: ["day"]})]
+    days = lambda: {r.day: r.v for r in spark.table(f"{db}.daily").collect()}
+    put((1, "a", 1), (2, "a", 2), (3, "b", 4), (4, "c", 8), (5, "c", 16))
+    assert refresh(spark, t, db) == {"daily": "full"} and days() == {"a": 3, "b": 4, "c": 24} and built.value == 5
+    put((3, "d", 4))                                                      # b has no order left
+    TB.compact(spark, orders)                                             # and the base no trace of where it was
+    assert refresh(spark, t, db) == {"daily": "incremental"} and days() == {"a": 3, "d": 4, "c": 24} and built.value == 6
+    put((2, "c", 2))
+    assert refresh(spark, t, db) == {"daily": "incremental"} and days() == {"a": 1, "d": 4, "c": 26} and built.value == 10
+    assert refresh(spark, t, db) == {"daily": "incremental"} and built.value == 10
+
+
+def test_touched_rows_are_found_by_a_semi_join(spark):
+    from strata.plans.refresh import rows_of_keys
+
+    rows = spark.range(9).selectExpr("id", "date_from_unix_date(int(id)) AS d")
+    touched = spark.range(3).selectExpr("date_from_unix_date(int(id)) AS _k0")
+    plan = rows_of_keys(rows, ["d"], touched)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "NestedLoop" not in plan
