@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import threading
 import time
 import warnings
 from typing import Callable, Iterator
@@ -72,6 +73,58 @@ class TokenBucket:
             self.tokens -= 1.0
 
 
+SHARE_SECONDS = 0.5     # how often live tasks tell each other what they have left
+
+
+def split_rate(rate: float, left: list[int]) -> list[float]:
+    """Shares of a rate in proportion to what each task has left; all of it goes to tasks with work."""
+    total = sum(left)
+    return [rate * n / total if total else 0.0 for n in left]
+
+
+class SharedBucket(TokenBucket):
+    """A token bucket whose rate follows what the tasks of a barrier stage have left.
+
+    A thread of each task takes part in rounds in which all tasks tell their
+    number of unfinished ids (``gather``), and sets the task's share of the
+    rate. The fetch itself never waits for a round. A task that is done goes on
+    in the rounds until all are.
+    """
+
+    def __init__(self, rate: float, tasks: int, place: int, left: int, gather, clock=time.monotonic, sleep=time.sleep,
+                 every: float = SHARE_SECONDS):
+        super().__init__(rate / tasks, clock, sleep)
+        self.total, self.place, self.left, self.gather, self.every = rate, place, left, gather, every
+        self.rounds = threading.Thread(target=self._rounds, daemon=True)
+        self.rounds.start()
+
+    def _rounds(self) -> None:
+        while True:
+            left = [int(x) for x in self.gather(str(self.left))]
+            if not any(left):
+                return
+            self.rate = split_rate(self.total, left)[self.place]
+            self.capacity = max(1.0, self.rate)
+            time.sleep(self.every)
+
+    def take(self) -> None:
+        while True:
+            rate, now = self.rate, self.clock()
+            self.tokens = min(self.capacity, self.tokens + (now - self.mark) * rate)
+            self.mark = now
+            if self.tokens >= 1.0:
+                self.tokens -= 1.0
+                return
+            self.sleep(min(self.every, (1.0 - self.tokens) / rate) if rate else self.every)
+
+    def done(self, n: int = 1) -> None:
+        self.left -= n
+
+    def finish(self) -> None:
+        self.left = 0
+        self.rounds.join()
+
+
 def plan_parallelism(rate_per_sec: float | None, partitions: int) -> tuple[int, float | None]:
     """(tasks, per-task rate): never more tasks than whole requests per second."""
     if not rate_per_sec:
@@ -110,12 +163,13 @@ def fetch_one(transport: Transport, bucket: TokenBucket, key, row, sleep,
 
 
 def fetch_many(transport: Transport, bucket_for, keys: list, rows: list, clock, sleep,
-               max_attempts: int = MAX_ATTEMPTS) -> list[tuple]:
+               max_attempts: int = MAX_ATTEMPTS, on_done=lambda: None) -> list[tuple]:
     """Several ids through the retry policy -> [(status, body, error_message)], in the order of ``keys``.
 
     An id that waits for its next attempt does not hold up the others: the task
     goes on with them and comes back when the wait is over, so retries do not
-    leave tokens unused. ``bucket_for(i)`` is the token bucket of the i-th id.
+    leave tokens unused. ``bucket_for(i)`` is the token bucket of the i-th id;
+    ``on_done`` is called when an id that was requested is finished.
     """
     done: list = [None] * len(keys)
     waiting: list[tuple[float, int, int]] = []      # (due, i, attempts made)
@@ -146,22 +200,35 @@ def fetch_many(transport: Transport, bucket_for, keys: list, rows: list, clock,
             done[i] = status, None, error or RETRIES_EXHAUSTED.format(status=status)
         else:
             heapq.heappush(waiting, (clock() + BACKOFF_BASE_SEC ** (made + 1), i, made + 1))
+        if done[i] is not None:
+            on_done()
     return [(None, None, NULL_ID) if d is None else d for d in done]
 
 
 def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attempts: int,
-              clock, sleep, backoff=None):
+              clock, sleep, backoff=None, tasks: int = 0):
+    """``rate`` is the task's own, or with ``tasks`` that of all tasks of a barrier stage."""
     carry = list(transport.carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = transport.open()
-        bucket = TokenBucket(rate, clock=clock or time.monotonic, sleep=sleep or time.sleep)
-        pause = backoff or sleep or time.sleep
+        own, wait, on_done = clock or time.monotonic, sleep or time.sleep, lambda: None
+        if tasks:
+            from pyspark import BarrierTaskContext
+
+            context = BarrierTaskContext.get()
+            batches = list(batches)          # ids only; a task must know how many it has
+            left = int(sum(pdf["id"].notna().sum() for pdf in batches))
+            bucket = SharedBucket(rate, tasks, context.partitionId(), left, context.allGather, own, wait)
+            on_done = bucket.done
+        else:
+            bucket = TokenBucket(rate, clock=own, sleep=wait)
+        pause = backoff or wait
         try:
             for pdf in batches:
                 keys = [None if k is None else int(k) if key_type == "bigint" else k for k in pdf["id"].tolist()]
                 rows = pdf[carry].to_dict("records") if carry else [None] * len(keys)
-                got = fetch_many(t, lambda i: bucket, keys, rows, clock or time.monotonic, pause, max_attempts)
+                got = fetch_many(t, lambda i: bucket, keys, rows, own, pause, max_attempts, on_done)
                 out_s, out_b, out_e = (list(x) for x in zip(*got)) if got else ([], [], [])
                 yield pd.DataFrame({
                     "object_id": pd.Series(keys, dtype="Int64" if key_type == "bigint" else "object"),
@@ -169,6 +236,8 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
                     "raw_json": pd.Series(out_b, dtype="object"),
                     "error_message": pd.Series(out_e, dtype="object"),
                 })
+            if tasks:
+                bucket.finish()
         finally:
             t.close()
 
@@ -178,7 +247,7 @@ def _fetch_fn(transport: Transport, rate: float | None, key_type: str, max_attem
 def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None = None,
               partitions: int | None = None, key_col: str = "id", key_type: str = "bigint",
               max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None,
-              stamp: bool = True, backoff=None) -> DataFrame:
+              stamp: bool = True, backoff=None, share_rate: bool = False) -> DataFrame:
     """Fetch every id once through ``transport``; returns the Bronze rows.
 
     ``partitions`` defaults to the cluster's default parallelism; a capped API
@@ -189,6 +258,12 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     partitions (equal counts, so no task lags under its share of the rate)
     and the global rate is split evenly between tasks. The result is lazy:
     write it with one action.
+
+    ``share_rate`` runs a capped fetch as a barrier stage whose tasks tell each
+    other what they have left and split the rate anew by it, so tasks with many
+    retries do not trail behind tokens that others leave unused. All tasks then
+    run at a time (their number is at most the default parallelism), each holds
+    its ids in memory, and if one is lost all are run again.
     """
     spark = ids.sparkSession
     if spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true":
@@ -201,9 +276,12 @@ def fetch_all(ids: DataFrame, transport: Transport, rate_per_sec: float | None =
     # Round-robin placement gives every task the same number of ids (±1), so no task lags behind the
     # others under its share of the rate; Spark sorts before a round-robin
     # exchange, so a retried task sees the same ids.
+    share_rate = share_rate and rate_per_sec is not None
+    if share_rate:
+        tasks, per_task = min(tasks, spark.sparkContext.defaultParallelism), rate_per_sec
     df = ids.select(*cols).repartition(tasks)
-    out = df.mapInPandas(_fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep, backoff),
-                         schema=bronze_schema(key_type))
+    fn = _fetch_fn(transport, per_task, key_type, max_attempts, clock, sleep, backoff, tasks if share_rate else 0)
+    out = df.mapInPandas(fn, schema=bronze_schema(key_type), barrier=share_rate)
     if stamp:
         out = out.withColumn("ingested_at", F.current_timestamp())
     return out

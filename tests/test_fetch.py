@@ -174,3 +174,55 @@ def test_classify_column(spark):
     df = spark.createDataFrame([(200,), (404,), (0,), (503,), (418,)], "http_status int")
     assert [r.c for r in df.select(classify("http_status").alias("c")).collect()] == \
         ["ok", "not_found", "network_error", "retries_exhausted", "unexpected_status"]
+
+
+def test_a_rate_is_split_by_what_is_left():
+    from strata.sources.fetch import split_rate
+
+    assert split_rate(80.0, [1, 3, 0]) == [20.0, 60.0, 0.0] and split_rate(80.0, [0, 0]) == [0.0, 0.0]
+
+
+def test_a_shared_bucket_takes_what_others_leave():
+    """Two tasks; the other is done after its first round, so this one gets the whole rate."""
+    import time
+
+    from strata.sources.fetch import SharedBucket
+
+    told = []
+
+    def gather(mine):
+        told.append(mine)
+        return [mine, "30" if len(told) == 1 else "0"]
+
+    bucket = SharedBucket(100.0, 2, 0, 60, gather, every=0.05)
+    began = time.monotonic()
+    for _ in range(60):
+        bucket.take()
+        bucket.done()
+    took = time.monotonic() - began
+    bucket.finish()
+    assert 0.5 < took < 1.0 and told[-1] == "0"          # 0.6 s at the whole rate, 1.2 s at half of it
+
+
+def test_live_tasks_share_the_rate(spark):
+    """All slow ids lie in one task: it gets the tokens that the others do not use, and the cap holds."""
+    import time
+
+    from strata.sources.fetch import fetch_all
+
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(ScriptedTransport):
+        def fetch(self, key, row=None):
+            calls.add(1)
+            return super().fetch(key, row)
+
+    ids = spark.range(0, 121).selectExpr("CASE WHEN id < 120 THEN id END AS id")
+    script = {i: [503, 503, 200] for i in range(0, 120, 4)}
+    began = time.monotonic()
+    out = fetch_all(ids, Counting(script), rate_per_sec=60, partitions=4, stamp=False, backoff=lambda s: time.sleep(min(s, 0.2)),
+                    share_rate=True).collect()
+    took = time.monotonic() - began
+    assert sorted(r.object_id for r in out if r.object_id is not None) == list(range(120)) and len(out) == 121
+    assert {r.http_status for r in out if r.object_id is not None} == {200} and [r.error_message for r in out if r.object_id is None] == ["null_id"]
+    assert calls.value == 180 and took > (180 - 4) / 60
