@@ -15,6 +15,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.selection import range_number
+from strata.session import scratch_dir
+
 
 def _micros(c):
     return F.unix_micros(F.col(c).cast("timestamp"))
@@ -53,30 +56,39 @@ def band_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, lo
 
 
 def band_count(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lo_seconds: float,
-               hi_seconds: float, bin_seconds: float = 3600.0) -> DataFrame:
+               hi_seconds: float, bins: int | None = None) -> DataFrame:
     """``key`` and the number ``n`` of right rows with ``left_ts + lo <= right_ts <= left_ts + hi``.
 
     No pair is made. Both ends of a left row's band ask how many right rows lie
-    before them: those of all earlier bins (a running sum over one row per bin)
-    plus those of the same bin (a window inside the bin). Rows of ``left`` have
-    distinct keys; those with a null time count 0.
+    before them. Right rows and questions are first counted per instant, so an
+    instant that a third of all rows share is one row; the instants go into bins
+    of even numbers of them (quantiles), and a count is that of all earlier bins
+    plus a running sum inside the bin. A busy hour is cut into as many bins as
+    its instants need. Rows of ``left`` have distinct keys; those with a null
+    time count 0.
     """
-    lo, hi, width = _to_micros(lo_seconds), _to_micros(hi_seconds), _to_micros(bin_seconds)
+    spark = left.sparkSession
+    lo, hi = _to_micros(lo_seconds), _to_micros(hi_seconds)
     at = _micros(left_ts)
     # side -1 stands before a right row of the same instant, side 1 after it
     ends = left.select(key, F.explode(F.array(
         F.struct((at + F.lit(lo)).alias("at"), F.lit(-1).alias("side")),
         F.struct((at + F.lit(hi)).alias("at"), F.lit(1).alias("side")))).alias("e")).select(key, "e.at", "e.side")
-    kind = left.schema[key].dataType
-    points = right.select(F.lit(None).cast(kind).alias(key), _micros(right_ts).alias("at"), F.lit(0).alias("side"))
-    binned = ends.unionByName(points).where("at is not null").withColumn(
-        "bin", F.expr(f"at div {width} - cast(at % {width} < 0 as bigint)"))
-    hit = F.when(F.col("side") == 0, 1).otherwise(0)
-    order = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = binned.groupBy("bin").agg(F.sum(hit).alias("c")).select("bin", F.coalesce(F.sum("c").over(order), F.lit(0)).alias("before"))
-    inside = F.sum(hit).over(Window.partitionBy("bin").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0))
-    ranks = binned.withColumn("inside", inside).where("side <> 0").join(bins, "bin")
-    counts = ranks.groupBy(key).agg(F.sum(F.col("side") * (F.col("before") + F.col("inside"))).cast("bigint").alias("n"))
+    points = right.select(_micros(right_ts).alias("at"), F.lit(0).alias("side"), F.lit(1).alias("c"))
+    asked = ends.select("at", "side", F.lit(0).alias("c"))
+    instants = points.unionByName(asked).where("at is not null").groupBy("at", "side").agg(F.sum("c").alias("c"))
+    path = scratch_dir(spark, "instants")
+    instants.write.parquet(path)
+    instants = spark.read.schema(instants.schema).parquet(path)
+    bins = bins or 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    cuts = instants.approxQuantile("at", [i / bins for i in range(1, bins)], 0.2 / bins) if bins > 1 else []
+    binned = instants.withColumn("bin", range_number(F.col("at"), [int(c) for c in sorted(set(cuts))]))
+    order = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)      # a row per bin
+    sums = binned.groupBy("bin").agg(F.sum("c").alias("c")).select("bin", F.coalesce(F.sum("c").over(order), F.lit(0)).alias("earlier"))
+    inside = F.sum("c").over(Window.partitionBy("bin").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0))
+    before = binned.withColumn("inside", inside).where("side <> 0").join(sums, "bin")
+    before = before.select("at", "side", (F.col("earlier") + F.col("inside")).alias("before"))
+    counts = ends.join(before, ["at", "side"]).groupBy(key).agg(F.sum(F.col("side") * F.col("before")).cast("bigint").alias("n"))
     return left.select(key).join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
 
 

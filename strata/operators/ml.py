@@ -1,8 +1,8 @@
 """Training, scoring and metrics kept distributed.
 
-Nothing here calls ``toPandas``: the split is a hash expression, the fit is
-MLlib's normal-equation solver (one distributed pass for the Gram matrix),
-scoring is ``transform``, and the metrics are one aggregation.
+Nothing here calls ``toPandas``: the split is a hash expression, the fit is one
+distributed pass (moments, or triangles of a blocked factorisation that are
+merged in a tree), scoring is ``transform``, and the metrics are one aggregation.
 """
 
 from __future__ import annotations
@@ -56,6 +56,8 @@ class LinearModel:
     coefficients: list
     intercept: float
     label: str | None = None
+    n_rows: int | None = None       # rows it was fitted on
+    n_dropped: int | None = None    # rows left out, as a feature or the label is missing
 
     def prediction(self) -> Column:
         expr = F.lit(float(self.intercept))
@@ -71,42 +73,136 @@ class LinearModel:
                 "intercept": float(self.intercept), "label": self.label}
 
 
+MOMENT_FEATURES = 16      # features up to which all covariances fit one plan
+WELL_CONDITIONED = 1e6    # condition number of the correlations beyond which covariances have lost too many digits
+MERGE = 16                # triangles that one task merges
+
+
 def train(df: DataFrame, features: Sequence[str], label: str, engine: str = "ols", reg_param: float = 0.0,
           elastic_net: float = 0.0):
-    """M2: linear regression.
-
-    ``ols`` (default, no regularisation): one aggregation pass computes the
-    means and the population covariances of features and label (Spark's
-    numerically stable central-moment aggregates, partial per task); only
-    the k x k normal equations are solved on the driver. That is exactly the
-    normal-equation solution, without turning rows into vectors.
-    ``mllib`` runs ``pyspark.ml`` LinearRegression (needed for regularised fits).
+    """M2: linear regression by least squares.
+
+    Rows with a missing (null or NaN) feature or label are left out, and counted
+    in the model. Engines:
+
+    ``moments``: one aggregation of means and population covariances (Spark's
+    numerically stable central-moment aggregates, partial per task); the k x k
+    normal equations are solved on the driver.
+    ``qr``: every task factorises its rows in Arrow blocks and keeps a triangle
+    of (k + 2) squared numbers; triangles are merged in a tree, so neither the
+    plan nor the driver grows with the rows, and the condition number is not
+    squared as it is in covariances.
+    ``ols`` (default): moments for a few features, unless they are so collinear
+    that the moments do not tell them apart; else ``qr``.
+    ``mllib``: ``pyspark.ml`` LinearRegression (needed for regularised fits).
     """
     feats = list(features)
-    clean = df.select(*[F.col(c).cast("double").alias(c) for c in feats + [label]]).dropna()
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in feats + [label]])
     if engine == "mllib" or reg_param:
         lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted",
                               solver="auto" if reg_param else "normal", regParam=reg_param,
                               elasticNetParam=elastic_net, fitIntercept=True)
-        return lr.fit(assemble(clean, feats))
+        return lr.fit(assemble(numbers.dropna(), feats))
+    if engine not in ("ols", "moments", "qr"):
+        raise ValueError(f"no engine {engine!r}")
+    if engine == "moments" or engine == "ols" and len(feats) <= MOMENT_FEATURES:
+        model, condition = _fit_moments(numbers, feats, label)
+        if engine == "moments" or condition <= WELL_CONDITIONED:
+            return model
+    return _fit_qr(numbers, feats, label)
+
+
+def _fit_moments(numbers: DataFrame, feats: list, label: str) -> tuple[LinearModel, float]:
+    """(the model, condition number of the features' correlations)."""
     import numpy as np
 
     k = len(feats)
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(label).alias("my")]
-    aggs += [F.avg(f).alias(f"m{i}") for i, f in enumerate(feats)]
-    aggs += [F.covar_pop(feats[i], feats[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.covar_pop(f, label).alias(f"y{i}") for i, f in enumerate(feats)]
-    r = clean.agg(*aggs).first()          # O(k^2) numbers, independent of the row count
+    known = F.lit(True)
+    for c in (*feats, label):
+        known = known & F.col(f"`{c}`").isNotNull() & ~F.isnan(f"`{c}`")
+    x = [F.when(known, F.col(f"`{c}`")) for c in feats]
+    y = F.when(known, F.col(f"`{label}`"))
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(known).alias("n"), F.avg(y).alias("my")]
+    aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]
+    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs += [F.covar_pop(c, y).alias(f"y{i}") for i, c in enumerate(x)]
+    r = numbers.agg(*aggs).first()          # O(k^2) numbers, independent of the row count
     if not r["n"]:
         raise ValueError("no training rows")
     cov = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
             cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-    cy = np.array([r[f"y{i}"] for i in range(k)])
-    beta = np.linalg.lstsq(cov, cy, rcond=None)[0]
-    means = np.array([r[f"m{i}"] for i in range(k)])
-    return LinearModel(feats, beta.tolist(), float(r["my"] - beta @ means), label)
+    beta = np.linalg.lstsq(cov, np.array([r[f"y{i}"] for i in range(k)]), rcond=None)[0]
+    spread = np.sqrt(np.diag(cov))
+    varies = spread > 0
+    scaled = cov[np.ix_(varies, varies)] / np.outer(spread[varies], spread[varies])
+    condition = float(np.linalg.cond(scaled)) if varies.any() else 1.0
+    intercept = float(r["my"] - beta @ np.array([r[f"m{i}"] for i in range(k)]))
+    return LinearModel(feats, beta.tolist(), intercept, label, r["n"], r["rows"] - r["n"]), condition
+
+
+TRIANGLE = "place long, n long, dropped long, triangle binary"
+
+
+def _fit_qr(numbers: DataFrame, feats: list, label: str) -> LinearModel:
+    width = len(feats) + 2                                  # a column of ones, the features, the label
+
+    def factorise(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        triangle, n, dropped = np.empty((0, width)), 0, 0
+        for batch in batches:
+            block = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
+            whole = ~np.isnan(block).any(axis=1)
+            n, dropped = n + int(whole.sum()), dropped + int((~whole).sum())
+            triangle = np.linalg.qr(np.vstack([triangle, block[whole]]), mode="r")
+        yield pa.RecordBatch.from_pydict({
+            "place": pa.array([TaskContext.get().partitionId()], pa.int64()), "n": pa.array([n], pa.int64()),
+            "dropped": pa.array([dropped], pa.int64()), "triangle": pa.array([triangle.tobytes()], pa.binary())})
+
+    def merge(table):
+        import pyarrow as pa
+
+        return pa.Table.from_pydict({
+            "place": pa.array([table.column("place")[0].as_py() // MERGE], pa.int64()),
+            "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()),
+            "dropped": pa.array([sum(table.column("dropped").to_pylist())], pa.int64()),
+            "triangle": pa.array([_merged(table.column("triangle").to_pylist(), width).tobytes()], pa.binary())})
+
+    triangles = numbers.mapInArrow(factorise, TRIANGLE)
+    tasks = numbers.rdd.getNumPartitions()
+    while tasks > MERGE:
+        triangles = triangles.groupBy(F.expr(f"place div {MERGE}")).applyInArrow(merge, TRIANGLE)
+        tasks = -(-tasks // MERGE)
+    rows = triangles.collect()                              # at most MERGE triangles
+    return _solve(_merged([r["triangle"] for r in rows], width), feats, label, sum(r["n"] for r in rows),
+                  sum(r["dropped"] for r in rows))
+
+
+def _merged(triangles: list, width: int):
+    import numpy as np
+
+    stacked = np.vstack([np.frombuffer(t, np.float64).reshape(-1, width) for t in triangles])
+    return np.linalg.qr(stacked, mode="r")
+
+
+def _solve(triangle, feats: list, label: str, n: int, dropped: int) -> LinearModel:
+    """Least squares from the triangle, columns scaled to one length first; the shortest solution if it is not unique."""
+    import numpy as np
+
+    if not n:
+        raise ValueError("no training rows")
+    a, y = triangle[:, :-1], triangle[:, -1]
+    # Centre by the column of ones: what is left below its row has the features' deviations from their means.
+    length = np.linalg.norm(a[1:, 1:], axis=0)
+    varies = length > 1e-13 * np.linalg.norm(a[:, 1:], axis=0)       # less is rounding of a constant column
+    beta = np.zeros(len(feats))
+    beta[varies] = np.linalg.lstsq(a[1:, 1:][:, varies] / length[varies], y[1:], rcond=None)[0] / length[varies]
+    intercept = (y[0] - a[0, 1:] @ beta) / a[0, 0]
+    return LinearModel(feats, beta.tolist(), float(intercept), label, n, dropped)
 
 
 def score(model, df: DataFrame, features: Sequence[str], label: str | None = None,

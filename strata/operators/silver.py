@@ -1,14 +1,16 @@
 """Silver: typed projection of raw JSON (P2, P3, P5) and its quality profile.
 
-One ``from_json`` with an all-STRING struct parses each document once; every
-field is then cast on its own (``try_cast`` by default, ``cast`` when
-strict). The struct is kept in its own projection: inlined into one
-projection, Catalyst would split it into one parse per field.
+One ``from_json`` parses each document once, into a struct as deep as the paths
+asked for and with text at its leaves; every field is then cast on its own
+(``try_cast`` by default, ``cast`` when strict). The struct is kept in its own
+projection: inlined into one projection, Catalyst would split it into one parse
+per field.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +21,7 @@ from strata.operators.bronze import ok_rows
 
 @dataclass(frozen=True)
 class Field:
-    path: str          # top-level JSON key
+    path: str          # top-level JSON key, or a path: $.a.b[0].c, $['a key'][2]
     type: str          # Spark SQL type name, or "json" to keep nested text (P3)
     alias: str
 
@@ -28,13 +30,78 @@ def spec(*triples: Sequence[str]) -> list[Field]:
     return [Field(*t) for t in triples]
 
 
-def _raw_struct(fields: Iterable[Field]) -> str:
-    seen, parts = set(), []
+PATH_STEP = re.compile(r"\.([^.\[\]']+)|\[([0-9]+)\]|\['([^']+)'\]")
+
+
+def path_steps(path: str) -> list[str | int]:
+    """Keys and array places of a path; without ``$`` it is one key."""
+    if not path.startswith("$"):
+        return [path]
+    steps, at = [], 1
+    while at < len(path):
+        m = PATH_STEP.match(path, at)
+        if not m:
+            raise ValueError(f"bad path {path!r} at {path[at:]!r}")
+        steps.append(int(m[2]) if m[2] else m[1] or m[3])
+        at = m.end()
+    if not steps or isinstance(steps[0], int):
+        raise ValueError(f"path {path!r} must begin with a key")
+    return steps
+
+
+@dataclass
+class Node:
+    """What is asked for below a place in the documents."""
+    text: bool = False                     # the place itself, as text
+    kids: dict = field(default_factory=dict)
+
+    def add(self, steps: list) -> None:
+        if steps:
+            self.kids.setdefault(steps[0], Node()).add(steps[1:])
+        else:
+            self.text = True
+
+    def element(self) -> Node:
+        """Of an array: all that is asked of its elements, wherever they stand."""
+        out = Node()
+        for kid in self.kids.values():
+            out.text |= kid.text
+            for k, n in kid.kids.items():
+                out.kids.setdefault(k, Node()).merge(n)
+        return out
+
+    def merge(self, other: Node) -> None:
+        self.text |= other.text
+        for k, n in other.kids.items():
+            self.kids.setdefault(k, Node()).merge(n)
+
+    def inner_type(self) -> str:
+        """The type that holds the kids."""
+        if all(isinstance(k, int) for k in self.kids):
+            return f"array<{self.element().type()}>"
+        if any(isinstance(k, int) for k in self.kids):
+            raise ValueError("one place is asked for as an object and as an array")
+        return "struct<" + ", ".join(f"`{k.replace('`', '``')}`: {n.type()}" for k, n in self.kids.items()) + ">"
+
+    def type(self) -> str:
+        return "string" if self.text or not self.kids else self.inner_type()
+
+    def reach(self, column: Column, steps: list) -> Column:
+        """The text at ``steps`` below ``column``, which holds this place."""
+        if not steps:
+            return column
+        if self.text:       # wanted as text too, so what lies below is read from the text
+            column = F.from_json(column, self.inner_type())
+        if isinstance(steps[0], int):
+            return self.element().reach(F.get(column, F.lit(steps[0])), steps[1:])
+        return self.kids[steps[0]].reach(column[steps[0]], steps[1:])
+
+
+def paths(fields: Iterable[Field]) -> Node:
+    root = Node()
     for f in fields:
-        if f.path not in seen:
-            seen.add(f.path)
-            parts.append(f"`{f.path}`: string")
-    return "struct<" + ", ".join(parts) + ">"
+        root.add(path_steps(f.path))
+    return root
 
 
 def _typed(raw: Column, f: Field, strict: bool) -> Column:
@@ -48,14 +115,14 @@ def _typed(raw: Column, f: Field, strict: bool) -> Column:
 
 
 def parse_raw(df: DataFrame, fields: Sequence[Field], json_col: str = "raw_json") -> Column:
-    return F.from_json(F.col(json_col), _raw_struct(fields))
+    return F.from_json(F.col(json_col), paths(fields).inner_type())
 
 
 def project_json(df: DataFrame, fields: Sequence[Field], json_col: str = "raw_json",
                  keep: Sequence[str] = (), strict: bool = False) -> DataFrame:
-    """Keep columns + one typed column per spec field."""
-    parsed = df.select(*keep, parse_raw(df, fields, json_col).alias("_j"))
-    cols = [_typed(F.col("_j")[f.path], f, strict).alias(f.alias) for f in fields]
+    """Keep columns + one typed column per spec field; a place that a document does not have is null."""
+    parsed, root = df.select(*keep, parse_raw(df, fields, json_col).alias("_j")), paths(fields)
+    cols = [_typed(root.reach(F.col("_j"), path_steps(f.path)), f, strict).alias(f.alias) for f in fields]
     return parsed.select(*keep, *cols)
 
 
@@ -89,7 +156,8 @@ def cast_profile(df: DataFrame, casts: dict[str, str]) -> DataFrame:
 def silver_quality(bronze: DataFrame, fields: Sequence[Field], json_col: str = "raw_json") -> DataFrame:
     """Cast-failure and null profile of a Silver projection over Bronze."""
     raw = ok_rows(bronze).select(parse_raw(bronze, fields, json_col).alias("_j"))
-    flat = raw.select(*[F.col("_j")[f.path].alias(f.alias) for f in fields])
+    root = paths(fields)
+    flat = raw.select(*[root.reach(F.col("_j"), path_steps(f.path)).alias(f.alias) for f in fields])
     return cast_profile(flat, {f.alias: f.type for f in fields})
 
 

@@ -14,7 +14,7 @@ from strata.operators import ml
 from strata.operators.tables import append_run, drop_table, ensure_schema_of, upsert, write_full, write_observed
 from strata.session import scratch_dir
 from strata.sources.fetch import NOT_FOUND, fetch_all
-from strata.sources.ids import cap_ids
+from strata.sources.ids import cap_ids, check_cap
 from strata.sources.files import read_files, read_table, with_provenance
 from strata.sources.transport import Transport
 
@@ -43,11 +43,10 @@ def run_api_ingest(spark: SparkSession, ids: DataFrame, transport: Transport, ta
     """
     if mode not in ("overwrite", "upsert"):
         raise ValueError("mode must be 'overwrite' or 'upsert'")
-    if max_objects is not None:
-        ids = cap_ids(ids, max_objects)
+    check_cap(max_objects)
     listed = scratch_dir(spark, "ids")
     ids.write.parquet(listed)
-    ids = spark.read.schema(ids.schema).parquet(listed)
+    ids = cap_ids(spark.read.schema(ids.schema).parquet(listed), max_objects)
     if ids.isEmpty():
         rec = {"rows": 0, "skipped": True, "table": table}
     else:
@@ -124,7 +123,7 @@ def run_training(spark: SparkSession, source: DataFrame | str, label: str, keys:
     m = ml.regression_metrics(pred).first()
     number = lambda x: None if x is None else float(x)  # noqa: E731  no test row has both values
     rec = {"run_id": run_id, "rmse": number(m["rmse"]), "r2": number(m["r2"]), "n_test": int(m["n"]),
-           "n_unscored": int(m["n_unscored"]),
+           "n_unscored": int(m["n_unscored"]), "n_train": model.n_rows, "n_train_dropped": model.n_dropped,
            "features": feats, "label": label, "coefficients": [float(c) for c in model.coefficients],
            "intercept": float(model.intercept)}
     if predictions_table:

@@ -129,6 +129,23 @@ def silver_nested_text(spark, sf):
     return S.silver(lineitem_docs(spark, sf), LINE_FIELDS, keep=())
 
 
+PATH_FIELDS = S.spec(("orderkey", "bigint", "order_key"), ("linenumber", "int", "line_number"),
+                     ("$.ship.flag", "string", "return_flag"), ("$.ship.status", "string", "line_status"),
+                     ("$.amounts[1].kind", "string", "second_kind"), ("$.amounts[1].value", "double", "price"),
+                     ("$.amounts[3].value", "double", "tax"), ("$.amounts[9].value", "double", "no_such"))
+
+
+@register("silver_nested_paths", """
+SELECT l_orderkey AS object_id, l_orderkey AS order_key, l_linenumber AS line_number, l_returnflag AS return_flag,
+       l_linestatus AS line_status, 'price' AS second_kind, l_extendedprice AS price, l_tax AS tax,
+       CAST(NULL AS DOUBLE) AS no_such
+FROM lineitem
+""")
+def silver_nested_paths(spark, sf):
+    """Typed columns from places inside nested objects and arrays, one parse per document."""
+    return S.silver(lineitem_docs(spark, sf), PATH_FIELDS, keep=())
+
+
 AMOUNTS_DDL = "array<struct<kind:string, value:double>>"
 
 
@@ -220,6 +237,18 @@ def cap_ids(spark, sf):
     return I.cap_ids(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), 500)
 
 
+@register("first_rows", """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
+ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 4000
+""")
+def first_rows(spark, sf):
+    """The first n rows of an order by the key at which they end; no task takes them all."""
+    from strata.operators.selection import first_n
+
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    return first_n(rows, 4000, ["l_shipdate", "l_orderkey", "l_linenumber"], top_k=500)
+
+
 @register("list_explode", "SELECT page_id AS id FROM pages")
 def list_explode(spark, sf):
     """Ids out of one-shot list responses (pages chunked into list bodies of 100 ids),

@@ -59,7 +59,7 @@ def read_table(spark: SparkSession, name: str, max_rows: int | None = None,
         return df
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0 or None")
-    from strata.sources.ids import first_n
+    from strata.operators.selection import first_n
 
     return first_n(df, max_rows, list(order_by or df.columns))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.tables import latest
+from strata.operators.selection import first_n
 from strata.sources.fetch import (BACKOFF_BASE_SEC, MAX_ATTEMPTS, NOT_FOUND, TokenBucket, bronze_schema, fetch_many,
                                   plan_parallelism)
 from strata.sources.transport import Transport, TransportError
@@ -55,13 +56,11 @@ def check_cap(cap: int | None) -> int | None:
     return cap
 
 
-def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_by`` order (a top-k: each task keeps its best n)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
-
-
 def cap_ids(ids: DataFrame, n: int | None, order_by: str = "id") -> DataFrame:
-    """Keep the first ``n`` ids in key order (repeatable, unlike a bare limit)."""
+    """Keep the first ``n`` ids in key order (repeatable, unlike a bare limit).
+
+    A large cap reads ``ids`` more than once: write ids of a list API first.
+    """
     n = check_cap(n)
     if n is None:
         return ids

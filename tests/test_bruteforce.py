@@ -64,5 +64,5 @@ def test_fractional_bounds_and_counts_without_pairs(spark):
         a, b = round(lo * 1e6), round(hi * 1e6)
         want = {(i, j) for i, x in left for j, y in right if x is not None and x + a <= y <= x + b}
         assert {(r.lid, r.rid) for r in band_join(L, R, "lt", "rt", lo, hi).collect()} == want
-        got = {r.lid: r.n for r in band_count(L, R, "lid", "lt", "rt", lo, hi, bin_seconds=5).collect()}
+        got = {r.lid: r.n for r in band_count(L, R, "lid", "lt", "rt", lo, hi, bins=7).collect()}
         assert got == {i: sum(p == i for p, _ in want) for i, _ in left}

@@ -13,10 +13,14 @@ BOUNDED_ACTIONS = {
     ("plans/sql.py", "select(\"query_text\").take(1)"),                      # one saved query
     ("plans/sql.py", "wholetext=True).first()"),                             # one SQL file text
     ("plans/registry.py", "== \"champion\").first()"),                       # one registry row
-    ("operators/ml.py", "clean.agg(*aggs).first()"),                         # k x k statistics
+    ("operators/ml.py", "numbers.agg(*aggs).first()"),                       # k x k statistics
+    ("operators/ml.py", "triangles.collect()"),                              # at most 16 triangles
     ("operators/ml.py", "json(path + \"/ols\").first()"),                    # one model row
     ("operators/tables.py", "SHOW TBLPROPERTIES {table}\").collect()"),      # table properties
     ("operators/tables.py", "LIKE '{name}{kind}*'\").collect()"),           # one table's data tables
+    ("operators/selection.py", "F.count(F.lit(1)).alias(\"n\")).collect()"), # rows per pivot
+    ("operators/selection.py", "alias(\"top\")).first()"),                   # least and greatest key
+    ("operators/selection.py", "orderBy(\"k\").collect()"),                  # the pivots
     ("sources/ids.py", "orderBy(\"source\").collect()"),                     # one row per configured API
     ("sources/files.py", "paths.limit(n)).collect()"),                       # paths of files, which a reader lists anyway
     ("plans/refresh.py", "agg(F.max(t.mark)).first()"),                      # one mark

@@ -93,3 +93,62 @@ def test_all_gates(spark, op, want):
 
     df = spark.createDataFrame([(1.5,), (2.0,), (10.0,)], "m double")
     assert [r.passed for r in gate(df, "m", op, 2).collect()] == want
+
+
+def _table(spark, x, y, partitions=5):
+    import numpy as np
+
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in np.column_stack([x, y])]
+    names = [f"f{i}" for i in range(x.shape[1])]
+    return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*names, "y"])).repartition(partitions), names
+
+
+def test_nearly_collinear_features_agree_with_a_reference_solver(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(1000, 1, 400)
+    x = np.column_stack([base, base + 1e-6 * rng.normal(size=400), rng.normal(size=400)])
+    y = x @ [2.0, -1.0, 0.5] + 7
+    df, names = _table(spark, x, y)
+    model = ml.train(df, names, "y")
+    centred = x - x.mean(axis=0)
+    want = np.linalg.lstsq(centred, y - y.mean(), rcond=None)[0]
+    assert np.allclose(model.coefficients, want, rtol=1e-3) and np.allclose(model.coefficients, [2, -1, 0.5], rtol=1e-3)
+    assert model.intercept == pytest.approx(7, rel=1e-2)
+    moments = ml.train(df, names, "y", engine="moments")          # covariances square the condition number
+    error = lambda m: np.abs(np.array(m.coefficients) - [2, -1, 0.5]).max()
+    assert error(model) < error(moments) / 10
+
+
+def test_two_hundred_features_fit_in_a_tree_of_triangles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 200))
+    beta = rng.normal(size=200)
+    y = x @ beta - 3 + rng.normal(scale=0.1, size=900)
+    x[5, 7] = y[9] = np.nan                                       # two rows with something missing
+    df, names = _table(spark, x, y, partitions=40)                # more tasks than one merge takes
+    model = ml.train(df, names, "y")
+    ok = ~np.isnan(x).any(axis=1) & ~np.isnan(y)
+    want = np.linalg.lstsq(np.column_stack([np.ones(ok.sum()), x[ok]]), y[ok], rcond=None)[0]
+    assert np.allclose(model.coefficients, want[1:], atol=1e-9) and model.intercept == pytest.approx(want[0], abs=1e-9)
+    assert (model.n_rows, model.n_dropped) == (898, 2)
+
+
+def test_both_solvers_agree_and_count_dropped_rows(spark):
+    rows = [(float(i), float(i * i % 7), 3.0 * i - 2.0 * (i * i % 7) + 1.0) for i in range(50)]
+    rows += [(None, 1.0, 1.0), (1.0, float("nan"), 1.0), (1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    for engine in ("moments", "qr", "ols"):
+        m = ml.train(df, ["a", "b"], "y", engine=engine)
+        assert m.coefficients == pytest.approx([3, -2]) and m.intercept == pytest.approx(1)
+        assert (m.n_rows, m.n_dropped) == (50, 3)
+    constant = df.withColumn("b", F.lit(4.0))
+    for engine in ("moments", "qr"):
+        m = ml.train(constant, ["a", "b"], "y", engine=engine)
+        assert m.coefficients[1] == pytest.approx(0, abs=1e-9)
+    for engine in ("moments", "qr"):
+        with pytest.raises(ValueError):
+            ml.train(df.limit(0), ["a", "b"], "y", engine=engine)

@@ -44,3 +44,37 @@ def test_passthrough(spark):
     df = spark.createDataFrame([(1, "t")], "a int, ingested_at string")
     assert S.passthrough(df, {"ingested_at": "silver_ingested_at"}).columns == ["a", "ingested_at",
                                                                                "silver_ingested_at"]
+
+
+def test_nested_paths(spark):
+    docs = ['{"a": {"b": [{"c": "1", "d": {"e": 2.5}}, {"c": 7}], "x.y": {"k": "v"}}, "n": 3}',
+            '{"a": {"b": [], "x.y": 5}, "n": "4"}', '{"a": {"b": "no list"}, "n": 5}', '{"a": [1, 2], "n": 6}', '{"a": null}', "{}",
+            "not json", '{"a": {"b": [null, {"c": null}], "x.y": {"k": {"deep": [1]}}}, "n": 7}']
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, raw_json string")
+    spec = S.spec(("$.a.b[0].c", "int", "first"), ("$.a.b[1].c", "int", "second"), ("$.a.b[0].d.e", "double", "e"),
+                  ("$.a['x.y'].k", "string", "k"), ("n", "int", "n"), ("$.a.b[5].c", "int", "far"))
+    out = S.project_json(df, spec, keep=["i"])
+    got = {r.i: tuple(r)[1:] for r in out.collect()}
+    none = (None,) * 5
+    assert got[0] == (1, 7, 2.5, "v", 3, None) and got[1] == (None, None, None, None, 4, None)
+    assert got[2] == (None, None, None, None, 5, None) and got[3] == (None, None, None, None, 6, None)
+    assert got[4] == got[5] == got[6] == (None, *none) and got[7] == (None, None, None, '{"deep":[1]}', 7, None)
+    assert out._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
+def test_a_place_as_text_and_what_lies_in_it(spark):
+    df = spark.createDataFrame([('{"a": {"b": [10, {"c": "x"}]}}',), ('{"a": 1}',)], "raw_json string")
+    spec = S.spec(("a", "json", "a_raw"), ("$.a.b", "json", "b_raw"), ("$.a.b[0]", "int", "n"), ("$.a.b[1].c", "string", "c"))
+    rows = [tuple(r) for r in S.project_json(df, spec).collect()]
+    assert rows == [('{"b":[10,{"c":"x"}]}', '[10,{"c":"x"}]', 10, "x"), ("1", None, None, None)]
+
+
+@pytest.mark.parametrize("path", ["$", "$[0].a", "$.a..b", "$.a[b]", "$a"])
+def test_bad_paths_are_refused(path):
+    with pytest.raises(ValueError):
+        S.path_steps(path)
+
+
+def test_a_place_is_an_object_or_an_array(raw):
+    with pytest.raises(ValueError):
+        S.project_json(raw, S.spec(("$.a.b", "int", "x"), ("$.a[0]", "int", "y")))
