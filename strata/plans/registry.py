@@ -18,7 +18,7 @@ from strata.plans import replay as RP
 from strata.session import prepare
 from strata.sources import ids as I
 from strata.sources.fetch import fetch_all
-from strata.sources.transport import ReplayTransport
+from strata.sources.transport import ReplayPages, ReplayTransport
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -273,17 +273,9 @@ def fresh_db(spark: SparkSession, prefix: str = "strata") -> str:
 
 
 # ---------------------------------------------------------------- S2 S3 S11 S8
-def customer_listing(spark, sf) -> tuple[DataFrame, str]:
-    """The list API's remote side: customer keys per market segment, written by Spark."""
-    from strata.session import scratch_dir
-
-    path = scratch_dir(spark, "listing")
-    cust = table(spark, sf, "customer")
-    # range-partitioned and sorted: every file/row group covers a narrow key range
-    (cust.select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").alias("id"))
-     .repartitionByRange("source", "id").sortWithinPartitions("source", "id")
-     .write.option("parquet.block.size", 1024 * 1024).partitionBy("source").parquet(path))
-    return cust, path
+def customer_keys(spark, sf) -> DataFrame:
+    """The list API's remote side: customer keys per market segment."""
+    return table(spark, sf, "customer").select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").alias("id"))
 
 
 @register("cursor_pages", """
@@ -293,9 +285,7 @@ FROM customer
 """)
 def cursor_pages(spark, sf):
     """One cursor chain per source (market segment), pages of 100, run in parallel."""
-    cust, path = customer_listing(spark, sf)
-    sources = cust.select(F.col("c_mktsegment").alias("source")).distinct()
-    return I.cursor_pages(sources, RP.ListingTransport(path), page_size=100)
+    return I.cursor_pages(RP.page_rows(customer_keys(spark, sf), ["source"], 100), ReplayPages(), page_size=100)
 
 
 CURSOR_SHARDS = 4
@@ -304,10 +294,9 @@ CURSOR_SHARDS = 4
 @register("cursor_pages_sharded", "SELECT c_mktsegment AS source, c_custkey AS id FROM customer")
 def cursor_pages_sharded(spark, sf):
     """S2 for skewed sources: each source split into key-range shards, every shard its own chain."""
-    cust, path = customer_listing(spark, sf)
-    keys = cust.select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").alias("id"))
-    shards = I.cursor_shards(keys, CURSOR_SHARDS)
-    return I.cursor_pages(shards, RP.ListingTransport(path), page_size=100).select("source", "id")
+    keys = customer_keys(spark, sf)
+    pages = RP.shard_page_rows(keys, I.cursor_shards(keys, CURSOR_SHARDS), 100)
+    return I.cursor_pages(pages, ReplayPages(), page_size=100).select("source", "id")
 
 
 @register("link_pages", """
@@ -317,9 +306,7 @@ FROM customer
 """)
 def link_pages(spark, sf):
     """S3 (Link form): every response names the next page; chains per source in parallel."""
-    cust, path = customer_listing(spark, sf)
-    sources = cust.select(F.col("c_mktsegment").alias("source")).distinct()
-    return I.link_pages(sources, RP.ListingTransport(path), page_size=100)
+    return I.link_pages(RP.page_rows(customer_keys(spark, sf), ["source"], 100), ReplayPages(), page_size=100)
 
 
 @register("offset_pages", """
@@ -329,9 +316,9 @@ FROM customer
 """)
 def offset_pages(spark, sf):
     """S3: offsets known from the total up front; every page fetched in parallel."""
-    cust, path = customer_listing(spark, sf)
-    totals = cust.groupBy(F.col("c_mktsegment").alias("source")).agg(F.count(F.lit(1)).alias("total"))
-    return I.offset_pages(totals, RP.ListingTransport(path), page_size=100)
+    keys = customer_keys(spark, sf)
+    totals = keys.groupBy("source").agg(F.count(F.lit(1)).alias("total"))
+    return I.offset_pages(totals, ReplayPages(), page_size=100, carried=RP.page_rows(keys, ["source"], 100))
 
 
 @register("multi_source", """
@@ -1402,15 +1389,13 @@ def staged_resume(spark, sf):
 
 @register("rest_source", SQL_BRONZE)
 def rest_source(spark, sf):
-    """The fetch as a named data source, spark.read.format('rest')."""
+    """A fetch that is named by options alone: ids from stored files, a transport, a rate."""
     from strata.session import scratch_dir
-    from strata.sources.rest_source import register as reg
+    from strata.sources.rest_source import read_rest
 
-    reg(spark)
     path = scratch_dir(spark, "restids")
     RP.event_requests(table(spark, sf, "events")).write.parquet(path)
-    return spark.read.format("rest").option("ids_path", path).option("transport", "replay") \
-        .option("partitions", "8").option("retry_backoff", "false").load()
+    return read_rest(spark, ids_path=path, transport="replay", partitions="8", retry_backoff="false")
 
 
 @register("run_log", """

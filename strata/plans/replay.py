@@ -8,7 +8,7 @@ without a network.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.silver import spec
@@ -49,103 +49,21 @@ def record_requests(df: DataFrame, key: str, source: str, fields: list[str]) ->
                      F.lit(200).alias("replay_status"), body.alias("replay_body"))
 
 
-class ListingTransport:
-    """A list API whose remote side is a listing Spark wrote (parquet, partitioned by source).
-
-    The listing is range-partitioned and sorted on the key, so each row group
-    covers a narrow key range. A page reads only the row groups it needs,
-    picked from the footers' min/max statistics (cursor pages) or row counts
-    (offset pages): the cost of a page does not grow with the listing.
-    """
-
-    carry = ()
-
-    def __init__(self, path: str, key: str = "id"):
-        self.path, self.key = path.rstrip("/"), key
-        self._groups: dict = {}
-
-    def open(self):
-        t = ListingTransport(self.path, self.key)
-        return t
-
-    def close(self):
-        pass
-
-    def _fs(self):
-        from pyarrow import fs
-
-        if self.path.startswith("file:"):
-            return fs.LocalFileSystem(), "/" + self.path[5:].lstrip("/")
-        if "://" in self.path:
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), self.path
-
-    def _row_groups(self, source):
-        """[(min, max, rows, file, rg)] of one source, ordered by key range (footers only)."""
-        if source in self._groups:
-            return self._groups[source]
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        fsys, root = self._fs()
-        sel = fs.FileSelector(f"{root}/source={source}", recursive=True, allow_not_found=True)
-        out = []
-        for info in fsys.get_file_info(sel):
-            if not info.path.endswith(".parquet"):
-                continue
-            md = pq.ParquetFile(fsys.open_input_file(info.path)).metadata
-            col = md.schema.names.index(self.key)
-            for rg in range(md.num_row_groups):
-                g = md.row_group(rg)
-                st = g.column(col).statistics
-                if g.num_rows:
-                    out.append((st.min, st.max, g.num_rows, info.path, rg))
-        out.sort(key=lambda x: (x[0], x[1]))
-        self._groups[source] = (out, fsys)
-        return self._groups[source]
-
-    def _read(self, fsys, path, rg):
-        import pyarrow.parquet as pq
-
-        return pq.ParquetFile(fsys.open_input_file(path)).read_row_group(rg, columns=[self.key]) \
-            .column(self.key).to_numpy()
-
-    def list_page(self, source, cursor, page_size):
-        import numpy as np
-
-        groups, fsys = self._row_groups(source)
-        got = []
-        need = page_size + 1                      # one extra key tells has_more
-        for lo, hi, _n, path, rg in groups:
-            if cursor is not None and hi <= cursor:
-                continue
-            if sum(len(g) for g in got) >= need:
-                kth = np.sort(np.concatenate(got))[need - 1]
-                if lo > kth:
-                    break
-            keys = self._read(fsys, path, rg)
-            got.append(keys if cursor is None else keys[keys > cursor])
-        keys = np.sort(np.concatenate(got)) if got else np.array([], dtype="int64")
-        return keys[:page_size].tolist(), len(keys) > page_size
-
-    def link_page(self, source, link, page_size):
-        """Link form of the same listing: the next link carries the last key seen."""
-        cursor = None if link is None else int(link.rsplit("after=", 1)[1])
-        ids, more = self.list_page(source, cursor, page_size)
-        nxt = f"{self.path}/source={source}?limit={page_size}&after={ids[-1]}" if more and ids else None
-        return ids, nxt
-
-    def offset_page(self, source, offset, limit):
-        import numpy as np
-
-        groups, fsys = self._row_groups(source)
-        start, got = 0, []
-        for _lo, _hi, n, path, rg in groups:      # ranges do not overlap: counts give positions
-            if start + n > offset and start < offset + limit:
-                got.append((start, self._read(fsys, path, rg)))
-            start += n
-        if not got:
-            return []
-        base = got[0][0]
-        keys = np.sort(np.concatenate([k for _, k in got]))
-        return keys[offset - base: offset - base + limit].tolist()
+def page_rows(keys: DataFrame, chain: list[str], page_size: int) -> DataFrame:
+    """A list API's pages of ``keys`` (chain columns, id), a row each: what ``ReplayPages`` carries, and offset."""
+    place = F.expr(f"(row_number() OVER (PARTITION BY {', '.join(chain)} ORDER BY id) - 1) DIV {page_size}")
+    pages = keys.withColumn("replay_page", place).groupBy(*chain, "replay_page").agg(
+        F.array_sort(F.collect_list("id")).alias("replay_ids"))             # at most page_size ids
+    order = Window.partitionBy(*chain).orderBy("replay_page")
+    return (pages.withColumn("replay_cursor", F.element_at(F.lag("replay_ids").over(order), -1).cast("string"))
+            .withColumn("replay_more", F.lead("replay_page").over(order).isNotNull())
+            .withColumn("offset", F.col("replay_page") * page_size))
+
+
+def shard_page_rows(keys: DataFrame, shards: DataFrame, page_size: int) -> DataFrame:
+    """The pages that a walk of each shard (source, start_after, stop_at) sees: from its start, up to the one that holds its end."""
+    inside = F.col("start_after").isNull() | (F.col("id") > F.col("start_after"))
+    first = F.col("replay_ids")[0]
+    pages = page_rows(keys.join(shards, "source").where(inside), ["source", "start_after", "stop_at"], page_size)
+    return pages.where(F.col("stop_at").isNull() | (first <= F.col("stop_at"))).withColumn(
+        "replay_cursor", F.coalesce("replay_cursor", F.col("start_after").cast("string")))

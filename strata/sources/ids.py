@@ -5,6 +5,7 @@ ID lists stay DataFrames end to end: nothing is collected to the driver.
 
 from __future__ import annotations
 
+import itertools
 import time
 from functools import reduce
 from typing import Iterator
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.tables import latest
 from strata.operators.selection import first_n
+from strata.operators.tables import latest
 from strata.sources.fetch import (BACKOFF_BASE_SEC, MAX_ATTEMPTS, NOT_FOUND, TokenBucket, bronze_schema, fetch_many,
                                   plan_parallelism)
 from strata.sources.transport import Transport, TransportError
@@ -86,34 +87,39 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
     def value(x):
         return None if x is None or pd.isna(x) else x
 
+    def chain(row):
+        return row["source"], value(row.get("start_after")), value(row.get("stop_at"))
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t, pause = transport.open(), sleep or time.sleep
         bucket = TokenBucket(rate, clock or time.monotonic, pause)
+        every = (row for pdf in batches for row in pdf.to_dict("records"))
+        # carried rows of a chain stand together, one for each of its pages
+        chains = itertools.groupby(every, chain) if transport.carry else ((chain(row), None) for row in every)
         try:
-            for pdf in batches:
-                for row in pdf.to_dict("records"):
-                    source, cursor, stop = row["source"], value(row.get("start_after")), value(row.get("stop_at"))
-                    if key_type == "bigint":
-                        cursor, stop = (None if x is None else int(x) for x in (cursor, stop))
-                    page, got, link, more = 0, 0, None, True
-                    while more and (cap is None or got < cap):
-                        if links:   # the response names the next page (Link header)
-                            ids, link = _page(lambda: t.link_page(source, link, page_size), bucket, pause, max_attempts)
-                            more = link is not None
-                        else:
-                            ids, more = _page(lambda: t.list_page(source, cursor, page_size), bucket, pause, max_attempts)
-                        if not ids:
-                            break
-                        cursor = ids[-1]
-                        if stop is not None and cursor > stop:   # end of this shard's key range
-                            ids, more = [i for i in ids if i <= stop], False
-                        if cap is not None:
-                            ids = ids[: cap - got]  # the cap applies whatever has_more says
-                        if ids:
-                            yield pd.DataFrame({"source": source, "id": pd.Series(ids, dtype="int64" if key_type == "bigint" else "object"),
-                                                "page": pd.Series(page, index=range(len(ids)), dtype="int32")})
-                        got += len(ids)
-                        page += 1
+            for (source, cursor, stop), carried in chains:
+                if key_type == "bigint":
+                    cursor, stop = (None if x is None else int(x) for x in (cursor, stop))
+                page, got, link, more = 0, 0, None, True
+                while more and (cap is None or got < cap):
+                    own = () if carried is None else (next(carried, None),)
+                    if links:   # the response names the next page (Link header)
+                        ids, link = _page(lambda: t.link_page(source, link, page_size, *own), bucket, pause, max_attempts)
+                        more = link is not None
+                    else:
+                        ids, more = _page(lambda: t.list_page(source, cursor, page_size, *own), bucket, pause, max_attempts)
+                    if not ids:
+                        break
+                    cursor = ids[-1]
+                    if stop is not None and cursor > stop:   # end of this shard's key range
+                        ids, more = [i for i in ids if i <= stop], False
+                    if cap is not None:
+                        ids = ids[: cap - got]  # the cap applies whatever has_more says
+                    if ids:
+                        yield pd.DataFrame({"source": source, "id": pd.Series(ids, dtype="int64" if key_type == "bigint" else "object"),
+                                            "page": pd.Series(page, index=range(len(ids)), dtype="int32")})
+                    got += len(ids)
+                    page += 1
         finally:
             t.close()
 
@@ -123,8 +129,12 @@ def _walk_fn(transport: Transport, page_size: int, cap: int | None, key_type: st
 def _walk(sources: DataFrame, transport: Transport, page_size: int, cap: int | None, key_type: str, links: bool,
           rate_per_sec: float | None, partitions: int | None, max_attempts: int, clock, sleep) -> DataFrame:
     n, rate = plan_parallelism(rate_per_sec, partitions or sources.sparkSession.sparkContext.defaultParallelism)
-    # Few rows that stand for much work: dealt out by count, which no size-based coalescing undoes.
-    return sources.repartition(n).mapInPandas(
+    if transport.carry:
+        chain = [c for c in ("source", "start_after", "stop_at") if c in sources.columns]
+        dealt = sources.repartition(n, *chain).sortWithinPartitions(*chain, transport.order)
+    else:       # few rows that stand for much work: dealt out by count, which no size-based coalescing undoes
+        dealt = sources.repartition(n)
+    return dealt.mapInPandas(
         _walk_fn(transport, page_size, check_cap(cap), key_type, links, rate, max_attempts, clock, sleep),
         f"source string, id {_key_type(key_type)}, page int")
 
@@ -142,11 +152,13 @@ def cursor_pages(sources: DataFrame, transport: Transport, page_size: int = 100,
     A source may be split into key-range shards (columns ``start_after`` and
     ``stop_at``, numbers or strings as the keys are): each shard is its own chain
     starting after ``start_after``, so one very large source is walked by many
-    tasks. Page numbers and caps then count per shard.
+    tasks. Page numbers and caps then count per shard. Chains are told apart by
+    these columns; a transport that carries columns has a row per page instead.
     """
     kt = _key_type(key_type)
     cols = [F.col("source").cast("string").alias("source")]
     cols += [F.col(c).cast(kt).cast("string").alias(c) for c in ("start_after", "stop_at") if c in sources.columns]
+    cols += [F.col(c) for c in transport.carry]
     return _walk(sources.select(*cols), transport, page_size, cap, key_type, False, rate_per_sec, partitions,
                  max_attempts, clock, sleep)
 
@@ -183,8 +195,9 @@ def _offset_fn(transport: Transport, page_size: int, key_type: str, rate: float
         bucket = TokenBucket(rate, clock or time.monotonic, pause)
         try:
             for pdf in batches:
-                for source, off in zip(pdf["source"].tolist(), pdf["offset"].tolist()):
-                    ids = list(_page(lambda: t.offset_page(source, int(off), page_size), bucket, pause, max_attempts))
+                carried = [(r,) for r in pdf[list(transport.carry)].to_dict("records")] if transport.carry else [()] * len(pdf)
+                for source, off, own in zip(pdf["source"].tolist(), pdf["offset"].tolist(), carried):
+                    ids = list(_page(lambda: t.offset_page(source, int(off), page_size, *own), bucket, pause, max_attempts))
                     if ids:
                         yield pd.DataFrame({"source": source, "id": pd.Series(ids, dtype="int64" if key_type == "bigint" else "object"),
                                             "offset": pd.Series(off, index=range(len(ids)), dtype="int64")})
@@ -196,11 +209,12 @@ def _offset_fn(transport: Transport, page_size: int, key_type: str, rate: float
 
 def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
                  key_type: str = "bigint", partitions: int | None = None, rate_per_sec: float | None = None,
-                 max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None) -> DataFrame:
+                 max_attempts: int = MAX_ATTEMPTS, clock=None, sleep=None, carried: DataFrame | None = None) -> DataFrame:
     """S3 (offset form): every page offset is known from the total up front,
     so pages are generated with ``sequence`` and fetched in parallel.
 
-    ``totals`` has (source, total); each page becomes one request row. As in S2,
+    ``totals`` has (source, total); each page becomes one request row. The columns
+    that a transport carries come from ``carried`` (source, offset, ...). As in S2,
     each page leaves the task as it comes, and every call takes a token of its
     task's share of ``rate_per_sec`` and is retried like a fetch.
     """
@@ -215,6 +229,8 @@ def offset_pages(totals: DataFrame, transport: Transport, page_size: int = 100,
     # the requests come from a handful of total rows: spread them over the
     # cluster, or every page would be fetched by one task
     n, rate = plan_parallelism(rate_per_sec, partitions or totals.sparkSession.sparkContext.defaultParallelism)
+    if transport.carry:
+        reqs = reqs.join(carried.select("source", "offset", *transport.carry), ["source", "offset"], "left")
     reqs = reqs.repartition(n, "source", "offset")
     return reqs.mapInPandas(_offset_fn(transport, page_size, key_type, rate, max_attempts, clock, sleep),
                             f"source string, id {kt}, offset bigint")
@@ -226,7 +242,7 @@ def link_pages(sources: DataFrame, transport: Transport, page_size: int = 100, c
     """S3 (Link-header form): each response names the next page
     (``transport.link_page(source, link, size) -> (ids, next_link or None)``),
     so pages form a chain per source, walked like S2 and in parallel across sources."""
-    return _walk(sources.select(F.col("source").cast("string")), transport, page_size, cap, key_type, True,
+    return _walk(sources.select(F.col("source").cast("string"), *transport.carry), transport, page_size, cap, key_type, True,
                  rate_per_sec, partitions, max_attempts, clock, sleep)
 
 

@@ -1,139 +1,53 @@
-"""The fetch as a named Spark data source, ``spark.read.format("rest")``.
+"""A fetch that is described by options alone, as a source in a configuration file is.
 
-Options:
-  ids_path      parquet with an ``id`` column (+ replay columns for ``transport=replay``)
-  transport     ``http`` (needs ``detail_url``) or ``replay``
+Options (text, as configurations hold them):
+  ids_path      files with an ``id`` column (+ replay columns for ``transport=replay``)
+  ids_format    their format (default ``parquet``)
+  transport     ``http`` (default; needs ``detail_url``) or ``replay``
   header.NAME   a request header of the ``http`` transport
   key_type      ``bigint`` (default) or ``string``
-  rate_per_sec  global cap, split over the partitions
-  partitions    number of input partitions (default 8)
+  rate_per_sec  global cap, split over the partitions; empty or ``none`` for none
+  partitions    tasks that fetch (default 8)
   retry_backoff ``true`` (default) waits 2**attempt s between retries;
                 ``false`` retries at once (replayed APIs)
+  share_rate    ``true`` lets live tasks share the rate (default ``false``)
 
-Each input partition is a set of row-group slices of the id files, so the
-ids are read in parallel on executors, never on the driver. It is a batch
-source: to fetch ids as they land, stream the id files with Spark and fetch in
-``foreachBatch``. Hidden files and folders (``_temporary``) are not read.
+Spark reads the ids, so any store and format that it knows will do and files of
+a writer at work are not seen; the fetch is ``fetch_all``.
 """
 
 from __future__ import annotations
 
-import time
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-from strata.sources.fetch import NULL_ID, TokenBucket, fetch_one, plan_parallelism
+from strata.sources.fetch import fetch_all
 from strata.sources.transport import HttpTransport, ReplayTransport
 
+OPTIONS = {"ids_path", "ids_format", "transport", "detail_url", "key_type", "rate_per_sec", "partitions", "retry_backoff", "share_rate"}
 
-class _Part(InputPartition):
-    def __init__(self, pieces):
-        super().__init__(pieces)
-        self.pieces = pieces
-
-
-class RestDataSource(DataSource):
-    @classmethod
-    def name(cls):
-        return "rest"
-
-    def schema(self):
-        kt = "bigint" if self.options.get("key_type", "bigint") == "bigint" else "string"
-        return f"object_id {kt}, http_status int, raw_json string, error_message string"
-
-    def reader(self, schema):
-        return RestReader(self.options)
-
-
-def _hidden(path: str, root: str) -> bool:
-    return any(x[:1] in ("_", ".") for x in path[len(root):].strip("/").split("/"))
-
-
-def _pieces(options) -> list:
-    """(file, row group, first row, end row) slices of the id parquet, in path order."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    local, root = _fs(options["ids_path"])
-    info = local.get_file_info(root)
-    infos = local.get_file_info(fs.FileSelector(root, recursive=True)) if info.type == fs.FileType.Directory \
-        else [info]
-    files = sorted((i for i in infos if i.path.endswith(".parquet") and not _hidden(i.path, root)), key=lambda i: i.path)
-    meta = []
-    for f in files:   # footers only: row-group sizes, no data
-        md = pq.ParquetFile(local.open_input_file(f.path)).metadata
-        meta += [(f.path, rg, md.row_group(rg).num_rows) for rg in range(md.num_row_groups)]
-    n_parts, _ = plan_parallelism(_rate(options), int(options.get("partitions", 8)))
-    per = max(1, -(-sum(n for _, _, n in meta) // n_parts))   # rows per slice, ceil
-    return [(f, rg, lo, min(n, lo + per)) for f, rg, n in meta for lo in range(0, n, per)]
-
-
-def _read_pieces(options, pieces):
-    """Fetch the ids of the given slices; one Arrow batch per slice."""
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-
-    o = options
-    local = _fs(o["ids_path"])[0]
-    _n, rate = plan_parallelism(_rate(o), int(o.get("partitions", 8)))
-    t = ReplayTransport() if o.get("transport", "replay") == "replay" else HttpTransport(
-        o["detail_url"], headers={k[7:]: v for k, v in o.items() if k.lower().startswith("header.")})
-    t = t.open()
-    bucket = TokenBucket(rate)
-    pause = time.sleep if o.get("retry_backoff", "true").lower() != "false" else (lambda _s: None)
-    key_bigint = o.get("key_type", "bigint") == "bigint"
-    try:
-        for f, rg, lo, hi in pieces:
-            tbl = pq.ParquetFile(local.open_input_file(f)).read_row_group(rg).slice(lo, hi - lo)
-            cols = {c: tbl.column(c).to_pylist() for c in ["id", *t.carry]}
-            keys, st, bodies, errs = [], [], [], []
-            for i, key in enumerate(cols["id"]):
-                if key is None:   # a NULL id names no object: it is reported, not requested
-                    s_, body, err = None, None, NULL_ID
-                else:
-                    row = {c: cols[c][i] for c in t.carry}
-                    s_, body, err = fetch_one(t, bucket, key, row, pause)
-                keys.append(None if key is None else int(key) if key_bigint else str(key))
-                st.append(s_)
-                bodies.append(body)
-                errs.append(err)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64() if key_bigint else pa.string()), pa.array(st, pa.int32()),
-                 pa.array(bodies, pa.string()), pa.array(errs, pa.string())],
-                names=["object_id", "http_status", "raw_json", "error_message"])
-    finally:
-        t.close()
-
-
-class RestReader(DataSourceReader):
-    def __init__(self, options):
-        self.options = dict(options)
-
-    def partitions(self):
-        n_parts, _ = plan_parallelism(_rate(self.options), int(self.options.get("partitions", 8)))
-        pieces = _pieces(self.options)
-        groups = [pieces[i::n_parts] for i in range(n_parts)]
-        return [_Part(g) for g in groups if g]
-
-    def read(self, partition):
-        yield from _read_pieces(self.options, partition.pieces)
-
-
-def _fs(path: str):
-    """(filesystem, path inside it); ``file:/x`` and plain paths are local."""
-    from pyarrow import fs
 
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+def read_rest(spark: SparkSession, **options: str) -> DataFrame:
+    """object_id, http_status, raw_json, error_message of every id; lazy, so write it with one action."""
+    headers = {k[7:]: v for k, v in options.items() if k.lower().startswith("header.")}
+    unknown = {k for k in options if not k.lower().startswith("header.")} - OPTIONS
+    if unknown:
+        raise ValueError(f"unknown options {sorted(unknown)}")
+    name = options.get("transport", "http")
+    if name not in ("http", "replay"):
+        raise ValueError(f"no transport {name!r}")
+    if name == "http" and not options.get("detail_url"):
+        raise ValueError("the http transport needs detail_url")
+    transport = ReplayTransport() if name == "replay" else HttpTransport(options["detail_url"], headers=headers)
+    rate = options.get("rate_per_sec")
+    ids = spark.read.format(options.get("ids_format", "parquet")).load(options["ids_path"])
+    return fetch_all(ids, transport, None if rate in (None, "", "none") else float(rate), int(options.get("partitions", 8)),
+                     key_type=options.get("key_type", "bigint"), stamp=False, share_rate=_true(options, "share_rate", "false"),
+                     backoff=None if _true(options, "retry_backoff", "true") else _no_wait)
 
 
-def _rate(options) -> float | None:
-    r = options.get("rate_per_sec")
-    return float(r) if r not in (None, "", "none") else None
+def _true(options: dict, name: str, default: str) -> bool:
+    return str(options.get(name, default)).lower() == "true"
 
 
-def register(spark) -> None:
-    spark.dataSource.register(RestDataSource)
+def _no_wait(seconds: float) -> None:
+    pass

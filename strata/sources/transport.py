@@ -18,8 +18,11 @@ class TransportError(Exception):
 
 class Transport:
     # Columns of the id rows this transport needs next to the key (replay data,
-    # per-source config ...). They are carried through the fetch shuffle.
+    # per-source config ...). They are carried through the fetch shuffle. For a
+    # page walk each call gets a row of its chain, in the order of the column
+    # ``order``, as a last argument.
     carry: Sequence[str] = ()
+    order: str | None = None
 
     def open(self) -> "Transport":
         return self
@@ -148,6 +151,33 @@ class ReplayTransport(Transport):
         return status, row[self.body_col]
 
 
+class ReplayPages(Transport):
+    """A list API answered from rows that Spark made, one per page: its place, the cursor that asks for it, ids, more.
+
+    A walk that asks with another cursor than the last page's fails, so the walk
+    itself is put to the test.
+    """
+
+    carry = ("replay_page", "replay_cursor", "replay_ids", "replay_more")
+    order = "replay_page"
+
+    def list_page(self, source, cursor, page_size, row=None):
+        if row is None:
+            return [], False
+        asked, held = (None if x is None else str(x) for x in (cursor, row["replay_cursor"]))
+        ids = list(row["replay_ids"])
+        if asked != held or len(ids) > page_size:
+            raise ValueError(f"page {row['replay_page']} of {source} follows {held}, not {asked}")
+        return ids, bool(row["replay_more"])
+
+    def link_page(self, source, link, page_size, row=None):
+        ids, more = self.list_page(source, None if link is None else link.rsplit("after=", 1)[1], page_size, row)
+        return ids, f"replay:{source}?limit={page_size}&after={ids[-1]}" if more else None
+
+    def offset_page(self, source, offset, limit, row=None):
+        return [] if row is None or row["replay_ids"] is None else list(row["replay_ids"])
+
+
 class ScriptedTransport(Transport):
     """Per-key scripted answers for tests: {key: [503, 503, (200, body)]}.
 

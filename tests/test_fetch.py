@@ -120,9 +120,8 @@ def test_partitions_are_honoured(spark):
 
 def test_rest_source_reads_finished_files_only(spark):
     from strata.session import scratch_dir
-    from strata.sources.rest_source import register
+    from strata.sources.rest_source import read_rest
 
-    register(spark)
     path = scratch_dir(spark, "ids")
     mk = lambda lo, hi: spark.range(lo, hi).selectExpr(
         "id", "CASE WHEN id % 7 = 0 THEN 404 ELSE 200 END AS replay_status",
@@ -130,20 +129,19 @@ def test_rest_source_reads_finished_files_only(spark):
     mk(0, 50).write.mode("append").parquet(path)
     mk(50, 60).write.parquet(f"{path}/_temporary/0")       # a running writer's files
     opts = {"ids_path": path, "transport": "replay", "partitions": "4", "retry_backoff": "false"}
-    batch = spark.read.format("rest").options(**opts).load()
+    batch = read_rest(spark, **opts)
     assert batch.count() == 50 and batch.where("error_message = 'not_found'").count() == 8
 
 
 def test_rest_source_reports_null_ids(spark):
     from strata.session import scratch_dir
-    from strata.sources.rest_source import register
+    from strata.sources.rest_source import read_rest
 
-    register(spark)
     for kind in ("bigint", "string"):
         path = scratch_dir(spark, "ids")
         spark.createDataFrame([(1,), (None,), (2 ** 53 + 1,), (None,)], "id bigint").selectExpr(
             f"CAST(id AS {kind}) AS id", "200 AS replay_status", "'{}' AS replay_body").write.parquet(path)
-        out = spark.read.format("rest").options(ids_path=path, transport="replay", key_type=kind, retry_backoff="false").load()
+        out = read_rest(spark, ids_path=path, transport="replay", key_type=kind, retry_backoff="false")
         one, big = (1, 2 ** 53 + 1) if kind == "bigint" else ("1", str(2 ** 53 + 1))
         assert Counter((r.object_id, r.http_status, r.raw_json, r.error_message) for r in out.collect()) == {
             (one, 200, "{}", None): 1, (big, 200, "{}", None): 1, (None, None, None, "null_id"): 2}
@@ -226,3 +224,17 @@ def test_live_tasks_share_the_rate(spark):
     assert sorted(r.object_id for r in out if r.object_id is not None) == list(range(120)) and len(out) == 121
     assert {r.http_status for r in out if r.object_id is not None} == {200} and [r.error_message for r in out if r.object_id is None] == ["null_id"]
     assert calls.value == 180 and took > (180 - 4) / 60
+
+
+def test_rest_options_are_checked_and_ids_may_have_any_format(spark):
+    from strata.session import scratch_dir
+    from strata.sources.rest_source import read_rest
+
+    path = scratch_dir(spark, "ids")
+    spark.range(5).selectExpr("id", "200 AS replay_status", "'{}' AS replay_body").write.json(path)
+    opts = {"ids_path": path, "ids_format": "json", "transport": "replay"}
+    out = read_rest(spark, **opts, rate_per_sec="1000", partitions="2", share_rate="true")
+    assert sorted(r.object_id for r in out.collect()) == [0, 1, 2, 3, 4]
+    for bad in ({"transport": "ftp"}, {"transport": "http"}, {"retries": "3"}):
+        with pytest.raises(ValueError):
+            read_rest(spark, **{**opts, **bad})

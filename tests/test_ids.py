@@ -206,3 +206,22 @@ def test_cursor_shards_cover_every_key_once(spark):
     assert shards.count() == 5
     got = sorted(r.id for r in I.cursor_pages(shards, t, page_size=7).collect())
     assert got == keys
+
+
+def test_replayed_pages_check_the_walk(spark):
+    from strata.plans.replay import page_rows, shard_page_rows
+    from strata.sources.transport import ReplayPages
+
+    keys = spark.createDataFrame([("a", i) for i in range(1, 36)] + [("b", 2 ** 53 + i) for i in range(3)], "source string, id bigint")
+    got = I.cursor_pages(page_rows(keys, ["source"], 10), ReplayPages(), page_size=10, partitions=3).collect()
+    want = [("a", i, (i - 1) // 10) for i in range(1, 36)] + [("b", 2 ** 53 + i, 0) for i in range(3)]
+    assert sorted(map(tuple, got)) == want
+    capped = I.cursor_pages(page_rows(keys, ["source"], 10), ReplayPages(), page_size=10, cap=15, partitions=1)
+    assert sorted((r.source, r.id) for r in capped.collect()) == [r[:2] for r in want if r[0] == "b" or r[1] <= 15]
+    shards = spark.createDataFrame([("a", None, 7), ("a", 7, 20), ("a", 20, None), ("b", None, None)],
+                                   "source string, start_after bigint, stop_at bigint")
+    pages = shard_page_rows(keys, shards, 4)
+    assert sorted((r.source, r.id) for r in I.cursor_pages(pages, ReplayPages(), page_size=4).collect()) == [r[:2] for r in want]
+    wrong = page_rows(keys, ["source"], 10).withColumn("replay_cursor", F.lit("3"))
+    with pytest.raises(Exception, match="follows 3, not None"):
+        I.cursor_pages(wrong, ReplayPages(), page_size=10).collect()
