@@ -51,6 +51,23 @@ def safe_name(path) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(path), r"^/+", ""), r"[/.]", ":")
 
 
+def name_part(name, part: str) -> Column:
+    """``catalog``, ``schema`` or ``table`` of ``catalog.schema.table``; a shorter name lacks the first ones, a longer one is an error."""
+    parts = F.split(_c(name), r"\.")
+    n = F.size(parts)
+    back = {"table": 1, "schema": 2, "catalog": 3}[part]
+    return (F.when(n > 3, F.raise_error(F.concat(F.lit("bad table name "), _c(name))).cast("string"))
+            .when(n >= back, F.get(parts, n - back)))
+
+
+def join_path(*parts) -> Column:
+    """Parts of a path put together with one ``/`` between two, whatever slashes they end or begin with there."""
+    cols = [_c(p) for p in parts]
+    trimmed = [F.regexp_replace(c, r"/+$", "") if i == 0 else F.regexp_replace(c, r"^/+" if i == len(cols) - 1 else r"^/+|/+$", "")
+               for i, c in enumerate(cols)]
+    return F.concat_ws("/", *trimmed)
+
+
 def preview(c, n: int = 200) -> Column:
     return F.substring(_c(c), 1, n)
 

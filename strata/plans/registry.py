@@ -395,6 +395,60 @@ def files_capped(spark, sf):
                                                    "o_orderpriority")
 
 
+def ingest_drop(spark, sf, fmt: str, schema=None):
+    """orders dropped as files of a format, one folder per priority, ingested into a table and read by its name."""
+    from strata.plans.pipelines import run_file_ingest
+    from strata.session import scratch_dir
+
+    path, name = scratch_dir(spark, "drop"), f"{fresh_db(spark)}.orders"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    o.withColumn("p", F.substring("o_orderpriority", 1, 1)).repartition(4, "p").write.partitionBy("p").format(fmt).save(path)
+    rec = run_file_ingest(spark, f"{path}/", name, pattern=f"p=*/*.{fmt}", fmt=fmt, schema=schema)
+    return spark.table(name).withColumn("n_ingested", F.lit(rec["rows"]).cast("bigint"))
+
+
+SQL_DROP = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, (SELECT count(*) FROM orders) AS n_ingested,
+       substr(o_orderpriority, 1, 1) AS folder FROM orders
+"""
+DROP_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "n_ingested"]
+
+
+@register("files_parquet", SQL_DROP)
+def files_parquet(spark, sf):
+    """Parquet files with the schema they hold, provenance, into a table."""
+    folder = F.regexp_extract("source_file", r"p=([^/]+)/", 1).alias("folder")
+    return ingest_drop(spark, sf, "parquet").select(*DROP_COLUMNS, folder)
+
+
+@register("files_json", SQL_DROP)
+def files_json(spark, sf):
+    """JSON files with an inferred schema."""
+    folder = F.regexp_extract("source_file", r"p=([^/]+)/", 1).alias("folder")
+    return ingest_drop(spark, sf, "json").select(*DROP_COLUMNS, folder)
+
+
+@register("qualified_names", """
+SELECT n_nationkey AS key, r_name || '.' || n_name AS name, CAST(NULL AS VARCHAR) AS catalog_name, r_name AS schema_name,
+       n_name AS table_name, '/lake/' || r_name || '/' || n_name || '/part.parquet' AS path
+FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL
+SELECT n_nationkey, 'main.' || r_name || '.' || n_name, 'main', r_name, n_name, '/lake/' || r_name || '/' || n_name || '/part.parquet'
+FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
+def qualified_names(spark, sf):
+    """Functions: parts of qualified names, and paths put together from parts with stray slashes."""
+    from strata.functions import join_path, name_part
+
+    r = table(spark, sf, "region")
+    n = table(spark, sf, "nation").join(r, F.col("n_regionkey") == r["r_regionkey"])
+    two = F.concat_ws(".", "r_name", "n_name")
+    named = n.select("n_nationkey", "r_name", "n_name", F.explode(F.array(two, F.concat(F.lit("main."), two))).alias("name"))
+    path = join_path(F.lit("/lake//"), F.concat(F.lit("/"), "r_name"), F.concat("n_name", F.lit("/")), F.lit("/part.parquet"))
+    return named.select(F.col("n_nationkey").alias("key"), "name",
+                        *[name_part("name", p).alias(f"{p}_name") for p in ("catalog", "schema", "table")], path.alias("path"))
+
+
 @register("file_counts", f"""
 SELECT CAST({MD5_BUCKET_SQL.format(k='o_orderkey', n=CSV_FILES)} AS INTEGER) AS file_bucket, count(*) AS n_rows
 FROM orders GROUP BY 1
@@ -1044,6 +1098,22 @@ def table_inventory(spark, sf):
     return inventory(spark, db).where(~F.col("is_temporary")).select("name").join(held, "name", "left")
 
 
+@register("table_snapshot", """
+SELECT 'orders_copy' AS name, 'MANAGED' AS table_type, 'parquet' AS format, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys
+FROM orders
+""")
+def table_snapshot(spark, sf):
+    """What the catalog says of a keyed table after an upsert that changes nothing, and what a reader of its name counts."""
+    from strata.operators.tables import snapshot, upsert
+
+    name = f"{fresh_db(spark)}.orders_copy"
+    orders = table(spark, sf, "orders")
+    for batch in (orders, orders.where("o_orderstatus = 'F'")):
+        upsert(spark, batch, name, ["o_orderkey"])
+    held = spark.sql(f"SELECT '{name}' AS full_name, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM {name}")
+    return snapshot(spark, name).join(held, "full_name").select("name", "table_type", "format", "n_rows", "n_keys")
+
+
 # ---------------------------------------------------------------- R2-R5 (streaming)
 EVENTS_JSON_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 STREAM_CUT = "2024-01-16 00:00:00"

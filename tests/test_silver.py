@@ -1,6 +1,7 @@
 """P2/P3/A7 on edge rows the driver tables lack."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import silver as S
 
@@ -78,3 +79,15 @@ def test_bad_paths_are_refused(path):
 def test_a_place_is_an_object_or_an_array(raw):
     with pytest.raises(ValueError):
         S.project_json(raw, S.spec(("$.a.b", "int", "x"), ("$.a[0]", "int", "y")))
+
+
+def test_names_and_paths(spark):
+    from strata.functions import join_path, name_part
+
+    df = spark.createDataFrame([("a.b.c",), ("b.c",), ("c",), (None,)], "n string")
+    got = df.select(*[name_part("n", p) for p in ("catalog", "schema", "table")]).collect()
+    assert [tuple(r) for r in got] == [("a", "b", "c"), (None, "b", "c"), (None, None, "c"), (None, None, None)]
+    with pytest.raises(Exception, match="bad table name"):
+        spark.sql("SELECT 'a.b.c.d' AS n").select(name_part("n", "table")).collect()
+    one = lambda *p: spark.range(1).select(join_path(*[F.lit(x) for x in p])).first()[0]
+    assert one("s3://b/", "/x/", "y") == "s3://b/x/y" and one("a", "*.csv") == "a/*.csv" and one("/r//", "t/") == "/r/t/"
