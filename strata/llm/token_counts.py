@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns
+from strata.llm.common import doc_columns, stage
 from strata.llm.tokens import word_tokenizer
 
 BLOCK = 256     # lengths summed together in the first level
@@ -95,4 +95,6 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:
-    return suffix_sums(histogram(token_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    """The histogram is written, a row per length, so that its two uses do not encode the documents twice."""
+    hist = histogram(token_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return suffix_sums(stage(spark, hist, "lengths"))
