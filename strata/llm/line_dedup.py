@@ -5,8 +5,8 @@ documents of each hash are counted (partial sums per task, so a line held by a
 third of all documents costs one row per task); lines of hashes over the
 threshold are dropped and the rest is reassembled by position.
 
-Only (document, position, hash) rows are exploded and shuffled, never the line
-texts. A line is known by 96 bits of hash (xxhash64 and murmur3) and its length.
+Only (document, position, hash) rows are exploded, written once for both uses
+and shuffled, never the line texts. A line is known by 96 bits of hash (xxhash64 and murmur3) and its length.
 
 Defined cases: a null or empty text is one empty line and stays; rows repeated
 with equal id and text count as one document and get equal results, one per
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACES, ascii_lower, unused
+from strata.llm.common import SPACES, ascii_lower, stage, unused
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -46,6 +46,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     lines = lines.select("id", "th", "pos", key.alias("key")).where(F.length("key") >= min_chars)
     lines = lines.select("id", "th", "pos", F.xxhash64("key").alias("h"),
                          F.hash("key").alias("h2"), F.length("key").alias("n"))
+    lines = stage(docs.sparkSession, lines, "lines")
     often = (lines.select("h", "h2", "n", "id").distinct().groupBy("h", "h2", "n")
              .agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).drop("docs"))
     # Salted, so that a line of very many documents is joined in several tasks.
@@ -54,7 +55,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     gone = (lines.join(often, ["h", "h2", "n", "salt"], "left_semi")
             .groupBy(F.col("id").alias(rid), F.col("th").alias(rth)).agg(F.collect_set("pos").alias(drop)))
     joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(rid)) & (own == F.col(rth)), "left")
-    kept = F.filter(F.col(split), lambda _, i: ~F.array_contains(F.col(drop), i))
+    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(drop))       # by a hash set, in order
+    kept = F.transform(places, lambda i: F.get(F.col(split), i))
     return (joined.withColumn(split, _lines(F.col(text_col)))
             .withColumn(kept_text, F.when(F.col(drop).isNull(), F.coalesce(F.col(text_col), F.lit("")))
                         .otherwise(F.array_join(kept, "\n")))
