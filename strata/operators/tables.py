@@ -206,6 +206,20 @@ def _drop_old(spark: SparkSession, table: str, covered: dict[str, int], now: int
     return {e: at for e, at in covered.items() if e not in old}
 
 
+def vacuum(spark: SparkSession, table: str, older_than_seconds: int = 7 * 86_400) -> list[str]:
+    """Drop bases that no view shows and that were begun so long ago (left by interrupted writes); returns their names.
+
+    A write that is still going on must be younger. Parts need none of this: they are seen with the next commit.
+    """
+    state = state_of(spark, table)
+    known = {f"{BASE}{state.base}", *state.covered}
+    begun_before = (int((time.time() - older_than_seconds) * 1_000_000)) << 10
+    left = [e for e in _data_tables(spark, table, BASE) if e not in known and int(e.rsplit("_", 1)[1]) < begun_before]
+    for e in left:
+        spark.sql(f"DROP TABLE IF EXISTS {table}{e}")
+    return [f"{table}{e}" for e in left]
+
+
 # ---------------------------------------------------------------- plain writes
 def write_full(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Replace a table as a unit (one write of the data).

@@ -77,6 +77,9 @@ def test_a_crash_before_the_view_is_set_changes_nothing_and_a_dropped_table_stay
     assert rows(spark.table(t)) == [(1, 1, "old")]
     TB.upsert(spark, spark.createDataFrame([(2, 1, "b")], SCHEMA), t, ["k"], ["ts"])
     assert rows(spark.table(t)) == [(1, 1, "old"), (2, 1, "b")]
+    held = len(names(spark, t))
+    assert TB.vacuum(spark, t) == [] and len(TB.vacuum(spark, t, older_than_seconds=0)) == 1
+    assert rows(spark.table(t)) == [(1, 1, "old"), (2, 1, "b")] and len(names(spark, t)) == held - 1
     TB.drop_table(spark, t)
     assert not TB.table_exists(spark, t) and names(spark, t) == []
     assert TB.inventory(spark, t.split(".")[0]).where("not is_temporary").count() == 0
