@@ -120,10 +120,17 @@ def _frequencies(spark: SparkSession, stored: DataFrame, n: int):
         yield pa.RecordBatch.from_pydict({"term": pa.array(at, pa.int64()), "df": pa.array(df[at], pa.int64())})
 
     total = stored.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
+    def packed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({c: pa.array([batch.column(c).to_numpy().astype("<i8").tobytes()], pa.binary())
+                                              for c in ("term", "df")})
+
     df = np.zeros(n, np.int64)
     counted = stored.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    for r in counted.collect():
-        df[r["term"]] = r["df"]
+    for r in counted.mapInArrow(packed, "term binary, df binary").collect():       # arrays of n numbers in all
+        df[np.frombuffer(r["term"], "<i8")] = np.frombuffer(r["df"], "<i8")
     return total[0], total[1], df
 
 
