@@ -110,11 +110,11 @@ class WordIds:
         """(ids of the words in a row, how many each has)."""
         if len(self.row) > MAX_WORDS or self.chars > MAX_CHARS:
             self._reset()
-        rows = list(map(self.row.get, some))
-        if None in rows:
-            self._add(list(dict.fromkeys(w for w, r in zip(some, rows) if r is None)))
-            rows = list(map(self.row.get, some))
-        rows = np.array(rows, np.int64)
+        rows = np.fromiter(map(self.row.get, some, itertools.repeat(-1)), np.int64, len(some))
+        if len(new := np.flatnonzero(rows < 0)):
+            unknown = [some[i] for i in new.tolist()]
+            self._add(list(dict.fromkeys(unknown)))
+            rows[new] = np.fromiter(map(self.row.__getitem__, unknown), np.int64, len(unknown))
         count = self.count[rows]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
