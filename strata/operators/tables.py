@@ -116,11 +116,12 @@ def _parts(spark: SparkSession, table: str, state: State) -> list[str]:
 
 
 def _rows_sql(spark: SparkSession, table: str, state: State, ends: Sequence[str]) -> str:
-    """All rows of some data tables with their commit and mark; a table that was taken over has neither column."""
+    """All rows of some data tables with their commit and mark; a base that was taken over has neither column."""
     shown = ", ".join(map(_quoted, state.columns))
     out = []
     for e in ends:
-        marks = f"{SEQ_COL}, {GONE_COL}" if SEQ_COL in spark.table(f"{table}{e}").columns else f"{state.base}L AS {SEQ_COL}, false AS {GONE_COL}"
+        own = e.startswith(PART) or SEQ_COL in spark.table(f"{table}{e}").columns
+        marks = f"{SEQ_COL}, {GONE_COL}" if own else f"{state.base}L AS {SEQ_COL}, false AS {GONE_COL}"
         out.append(f"SELECT {shown}, {marks} FROM {table}{e}")
     return " UNION ALL ".join(out)
 
