@@ -15,8 +15,9 @@ its rarest; the start may lie before the document. Shards are spread
 over the cluster and hold all postings of their documents, so a term that a
 third of all documents share is spread with them.
 
-Phrases go to the shards in blocks of bounded size (``BLOCK_BYTES``), one after
-the other, however large the benchmark.
+Phrases go to the shards in blocks of bounded size (``BLOCK_BYTES``): each is
+searched and its hits are written before the next is sent, however large the
+benchmark.
 
 Words: A-Z lower-cased, runs of digits, letters and all characters beyond ASCII.
 
@@ -87,18 +88,20 @@ class Phrases:
 
         words, buf = split(encode([t for _, t in items]), ALNUM_TABLE, True)
         self.vocab, ids = np.unique(hash_pieces(buf, words.starts, words.ends), return_inverse=True)
-        by_length: dict[int, dict[tuple, set]] = {}
-        for (item, _), a, b in zip(items, words.first, words.first[1:]):
-            size = min(window, int(b - a))
-            for i in range(a, b - size + 1 if size else a):
-                by_length.setdefault(size, {}).setdefault(tuple(ids[i:i + size].tolist()), set()).add(item)
-        self.items = sorted({i for i, _ in items})
-        number = {x: k for k, x in enumerate(self.items)}
+        ids = ids.astype(np.int32)
+        self.items, number = np.unique(np.array([i for i, _ in items], object), return_inverse=True)
+        sizes = np.minimum(words.counts, window)
         self.groups = []            # (length, term numbers of each window, bounds into, the items of each window)
-        for size, found in sorted(by_length.items()):
-            owners = [sorted(number[x] for x in v) for v in found.values()]
-            bounds = np.cumsum([0] + [len(x) for x in owners])
-            self.groups.append((size, np.array(list(found), np.int64), bounds, np.concatenate(owners).astype(np.int64)))
+        for size in sorted(set(sizes[sizes > 0].tolist())):
+            own = np.flatnonzero(sizes == size)
+            begin, who = _expand(words.first[own], words.counts[own] - size + 1)      # where each window begins, its text
+            rows = ids[begin[:, None] + np.arange(size)]
+            order = np.lexsort(rows.T[::-1])
+            rows, of = rows[order], number[own[who[order]]]
+            new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])
+            pair = np.unique((np.cumsum(new) - 1) << 32 | of)
+            bounds = np.searchsorted(pair >> 32, np.arange(int(new.sum()) + 1))
+            self.groups.append((size, rows[new], bounds, pair & 0xFFFFFFFF))
 
 
 def _expand(begin, count):
@@ -126,7 +129,7 @@ def match(terms, bounds, positions, first, phrases: Phrases, size: int, windows,
     begin = np.cumsum(count) - count
     few = windows[live]
     rare = np.argsort(count[few], axis=1, kind="stable")
-    anchor = np.take_along_axis(few, rare[:, :1], 1)[:, 0]
+    anchor = np.take_along_axis(few, rare[:, :1], 1)[:, 0].astype(np.int64)
     place, who = _expand(begin[anchor], count[anchor])
     posting = lists[place] & 0xFFFFFFFF
     doc = np.searchsorted(first, posting, "right") - 1      # of the posting: with slop, start may lie in the gap before it
@@ -138,7 +141,7 @@ def match(terms, bounds, positions, first, phrases: Phrases, size: int, windows,
         keep = np.arange(len(start))
         for k in range(1, size):
             off = rare[who[keep], k]
-            term, want = few[who[keep], off] << 32, start[keep] + off
+            term, want = few[who[keep], off].astype(np.int64) << 32, start[keep] + off
             low, high = np.maximum(want - reach, first[doc[keep]]), np.minimum(want + reach, last[doc[keep]])
             i = np.searchsorted(lists, term + low)
             ok = (low <= high) & (i < len(lists))
@@ -224,7 +227,9 @@ def search(spark: SparkSession, index: DataFrame, items: DataFrame, window: int
         block = [(r["item"], r["text"]) for r in
                  items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k).collect()]   # about BLOCK_BYTES
         if block:
-            hits = hits.unionByName(lists.mapInArrow(finder(spark.sparkContext.broadcast(Phrases(block, window))), kind))
+            data = spark.sparkContext.broadcast(Phrases(block, window))
+            hits = hits.unionByName(stage(spark, lists.mapInArrow(finder(data), kind), "hits"))     # few rows, written
+            data.unpersist()
     both = hits.groupBy("shard", "doc").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
                                               for c in ("items", "near_items", "spans")])    # a row per block at most
     every = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("doc", "d"))
