@@ -56,7 +56,7 @@ def _ask_blocks(block: int, n_buckets: int):
         v.sort()
         code = v >> np.uint64(1)
         new = np.flatnonzero(np.diff(code, prepend=~code[:1]))
-        last = np.append(new[1:], len(v)) - 1
+        last = np.append(new, len(v))[1:] - 1
         in_index, many = v[last] & np.uint64(1), (last > new).astype(np.uint64)
         code = code[new]
         value = ((code & PAYLOAD) << np.uint64(2)) | (in_index << np.uint64(1)) | many
