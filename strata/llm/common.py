@@ -61,27 +61,61 @@ IDS_A_RANGE = 250     # sampled ids that a range's bounds are made from
 RANGES = 4            # for each partition of a shuffle, so that partitions get even loads of ranges
 
 
-def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col: str = "doc_id") -> Column:
+def id_ranges(spark: SparkSession, docs: DataFrame, n: int | None = None, id_col: str = "doc_id",
+              tie: Column | None = None) -> Column:
     """A column that cuts ascending ids into about ``n`` even ranges, numbered from 0.
 
     The bounds are quantiles of a hash sample of about ``IDS_A_RANGE * n`` ids
-    (``n - 1`` numbers on the driver). Null ids go to range 0, before all others.
-    Equal ids share a range.
+    (``n - 1`` numbers on the driver). Null ids go before all others. Equal ids
+    share a range, unless they or the null ids are more than a range should hold:
+    then ``tie``, a number from 0 to below 1 that parts rows of one id, cuts them
+    into as many ranges as they fill. Only rows that are equal in both stay together.
     """
     n = n or RANGES * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
-    some = about(ids, ["id"], IDS_A_RANGE * n, ids.count()).select(F.col("id").cast("double").alias("id"))
-    cuts = sorted(set(some.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    if not cuts:
+    ids = docs.select(F.col(id_col).alias("id"))
+    known, nulls = ids.agg(F.count("id"), F.count_if(F.col("id").isNull())).first()
+    ids = ids.where("id is not null")
+    some = about(ids, ["id"], IDS_A_RANGE * n, known).select(F.col("id").cast("double").alias("id"))
+    found = some.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
+    cuts = sorted(set(found))
+    ranges_of_null = max(1, round(n * nulls / max(1, known + nulls))) if tie is not None else 1
+    # A cut that several quantiles fall on: so many ranges for that one id.
+    copies = [found.count(c) if tie is not None and abs(c) < 2 ** 53 else 1 for c in cuts]      # beyond, doubles are not exact
+    if not cuts and ranges_of_null == 1:
         return F.lit(0)
-    # Two levels of comparisons: the group of cuts, then the cut inside it.
-    step = max(1, round(len(cuts) ** 0.5))
-    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
     numbers = lambda xs: "array(" + ", ".join(f"{x!r}D" for x in xs) + ")"
-    own = f"cast(`{id_col}` as double)"
-    group = f"greatest(size(filter({numbers([g[0] for g in groups])}, c -> c <= {own})) - 1, 0)"
-    inside = f"size(filter(get(array({', '.join(map(numbers, groups))}), {group}), c -> c <= {own}))"
-    return F.expr(f"case when `{id_col}` is null then 0 else {group} * {step} + {inside} end")
+    own, null = f"cast(`{id_col}` as double)", F.col(f"`{id_col}`").isNull()
+    if cuts:
+        # Two levels of comparisons: the group of cuts, then the cut inside it.
+        step = max(1, round(len(cuts) ** 0.5))
+        groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+        group = f"greatest(size(filter({numbers([g[0] for g in groups])}, c -> c <= {own})) - 1, 0)"
+        inside = f"size(filter(get(array({', '.join(map(numbers, groups))}), {group}), c -> c <= {own}))"
+        place = F.expr(f"{group} * {step} + {inside}")
+    else:
+        place = F.lit(0)
+    if ranges_of_null == 1 and max(copies, default=1) == 1:
+        return F.when(null, F.lit(0)).otherwise(place)
+    # What comes before a place: the null ids' ranges, then each cut's.
+    first = [ranges_of_null - 1]
+    for k in copies:
+        first.append(first[-1] + k)
+    at = F.get(F.array(*map(F.lit, first)), place)          # the last range that a row of this place may be in
+    hot = [(c, k) for c, k in zip(cuts, copies) if k > 1]
+    back = F.lit(0)                                         # a hot id's rows go into its last k ranges
+    for c, k in hot:                                        # at most n
+        back = F.when(F.expr(own) == c, F.lit(k - 1) - F.floor(tie * k).cast("int")).otherwise(back)
+    return F.when(null, F.floor(tie * ranges_of_null).cast("int")).otherwise(at - back)
+
+
+def hash_share(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to below 1, in the order of the hash."""
+    return F.least((hashed.cast("double") / F.lit(2.0 ** 64)) + 0.5, F.lit(1 - 2.0 ** -50))
+
+
+def crc_share(crc: Column) -> Column:
+    """An unsigned 32-bit checksum as a number from 0 to below 1, in its order."""
+    return crc.cast("double") / F.lit(2.0 ** 32)
 
 
 def about(df: DataFrame, key: list[str], rows: int, of: int) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACES, doc_columns, id_ranges
+from strata.llm.common import SPACES, doc_columns, hash_share, id_ranges
 
 K = 128
 SHINGLE = 5
@@ -103,7 +103,7 @@ def with_next(spark: SparkSession, docs: DataFrame, columns: list[str], then=lam
     """
     from pyspark.sql import Window
 
-    cut = docs.withColumn("range_no", id_ranges(spark, docs)).withColumn("later", F.lit(0))
+    cut = docs.withColumn("range_no", id_ranges(spark, docs, tie=hash_share(F.xxhash64("text")))).withColumn("later", F.lit(0))
     key = F.struct("doc_id", F.xxhash64("text").alias("x"))
     firsts = cut.groupBy("range_no").agg(F.min_by(F.struct(*docs.columns), key).alias("f"))
     # one row per range: the window over them is as small as the count of ranges

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_columns, id_ranges, stage
+from strata.llm.common import crc_share, doc_columns, id_ranges, stage
 from strata.llm.tokens import word_tokenizer
 
 WINDOW = 2048
@@ -147,7 +147,7 @@ def pack(spark: SparkSession, docs: DataFrame, window: int = WINDOW, path: str |
     """Pieces of all documents with their sequence and offset. ``with_ids`` adds their ids (binary, 4 bytes each)."""
     path = path or word_tokenizer()
     docs = doc_columns(docs)
-    ranges = id_ranges(spark, docs)
+    ranges = id_ranges(spark, docs, tie=crc_share(F.col("ids_crc32")))
     pieces = cut_pieces(docs, path, end_id, window, with_ids).withColumn("range_no", ranges)
     pieces = stage(spark, pieces, "pieces")       # texts are encoded once
     by_length = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))

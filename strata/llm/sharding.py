@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_ranges
+from strata.llm.common import crc_share, id_ranges
 from strata.session import scratch_dir
 
 SHARDS = 8
@@ -93,7 +93,7 @@ def place(spark: SparkSession, docs: DataFrame, old: str, shards: int = SHARDS,
     Sums and counts are made from narrow rows; the texts are dealt out once, by (old shard, id range).
     """
     docs = with_size(docs).withColumn("old_shard", F.coalesce(F.col(old).cast("int"), F.lit(0)))
-    docs = docs.withColumn("range_no", id_ranges(spark, docs))
+    docs = docs.withColumn("range_no", id_ranges(spark, docs, tie=crc_share(F.col("text_crc32"))))
     narrow = docs.select("doc_id", "size", "text_crc32", "old_shard", "range_no")
     sizes = {r["old_shard"]: r["s"] for r in narrow.groupBy("old_shard").agg(F.sum("size").alias("s")).collect()}
     flow = cheapest_flow(sizes, capacity or even_capacities(sum(sizes.values()), shards))

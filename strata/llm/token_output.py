@@ -29,7 +29,7 @@ import struct
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import about, doc_columns, id_ranges
+from strata.llm.common import about, crc_share, doc_columns, id_ranges
 from strata.llm.tokens import word_tokenizer
 from strata.session import scratch_dir
 
@@ -158,7 +158,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, path: str |
     spark.createDataFrame([(f"{dictionary_hash(dictionary):016x}", bytearray(dictionary))],
                           "hash string, dictionary binary").write.parquet(f"{folder}/dictionary")
     dict_hash = dictionary_hash(dictionary)
-    ranges = id_ranges(spark, docs)
+    ranges = id_ranges(spark, docs, tie=crc_share(F.col("ids_crc32")))
     frames = compress_documents(docs, dictionary, path, end_id, width)
 
     def blocks(batches):

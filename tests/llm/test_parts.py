@@ -472,3 +472,126 @@ def test_search_in_blocks_of_items_equals_one_block(spark, edge, monkeypatch):
     monkeypatch.setattr(rs, "FIRST_SHARE", 2)
     got = rs.search(spark, frame(spark, rows).repartition(6), asked).select("item_id", "rank", "doc_id", "score").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute.ranked(rows, items), key=repr)
+
+
+# ---------------------------------------------------------------- hot ids
+def test_null_and_hot_ids_fill_several_ranges_in_order(spark):
+    from strata.llm.common import crc_share, hash_share, id_ranges
+
+    rng = random.Random(12)
+    ids = [None] * 4000 + [77] * 4000 + [rng.randrange(1000) for _ in range(4000)]
+    docs = frame(spark, [(i, f"text {k}") for k, i in enumerate(ids)]).repartition(6)
+    for share in (hash_share(F.xxhash64("text")), crc_share(F.crc32(F.encode("text", "UTF-8")))):
+        rows = docs.select("doc_id", share.alias("tie"), id_ranges(spark, docs, 24, tie=share).alias("r")).collect()
+        rows = sorted((r.doc_id is not None, r.doc_id or 0, r.tie, r.r) for r in rows)
+        place = [r[3] for r in rows]
+        assert all(0 <= t < 1 for _, _, t, _ in rows) and place == sorted(place) and place[0] == 0
+        size = sorted(place.count(r) for r in set(place))
+        assert len(size) >= 22 and size[-1] < 3 * size[len(size) // 2]
+    only = frame(spark, [(None, f"t{k}") for k in range(3000)])
+    spread = only.groupBy(id_ranges(spark, only, 6, tie=hash_share(F.xxhash64("text")))).count().collect()
+    assert len(spread) == 6 and max(r["count"] for r in spread) < 700
+
+
+def test_operators_on_a_table_of_null_and_hot_ids(spark):
+    """A third of the rows without an id, a third with one id: successors, order of ids and slots hold."""
+    from strata.llm import sharding, token_output
+
+    rows = [(None, f"no id {k} of many") for k in range(300)] + [(5, f"one id {k} here") for k in range(300)]
+    rows += [(k, f"own id {k} text") for k in range(300)]
+    docs = frame(spark, rows).repartition(4)
+    out = token_output.read_tokens(spark, token_output.write_tokens(spark, docs, scratch_dir(spark, "hot"))).collect()
+    out.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in out] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert [r.start for r in out] == [0, *itertools.accumulate(r.n_tokens for r in out)][:-1]
+    nxt = fingerprint.with_next(spark, docs, ["text"]).select("doc_id", "text", "next_text").collect()
+    follow = {(r.doc_id, r.text): r.next_text for r in nxt}
+    at, seen = min(follow, key=lambda r: (r[0] is not None, r[0] or 0)), set()
+    at = (None, at[1])
+    by_text = {t: d for d, t in rows}
+    while at not in seen:                        # one ring through all rows, ids ascending
+        seen.add(at)
+        at = (by_text[follow[at]], follow[at])
+    assert len(seen) == 900
+    placed, _ = sharding.place(spark, docs.withColumn("old", F.lit(0)), "old")
+    slots = sorted((r.shard, r.slot) for r in placed.collect())
+    assert slots == [(s, k) for s in range(8) for k in range(sum(x == s for x, _ in slots))]
+
+
+# ---------------------------------------------------------------- long texts, plain vectors
+def test_a_text_of_five_megabytes(spark):
+    """Longer than a chunk, a shard and a batch of any operator; its copy differs in one word."""
+    import zlib
+
+    import public_tokenizers
+    import tiktoken
+
+    from strata.llm import byte_bpe, ranked_search
+
+    rng = random.Random(21)
+    words = [f"w{rng.randrange(4000)}" for _ in range(950_000)]
+    long = " ".join(words)
+    other = " ".join(words[:40_000] + ["changed"] + words[40_001:60_000])
+    rows = [(1, long), (2, other), (3, "short text\n" * 3), (4, None)]
+    items = [(10, " ".join(words[700_000:700_030])), (11, "w1 changed w3")]
+    assert len(long) > 5_000_000
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    hits = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.find_contaminated(spark, docs, bench).collect()}
+    want = {r[0]: r[1:4] for r in brute.contamination(rows, items)}
+    assert {d: (n, h, len(i)) for d, (n, h, i) in hits.items()} == want and hits[1][2] == ["10"]
+    cut = substring_dedup.remove_repeats(spark, docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    assert sorted(map(tuple, cut.collect())) == sorted(brute.substrings(rows))
+    folder = token_output.write_tokens(spark, docs, scratch_dir(spark, "long"))
+    enc = Encoder(word_tokenizer()).tok
+    ids = {d: enc.encode(t or "", add_special_tokens=False).ids + [1] for d, t in rows}
+    for r in token_output.read_tokens(spark, folder).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.doc_id] and r.ids_crc32 == zlib.crc32(r.ids)
+    own = byte_bpe.codec(byte_bpe.multi_ranks())
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    for r in byte_bpe.encode(docs, decoded=True).collect():
+        text = dict(rows)[r.doc_id] or ""
+        assert list(r.ids) == plain.encode_ordinary(text) and bytes(r.decoded) == text.encode()
+    got = ranked_search.search(spark, docs, bench).select("item_id", "rank", "doc_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.ranked(rows, items))
+
+
+def test_vectors_and_pooling_equal_plain_sums(spark):
+    """Random indexing and pooling, word by word."""
+    rng = random.Random(22)
+    texts = [" ".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(n)) for n in (0, 1, 2, 3, 40, 700)]
+    row = {w: int(quality.word_rows([w.encode()])[0][0]) for w in "ab cd ef gh ij kl".split()}
+    places, signs = quality.index_vectors(7)
+    table = np.zeros((quality.BUCKETS, quality.DIMS))
+    for t in texts:
+        w = t.split()
+        for i, x in enumerate(w):
+            for j in range(max(0, i - quality.REACH), min(len(w), i + quality.REACH + 1)):
+                if j != i:
+                    for p, s in zip(places[row[w[j]]], signs[row[w[j]]]):
+                        table[row[x], p] += s
+    total = np.zeros(quality.BUCKETS * quality.DIMS)
+    quality.neighbour_sums(text.encode(texts), places, signs, total)
+    assert (total.reshape(table.shape) == table).all()
+    size = np.linalg.norm(table, axis=1)
+    seen = size > 0
+    unit = np.where(seen[:, None], table / np.where(seen, size, 1)[:, None], 0)
+    unit[seen] -= unit[seen].mean(axis=0)
+    vectors = quality.train_vectors(spark, frame(spark, list(enumerate(texts))).repartition(3))
+    assert np.allclose(vectors, unit, atol=1e-6)
+    pooled = quality.pool(text.encode(texts), vectors)
+    for t, got in zip(texts, pooled):
+        x = np.array([vectors[row[w]] for w in t.split()]).reshape(-1, quality.DIMS)
+        near = x[:-1] * x[1:]
+        want = [(x.mean(axis=0) if len(x) else np.zeros(quality.DIMS)), ((x * x).mean(axis=0) if len(x) else np.zeros(quality.DIMS)),
+                near.mean(axis=0) if len(near) else np.zeros(quality.DIMS)]
+        assert np.allclose(got, np.concatenate(want), atol=1e-5)
+
+
+def test_the_network_scores_as_its_layers_say():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 3 * quality.DIMS)).astype(np.float32)
+    y = (x[:, 0] + x[:, 1] > 0).astype(np.float32)
+    net = quality.Network(x, y)
+    hidden = np.maximum((x - net.mean) / net.scale @ net.w[0] + net.w[1], 0)
+    want = 1 / (1 + np.exp(-(hidden @ net.w[2] + net.w[3]) / net.temperature))
+    assert np.allclose(net.score(x), want, atol=1e-6) and ((net.score(x) > 0.5) == (y > 0.5)).mean() > 0.9
